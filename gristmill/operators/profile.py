@@ -59,7 +59,7 @@ def quantiles(df: DataFrame, column: str, probabilities: list[float], cuts: int
     values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
     grid = F.percentile_approx("v", F.array(*[F.lit(i / cuts) for i in range(1, cuts)]), F.lit(10000))
     edges = values.agg(grid.alias("edges")).scalar()
-    sliced = values.withColumn("slice", F.size(F.filter(edges, lambda e: e <= F.col("v"))))
+    sliced = values.withColumn("edges", edges).select("v", "n", F.size(F.filter("edges", lambda e: e <= F.col("v"))).alias("slice"))
     totals = sliced.groupBy("slice").agg(F.sum("n").alias("rows"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # At most ``cuts`` rows from here on: this window is over slices, not over data.

@@ -13,13 +13,14 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TYPO, DOUBTFUL = 90.0, 70.0
 # ratio = 2M/(|a|+|b|) >= t and M <= min(|a|,|b|) give |b| >= |a|*t/(2-t), hence M >= |a|*t/(2-t).
 _SHARE = (DOUBTFUL / 100) / (2 - DOUBTFUL / 100)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio, 0 to 100."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() * 100 for x, y in zip(a, b)], dtype="float64")
