@@ -112,10 +112,10 @@ def fill_missing(df: DataFrame, source: DataFrame, on: list[str] | dict[str, str
     types = dict(df.dtypes)
 
     def completed(target: str) -> Column:
-        current = F.col(target)
+        found = [F.col(target), F.col(f"_src_{target}")]
         if types[target] == "string":
-            current = blank_to_null(current)
-        return F.coalesce(current, F.col(f"_src_{target}")).alias(target)
+            found = [blank_to_null(c) for c in found]
+        return F.coalesce(*found).alias(target)
 
     return joined.select(*[completed(c) if c in cols else F.col(c) for c in df.columns])
 
