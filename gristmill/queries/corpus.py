@@ -57,7 +57,7 @@ def corpus_root_files(d: Data) -> DataFrame:
     return corpus.flag_included(paths, include, exclude).select("page_id", F.col("is_included").alias("deep"))
 
 
-@query("corpus_size_limit", "SELECT path, size, CASE WHEN size < 1024 THEN CAST(size AS STRING) || ' B' WHEN size < 1024 * 1024 THEN printf('%.1f KB', size / 1024.0) ELSE printf('%.1f MB', size / 1048576.0) END AS label FROM @corpus c WHERE size <= 4096")
+@query("corpus_size_limit", "SELECT path, size, CASE WHEN size < 1024 THEN CAST(size AS STRING) || ' B' WHEN size < 1024 * 1024 THEN printf('%.1f KB', floor(size / 1024.0 * 10 + 0.5) / 10) ELSE printf('%.1f MB', size / 1048576.0) END AS label FROM @corpus c WHERE size <= 4096")
 def corpus_size_limit(d: Data) -> DataFrame:
     return corpus.limit_size(d.corpus, 4).select("path", "size", size_label(F.col("size")).alias("label"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.dates import Period
@@ -35,6 +35,11 @@ _SCOPED = """(SELECT * FROM @policies p WHERE coalesce(risk_class <> 'X', true)
   AND nature IN ('R', 'O', 'T', 'C') AND market = 'A')"""
 
 
+def cents(c: Column) -> Column:
+    """Whole cents for comparison; the cut is moved off the values that computed amounts fall on."""
+    return F.floor(c * 100 + F.lit(0.3).cast("double")).cast("bigint")
+
+
 def _le(c: str, d: str) -> str:
     return f"({c} IS NULL OR {c} <= {d})"
 
@@ -374,22 +379,22 @@ _INDEXED = """ix AS (SELECT g.policy_no, g.pos, g.label, g.amount, g.share_pct,
   LEFT JOIN @index_values n ON n.index_date = ann AND n.nature = g.nature LEFT JOIN @index_values t ON t.index_date = created AND t.nature = g.nature)"""
 
 
-@query("capital_indexed_groups", f"WITH {_INDEXED} SELECT policy_no, pos, round(sum(indexed), 4) AS indexed, count(indexed) AS n FROM ix GROUP BY 1, 2")
+@query("capital_indexed_groups", f"WITH {_INDEXED} SELECT policy_no, pos, CAST(floor(sum(indexed) * 100 + 0.3) AS BIGINT) AS indexed, count(indexed) AS n FROM ix GROUP BY 1, 2")
 def capital_indexed_groups(d: Data) -> DataFrame:
     out = capital.index_amounts(with_groups(d), d.index_values, PERIOD.last_day)
     rows = out.select("policy_no", F.explode("groups").alias("g"))
     summed = rows.groupBy("policy_no", F.col("g.pos").alias("pos")).agg(F.sum("g.indexed").alias("indexed"), F.count("g.indexed").alias("n"))
-    return summed.withColumn("indexed", F.round("indexed", 4))
+    return summed.withColumn("indexed", cents(F.col("indexed")))
 
 
 @query("capital_largest_group", f"""WITH {_INDEXED}, m AS (SELECT policy_no, any_value(CASE WHEN share_pct IS NULL OR share_pct = 0 THEN 100 ELSE share_pct END) AS sh,
     max(indexed) FILTER (contains(label, 'GLOBAL LIMIT')) AS a, max(indexed) FILTER (label = 'MAX LOSS KEPT') AS b, max(indexed) FILTER (label = 'DIRECT RISK') AS c,
     greatest(0, max(amount) FILTER (label = 'LOSS OF INCOME')) AS e, greatest(0, max(amount) FILTER (label = 'MAX LOSS KEPT')) AS f FROM ix GROUP BY 1)
-SELECT policy_no, round(a * 100 / sh, 4) AS limit_all, round(b * 100 / sh, 4) AS loss_kept, round(c * 100 / sh, 4) AS direct_risk, round(e * 100 / sh, 4) AS income_loss, round(greatest(a * 100 / sh, b * 100 / sh), 4) AS top_limit FROM m""")
+SELECT policy_no, CAST(floor(a * 100 / sh * 100 + 0.3) AS BIGINT) AS limit_all, CAST(floor(b * 100 / sh * 100 + 0.3) AS BIGINT) AS loss_kept, CAST(floor(c * 100 / sh * 100 + 0.3) AS BIGINT) AS direct_risk, CAST(floor(e * 100 / sh * 100 + 0.3) AS BIGINT) AS income_loss, CAST(floor(greatest(a * 100 / sh, b * 100 / sh) * 100 + 0.3) AS BIGINT) AS top_limit FROM m""")
 def capital_largest_group(d: Data) -> DataFrame:
     indexed = capital.index_amounts(with_groups(d), d.index_values, PERIOD.last_day)
     out = capital.capital_max(indexed, MEASURES, {"loss_all": ("loss_all", ["loss_direct", "loss_income"])}, {"top_limit": ["limit_all", "loss_kept"]})
-    return out.select("policy_no", *[F.round(c, 4).alias(c) for c in ("limit_all", "loss_kept", "direct_risk", "income_loss", "top_limit")])
+    return out.select("policy_no", *[cents(F.col(c)).alias(c) for c in ("limit_all", "loss_kept", "direct_risk", "income_loss", "top_limit")])
 
 
 _LEGACY_SUMS = """SELECT policy, product, CAST(sum(CASE WHEN kind = 'A' AND branch IN ('O', 'F') THEN coalesce(amount_full, 0) ELSE 0 END) AS DOUBLE) AS limit_full, CAST(sum(CASE WHEN kind = 'A' AND branch IN ('O', 'F') THEN amount_company ELSE 0 END) AS DOUBLE) AS limit_company,
@@ -411,13 +416,13 @@ def capital_fire_lines(d: Data) -> DataFrame:
     return out.select("policy", "product", *[F.col(c).cast("double").alias(c) for c in ("loss_full", "direct_full", "insured_full")])
 
 
-@query("capital_consolidated", f"""WITH {_INDEXED} SELECT 'main' AS channel, policy_no, '1' AS network, round(max(indexed) FILTER (contains(label, 'GLOBAL LIMIT')), 4) AS limit_amount FROM ix GROUP BY 1, 2, 3
-UNION ALL SELECT 'legacy', policy, '3', limit_full FROM ({_LEGACY_SUMS}) l""")
+@query("capital_consolidated", f"""WITH {_INDEXED} SELECT 'main' AS channel, policy_no, '1' AS network, CAST(floor(max(indexed) FILTER (contains(label, 'GLOBAL LIMIT')) * 100 + 0.3) AS BIGINT) AS limit_amount FROM ix GROUP BY 1, 2, 3
+UNION ALL SELECT 'legacy', policy, '3', CAST(floor(limit_full * 100 + 0.3) AS BIGINT) FROM ({_LEGACY_SUMS}) l""")
 def capital_consolidated(d: Data) -> DataFrame:
     main = capital.capital(capital.index_amounts(with_groups(d), d.index_values, PERIOD.last_day), MEASURES[:1])
     out = capital.consolidate_capital(
-        main, _legacy_capital(d), {"policy_no": "policy_no", "network": F.lit("1"), "limit_amount": F.round("limit_all", 4)},
-        {"policy_no": "policy", "limit_amount": F.col("limit_full").cast("double")},
+        main, _legacy_capital(d), {"policy_no": "policy_no", "network": F.lit("1"), "limit_amount": cents(F.col("limit_all"))},
+        {"policy_no": "policy", "limit_amount": cents(F.col("limit_full").cast("double"))},
     )
     return out.select("channel", "policy_no", "network", "limit_amount")
 

@@ -55,8 +55,7 @@ def compare(spark, con, name, build, sql, folder):
     if a_cols != b_cols:
         return f"columns {a_cols} / {b_cols}"
     if a != b:
-        only_a = [x for x in a if x not in set(b)][:3]
-        only_b = [x for x in b if x not in set(a)][:3]
+        only_a, only_b = sorted(set(a) - set(b))[:3], sorted(set(b) - set(a))[:3]
         return f"rows {len(a)}/{len(b)}; spark only {only_a}; duckdb only {only_b}"
     return None if a else "no rows"
 
