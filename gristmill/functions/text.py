@@ -75,17 +75,26 @@ def extract_street_no(c: Column) -> Column:
     return F.regexp_extract(safe_str(c), r"(?U)^(\d{1,4})\s", 1)
 
 
-def parse_coordinate(c: Column, low: float, high: float, comma: bool = True) -> Column:
-    raw = F.replace(strip(c), F.lit(","), F.lit(".")) if comma else strip(c)
-    value = F.when(raw.rlike(_NUMBER), raw.try_cast("double"))
-    return F.when(value.between(low, high), value)
-
-
 def to_number(c: Column) -> Column:
+    """Double in Python's spelling; the cast alone would also take ``1.0d``."""
     raw = strip(c)
     return F.when(raw.rlike(_NUMBER), raw.try_cast("double"))
 
 
+def parse_number(c: Column) -> Column:
+    """Like :func:`to_number`, with a comma accepted as the decimal mark."""
+    return to_number(F.replace(c, F.lit(","), F.lit(".")))
+
+
+def in_range(value: Column, low: float, high: float) -> Column:
+    return F.when(value.between(low, high), value)
+
+
+def parse_coordinate(c: Column, low: float, high: float) -> Column:
+    """Number inside the range, else null."""
+    return in_range(parse_number(c), low, high)
+
+
 def number_text(c: Column) -> Column:
     """A double as Python prints it: Spark switches to 1.0E-4 below 0.001, Python to 1e-05 below 0.0001."""
     plain = c.cast("string")

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import geo
 from gristmill.functions.text import (
-    blank_to_null, extract_postal, extract_street_no, is_empty, is_filled, normalize_country, number_text,
-    parse_coordinate, safe_str, to_number,
+    blank_to_null, extract_postal, extract_street_no, in_range, is_empty, is_filled, normalize_country, number_text,
+    parse_number, safe_str, to_number,
 )
 from gristmill.operators.dedup import keep_first, site_key
 from gristmill.operators.joins import enrich
@@ -109,9 +109,11 @@ def with_context(sites: DataFrame, boxes: DataFrame, regions: DataFrame, use_add
         "_postal": with_postal(F.col("CP_SITE"), address, use_address),
         "_has_lon": is_filled(x),
         "_has_lat": is_filled(y),
-        "_lon": parse_coordinate(x, -180.0, 180.0),
-        "_lat": parse_coordinate(y, -90.0, 90.0),
+        "_x": parse_number(x),
+        "_y": parse_number(y),
     })
+    # A second projection, so that the parsed numbers are computed once and not once per use.
+    base = base.withColumns({"_lon": in_range(F.col("_x"), -180.0, 180.0), "_lat": in_range(F.col("_y"), -90.0, 90.0)})
     region = F.when(F.col("_postal") == "", "").otherwise(geo.region_code(F.col("_country"), F.col("_postal")))
     located = with_country_box(base.withColumn("_region", region), boxes)
     return with_region_box(located, regions)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +15,24 @@ from gristmill.sources.tables import TABLES, load_table
 
 @dataclass
 class Data:
-    """Tables by attribute, views by :meth:`view`."""
+    """Tables and views by attribute; each is opened once, since every open reads file footers."""
 
     spark: SparkSession
     folder: str
+    opened: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return load_table(self.spark, self.folder, name)
-        if name in VIEWS:
-            return self.view(name)
-        raise AttributeError(name)
-
-    def view(self, name: str) -> DataFrame:
-        text = VIEWS[name].replace("{bytes}", "octet_length")
-        return self.spark.sql(text, **{t: load_table(self.spark, self.folder, t) for t in placeholders(text)})
-
-    def sql(self, text: str, **frames: DataFrame) -> DataFrame:
-        tables = {t: getattr(self, t) for t in placeholders(text) if t not in frames}
-        return self.spark.sql(text, **tables, **frames)
+        if name not in self.opened:
+            if name in TABLES:
+                self.opened[name] = load_table(self.spark, self.folder, name)
+            elif name in VIEWS:
+                self.opened[name] = self.sql(VIEWS[name].replace("{bytes}", "octet_length"))
+            else:
+                raise AttributeError(name)
+        return self.opened[name]
+
+    def sql(self, text: str) -> DataFrame:
+        return self.spark.sql(text, **{t: getattr(self, t) for t in placeholders(text)})
 
 
 @dataclass(frozen=True)
