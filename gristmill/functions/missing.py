@@ -1,7 +1,8 @@
 """Comparisons under the rule that a missing value sorts below every other value and equals itself.
 
 The monthly programs were written for a system with that order, so ``cancelled <= end`` holds for an open
-contract there. SQL would answer NULL; these helpers never do.
+contract there. SQL would answer NULL; these helpers never do. They are built from IS NULL tests and plain comparisons,
+which a Parquet scan can take as filters.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ def _col(value: Any) -> Column:
 def gt_m(a: Any, b: Any) -> Column:
     a = _col(a)
     if not isinstance(b, Column) and b is not None:
-        return F.coalesce(a > b, F.lit(False))
+        return a.isNotNull() & (a > b)
     b = _col(b)
     return a.isNotNull() & (b.isNull() | (a > b))
 
@@ -41,7 +42,7 @@ def le_m(a: Any, b: Any) -> Column:
 def ge_m(a: Any, b: Any) -> Column:
     a = _col(a)
     if not isinstance(b, Column) and b is not None:
-        return F.coalesce(a >= b, F.lit(False))
+        return a.isNotNull() & (a >= b)
     return ~lt_m(a, b)
 
 
@@ -55,12 +56,12 @@ def ne_m(a: Any, b: Any) -> Column:
 
 def between_m(low: Any, c: Column, high: Any) -> Column:
     """``low <= c <= high`` with a real lower bound: a missing value is never inside."""
-    return F.coalesce(c.between(low, high), F.lit(False))
+    return c.isNotNull() & c.between(low, high)
 
 
 def in_m(c: Column, values: list) -> Column:
-    return F.coalesce(c.isin(list(values)), F.lit(False)) if values else F.lit(False)
+    return c.isNotNull() & c.isin(list(values)) if values else F.lit(False)
 
 
 def notin_m(c: Column, values: list) -> Column:
-    return ~in_m(c, values)
+    return c.isNull() | ~c.isin(list(values)) if values else F.lit(True)

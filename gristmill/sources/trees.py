@@ -10,53 +10,46 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.session import cut_lineage
 
 _LISTING = "root string, base string, path string, is_dir boolean, size bigint"
+_ARROW_LISTING = pa.schema([("root", pa.string()), ("base", pa.string()), ("path", pa.string()), ("is_dir", pa.bool_()), ("size", pa.int64())])
 _READ_CHUNK = 64
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
-def _list_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
+def _list_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Direct children of each folder; a folder that may not be read counts as empty."""
     for batch in batches:
-        for root, base, path in zip(batch.root, batch.base, batch.path):
-            system, top = _filesystem(base)
-            folder = f"{top}/{path}" if path else top
+        for row in batch.to_pylist():
+            system, top = fs.FileSystem.from_uri(row["base"])
+            prefix = f"{row['path']}/" if row["path"] else ""
             try:
-                found = system.get_file_info(fs.FileSelector(folder, recursive=False))
+                found = system.get_file_info(fs.FileSelector(f"{top}/{row['path']}" if prefix else top, recursive=False))
             except PermissionError:
                 continue
-            yield pd.DataFrame({
-                "root": root,
-                "base": base,
-                "path": [f"{path}/{i.base_name}" if path else i.base_name for i in found],
-                "is_dir": [i.type == fs.FileType.Directory for i in found],
-                "size": [i.size or 0 for i in found],
-            })
+            children = [
+                {**row, "path": prefix + i.base_name, "is_dir": i.type == fs.FileType.Directory, "size": i.size or 0} for i in found
+            ]
+            yield pa.RecordBatch.from_pylist(children, schema=_ARROW_LISTING)
+
 
+def _read_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Append the bytes of each file, a few files per batch."""
+    def read(base: str, path: str) -> bytes:
+        system, top = fs.FileSystem.from_uri(base)
+        with system.open_input_stream(f"{top}/{path}", compression=None) as stream:
+            return stream.read()
 
-def _read_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for start in range(0, len(batch), _READ_CHUNK):
-            part = batch.iloc[start:start + _READ_CHUNK].copy()
-            content = []
-            for base, path in zip(part.base, part.path):
-                system, top = _filesystem(base)
-                with system.open_input_stream(f"{top}/{path}") as stream:
-                    content.append(stream.read())
-            part["content"] = content
-            yield part
+        for start in range(0, batch.num_rows, _READ_CHUNK):
+            part = batch.slice(start, _READ_CHUNK)
+            names = zip(part.column("base").to_pylist(), part.column("path").to_pylist())
+            yield part.append_column("content", pa.array([read(base, path) for base, path in names], pa.binary()))
 
 
 def scan_tree(spark: SparkSession, roots: list[str], keep_folders: bool = False) -> DataFrame:
@@ -66,7 +59,7 @@ def scan_tree(spark: SparkSession, roots: list[str], keep_folders: bool = False)
     levels = []
     while not frontier.isEmpty():
         spread = frontier.select("root", "base", "path").repartition("base", "path")
-        level = cut_lineage(spread.mapInPandas(_list_level, _LISTING))
+        level = cut_lineage(spread.mapInArrow(_list_level, _LISTING))
         levels.append(level)
         frontier = level.filter("is_dir")
     everything = levels[0]
@@ -78,7 +71,7 @@ def scan_tree(spark: SparkSession, roots: list[str], keep_folders: bool = False)
 def with_content(files: DataFrame) -> DataFrame:
     """Add the bytes of each listed file; filter the listing before calling it."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    return files.mapInPandas(_read_bytes, f"{fields}, content binary")
+    return files.mapInArrow(_read_bytes, f"{fields}, content binary")
 
 
 def scan_visible(spark: SparkSession, roots: list[str]) -> DataFrame:
