@@ -376,7 +376,7 @@ _FULL = f"""WITH cty AS (SELECT DISTINCT CP_SITE AS cp5, lower(NOM_CLI) AS cy FR
   e1 AS (SELECT e0.*, CASE WHEN cp <> '' THEN {_department('cp')} END AS dp, hx AND hy AND coalesce(x BETWEEN -180 AND 180, false) AND coalesce(y BETWEEN -90 AND 90, false) AS rdy FROM e0),
   e2 AS (SELECT e1.*, b.country IS NOT NULL AS boxed, b.lon_min AS b1, b.lat_min AS b2, b.lon_max AS b3, b.lat_max AS b4, r.region_code IS NOT NULL AS split,
     r.lon_min AS r1, r.lat_min AS r2, r.lon_max AS r3, r.lat_max AS r4, cp IN (SELECT cp5 FROM cty) AS knowncp, (cp, lower(vl)) IN (SELECT (cp5, cy) FROM cty) AS fits
-    FROM e1 LEFT JOIN @country_boxes b ON b.country = cn LEFT JOIN @region_boxes r ON r.region_code = dp),
+    FROM e1 LEFT JOIN @country_boxes b ON b.country = cn LEFT JOIN @region_boxes r ON r.region_code = dp AND r.country = 'FRANCE'),
   e3 AS (SELECT *, rdy AND boxed AND NOT (x BETWEEN b1 AND b3 AND y BETWEEN b2 AND b4) AS outside, y BETWEEN b1 AND b3 AND x BETWEEN b2 AND b4 AS swapped,
     (-x BETWEEN b1 AND b3 AND y BETWEEN b2 AND b4) OR (x BETWEEN b1 AND b3 AND -y BETWEEN b2 AND b4) AS flipped FROM e2),
   e4 AS (SELECT *, concat_ws(', ', CASE WHEN (hx OR hy) AND NOT (hx AND hy) THEN 'G-01' END,
@@ -454,12 +454,11 @@ def city_name_check(d: Data) -> DataFrame:
     return checks.select("postal_code", "city", "verdict", "best_city", F.round("score", 4).alias("score"))
 
 
-@query("postal_cities", f"""SELECT postal_code, lower(NOM_CLI) AS city, min(row_id) AS ordinal FROM (SELECT *, CASE WHEN length(p) < w AND regexp_full_match(p, '\\d+') THEN lpad(p, CAST(w AS INT), '0') ELSE p END AS postal_code
-  FROM (SELECT *, upper(replace(replace(coalesce({_t('CP_SITE')}, ''), ' ', ''), '-', '')) AS p, max(CASE WHEN regexp_full_match({_t('CP_SITE')}, '\\d+') THEN length({_t('CP_SITE')}) END) OVER () AS w FROM @sites s) t) u
-WHERE postal_code <> '' GROUP BY 1, 2""")
+@query("postal_cities", f"""SELECT VILLE_SITE AS country, postal_code, lower(NOM_SITE) AS city, min(row_id) AS ordinal FROM (SELECT *, CASE WHEN length(p) < w AND regexp_full_match(p, '\\d+') THEN lpad(p, CAST(w AS INT), '0') ELSE p END AS postal_code
+  FROM (SELECT *, upper(replace(replace(coalesce({_t('CP_SITE')}, ''), ' ', ''), '-', '')) AS p, max(CASE WHEN regexp_full_match({_t('CP_SITE')}, '\\d+') THEN length({_t('CP_SITE')}) END) OVER (PARTITION BY VILLE_SITE) AS w FROM @sites s WHERE VILLE_SITE IS NOT NULL) t) u
+WHERE postal_code <> '' GROUP BY 1, 2, 3""")
 def postal_cities(d: Data) -> DataFrame:
-    rows = d.sites.withColumn("home", F.lit("FRANCE"))
-    return references.postal_cities(rows, "home", "CP_SITE", "NOM_CLI", "row_id").select("postal_code", "city", "ordinal")
+    return references.postal_cities(d.sites.filter("VILLE_SITE IS NOT NULL"), "VILLE_SITE", "CP_SITE", "NOM_SITE", "row_id")
 
 
 @query("postal_city_map", "SELECT CP_SITE AS postal_code, arg_max(NOM_CLI, row_id) AS city FROM @sites s WHERE CP_SITE IS NOT NULL GROUP BY 1")
