@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import geo
 from gristmill.functions.text import (
-    blank_to_null, extract_postal, extract_street_no, in_range, is_empty, is_filled, normalize_country, number_text,
-    parse_number, safe_str, to_number,
+    blank_to_null, extract_postal, extract_street_no, in_range, is_empty, is_filled, norm_key, normalize_country,
+    number_text, parse_number, safe_str, to_number,
 )
 from gristmill.operators.dedup import keep_first, site_key
 from gristmill.operators.joins import enrich
@@ -43,17 +43,25 @@ def active_contracts(contracts: DataFrame, status: str = "CDSITP") -> DataFrame:
     return contracts.filter(F.trim(F.col(status)) == "1")
 
 
-def join_active(sites: DataFrame, contracts: DataFrame, order: list[str], key: str = "NU_CNT", salt: int | None = None) -> DataFrame:
+def join_active(
+    sites: DataFrame, contracts: DataFrame, order: list[str], key: str = "NU_CNT", salt: int | None = None, normalise: bool = False
+) -> DataFrame:
     """Sites with an active contract, plus its management point; the first active row of a contract is used.
 
-    An empty contract table means that no filter applies (decided by a one-row probe).
+    An empty contract table means that no filter applies (decided by a one-row probe). ``normalise`` compares keys
+    without outer spaces and without a ``.0`` left by a float round trip. ``salt`` spreads a contract with very many
+    sites over several tasks when the contracts are too many to broadcast.
     """
     if contracts.isEmpty():
         return sites
     usable = active_contracts(contracts).filter(F.col("NOPOL").isNotNull())
+    left, on = sites, key
+    if normalise:
+        usable = usable.withColumn("NOPOL", norm_key(F.col("NOPOL")))
+        left, on = sites.withColumn("_key", norm_key(F.col(key))), "_key"
     first = keep_first(usable, ["NOPOL"], order).withColumn("_active", F.lit(True))
-    joined = enrich(sites, first, {key: "NOPOL"}, ["PTGST", "_active"], salt=salt)
-    return joined.filter("_active").drop("_active")
+    joined = enrich(left, first, {on: "NOPOL"}, ["PTGST", "_active"], salt=salt)
+    return joined.filter("_active").drop("_active", "_key")
 
 
 def active_sites(sites: DataFrame) -> DataFrame:

@@ -15,24 +15,24 @@ PERIOD = Period.of(199806)
 START, END, BACK, YEAR_END = "DATE '1998-01-01'", "DATE '1998-06-30'", "DATE '1997-07-01'", "DATE '1998-12-31'"
 
 SCOPE = movements.MainScope(
-    markets=["A"], segments=["s1", "s2"], natures=["R", "O", "T", "C"], excluded_statuses=["4"], excluded_risks=["X"],
+    markets=["A"], segments=["s1", "s2"], natures=["N1", "N2", "N3", "N4"], excluded_statuses=["4"], excluded_risks=["X"],
     excluded_intermediaries=["13", "27"], excluded_products=["5-LOW"],
 )
 CODES = movements.MovementCodes(
-    active="1", cancelled="3", book_natures=["R", "O"], site_nature="C", temporary_nature="T", excluded_nature="F", excluded_sub_segment="5",
-    replaced_link="RP", replacing_link="RE", silent_reason="R", silent_case="2R", long_term_risks=["QA"], offer_flag="O", coins_flag="1",
-    coins_lead=["3", "6"], coins_accepted=["4", "5"], coins_international=["8"],
+    active="1", cancelled="3", book_natures=["N1", "N2"], site_nature="N4", temporary_nature="N3", excluded_nature="N9", excluded_sub_segment="5",
+    replaced_link="SB", replacing_link="BS", silent_reason="V", silent_case="9Q", long_term_risks=["QA"], offer_flag="O", coins_flag="1",
+    coins_lead=["1", "2"], coins_accepted=["3", "7"], coins_international=["0"],
 )
 LEGACY = legacy.LegacyCodes(
     active_state="E", cancelled_state="R", closed_states=["X", "R"], temporary_duration="00", tacit_duration="01", single_durations=["00", "01"],
     migrated_site="MIG", temporary_products=["L00", "L01"], unflagged_products=["L00", "L01", "L02"], uncounted_products=["L02"],
-    month_products=["1-URGENT", "2-HIGH"], replaced_reasons=["HP"], screened_reasons=["SE"], screened_sub_segment="5",
+    month_products=["1-URGENT", "2-HIGH"], replaced_reasons=["K1"], screened_reasons=["K2"], screened_sub_segment="5",
     excluded_intermediaries=["3"], excluded_policies=["17"],
 )
 MIGRATED_SINCE = 199712
 
 _SCOPED = """(SELECT * FROM @policies p WHERE coalesce(risk_class <> 'X', true) AND status <> '4' AND intermediary NOT IN ('13', '27') AND product <> '5-LOW'
-  AND nature IN ('R', 'O', 'T', 'C') AND market = 'A')"""
+  AND nature IN ('N1', 'N2', 'N3', 'N4') AND market = 'A')"""
 
 
 def cents(c: Column) -> Column:
@@ -60,10 +60,10 @@ def _link(code: str, dated: bool) -> str:
 
 
 _FLAGS = f"""f0 AS (SELECT *, premium * (1 - coalesce(ceded_pct, 0) / 100) AS premium_net,
-    (sub_segment IS NULL OR sub_segment <> '5') AND coalesce(nature IN ('R', 'O'), false) AND ((status = '1' AND {_le('created', END)}) OR (status = '3' AND {_gt('cancelled', END)})) AS i,
+    (sub_segment IS NULL OR sub_segment <> '5') AND coalesce(nature IN ('N1', 'N2'), false) AND ((status = '1' AND {_le('created', END)}) OR (status = '3' AND {_gt('cancelled', END)})) AS i,
     ({_in('effective_new')} AND {_in('processed_new')}) OR {_in('created')} OR ((effective_new IS NULL OR year(effective_new) < 1998) AND {_in('processed_new')}) AS n,
-    (nature IS NULL OR nature <> 'C') AND status = '3' AND ({_in('cancelled')} OR ({_in('processed_cancel')} AND {_le('cancelled', END)})) AS g FROM base),
-  f1 AS (SELECT *, g AND {_link('RP', True)} AS rd, n AND {_link('RE', True)} AS rg FROM f0)"""
+    (nature IS NULL OR nature <> 'N4') AND status = '3' AND ({_in('cancelled')} OR ({_in('processed_cancel')} AND {_le('cancelled', END)})) AS g FROM base),
+  f1 AS (SELECT *, g AND {_link('SB', True)} AS rd, n AND {_link('BS', True)} AS rg FROM f0)"""
 _COUNTS = "CAST(i AS INT) AS n_in_force, CAST(n AND NOT rg AS INT) AS n_new, CAST(g AND NOT rd AS INT) AS n_cancelled, CAST(rd AS INT) AS n_replaced, CAST(rg AS INT) AS n_replacing"
 
 
@@ -88,16 +88,16 @@ def policy_scope(d: Data) -> DataFrame:
     return movements.scope_main(d.policies, SCOPE).select("policy_no", "status", "nature")
 
 
-@query("policy_coinsurance", """SELECT policy_no, CASE WHEN coins_flag = '1' THEN 1 ELSE 0 END AS is_coinsured, CASE WHEN coins_flag IS NULL OR coins_flag <> '1' THEN 'SANS COASSURANCE' WHEN coins_code IN ('3', '6') THEN 'APERITION'
-  WHEN coins_code IN ('4', '5') THEN 'COASS. ACCEPTEE' WHEN coins_code = '8' THEN 'ACCEPTATION INTERNATIONALE' ELSE 'AUTRES' END AS coinsurance,
+@query("policy_coinsurance", """SELECT policy_no, CASE WHEN coins_flag = '1' THEN 1 ELSE 0 END AS is_coinsured, CASE WHEN coins_flag IS NULL OR coins_flag <> '1' THEN 'SANS COASSURANCE' WHEN coins_code IN ('1', '2') THEN 'APERITION'
+  WHEN coins_code IN ('3', '7') THEN 'COASS. ACCEPTEE' WHEN coins_code = '0' THEN 'ACCEPTATION INTERNATIONALE' ELSE 'AUTRES' END AS coinsurance,
   CASE WHEN coins_flag = '1' THEN share_pct / 100 ELSE 1 END AS company_share FROM @policies p""")
 def policy_coinsurance(d: Data) -> DataFrame:
     return movements.coinsurance(d.policies, CODES).select("policy_no", "is_coinsured", "coinsurance", "company_share")
 
 
-@query("policy_revision", "SELECT policy_no, CASE WHEN revision_flag = '1' THEN 1 ELSE 0 END AS is_revisable, CASE revision_code WHEN '20' THEN 'manual' WHEN '22' THEN 'variable' WHEN '24' THEN 'at end' END AS revision_criterion FROM @policies p")
+@query("policy_revision", "SELECT policy_no, CASE WHEN revision_flag = '1' THEN 1 ELSE 0 END AS is_revisable, CASE revision_code WHEN '20' THEN 'manual' WHEN '41' THEN 'variable' WHEN '24' THEN 'at end' END AS revision_criterion FROM @policies p")
 def policy_revision(d: Data) -> DataFrame:
-    out = movements.revision(d.policies, {"20": "manual", "22": "variable", "24": "at end"}, "1")
+    out = movements.revision(d.policies, {"20": "manual", "41": "variable", "24": "at end"}, "1")
     return out.select("policy_no", "is_revisable", "revision_criterion")
 
 
@@ -108,15 +108,15 @@ def policy_movements(d: Data) -> DataFrame:
     return main_flags(d).select("policy_no", *names, "premium_in_force", "premium_new", "premium_cancelled")
 
 
-@query("policy_anticipated", f"""SELECT policy_no, CAST(({_gt('effective_new', END)} OR {_gt('created', END)}) AND NOT {_link('RE', False)} AS INT) AS n_new_anticipated,
-  CAST({_gt('cancelled', END)} AND NOT ({_link('RP', False)} OR cancel_reason = 'R' OR coalesce(cancel_case = '2R', false)) AS INT) AS n_cancelled_anticipated FROM @policies p""")
+@query("policy_anticipated", f"""SELECT policy_no, CAST(({_gt('effective_new', END)} OR {_gt('created', END)}) AND NOT {_link('BS', False)} AS INT) AS n_new_anticipated,
+  CAST({_gt('cancelled', END)} AND NOT ({_link('SB', False)} OR cancel_reason = 'V' OR coalesce(cancel_case = '9Q', false)) AS INT) AS n_cancelled_anticipated FROM @policies p""")
 def policy_anticipated(d: Data) -> DataFrame:
     return movements.anticipated(d.policies, PERIOD, CODES).select("policy_no", "n_new_anticipated", "n_cancelled_anticipated")
 
 
-_ELIGIBLE = f"""((nature IN ('R', 'O') AND ((status = '1' AND {_le('created', END)}) OR (status = '3' AND {_gt('cancelled', END)})))
+_ELIGIBLE = f"""((nature IN ('N1', 'N2') AND ((status = '1' AND {_le('created', END)}) OR (status = '3' AND {_gt('cancelled', END)})))
   OR (status IN ('1', '3') AND (({_le('created', END)} AND (cancelled IS NULL OR (cancelled >= {BACK} AND cancelled < {END}))) OR ({_le('created', END)} AND {_gt('cancelled', END)})
-    OR ({_gt('created', BACK)} AND {_le('created', END)} AND {_gt('cancelled', END)})) AND nature <> 'F'))"""
+    OR ({_gt('created', BACK)} AND {_le('created', END)} AND {_gt('cancelled', END)})) AND nature <> 'N9'))"""
 
 
 @query("policy_exposure", f"""SELECT policy_no, ytd AS exposure_ytd, CASE WHEN e THEN greatest(0, date_diff('day', greatest(created, {BACK} + 1), least(cancelled, {END})) + 1) / 364.0 ELSE 0 END AS exposure_rolling,
@@ -130,13 +130,13 @@ def policy_exposure(d: Data) -> DataFrame:
 
 
 @query("policy_premium_columns", """SELECT policy_no, premium * (1 - coalesce(ceded_pct, 0) / 100) AS premium_net,
-  CASE WHEN coins_flag = '1' AND coins_code IN ('4', '5') THEN premium * 100 / CASE WHEN share_pct IS NULL OR share_pct = 0 THEN 100 ELSE share_pct END ELSE premium END AS premium_full FROM @policies p""")
+  CASE WHEN coins_flag = '1' AND coins_code IN ('3', '7') THEN premium * 100 / CASE WHEN share_pct IS NULL OR share_pct = 0 THEN 100 ELSE share_pct END ELSE premium END AS premium_full FROM @policies p""")
 def policy_premium_columns(d: Data) -> DataFrame:
     out = movements.full_premium(movements.net_premium(movements.coinsurance(d.policies, CODES)), CODES)
     return out.select("policy_no", "premium_net", "premium_full")
 
 
-@query("policy_contract_flags", """SELECT policy_no, CASE WHEN duration > 1 AND risk_type = 'QA' THEN 1 ELSE 0 END AS is_long_term, CASE WHEN nature = 'T' THEN 1 ELSE 0 END AS is_temporary,
+@query("policy_contract_flags", """SELECT policy_no, CASE WHEN duration > 1 AND risk_type = 'QA' THEN 1 ELSE 0 END AS is_long_term, CASE WHEN nature = 'N3' THEN 1 ELSE 0 END AS is_temporary,
   CASE WHEN offer_flag = 'O' THEN 1 ELSE 0 END AS is_offer FROM @policies p""")
 def policy_contract_flags(d: Data) -> DataFrame:
     return movements.contract_flags(d.policies, CODES).select("policy_no", "is_long_term", "is_temporary", "is_offer")
@@ -155,7 +155,7 @@ def policy_turnover(d: Data) -> DataFrame:
 
 
 @query("policy_book_totals", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS} SELECT network, market, segment, sum(CAST(i AS INT)) AS n_in_force, sum(CAST(n AND NOT rg AS INT)) AS n_new,
-  sum(CAST(g AND NOT rd AS INT)) AS n_cancelled, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS premium_in_force FROM f1 WHERE nature <> 'T' GROUP BY 1, 2, 3""")
+  sum(CAST(g AND NOT rd AS INT)) AS n_cancelled, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS premium_in_force FROM f1 WHERE nature <> 'N3' GROUP BY 1, 2, 3""")
 def policy_book_totals(d: Data) -> DataFrame:
     out = movements.book_totals(main_flags(d), ["network", "market", "segment"], ["n_in_force", "n_new", "n_cancelled", "premium_in_force"])
     return out.withColumn("premium_in_force", F.round("premium_in_force"))
@@ -219,7 +219,7 @@ def legacy_exposure(d: Data) -> DataFrame:
 
 
 _L5 = f"""{_L4}, l5 AS (SELECT *, CASE WHEN product IN ('L00', 'L01', 'L02') THEN 0 ELSE CAST(alive AS INT) END AS n_in_force, CASE WHEN sub_segment = '5' THEN 0 ELSE CAST(is_new AS INT) END AS n_new,
-  CASE WHEN product IN ('L00', 'L01', 'L02') OR (coalesce(replaced_by, '') <> '' AND cancel_reason = 'HP') OR cancel_reason = 'SE' THEN 0 ELSE CAST(gone AS INT) END AS n_cancelled FROM l4)"""
+  CASE WHEN product IN ('L00', 'L01', 'L02') OR (coalesce(replaced_by, '') <> '' AND cancel_reason = 'K1') OR cancel_reason = 'K2' THEN 0 ELSE CAST(gone AS INT) END AS n_cancelled FROM l4)"""
 
 
 @query("legacy_adjusted", f"""WITH {_L5} SELECT policy, n_in_force, n_new, n_cancelled, CASE WHEN coalesce(trim(duration_code), '') NOT IN ('', '00', '01') THEN 1 ELSE 0 END AS is_long_term,
@@ -230,7 +230,7 @@ def legacy_adjusted(d: Data) -> DataFrame:
 
 # --- consolidation ---------------------------------------------------------------------------------------------
 
-_REASONS = {"LT": "A", "AP": "L", "NN": ""}
+_REASONS = {"Y1": "A", "Y2": "L", "Y3": ""}
 
 
 def both_channels(d: Data) -> DataFrame:
@@ -241,7 +241,7 @@ def both_channels(d: Data) -> DataFrame:
 
 @query("book_consolidated", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS}, {_L5} SELECT 'main' AS channel, policy_no, network, cancel_reason, CAST(substr(anniversary_mmdd, 1, 2) AS INT) AS due_month, CAST(substr(anniversary_mmdd, 3, 2) AS INT) AS due_day,
   CAST(i AS INT) AS n_in_force, CAST(n AND NOT rg AS INT) AS n_new, CAST(rd AS INT) AS n_replaced FROM f1
-UNION ALL SELECT 'legacy', policy, '3', CASE cancel_origin WHEN 'LT' THEN 'A' WHEN 'AP' THEN 'L' WHEN 'NN' THEN '' ELSE 'X' END, month(anniversary), day(anniversary), n_in_force, n_new, 0 FROM l5""")
+UNION ALL SELECT 'legacy', policy, '3', CASE cancel_origin WHEN 'Y1' THEN 'A' WHEN 'Y2' THEN 'L' WHEN 'Y3' THEN '' ELSE 'X' END, month(anniversary), day(anniversary), n_in_force, n_new, 0 FROM l5""")
 def book_consolidated(d: Data) -> DataFrame:
     return both_channels(d).select("channel", "policy_no", "network", "cancel_reason", "due_month", "due_day", "n_in_force", "n_new", "n_replaced")
 
@@ -289,18 +289,18 @@ def book_client_details(d: Data) -> DataFrame:
     return consolidate.client_details(d.policies, first, third, ["company_no"]).select("policy_no", "company_no")
 
 
-@query("book_destination", """SELECT policy_no, CASE WHEN product = '2-HIGH' AND coalesce(known, '') = '' THEN CASE WHEN contains(upper(destination_text), 'MAISON') OR contains(upper(work_text), 'VILLA') OR destination_text IN ('22') THEN 'Habitation' ELSE 'Autres' END ELSE known END AS destination
+@query("book_destination", """SELECT policy_no, CASE WHEN product = '2-HIGH' AND coalesce(known, '') = '' THEN CASE WHEN contains(upper(destination_text), 'HOUSE') OR contains(upper(work_text), 'COTTAGE') OR destination_text IN ('41') THEN 'Home' ELSE 'Other' END ELSE known END AS destination
 FROM @policies p LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_mktsegment AS known FROM customer WHERE c_custkey % 3 = 0) c ON k = policy_no""")
 def book_destination(d: Data) -> DataFrame:
     known = d.customer.filter("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("policy_no"), F.col("c_mktsegment").alias("destination"))
     rows = d.policies.withColumn("segment_2", F.col("product"))
     out = consolidate.destination(
-        rows, known, "2-HIGH", {"destination_text": ["MAISON"], "work_text": ["VILLA"]}, ("destination_text", ["22"]), "Habitation", "Autres"
+        rows, known, "2-HIGH", {"destination_text": ["HOUSE"], "work_text": ["COTTAGE"]}, ("destination_text", ["41"]), "Home", "Other"
     )
     return out.select("policy_no", "destination")
 
 
-DESTINATIONS = [Rule("contains", "MAISON", "HOUSE"), Rule("contains", "BUREAU", "OFFICE"), Rule("regex", "ENT+R", "STORE"), Rule("codes", ("22",), "HOUSE")]
+DESTINATIONS = [Rule("contains", "HOUSE", "HOUSE"), Rule("contains", "DESK", "OFFICE"), Rule("regex", "DEP+OT", "STORE"), Rule("codes", ("41",), "HOUSE")]
 _GRADES = "SELECT n_nationkey, period, {cast_key} AS sector_code, " + ", ".join(f"(n_nationkey + {i} + period) % 7 AS {h}" for i, h in enumerate(consolidate.HAZARDS))
 
 
@@ -314,10 +314,10 @@ def _grades(d: Data) -> DataFrame:
 
 @query("book_activity_codes", """WITH c0 AS (SELECT p.*, CASE WHEN market = 'A' THEN coalesce(a.v, b.v) END AS s0, CASE WHEN market = 'A' THEN CASE WHEN a.v IS NOT NULL THEN 'NATIVE' WHEN b.v IS NOT NULL THEN 'CLIENT' END END AS o0
     FROM @policies p LEFT JOIN (SELECT CAST(n_nationkey AS STRING) AS k, CAST(n_regionkey AS STRING) AS v FROM nation) a ON a.k = p.activity LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, CAST(c_nationkey AS STRING) AS v FROM customer WHERE c_custkey % 3 = 0) b ON b.k = p.client_no),
-  c1 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'C' THEN CASE WHEN product = '3-MEDIUM' AND s0 IS NOT NULL THEN NULL WHEN product = '1-URGENT' THEN 'SALE' WHEN contains(upper(destination_text), 'MAISON') THEN 'HOUSE'
-      WHEN contains(upper(destination_text), 'BUREAU') THEN 'OFFICE' WHEN regexp_matches(upper(destination_text), 'ENT+R') THEN 'STORE' WHEN destination_text = '22' THEN 'HOUSE' WHEN s0 IS NULL THEN 'OTHER' END END AS dc FROM c0),
-  c2 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'R' AND CAST(activity AS INT) % 2 = 0 AND CAST(activity AS INT) < 25 THEN CAST((CAST(activity AS INT) * 3) % 25 AS STRING) END AS rc,
-      CASE WHEN market = 'A' AND nature = 'C' THEN CASE dc WHEN 'HOUSE' THEN '11' WHEN 'OFFICE' THEN '12' WHEN 'STORE' THEN '13' WHEN 'SALE' THEN '14' END END AS sc FROM c1)
+  c1 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N4' THEN CASE WHEN product = '3-MEDIUM' AND s0 IS NOT NULL THEN NULL WHEN product = '1-URGENT' THEN 'SALE' WHEN contains(upper(destination_text), 'HOUSE') THEN 'HOUSE'
+      WHEN contains(upper(destination_text), 'DESK') THEN 'OFFICE' WHEN regexp_matches(upper(destination_text), 'DEP+OT') THEN 'STORE' WHEN destination_text = '41' THEN 'HOUSE' WHEN s0 IS NULL THEN 'OTHER' END END AS dc FROM c0),
+  c2 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N1' AND CAST(activity AS INT) % 2 = 0 AND CAST(activity AS INT) < 25 THEN CAST((CAST(activity AS INT) * 3) % 25 AS STRING) END AS rc,
+      CASE WHEN market = 'A' AND nature = 'N4' THEN CASE dc WHEN 'HOUSE' THEN '11' WHEN 'OFFICE' THEN '12' WHEN 'STORE' THEN '13' WHEN 'SALE' THEN '14' END END AS sc FROM c1)
 SELECT policy_no, coalesce(rc, sc, s0) AS sector_code, CASE WHEN rc IS NOT NULL THEN 'ACTIVITY' WHEN sc IS NOT NULL THEN 'DESTINATION' ELSE o0 END AS sector_origin, dc AS destination_class,
   CASE WHEN rc IS NOT NULL THEN 'i' || activity WHEN sc IS NOT NULL THEN 'd' || dc ELSE product END AS industry_code, (n_nationkey + 199801) % 7 AS hazard_fire, (n_nationkey + 6 + 199801) % 7 AS hazard_damage
 FROM c2 LEFT JOIN nation ON CAST(n_nationkey AS STRING) = coalesce(rc, sc, s0) AND 199801 % 5 <> n_nationkey % 5""")
@@ -332,13 +332,14 @@ def book_activity_codes(d: Data) -> DataFrame:
     site = d.region.filter("r_regionkey = 0").select(F.inline(kinds)).withColumn("industry_code", F.concat(F.lit("d"), "destination_class"))
     out = consolidate.activity_codes(
         d.policies.withColumn("industry_code", F.col("product")), running, site, [(native, {"activity": "k"}, "v", "NATIVE"), (client, {"client_no": "k"}, "v", "CLIENT")],
-        _grades(d), PERIOD, ["A"], "R", "C", DESTINATIONS, "OTHER", {"1-URGENT": "SALE"}, ["3-MEDIUM"],
+        _grades(d), PERIOD, ["A"], "N1", "N4", DESTINATIONS, "OTHER", {"1-URGENT": "SALE"}, ["3-MEDIUM"],
     )
     return out.select("policy_no", "sector_code", "sector_origin", "destination_class", "industry_code", "hazard_fire", "hazard_damage")
 
 
 # --- capital ---------------------------------------------------------------------------------------------------
 
+SLOTS = 7
 _LIMIT, _KEPT = ["GLOBAL LIMIT"], ["MAX LOSS KEPT"]
 MEASURES = [
     capital.Measure("limit_all", _LIMIT, amount="indexed"), capital.Measure("loss_kept", _KEPT, amount="indexed"),
@@ -348,30 +349,31 @@ MEASURES = [
 ]
 
 
+def slots(d: Data) -> DataFrame:
+    """Policies with their repeated groups. Each slot is a conditional aggregate, so a group array has a fixed size and
+    merges on the map side however many lines a policy has."""
+    fields = ("label", "amount", "nature", "coef")
+    wide = d.group_rows.groupBy("policy_no").agg(*[
+        F.max(F.when(F.col("pos") == i, F.col(c))).alias(f"{c}{i}") for i in range(1, SLOTS + 1) for c in fields
+    ])
+    return wide.select("policy_no", capital.groups_column(*fields, n=SLOTS).alias("groups"))
+
+
 def with_groups(d: Data) -> DataFrame:
-    """Policies with the array of their repeated groups; an order has at most seven lines."""
-    rows = d.group_rows
-    groups = rows.groupBy("policy_no").agg(F.array_sort(F.collect_list(F.struct("pos", "label", "amount", "nature", "coef"))).alias("groups"))
     base = d.policies.select("policy_no", "share_pct", "anniversary_mmdd", F.col("created").alias("effect_date"))
-    return base.join(groups, "policy_no")
+    return base.join(slots(d), "policy_no")
 
 
 @query("capital_last_group", """SELECT policy_no, coalesce(CASE WHEN n1 > 0 THEN v1 ELSE 0 END, -1) AS limit_all, coalesce(CASE WHEN n2 > 0 THEN v2 ELSE 0 END, -1) AS loss_kept, coalesce(CASE WHEN n3 > 0 THEN v3 ELSE 0 END, -1) AS direct_risk
-FROM (SELECT policy_no, count(*) FILTER (contains(label, 'GLOBAL LIMIT')) AS n1, last(amount ORDER BY pos, amount NULLS FIRST) FILTER (contains(label, 'GLOBAL LIMIT')) AS v1, count(*) FILTER (label = 'MAX LOSS KEPT') AS n2,
-  last(amount ORDER BY pos, amount NULLS FIRST) FILTER (label = 'MAX LOSS KEPT') AS v2, count(*) FILTER (label = 'DIRECT RISK') AS n3, last(amount ORDER BY pos, amount NULLS FIRST) FILTER (label = 'DIRECT RISK') AS v3
+FROM (SELECT policy_no, count(*) FILTER (contains(label, 'GLOBAL LIMIT')) AS n1, last(amount ORDER BY pos) FILTER (contains(label, 'GLOBAL LIMIT')) AS v1, count(*) FILTER (label = 'MAX LOSS KEPT') AS n2,
+  last(amount ORDER BY pos) FILTER (label = 'MAX LOSS KEPT') AS v2, count(*) FILTER (label = 'DIRECT RISK') AS n3, last(amount ORDER BY pos) FILTER (label = 'DIRECT RISK') AS v3
   FROM @group_rows g GROUP BY 1) t""")
 def capital_last_group(d: Data) -> DataFrame:
     measures = [capital.Measure(m.name, m.labels, not_exactly=m.not_exactly) for m in MEASURES[:3]]
-    out = capital.capital_last(_numbered(d), measures)
+    out = capital.capital_last(slots(d), measures)
     return out.select("policy_no", *[F.coalesce(m.name, F.lit(-1.0)).alias(m.name) for m in measures])
 
 
-def _numbered(d: Data) -> DataFrame:
-    """Groups in position order; lines of an order may share a number, then the amount decides."""
-    rows = F.struct("pos", "amount", "label", "nature", "coef")
-    return d.group_rows.groupBy("policy_no").agg(F.array_sort(F.collect_list(rows)).alias("groups"))
-
-
 _INDEXED = """ix AS (SELECT g.policy_no, g.pos, g.label, g.amount, g.share_pct, g.amount * coalesce(CASE WHEN early THEN 1 ELSE
     CASE WHEN starts_with(coalesce(g.nature, ''), '0') THEN n.index_value ELSE 1 END / nullif(CASE WHEN starts_with(coalesce(g.nature, ''), '0') THEN t.index_value ELSE 1 END, 0) END, 1) AS indexed
   FROM (SELECT g.*, p.share_pct, p.created, p.ann, coalesce(p.ann < p.created, false) OR (p.ann IS NULL AND p.created IS NOT NULL) AS early FROM @group_rows g JOIN (SELECT *, CASE WHEN d > DATE '1998-06-30' THEN try_cast('1997-' || md AS DATE) ELSE d END AS ann
@@ -379,12 +381,11 @@ _INDEXED = """ix AS (SELECT g.policy_no, g.pos, g.label, g.amount, g.share_pct,
   LEFT JOIN @index_values n ON n.index_date = ann AND n.nature = g.nature LEFT JOIN @index_values t ON t.index_date = created AND t.nature = g.nature)"""
 
 
-@query("capital_indexed_groups", f"WITH {_INDEXED} SELECT policy_no, pos, CAST(floor(sum(indexed) * 100 + 0.3) AS BIGINT) AS indexed, count(indexed) AS n FROM ix GROUP BY 1, 2")
+@query("capital_indexed_groups", f"WITH {_INDEXED} SELECT policy_no, pos, CAST(floor(indexed * 100 + 0.3) AS BIGINT) AS indexed FROM ix WHERE indexed IS NOT NULL")
 def capital_indexed_groups(d: Data) -> DataFrame:
     out = capital.index_amounts(with_groups(d), d.index_values, PERIOD.last_day)
-    rows = out.select("policy_no", F.explode("groups").alias("g"))
-    summed = rows.groupBy("policy_no", F.col("g.pos").alias("pos")).agg(F.sum("g.indexed").alias("indexed"), F.count("g.indexed").alias("n"))
-    return summed.withColumn("indexed", cents(F.col("indexed")))
+    rows = out.select("policy_no", F.inline("groups")).filter("indexed IS NOT NULL")
+    return rows.select("policy_no", "pos", cents(F.col("indexed")).alias("indexed"))
 
 
 @query("capital_largest_group", f"""WITH {_INDEXED}, m AS (SELECT policy_no, any_value(CASE WHEN share_pct IS NULL OR share_pct = 0 THEN 100 ELSE share_pct END) AS sh,
@@ -504,7 +505,7 @@ _CONTROL = """SELECT CASE o_orderkey % 2 WHEN 0 THEN '1' ELSE '3' END AS network
   CAST(1000 AS DOUBLE) AS premium_new_ref, CAST(2000 AS DOUBLE) AS premium_cancelled_ref FROM {orders} GROUP BY 1, 2, 3"""
 
 
-@query("control_movement_gaps", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS}, ct AS (SELECT network, market, segment, sum(CAST(i AS INT)) AS a, sum(CAST(n AND NOT rg AS INT)) AS b, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS c FROM f1 WHERE nature <> 'T' GROUP BY 1, 2, 3),
+@query("control_movement_gaps", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS}, ct AS (SELECT network, market, segment, sum(CAST(i AS INT)) AS a, sum(CAST(n AND NOT rg AS INT)) AS b, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS c FROM f1 WHERE nature <> 'N3' GROUP BY 1, 2, 3),
   rf AS ({_CONTROL.format(orders='orders')})
 SELECT rf.network, rf.market, rf.segment, a - n_in_force_ref AS gap_n_in_force, b - n_new_ref AS gap_n_new, c - premium_in_force_ref AS gap_premium_in_force, round(c / nullif(a, 0)) - round(premium_in_force_ref / nullif(n_in_force_ref, 0)) AS gap_average_in_force,
   round(premium_new_ref / nullif(n_new_ref, 0)) AS average_new_ref FROM rf LEFT JOIN ct ON ct.network = rf.network AND ct.market = rf.market AND ct.segment = rf.segment""")
@@ -566,10 +567,10 @@ def segmentation_on_book(d: Data) -> DataFrame:
     return out.select("policy_no", "segment_2", "product_type_2", "upper_mid")
 
 
-_GUARANTEES = [("1", "01 02"), ("2", "04"), ("3", "08 09")]
+_GUARANTEES = [("1", "a1 a2"), ("2", "a4"), ("3", "a8 a9")]
 
 
-@query("segmentation_market_codes", """SELECT policy, CASE WHEN a + b + c = 1 THEN CASE WHEN a = 1 THEN '01 02' WHEN b = 1 THEN '04' ELSE '08 09' END END AS market_from_guarantee FROM (SELECT CAST(l_orderkey AS STRING) AS policy,
+@query("segmentation_market_codes", """SELECT policy, CASE WHEN a + b + c = 1 THEN CASE WHEN a = 1 THEN 'a1 a2' WHEN b = 1 THEN 'a4' ELSE 'a8 a9' END END AS market_from_guarantee FROM (SELECT CAST(l_orderkey AS STRING) AS policy,
   max(CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END) AS a, max(CASE WHEN l_linenumber = 2 THEN 1 ELSE 0 END) AS b, max(CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END) AS c FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linenumber <= 3 GROUP BY 1) t""")
 def segmentation_market_codes(d: Data) -> DataFrame:
     lines = d.lineitem.select(F.col("l_orderkey").cast("string").alias("policy"), F.col("l_linenumber").cast("string").alias("guarantee"), F.col("l_returnflag").alias("branch"))
@@ -578,20 +579,20 @@ def segmentation_market_codes(d: Data) -> DataFrame:
 
 ACTIVITY = segmentation.ActivityCodes(
     rules=[
-        MatchRule("CRAFT", {"product": ["1-URGENT", "2-HIGH"], "_market": ["01"]}), MatchRule("FIRM", {"product": ["1-URGENT", "2-HIGH"], "_market": ["02", "03", "04"]}),
-        MatchRule("FIRM", {"product": ["1-URGENT", "2-HIGH"], "_market": ["<blank>"], "formula": ["DA", "DB"]}), MatchRule("DEALER", {"product": ["2-HIGH"], "_market": ["07"]}),
+        MatchRule("CRAFT", {"product": ["1-URGENT", "2-HIGH"], "_market": ["a1"]}), MatchRule("FIRM", {"product": ["1-URGENT", "2-HIGH"], "_market": ["a2", "a3", "a4"]}),
+        MatchRule("FIRM", {"product": ["1-URGENT", "2-HIGH"], "_market": ["<blank>"], "formula": ["f1", "f2"]}), MatchRule("DEALER", {"product": ["2-HIGH"], "_market": ["a7"]}),
     ],
-    nature_product="3-MEDIUM", nature_labels={"01": "GROUP", "02": "SINGLE"}, switched_product="1-URGENT", switched_markets=["07"], switched_to="2-HIGH", switched_label="DEALER",
+    nature_product="3-MEDIUM", nature_labels={"c1": "GROUP", "c2": "SINGLE"}, switched_product="1-URGENT", switched_markets=["a7"], switched_to="2-HIGH", switched_label="DEALER",
 )
 TYPES = segmentation.TypeCodes(
-    unusable_activities=["GROUP"], defaults={"works": "TRC", "damage": "DO"}, fallback="Other", forced_products={"5-LOW": "Firms"}, ten_year_label="ten years",
+    unusable_activities=["GROUP"], defaults={"works": "T1", "damage": "D1"}, fallback="Other", forced_products={"5-LOW": "Firms"}, ten_year_label="ten years",
     ten_year_type="Craft", ten_year_sub_segment="7",
 )
-_LINES = """SELECT CAST(o_orderkey AS STRING) AS policy, o_orderkey AS line_no, o_orderpriority AS product, CASE o_orderkey % 5 WHEN 0 THEN ' ' WHEN 1 THEN '01' WHEN 2 THEN '04' WHEN 3 THEN '07' END AS market_code,
-  CASE o_orderkey % 3 WHEN 0 THEN 'DA' WHEN 1 THEN 'DD' END AS formula, CASE o_orderkey % 4 WHEN 0 THEN '01' WHEN 1 THEN '02' END AS nature_code FROM {orders}"""
-_ACTIVE = f"""(SELECT policy, CASE WHEN product = '3-MEDIUM' AND nature_code = '01' THEN 'GROUP' WHEN product = '3-MEDIUM' AND nature_code = '02' THEN 'SINGLE' WHEN product = '1-URGENT' AND m = '07' THEN 'DEALER' WHEN product = '2-HIGH' AND m = '07' THEN 'DEALER'
-  WHEN product IN ('1-URGENT', '2-HIGH') AND m = '' AND formula IN ('DA', 'DB') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m IN ('02', '03', '04') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m = '01' THEN 'CRAFT' END AS activity,
-  CASE WHEN product = '1-URGENT' AND m = '07' THEN '2-HIGH' ELSE product END AS product FROM (SELECT *, coalesce(trim(market_code), '') AS m FROM ({_LINES.format(orders='orders')}) l) t)"""
+_LINES = """SELECT CAST(o_orderkey AS STRING) AS policy, o_orderkey AS line_no, o_orderpriority AS product, CASE o_orderkey % 5 WHEN 0 THEN ' ' WHEN 1 THEN 'a1' WHEN 2 THEN 'a4' WHEN 3 THEN 'a7' END AS market_code,
+  CASE o_orderkey % 3 WHEN 0 THEN 'f1' WHEN 1 THEN 'f4' END AS formula, CASE o_orderkey % 4 WHEN 0 THEN 'c1' WHEN 1 THEN 'c2' END AS nature_code FROM {orders}"""
+_ACTIVE = f"""(SELECT policy, CASE WHEN product = '3-MEDIUM' AND nature_code = 'c1' THEN 'GROUP' WHEN product = '3-MEDIUM' AND nature_code = 'c2' THEN 'SINGLE' WHEN product = '1-URGENT' AND m = 'a7' THEN 'DEALER' WHEN product = '2-HIGH' AND m = 'a7' THEN 'DEALER'
+  WHEN product IN ('1-URGENT', '2-HIGH') AND m = '' AND formula IN ('f1', 'f2') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m IN ('a2', 'a3', 'a4') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m = 'a1' THEN 'CRAFT' END AS activity,
+  CASE WHEN product = '1-URGENT' AND m = 'a7' THEN '2-HIGH' ELSE product END AS product FROM (SELECT *, coalesce(trim(market_code), '') AS m FROM ({_LINES.format(orders='orders')}) l) t)"""
 
 
 @query("segmentation_activity", f"SELECT policy, activity, product FROM {_ACTIVE} a")
@@ -605,29 +606,29 @@ def _types(d: Data) -> DataFrame:
 
 
 _LABEL = "CASE CAST(substr(policy, length(policy), 1) AS INT) % 4 WHEN 0 THEN 'works' WHEN 1 THEN 'damage' WHEN 2 THEN 'ten years' ELSE 'none' END"
-_TYPED = f"""(SELECT *, CASE WHEN product = '5-LOW' THEN 'Firms' WHEN activity = 'CRAFT' THEN 'Craft' WHEN activity = 'FIRM' THEN 'Firms' WHEN activity = 'SINGLE' THEN 'Singles' WHEN label = 'works' THEN 'TRC' WHEN label = 'damage' THEN 'DO' ELSE 'Other' END AS product_type
+_TYPED = f"""(SELECT *, CASE WHEN product = '5-LOW' THEN 'Firms' WHEN activity = 'CRAFT' THEN 'Craft' WHEN activity = 'FIRM' THEN 'Firms' WHEN activity = 'SINGLE' THEN 'Singles' WHEN label = 'works' THEN 'T1' WHEN label = 'damage' THEN 'D1' ELSE 'Other' END AS product_type
   FROM (SELECT *, {_LABEL} AS label FROM {_ACTIVE} a) t)"""
 
 
 @query("segmentation_product_type", f"""SELECT policy, product_type, CASE WHEN label = 'ten years' AND product_type = 'Craft' THEN '7' ELSE '1' END AS sub_segment,
-  CASE WHEN product_type = 'Craft' THEN 'Craft' WHEN product_type IN ('TRC', 'DO') THEN 'Sites' ELSE 'Renewable' END AS family FROM {_TYPED} t""")
+  CASE WHEN product_type = 'Craft' THEN 'Craft' WHEN product_type IN ('T1', 'D1') THEN 'Sites' ELSE 'Renewable' END AS family FROM {_TYPED} t""")
 def segmentation_product_type(d: Data) -> DataFrame:
     active = segmentation.activity(d.sql(_LINES), ACTIVITY)
     digit = F.substring("policy", -1, 1).cast("int") % 4
     label = F.when(digit == 0, "works").when(digit == 1, "damage").when(digit == 2, "ten years").otherwise("none")
     rows = active.withColumns({"sub_segment_label": label, "sub_segment": F.lit("1"), "market_text": F.lit("A_x")})
     typed = segmentation.product_type(rows, _types(d), TYPES)
-    out = segmentation.product_family(typed, "A_x", {"Craft": ["Craft"], "Sites": ["TRC", "DO"]}, "Renewable")
+    out = segmentation.product_family(typed, "A_x", {"Craft": ["Craft"], "Sites": ["T1", "D1"]}, "Renewable")
     return out.select("policy", "product_type", "sub_segment", "family")
 
 
 @query("segmentation_legacy", f"""WITH lk AS (SELECT DISTINCT o_orderpriority AS product, 'g' || substr(o_orderpriority, 1, 1) AS segment, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'ten years' WHEN '4' THEN 'works' ELSE 'none' END AS label, substr(o_orderpriority, 3, 1) AS sub FROM orders WHERE o_orderpriority <> '3-MEDIUM'),
-  mk AS (SELECT policy, CASE WHEN a + b + c = 1 THEN CASE WHEN a = 1 THEN '01 02' WHEN b = 1 THEN '04' ELSE '08 09' END END AS mg FROM (SELECT CAST(l_orderkey AS STRING) AS policy,
+  mk AS (SELECT policy, CASE WHEN a + b + c = 1 THEN CASE WHEN a = 1 THEN 'a1 a2' WHEN b = 1 THEN 'a4' ELSE 'a8 a9' END END AS mg FROM (SELECT CAST(l_orderkey AS STRING) AS policy,
     max(CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END) AS a, max(CASE WHEN l_linenumber = 2 THEN 1 ELSE 0 END) AS b, max(CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END) AS c FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linenumber <= 3 GROUP BY 1) t),
   ln AS (SELECT l.policy, l.product, formula, coalesce(nullif(trim(market_code), ''), mg, '') AS m FROM ({_LINES.format(orders='orders')}) l JOIN lk ON lk.product = l.product LEFT JOIN mk ON mk.policy = l.policy WHERE line_no % 3 <> 2),
-  ac AS (SELECT policy, CASE WHEN product = '1-URGENT' AND m = '07' THEN 'DEALER' WHEN product = '2-HIGH' AND m = '07' THEN 'DEALER' WHEN product IN ('1-URGENT', '2-HIGH') AND m = '' AND formula IN ('DA', 'DB') THEN 'FIRM'
-    WHEN product IN ('1-URGENT', '2-HIGH') AND m IN ('02', '03', '04') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m = '01' THEN 'CRAFT' END AS activity FROM ln),
-  ty AS (SELECT CAST(o_orderkey AS STRING) AS policy, o_orderpriority AS product, lk.segment, label, sub, CASE WHEN o_orderpriority = '5-LOW' THEN 'Firms' WHEN activity = 'CRAFT' THEN 'Craft' WHEN activity = 'FIRM' THEN 'Firms' WHEN label = 'works' THEN 'TRC' ELSE 'Other' END AS product_type
+  ac AS (SELECT policy, CASE WHEN product = '1-URGENT' AND m = 'a7' THEN 'DEALER' WHEN product = '2-HIGH' AND m = 'a7' THEN 'DEALER' WHEN product IN ('1-URGENT', '2-HIGH') AND m = '' AND formula IN ('f1', 'f2') THEN 'FIRM'
+    WHEN product IN ('1-URGENT', '2-HIGH') AND m IN ('a2', 'a3', 'a4') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m = 'a1' THEN 'CRAFT' END AS activity FROM ln),
+  ty AS (SELECT CAST(o_orderkey AS STRING) AS policy, o_orderpriority AS product, lk.segment, label, sub, CASE WHEN o_orderpriority = '5-LOW' THEN 'Firms' WHEN activity = 'CRAFT' THEN 'Craft' WHEN activity = 'FIRM' THEN 'Firms' WHEN label = 'works' THEN 'T1' ELSE 'Other' END AS product_type
     FROM orders JOIN lk ON lk.product = o_orderpriority LEFT JOIN ac ON ac.policy = CAST(o_orderkey AS STRING))
 SELECT policy, product, segment, CASE WHEN label = 'ten years' AND product_type = 'Craft' THEN '7' ELSE sub END AS sub_segment, product_type FROM ty""")
 def segmentation_legacy(d: Data) -> DataFrame:

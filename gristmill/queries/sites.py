@@ -454,6 +454,46 @@ def city_name_check(d: Data) -> DataFrame:
     return checks.select("postal_code", "city", "verdict", "best_city", F.round("score", 4).alias("score"))
 
 
+@query("city_name_exact", """SELECT p_brand AS postal_code, city, CASE WHEN p_brand NOT IN (SELECT p_brand FROM part WHERE p_size % 3 = 0) THEN 'unknown_postal'
+  WHEN (p_brand, city) IN (SELECT (p_brand, lower(p_name)) FROM part WHERE p_size % 3 = 0) THEN 'match' ELSE 'differs' END AS verdict
+FROM (SELECT DISTINCT p_brand, lower(p_name) || CASE WHEN p_partkey % 2 = 0 THEN 's' ELSE '' END AS city FROM part WHERE p_size % 3 <> 0) t""")
+def city_name_exact(d: Data) -> DataFrame:
+    """The part of the city check that SQL can state: known code, exact name."""
+    verdict = F.when(F.col("verdict").isin("unknown_postal", "match"), F.col("verdict")).otherwise("differs")
+    return city_name_check(d).select("postal_code", "city", verdict.alias("verdict"))
+
+
+@query("geojson_boxes", """SELECT region_code, round(min(x), 4) AS lon_min, round(min(y), 4) AS lat_min, round(max(x + 1), 4) AS lon_max, round(max(y + 2.5), 4) AS lat_max
+FROM (SELECT c_mktsegment AS region_code, CAST(c_custkey % 50 AS DOUBLE) AS x, CAST(c_nationkey AS DOUBLE) AS y, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey DESC) AS rn FROM customer) t WHERE rn = 1 GROUP BY 1""")
+def geojson_boxes(d: Data) -> DataFrame:
+    """Rectangles written as GeoJSON, one feature per customer; the last feature of a code is the one that counts."""
+    x, y = F.col("c_custkey") % 50, F.col("c_nationkey")
+    ring = F.format_string("[[[%d, %d], [%d, %d], [%d, %d.5], [%d, %d]]]", x, y, x + 1, y, x + 1, y + 2, x, y)
+    multi = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("["), ring, F.lit("]"))).otherwise(ring)
+    kind = F.when(F.col("c_custkey") % 2 == 0, "MultiPolygon").otherwise("Polygon")
+    features = d.customer.select(
+        F.to_json(F.struct(F.col("c_mktsegment").alias("code"))).alias("properties"),
+        F.concat(F.lit('{"type": "'), kind, F.lit('", "coordinates": '), multi, F.lit("}")).alias("geometry"),
+    )
+    return references.region_bboxes(features).drop("name")
+
+
+@query("json_boxes", """SELECT n_regionkey AS area, n_name AS country, CAST(n_nationkey AS DOUBLE) AS lon_min, CAST(0 AS DOUBLE) AS lat_min, CAST(n_nationkey + 10 AS DOUBLE) AS lon_max, CAST(5 AS DOUBLE) AS lat_max FROM nation""")
+def json_boxes(d: Data) -> DataFrame:
+    """Boxes written as JSON, bare or inside an object."""
+    bare = F.format_string("[%d, 0, %d, 5]", F.col("n_nationkey"), F.col("n_nationkey") + 10)
+    value = F.when(F.col("n_nationkey") % 2 == 0, bare).otherwise(F.concat(F.lit('{"name": "x", "bbox": '), bare, F.lit("}")))
+    texts = d.nation.select(F.col("n_regionkey").alias("area"), F.concat(F.lit('{"'), "n_name", F.lit('": '), value, F.lit("}")).alias("text"))
+    return references.boxes_from_json(texts, "text", ["area"], "country")
+
+
+@query("sites_active_normalised", f"""WITH c AS (SELECT NOPOL AS k, PTGST, row_number() OVER (PARTITION BY NOPOL ORDER BY ordinal) AS rn FROM @contracts c WHERE trim(CDSITP) = '1')
+SELECT row_id, PTGST FROM @sites s JOIN c ON k = NU_CNT WHERE rn = 1""")
+def sites_active_normalised(d: Data) -> DataFrame:
+    noisy = d.contracts.withColumn("NOPOL", F.concat(F.lit(" "), "NOPOL", F.when(F.col("ordinal") % 2 == 0, ".0").otherwise("")))
+    return site_rules.join_active(d.sites, noisy, ["ordinal"], normalise=True).select("row_id", "PTGST")
+
+
 @query("postal_cities", f"""SELECT VILLE_SITE AS country, postal_code, lower(NOM_SITE) AS city, min(row_id) AS ordinal FROM (SELECT *, CASE WHEN length(p) < w AND regexp_full_match(p, '\\d+') THEN lpad(p, CAST(w AS INT), '0') ELSE p END AS postal_code
   FROM (SELECT *, upper(replace(replace(coalesce({_t('CP_SITE')}, ''), ' ', ''), '-', '')) AS p, max(CASE WHEN regexp_full_match({_t('CP_SITE')}, '\\d+') THEN length({_t('CP_SITE')}) END) OVER (PARTITION BY VILLE_SITE) AS w FROM @sites s WHERE VILLE_SITE IS NOT NULL) t) u
 WHERE postal_code <> '' GROUP BY 1, 2, 3""")

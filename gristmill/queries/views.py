@@ -66,7 +66,7 @@ SELECT CAST(o_orderkey AS STRING) AS policy_no, o_orderkey AS order_key, o_order
   CASE o_orderkey % 2 WHEN 0 THEN '1' ELSE '3' END AS network,
   CASE o_custkey % 5 WHEN 0 THEN 'B' ELSE 'A' END AS market, CASE o_custkey % 4 WHEN 0 THEN 's2' ELSE 's1' END AS segment,
   CASE o_orderkey % 8 WHEN 7 THEN NULL ELSE CAST(o_orderkey % 8 AS STRING) END AS sub_segment,
-  CASE o_orderkey % 6 WHEN 0 THEN 'R' WHEN 1 THEN 'O' WHEN 2 THEN 'T' WHEN 3 THEN 'C' WHEN 4 THEN 'R' ELSE 'F' END AS nature,
+  CASE o_orderkey % 6 WHEN 0 THEN 'N1' WHEN 1 THEN 'N2' WHEN 2 THEN 'N3' WHEN 3 THEN 'N4' WHEN 4 THEN 'N1' ELSE 'N9' END AS nature,
   CASE o_orderstatus WHEN 'O' THEN '1' WHEN 'F' THEN '3' ELSE '4' END AS status,
   CASE o_orderkey % 31 WHEN 0 THEN 'X' WHEN 1 THEN NULL ELSE 'N' END AS risk_class,
   CASE WHEN o_orderkey % 37 <> 0 THEN CAST(o_orderdate AS DATE) END AS created,
@@ -74,10 +74,10 @@ SELECT CAST(o_orderkey AS STRING) AS policy_no, o_orderkey AS order_key, o_order
   CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INT) END AS processed_new,
   CASE WHEN o_orderstatus = 'F' THEN CAST(shipped AS DATE) END AS cancelled,
   CASE WHEN o_orderstatus = 'F' THEN CAST(shipped AS DATE) + CAST(o_orderkey % 60 AS INT) END AS processed_cancel,
-  CASE o_orderkey % 11 WHEN 0 THEN 'RP' WHEN 1 THEN 'RE' ELSE 'ZZ' END AS link_type_1,
-  CASE o_orderkey % 13 WHEN 0 THEN 'RP' WHEN 1 THEN 'RE' END AS link_type_2, CAST(NULL AS STRING) AS link_type_3,
+  CASE o_orderkey % 11 WHEN 0 THEN 'SB' WHEN 1 THEN 'BS' ELSE 'ZZ' END AS link_type_1,
+  CASE o_orderkey % 13 WHEN 0 THEN 'SB' WHEN 1 THEN 'BS' END AS link_type_2, CAST(NULL AS STRING) AS link_type_3,
   CAST(o_orderdate AS DATE) AS link_date_1, CAST(shipped AS DATE) AS link_date_2, CAST(NULL AS DATE) AS link_date_3,
-  CASE o_orderkey % 17 WHEN 0 THEN 'R' ELSE 'A' END AS cancel_reason, CASE o_orderkey % 19 WHEN 0 THEN '2R' END AS cancel_case,
+  CASE o_orderkey % 17 WHEN 0 THEN 'V' ELSE 'A' END AS cancel_reason, CASE o_orderkey % 19 WHEN 0 THEN '9Q' END AS cancel_case,
   lpad(CAST(1 + o_orderkey % 12 AS STRING), 2, '0') || lpad(CAST(1 + o_orderkey % 31 AS STRING), 2, '0') AS anniversary_mmdd,
   o_totalprice AS premium, CASE o_orderkey % 4 WHEN 0 THEN NULL ELSE CAST((o_orderkey % 4) * 10 AS DOUBLE) END AS ceded_pct,
   CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) ELSE CAST(40 AS DOUBLE) END AS share_pct,
@@ -86,8 +86,8 @@ SELECT CAST(o_orderkey AS STRING) AS policy_no, o_orderkey AS order_key, o_order
   CAST(o_custkey % 1000 AS DOUBLE) AS turnover, CASE o_orderkey % 3 WHEN 1 THEN CAST(o_orderkey % 500 AS DOUBLE) END AS turnover_2,
   CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 4 END AS duration, CASE o_orderkey % 3 WHEN 0 THEN 'QA' ELSE 'QZ' END AS risk_type,
   CASE o_orderkey % 10 WHEN 0 THEN 'O' END AS offer_flag, o_clerk_point AS mgmt_point,
-  CASE o_orderkey % 6 WHEN 0 THEN 'maison de ville' WHEN 1 THEN 'Bureau central' WHEN 2 THEN '22' WHEN 3 THEN 'entrepot nord' WHEN 4 THEN NULL ELSE 'pont' END AS destination_text,
-  CASE o_orderkey % 9 WHEN 0 THEN 'villa' WHEN 1 THEN 'gros oeuvre' END AS work_text, CAST(o_orderkey % 30 AS STRING) AS activity
+  CASE o_orderkey % 6 WHEN 0 THEN 'town house' WHEN 1 THEN 'Central desk' WHEN 2 THEN '41' WHEN 3 THEN 'north depot' WHEN 4 THEN NULL ELSE 'bridge' END AS destination_text,
+  CASE o_orderkey % 9 WHEN 0 THEN 'cottage' WHEN 1 THEN 'main works' END AS work_text, CAST(o_orderkey % 30 AS STRING) AS activity
 FROM (SELECT o.*, 'P' || substr(o_orderpriority, 1, 1) AS o_clerk_point FROM {orders} o) o
 LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS shipped FROM {lineitem} GROUP BY l_orderkey) l ON l_orderkey = o_orderkey
 """
@@ -102,8 +102,8 @@ SELECT CAST(o_orderkey AS STRING) AS policy, CASE o_orderkey % 6 WHEN 0 THEN 'L0
   CASE WHEN o_orderkey % 8 = 3 THEN CAST(o_orderdate AS DATE) + 200 END AS final_end,
   CASE o_orderkey % 5 WHEN 0 THEN '00' WHEN 1 THEN '01' WHEN 2 THEN ' ' ELSE '05' END AS duration_code,
   CAST(o_custkey % 40 AS STRING) AS intermediary, substr(o_orderpriority, 1, 1) AS mgmt_point, o_totalprice AS premium,
-  CAST(50 + o_orderkey % 50 AS DOUBLE) AS share_pct, CASE o_orderkey % 7 WHEN 0 THEN 'HP' WHEN 1 THEN 'SE' ELSE 'ZZ' END AS cancel_reason,
-  CASE o_orderkey % 4 WHEN 0 THEN 'LT' WHEN 1 THEN 'NN' ELSE 'QQ' END AS cancel_origin,
+  CAST(50 + o_orderkey % 50 AS DOUBLE) AS share_pct, CASE o_orderkey % 7 WHEN 0 THEN 'K1' WHEN 1 THEN 'K2' ELSE 'ZZ' END AS cancel_reason,
+  CASE o_orderkey % 4 WHEN 0 THEN 'Y1' WHEN 1 THEN 'Y3' ELSE 'QQ' END AS cancel_origin,
   CASE o_orderkey % 3 WHEN 1 THEN 'N1' ELSE '' END AS replaced_by, CASE o_orderkey % 23 WHEN 0 THEN 'MIG' END AS site_state,
   CAST(o_orderdate AS DATE) AS anniversary, CASE o_custkey % 5 WHEN 0 THEN 'B' ELSE 'A' END AS market, 's1' AS segment, CAST(o_orderkey % 8 AS STRING) AS sub_segment
 FROM {orders}
@@ -135,13 +135,13 @@ SELECT DISTINCT o_orderpriority AS product, CASE o_orderkey % 2 WHEN 0 THEN '1'
 FROM {orders}
 """
 
+# One row per occupied slot of a policy: lines that share a number are reduced to the largest values.
 GROUP_ROWS = """
-SELECT CAST(l_orderkey AS STRING) AS policy_no, l_linenumber AS pos,
-  CASE l_linenumber % 7 WHEN 0 THEN 'GLOBAL LIMIT A' WHEN 1 THEN 'MAX LOSS KEPT' WHEN 2 THEN 'DIRECT RISK' WHEN 3 THEN 'MAX LOSS DIRECT RISK'
-    WHEN 4 THEN 'LOSS OF INCOME' WHEN 5 THEN 'GLOBAL LIMIT B' ELSE NULL END AS label,
-  CASE WHEN l_partkey % 10 <> 0 THEN l_extendedprice END AS amount,
-  CASE l_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '01' WHEN 2 THEN '02' ELSE '11' END AS nature, l_discount + 1 AS coef
-FROM {lineitem}
+SELECT policy_no, pos, CASE pos WHEN 7 THEN 'GLOBAL LIMIT A' WHEN 1 THEN 'MAX LOSS KEPT' WHEN 2 THEN 'DIRECT RISK' WHEN 3 THEN 'MAX LOSS DIRECT RISK'
+    WHEN 4 THEN 'LOSS OF INCOME' WHEN 5 THEN 'GLOBAL LIMIT B' END AS label, amount,
+  CASE part_no % 4 WHEN 0 THEN NULL WHEN 1 THEN '01' WHEN 2 THEN '02' ELSE '11' END AS nature, coef
+FROM (SELECT CAST(l_orderkey AS STRING) AS policy_no, l_linenumber AS pos, max(CASE WHEN l_partkey % 10 <> 0 THEN l_extendedprice END) AS amount,
+        max(l_partkey) AS part_no, max(l_discount) + 1 AS coef FROM {lineitem} GROUP BY l_orderkey, l_linenumber) t
 """
 
 CORPUS = """

@@ -22,7 +22,7 @@ NEXT = date(2024, 2, 1)
 
 
 def policies(spark, rows):
-    base = {"status": "1", "nature": "R", "created": OLD, "effective_new": OLD, "processed_new": OLD, "premium_net": 100.0}
+    base = {"status": "1", "nature": "N1", "created": OLD, "effective_new": OLD, "processed_new": OLD, "premium_net": 100.0}
     return spark.createDataFrame([tuple({**base, **r}.get(n) for n in NAMES) for r in rows], POLICY)
 
 
@@ -37,7 +37,7 @@ def test_main_movements(spark):
         "missing creation counts as early": ({"created": None}, "F"),
         "excluded sub-segment": ({"sub_segment": "5"}, ""),
         "missing sub-segment is not excluded": ({"sub_segment": None}, "F"),
-        "other nature": ({"nature": "T"}, ""),
+        "other nature": ({"nature": "N3"}, ""),
         "cancelled later": ({"status": "3", "cancelled": NEXT}, "F"),
         "created this year": ({"created": DAY}, "FN"),
         "created after the period": ({"created": NEXT}, ""),
@@ -45,20 +45,20 @@ def test_main_movements(spark):
         "effective before, processed now": ({"processed_new": DAY}, "FN"),
         "missing effective year is early": ({"effective_new": None, "processed_new": DAY}, "FN"),
         "cancelled this year": ({"status": "3", "cancelled": DAY}, "C"),
-        "site contracts are not counted": ({"status": "3", "cancelled": DAY, "nature": "C"}, ""),
+        "site contracts are not counted": ({"status": "3", "cancelled": DAY, "nature": "N4"}, ""),
         "handled this year, missing date": ({"status": "3", "processed_cancel": DAY}, "C"),
-        "replaced": ({"status": "3", "cancelled": DAY, "link_type_2": "RP", "link_date_2": DAY}, "R"),
-        "replaced another year": ({"status": "3", "cancelled": DAY, "link_type_2": "RP", "link_date_2": OLD}, "C"),
-        "replacing": ({"created": DAY, "link_type_3": "RE", "link_date_3": DAY}, "FG"),
-        "replaced link without cancellation": ({"link_type_1": "RP", "link_date_1": DAY}, "F"),
+        "replaced": ({"status": "3", "cancelled": DAY, "link_type_2": "SB", "link_date_2": DAY}, "R"),
+        "replaced another year": ({"status": "3", "cancelled": DAY, "link_type_2": "SB", "link_date_2": OLD}, "C"),
+        "replacing": ({"created": DAY, "link_type_3": "BS", "link_date_3": DAY}, "FG"),
+        "replaced link without cancellation": ({"link_type_1": "SB", "link_date_1": DAY}, "F"),
     }
     assert flags(policies(spark, [{"id": n, **c} for n, (c, _) in cases.items()])) == {n: f for n, (_, f) in cases.items()}
 
 
 def test_anticipated(spark):
     rows = policies(spark, [
-        {"id": "new", "effective_new": NEXT}, {"id": "replacing", "created": NEXT, "link_type_1": "RE"}, {"id": "gone", "cancelled": NEXT},
-        {"id": "replaced", "cancelled": NEXT, "link_type_1": "RP"}, {"id": "silent", "cancelled": NEXT, "cancel_reason": "R"}, {"id": "none"},
+        {"id": "new", "effective_new": NEXT}, {"id": "replacing", "created": NEXT, "link_type_1": "BS"}, {"id": "gone", "cancelled": NEXT},
+        {"id": "replaced", "cancelled": NEXT, "link_type_1": "SB"}, {"id": "silent", "cancelled": NEXT, "cancel_reason": "V"}, {"id": "none"},
     ])
     got = {r.id: (r.n_new_anticipated, r.n_cancelled_anticipated) for r in movements.anticipated(rows, PERIOD, CODES).collect()}
     assert got == {"new": (1, 0), "replacing": (0, 0), "gone": (0, 1), "replaced": (0, 0), "silent": (0, 0), "none": (0, 0)}
@@ -66,7 +66,7 @@ def test_anticipated(spark):
 
 def test_exposure(spark):
     rows = policies(spark, [
-        {"id": "whole"}, {"id": "late", "created": date(2023, 6, 21)}, {"id": "ended", "status": "3", "cancelled": date(2023, 1, 10), "nature": "O"},
+        {"id": "whole"}, {"id": "late", "created": date(2023, 6, 21)}, {"id": "ended", "status": "3", "cancelled": date(2023, 1, 10), "nature": "N2"},
         {"id": "long ago", "status": "3", "cancelled": OLD}, {"id": "other", "status": "4"}, {"id": "future", "created": NEXT},
     ])
     got = {r.id: r for r in movements.exposure(rows, PERIOD, CODES).collect()}
