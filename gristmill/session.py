@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # Plans here are built from many small expressions; recording a call site for each costs more than the analysis.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # ISO-8859-15 is refused by the CSV reader without it.
     "spark.sql.legacy.javaCharsets": "true",
 }
