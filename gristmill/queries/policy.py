@@ -349,14 +349,33 @@ MEASURES = [
 ]
 
 
+_SLOT_LABELS = {
+    1: "MAX LOSS KEPT", 2: "DIRECT RISK", 3: "MAX LOSS DIRECT RISK", 4: "LOSS OF INCOME", 5: "GLOBAL LIMIT B", 6: None, 7: "GLOBAL LIMIT A",
+}
+
+
 def slots(d: Data) -> DataFrame:
-    """Policies with their repeated groups. Each slot is a conditional aggregate, so a group array has a fixed size and
-    merges on the map side however many lines a policy has."""
-    fields = ("label", "amount", "nature", "coef")
-    wide = d.group_rows.groupBy("policy_no").agg(*[
-        F.max(F.when(F.col("pos") == i, F.col(c))).alias(f"{c}{i}") for i in range(1, SLOTS + 1) for c in fields
-    ])
-    return wide.select("policy_no", capital.groups_column(*fields, n=SLOTS).alias("groups"))
+    """Policies with their repeated groups, packed from numbered columns as in a real book.
+
+    The columns come from one aggregate over the lines. It has a fixed number of numeric slots, so it hashes without
+    sorting and merges on the map side however many lines a policy has.
+    """
+    line, part = F.col("l_linenumber"), F.col("l_partkey")
+    sums = []
+    for i in range(1, SLOTS + 1):
+        sums += [
+            F.max(F.when((line == i) & (part % 10 != 0), F.col("l_extendedprice"))).alias(f"amount{i}"),
+            F.max(F.when(line == i, part)).alias(f"part{i}"), F.max(F.when(line == i, F.col("l_discount"))).alias(f"discount{i}"),
+        ]
+    wide = d.lineitem.groupBy("l_orderkey").agg(*sums)
+    named = {}
+    for i, label in _SLOT_LABELS.items():
+        kind = F.col(f"part{i}") % 4
+        named[f"label{i}"] = F.when(F.col(f"part{i}").isNotNull(), F.lit(label))
+        named[f"nature{i}"] = F.when(kind == 1, "01").when(kind == 2, "02").when(kind == 3, "11")
+        named[f"coef{i}"] = F.col(f"discount{i}") + 1
+    book = wide.withColumns({**named, "policy_no": F.col("l_orderkey").cast("string")})
+    return book.select("policy_no", capital.groups_column("label", "amount", "nature", "coef", SLOTS).alias("groups"))
 
 
 def with_groups(d: Data) -> DataFrame:
