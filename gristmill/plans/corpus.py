@@ -270,7 +270,11 @@ def report_lines(texts: DataFrame, nodes: DataFrame, summary: DataFrame, branch:
 
 
 def inventory(files: DataFrame, load=None, max_kb: int = 50, **rules) -> dict[str, DataFrame]:
-    """Everything about a corpus: ``texts``, ``nodes`` (with ``is_ingested``), ``summary``, ``total`` and ``report``."""
+    """Everything about a corpus: ``texts``, ``nodes`` (with ``is_ingested``), ``summary``, ``total`` and ``report``.
+
+    The other results are derived from ``texts``; to use several of them on raw files, write ``texts`` once and pass the
+    table to :func:`corpus_summary`, :func:`tree_nodes` and :func:`report_lines`, so that files are opened only once.
+    """
     include, exclude = path_rules(**rules)
     texts = ingest(files, include, exclude, max_kb, load)
     nodes = tree_nodes(files, include, exclude)

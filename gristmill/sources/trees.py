@@ -20,6 +20,7 @@ from gristmill.session import cut_lineage
 _LISTING = "root string, base string, path string, is_dir boolean, size bigint"
 _ARROW_LISTING = pa.schema([("root", pa.string()), ("base", pa.string()), ("path", pa.string()), ("is_dir", pa.bool_()), ("size", pa.int64())])
 _READ_CHUNK = 64
+_LIST_CHUNK = 10000
 
 
 def _list_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -32,10 +33,12 @@ def _list_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = system.get_file_info(fs.FileSelector(f"{top}/{row['path']}" if prefix else top, recursive=False))
             except PermissionError:
                 continue
-            children = [
-                {**row, "path": prefix + i.base_name, "is_dir": i.type == fs.FileType.Directory, "size": i.size or 0} for i in found
-            ]
-            yield pa.RecordBatch.from_pylist(children, schema=_ARROW_LISTING)
+            for start in range(0, len(found), _LIST_CHUNK):
+                children = [
+                    {**row, "path": prefix + i.base_name, "is_dir": i.type == fs.FileType.Directory, "size": i.size or 0}
+                    for i in found[start:start + _LIST_CHUNK]
+                ]
+                yield pa.RecordBatch.from_pylist(children, schema=_ARROW_LISTING)
 
 
 def _read_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,9 +72,12 @@ def scan_tree(spark: SparkSession, roots: list[str], keep_folders: bool = False)
 
 
 def with_content(files: DataFrame) -> DataFrame:
-    """Add the bytes of each listed file; filter the listing before calling it."""
+    """Add the bytes of each listed file; filter the listing before calling it.
+
+    A folder is listed by one task, so the rows are spread first: the files of one huge folder are read by many tasks.
+    """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    return files.mapInArrow(_read_bytes, f"{fields}, content binary")
+    return files.repartition("base", "path").mapInArrow(_read_bytes, f"{fields}, content binary")
 
 
 def scan_visible(spark: SparkSession, roots: list[str]) -> DataFrame:
