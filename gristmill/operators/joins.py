@@ -1,8 +1,8 @@
 """Joins.
 
-No table is ever hinted for broadcast: Spark compares the measured size of a side with
-``spark.sql.autoBroadcastJoinThreshold`` (again at run time under AQE) and shuffles beyond it. A reference side that
-has outgrown the threshold and meets a hot key can be joined with ``salt``: the left rows of a key are spread over
+The joins themselves carry no broadcast hint: Spark compares the measured size of a side with
+``spark.sql.autoBroadcastJoinThreshold`` (again at run time under AQE) and shuffles beyond it. ``bounded`` is for a
+reference whose size Spark cannot estimate. A reference side that has outgrown the threshold and meets a hot key can be joined with ``salt``: the left rows of a key are spread over
 ``salt`` sub-keys and the unique right row is repeated for each.
 """
 
@@ -33,6 +33,15 @@ def _match(on: list[str] | dict[str, str], null_safe: bool = False) -> Column:
     return _all([same(left, right) for left, right in _pairs(on).items()])
 
 
+def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast a reference after counting at most ``max_rows + 1`` of its rows; a larger one is left to a shuffle join.
+
+    Worth a small job where the estimate is unknown and the join key is coarse (country, date): otherwise the large side
+    would be shuffled by that key.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def enrich(
     df: DataFrame,
     ref: DataFrame,

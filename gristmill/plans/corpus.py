@@ -124,7 +124,7 @@ def fence_language(path: Column) -> Column:
     return F.substring(extension(path), 2, 1 << 20)
 
 
-def ingest(files: DataFrame, include: list[str], exclude: list[str], max_kb: int = 50, load=None) -> DataFrame:
+def read_texts(files: DataFrame, include: list[str], exclude: list[str], max_kb: int = 50, load=None) -> DataFrame:
     """Included, small enough, textual files with decoded content and token estimate.
 
     ``load`` adds the bytes after the path and size filters, so rejected files are never opened.
@@ -276,7 +276,7 @@ def inventory(files: DataFrame, load=None, max_kb: int = 50, **rules) -> dict[st
     table to :func:`corpus_summary`, :func:`tree_nodes` and :func:`report_lines`, so that files are opened only once.
     """
     include, exclude = path_rules(**rules)
-    texts = ingest(files, include, exclude, max_kb, load)
+    texts = read_texts(files, include, exclude, max_kb, load)
     nodes = tree_nodes(files, include, exclude)
     summary = corpus_summary(texts)
     read = texts.select("root", "path", F.lit(True).alias("is_ingested"))

@@ -46,10 +46,12 @@ def _context(sites: DataFrame, boxes: DataFrame, regions: DataFrame) -> DataFram
     return enrich(located, packed, {"_department": "_code"}, ["region_box"])
 
 
-def evaluate_sites_full(sites: DataFrame, boxes: DataFrame, regions: DataFrame, cities: DataFrame) -> DataFrame:
+def evaluate_sites_full(
+    sites: DataFrame, boxes: DataFrame, regions: DataFrame, cities: DataFrame, salt: int | None = None
+) -> DataFrame:
     """Adds ``issues ARRAY<STRUCT<code, description, gravite>>`` and ``outcome``.
 
-    ``cities`` holds ``(postal_code, city, ordinal)``. ``outcome`` is ``gps_ok``, ``gps_issue``, ``address_ok`` or
+    ``cities`` holds ``(postal_code, city, ordinal)``; ``salt`` spreads sites of one very frequent city. ``outcome`` is ``gps_ok``, ``gps_issue``, ``address_ok`` or
     ``not_locatable``.
     """
     located = _context(sites, boxes, regions)
@@ -57,7 +59,7 @@ def evaluate_sites_full(sites: DataFrame, boxes: DataFrame, regions: DataFrame,
     verdicts = city_check(asked, cities.select("postal_code", "city", "ordinal"))
     rows = enrich(
         located, verdicts, {"_postal": "postal_code", "_city": "city"},
-        {"verdict": "_verdict", "best_city": "_best", "score": "_score", "expected": "_expected"},
+        {"verdict": "_verdict", "best_city": "_best", "score": "_score", "expected": "_expected"}, salt=salt,
     )
     raw_x, raw_y, both = F.col("COORD_X_SITE"), F.col("COORD_Y_SITE"), F.col("_has_lon") & F.col("_has_lat")
     x, y = F.col("_x"), F.col("_y")

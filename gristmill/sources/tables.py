@@ -116,6 +116,12 @@ def union_existing(spark: SparkSession, loaders: list[Callable[[], DataFrame]],
     return out
 
 
+def normalise_blanks(df: DataFrame) -> DataFrame:
+    """Trailing spaces off every string, blanks to null: the state in which keys of the monthly jobs are joined."""
+    strings = [name for name, kind in df.dtypes if kind == "string"]
+    return df.withColumns({c: F.nullif(F.rtrim(F.col(c)), F.lit("")) for c in strings})
+
+
 def read_control(df: DataFrame, by_position: dict[str, int]) -> DataFrame:
     """Pick columns of a control sheet by position and give them names."""
     return df.select(*[F.col(f"`{df.columns[i]}`").alias(name) for name, i in by_position.items()])

@@ -24,13 +24,14 @@ _LIST_CHUNK = 10000
 
 
 def _list_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Direct children of each folder; a folder that may not be read counts as empty."""
+    """Direct children of each folder; one that does not exist or may not be read counts as empty."""
     for batch in batches:
         for row in batch.to_pylist():
             system, top = fs.FileSystem.from_uri(row["base"])
             prefix = f"{row['path']}/" if row["path"] else ""
+            folder = f"{top}/{row['path']}" if prefix else top
             try:
-                found = system.get_file_info(fs.FileSelector(f"{top}/{row['path']}" if prefix else top, recursive=False))
+                found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
             except PermissionError:
                 continue
             for start in range(0, len(found), _LIST_CHUNK):

@@ -52,6 +52,11 @@ def test_listing_has_hidden_names_and_sizes(spark, tree):
     assert folders == {"pkg", "pkg/deep", "dist", ".config", "empty"}
 
 
+def test_missing_root_is_empty(spark, tree):
+    listed = trees.scan_tree(spark, [str(tree), str(tree / "nowhere")])
+    assert {r.root for r in listed.select("root").distinct().collect()} == {str(tree)}
+
+
 def test_builtin_source_sees_the_visible_part(spark, tree):
     seen = trees.scan_visible(spark, [str(tree)])
     assert {r.path for r in seen.select("path").collect()} == {"pkg/distance.py", "pkg/deep/note.txt", "dist/bundle.js", "big.txt", "edge.txt", "win.txt", "photo.bin", "late.txt"}

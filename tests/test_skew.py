@@ -61,3 +61,9 @@ def test_one_huge_folder(shuffled):
     assert "Window" not in lines._jdf.queryExecution().executedPlan().toString()
     shown = [r.line for r in lines.orderBy("sort_key").collect()]
     assert shown[0] == "└── a" and shown[1] == "    ├── 0" and shown[-1] == "    └── 04998"
+
+
+def test_broadcast_only_after_counting(shuffled):
+    left, ref = hot(shuffled), shuffled.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    plan = lambda limit: joins.enrich(left, joins.bounded(ref, limit), ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(100) and "BroadcastHashJoin" not in plan(99)

@@ -60,6 +60,11 @@ def test_control_by_position(spark):
     assert tables.read_control(sheet, {"line": 0, "premium": 2}).columns == ["line", "premium"]
 
 
+def test_blanks_become_null(spark):
+    rows = tables.normalise_blanks(spark.createDataFrame([("a  ", "  ", 1), (" b", None, 2)], "k string, v string, n int"))
+    assert [tuple(r) for r in rows.collect()] == [("a", None, 1), (" b", None, 2)]
+
+
 def test_boxes_in_both_forms(spark, tmp_path):
     countries = write(tmp_path / "c.json", json.dumps({"France": {"name": "F", "bbox": [-5, 42.5, 9.5, 51]}, "B": [1.0, 2.0, 3.0, 4.0]}, indent=2))
     got = {r.country: (r.lon_min, r.lat_min, r.lon_max, r.lat_max) for r in references.load_country_boxes(spark, countries).collect()}
