@@ -61,14 +61,14 @@ def quantiles(df: DataFrame, column: str, probabilities: list[float], cuts: int
     edges = values.agg(grid.alias("edges")).scalar()
     sliced = values.withColumn("edges", edges).select("v", "n", F.size(F.filter("edges", lambda e: e <= F.col("v"))).alias("slice"))
     totals = sliced.groupBy("slice").agg(F.sum("n").alias("rows"))
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    # At most ``cuts`` rows from here on: this window is over slices, not over data.
-    starts = totals.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    # At most ``cuts`` rows here: these windows are over slices, not over data.
+    everything = Window.partitionBy(F.lit(1))
+    before = everything.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    placed = totals.withColumns({"start": F.coalesce(F.sum("rows").over(before), F.lit(0)), "total": F.sum("rows").over(everything)})
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), ((F.col("total") - 1) * F.lit(float(p))).alias("at")) for p in probabilities])
-    targets = values.agg(F.sum("n").alias("total")).select(F.inline(wanted))
     low, high = F.floor("at"), F.ceil("at")
     hit = (F.col("start") <= high) & (low < F.col("start") + F.col("rows"))
-    near = targets.join(starts, hit).select("p", "at", "slice", "start")
+    near = placed.select("slice", "start", "rows", F.inline(wanted)).filter(hit).select("p", "at", "slice", "start")
     inner = Window.partitionBy("p", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = near.join(sliced, "slice").withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(inner), F.lit(0)))
 

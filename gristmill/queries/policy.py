@@ -301,26 +301,27 @@ def book_destination(d: Data) -> DataFrame:
 
 
 DESTINATIONS = [Rule("contains", "HOUSE", "HOUSE"), Rule("contains", "DESK", "OFFICE"), Rule("regex", "DEP+OT", "STORE"), Rule("codes", ("41",), "HOUSE")]
-_GRADES = "SELECT n_nationkey, period, {cast_key} AS sector_code, " + ", ".join(f"(n_nationkey + {i} + period) % 7 AS {h}" for i, h in enumerate(consolidate.HAZARDS))
+_GRADED = """(SELECT DISTINCT c_nationkey AS nk, year(o_orderdate) * 100 + 1 AS period FROM {orders} JOIN {customer} ON c_custkey = o_custkey
+  WHERE (year(o_orderdate) + c_nationkey) % 5 <> 0)"""
+_GRADED_SQL = _GRADED.format(orders="orders", customer="customer")
 
 
 def _grades(d: Data) -> DataFrame:
-    """Grades per nation code in three dated snapshots."""
-    months = d.orders.select((F.year("o_orderdate") * 100 + 1).alias("period")).distinct()
-    codes = d.nation.select("n_nationkey", F.col("n_nationkey").cast("string").alias("sector_code"))
-    paired = codes.join(months, F.col("period") % 5 != F.col("n_nationkey") % 5)
-    return paired.select("sector_code", "period", *[((F.col("n_nationkey") + i + F.col("period")) % 7).alias(h) for i, h in enumerate(consolidate.HAZARDS)])
+    """Dated grade snapshots: one per year for the nations with orders in that year, with gaps."""
+    pairs = d.sql(f"SELECT * FROM {_GRADED} g")
+    grades = [((F.col("nk") + i + F.col("period")) % 7).alias(h) for i, h in enumerate(consolidate.HAZARDS)]
+    return pairs.select(F.col("nk").cast("string").alias("sector_code"), "period", *grades)
 
 
-@query("book_activity_codes", """WITH c0 AS (SELECT p.*, CASE WHEN market = 'A' THEN coalesce(a.v, b.v) END AS s0, CASE WHEN market = 'A' THEN CASE WHEN a.v IS NOT NULL THEN 'NATIVE' WHEN b.v IS NOT NULL THEN 'CLIENT' END END AS o0
+@query("book_activity_codes", f"""WITH g AS {_GRADED_SQL}, c0 AS (SELECT p.*, CASE WHEN market = 'A' THEN coalesce(a.v, b.v) END AS s0, CASE WHEN market = 'A' THEN CASE WHEN a.v IS NOT NULL THEN 'NATIVE' WHEN b.v IS NOT NULL THEN 'CLIENT' END END AS o0
     FROM @policies p LEFT JOIN (SELECT CAST(n_nationkey AS STRING) AS k, CAST(n_regionkey AS STRING) AS v FROM nation) a ON a.k = p.activity LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, CAST(c_nationkey AS STRING) AS v FROM customer WHERE c_custkey % 3 = 0) b ON b.k = p.client_no),
   c1 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N4' THEN CASE WHEN product = '3-MEDIUM' AND s0 IS NOT NULL THEN NULL WHEN product = '1-URGENT' THEN 'SALE' WHEN contains(upper(destination_text), 'HOUSE') THEN 'HOUSE'
       WHEN contains(upper(destination_text), 'DESK') THEN 'OFFICE' WHEN regexp_matches(upper(destination_text), 'DEP+OT') THEN 'STORE' WHEN destination_text = '41' THEN 'HOUSE' WHEN s0 IS NULL THEN 'OTHER' END END AS dc FROM c0),
   c2 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N1' AND CAST(activity AS INT) % 2 = 0 AND CAST(activity AS INT) < 25 THEN CAST((CAST(activity AS INT) * 3) % 25 AS STRING) END AS rc,
       CASE WHEN market = 'A' AND nature = 'N4' THEN CASE dc WHEN 'HOUSE' THEN '11' WHEN 'OFFICE' THEN '12' WHEN 'STORE' THEN '13' WHEN 'SALE' THEN '14' END END AS sc FROM c1)
 SELECT policy_no, coalesce(rc, sc, s0) AS sector_code, CASE WHEN rc IS NOT NULL THEN 'ACTIVITY' WHEN sc IS NOT NULL THEN 'DESTINATION' ELSE o0 END AS sector_origin, dc AS destination_class,
-  CASE WHEN rc IS NOT NULL THEN 'i' || activity WHEN sc IS NOT NULL THEN 'd' || dc ELSE product END AS industry_code, (n_nationkey + 199801) % 7 AS hazard_fire, (n_nationkey + 6 + 199801) % 7 AS hazard_damage
-FROM c2 LEFT JOIN nation ON CAST(n_nationkey AS STRING) = coalesce(rc, sc, s0) AND 199801 % 5 <> n_nationkey % 5""")
+  CASE WHEN rc IS NOT NULL THEN 'i' || activity WHEN sc IS NOT NULL THEN 'd' || dc ELSE product END AS industry_code, (nk + period) % 7 AS hazard_fire, (nk + 6 + period) % 7 AS hazard_damage
+FROM c2 LEFT JOIN (SELECT * FROM g WHERE period = (SELECT max(period) FROM g WHERE period <= 199806)) g ON CAST(nk AS STRING) = coalesce(rc, sc, s0)""")
 def book_activity_codes(d: Data) -> DataFrame:
     key = F.col("n_nationkey")
     native = d.nation.select(key.cast("string").alias("k"), F.col("n_regionkey").cast("string").alias("v"))
