@@ -37,10 +37,6 @@ def box_struct(*sides: Column) -> Column:
     return F.struct(*[side.alias(name) for side, name in zip(sides, names)])
 
 
-def array_to_box(coords: Column) -> Column:
-    return box_struct(*[F.get(coords, F.lit(i)) for i in range(4)])
-
-
 _RING = "array<array<array<double>>>"
 
 

@@ -154,8 +154,8 @@ def policy_turnover(d: Data) -> DataFrame:
     return out.select("policy_no", "turnover", "turnover_2", "turnover_all")
 
 
-@query("policy_book_totals", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS} SELECT network, market, segment, sum(CAST(i AS INT)) AS n_in_force, sum(CAST(n AND NOT rg AS INT)) AS n_new,
-  sum(CAST(g AND NOT rd AS INT)) AS n_cancelled, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS premium_in_force FROM f1 WHERE nature <> 'N3' GROUP BY 1, 2, 3""")
+@query("policy_book_totals", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS} SELECT network, market, segment, CAST(sum(CAST(i AS INT)) AS BIGINT) AS n_in_force, CAST(sum(CAST(n AND NOT rg AS INT)) AS BIGINT) AS n_new,
+  CAST(sum(CAST(g AND NOT rd AS INT)) AS BIGINT) AS n_cancelled, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS premium_in_force FROM f1 WHERE nature <> 'N3' GROUP BY 1, 2, 3""")
 def policy_book_totals(d: Data) -> DataFrame:
     out = movements.book_totals(main_flags(d), ["network", "market", "segment"], ["n_in_force", "n_new", "n_cancelled", "premium_in_force"])
     return out.withColumn("premium_in_force", F.round("premium_in_force"))
@@ -241,7 +241,7 @@ def both_channels(d: Data) -> DataFrame:
 
 @query("book_consolidated", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS}, {_L5} SELECT 'main' AS channel, policy_no, network, cancel_reason, CAST(substr(anniversary_mmdd, 1, 2) AS INT) AS due_month, CAST(substr(anniversary_mmdd, 3, 2) AS INT) AS due_day,
   CAST(i AS INT) AS n_in_force, CAST(n AND NOT rg AS INT) AS n_new, CAST(rd AS INT) AS n_replaced FROM f1
-UNION ALL SELECT 'legacy', policy, '3', CASE cancel_origin WHEN 'Y1' THEN 'A' WHEN 'Y2' THEN 'L' WHEN 'Y3' THEN '' ELSE 'X' END, month(anniversary), day(anniversary), n_in_force, n_new, 0 FROM l5""")
+UNION ALL SELECT 'legacy', policy, '3', CASE cancel_origin WHEN 'Y1' THEN 'A' WHEN 'Y2' THEN 'L' WHEN 'Y3' THEN '' ELSE 'X' END, CAST(month(anniversary) AS INT), CAST(day(anniversary) AS INT), n_in_force, n_new, 0 FROM l5""")
 def book_consolidated(d: Data) -> DataFrame:
     return both_channels(d).select("channel", "policy_no", "network", "cancel_reason", "due_month", "due_day", "n_in_force", "n_new", "n_replaced")
 
@@ -320,7 +320,7 @@ def _grades(d: Data) -> DataFrame:
   c2 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N1' AND CAST(activity AS INT) % 2 = 0 AND CAST(activity AS INT) < 25 THEN CAST((CAST(activity AS INT) * 3) % 25 AS STRING) END AS rc,
       CASE WHEN market = 'A' AND nature = 'N4' THEN CASE dc WHEN 'HOUSE' THEN '11' WHEN 'OFFICE' THEN '12' WHEN 'STORE' THEN '13' WHEN 'SALE' THEN '14' END END AS sc FROM c1)
 SELECT policy_no, coalesce(rc, sc, s0) AS sector_code, CASE WHEN rc IS NOT NULL THEN 'ACTIVITY' WHEN sc IS NOT NULL THEN 'DESTINATION' ELSE o0 END AS sector_origin, dc AS destination_class,
-  CASE WHEN rc IS NOT NULL THEN 'i' || activity WHEN sc IS NOT NULL THEN 'd' || dc ELSE product END AS industry_code, (nk + period) % 7 AS hazard_fire, (nk + 6 + period) % 7 AS hazard_damage
+  CASE WHEN rc IS NOT NULL THEN 'i' || activity WHEN sc IS NOT NULL THEN 'd' || dc ELSE product END AS industry_code, CAST((nk + period) % 7 AS INT) AS hazard_fire, CAST((nk + 6 + period) % 7 AS INT) AS hazard_damage
 FROM c2 LEFT JOIN (SELECT * FROM g WHERE period = (SELECT max(period) FROM g WHERE period <= 199806)) g ON CAST(nk AS STRING) = coalesce(rc, sc, s0)""")
 def book_activity_codes(d: Data) -> DataFrame:
     key = F.col("n_nationkey")
@@ -525,7 +525,7 @@ _CONTROL = """SELECT CASE o_orderkey % 2 WHEN 0 THEN '1' ELSE '3' END AS network
   CAST(1000 AS DOUBLE) AS premium_new_ref, CAST(2000 AS DOUBLE) AS premium_cancelled_ref FROM {orders} GROUP BY 1, 2, 3"""
 
 
-@query("control_movement_gaps", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS}, ct AS (SELECT network, market, segment, sum(CAST(i AS INT)) AS a, sum(CAST(n AND NOT rg AS INT)) AS b, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS c FROM f1 WHERE nature <> 'N3' GROUP BY 1, 2, 3),
+@query("control_movement_gaps", f"""WITH base AS (SELECT * FROM {_SCOPED} b), {_FLAGS}, ct AS (SELECT network, market, segment, CAST(sum(CAST(i AS INT)) AS BIGINT) AS a, CAST(sum(CAST(n AND NOT rg AS INT)) AS BIGINT) AS b, round(sum(CASE WHEN i THEN premium_net ELSE 0 END)) AS c FROM f1 WHERE nature <> 'N3' GROUP BY 1, 2, 3),
   rf AS ({_CONTROL.format(orders='orders')})
 SELECT rf.network, rf.market, rf.segment, a - n_in_force_ref AS gap_n_in_force, b - n_new_ref AS gap_n_new, c - premium_in_force_ref AS gap_premium_in_force, round(c / nullif(a, 0)) - round(premium_in_force_ref / nullif(n_in_force_ref, 0)) AS gap_average_in_force,
   round(premium_new_ref / nullif(n_new_ref, 0)) AS average_new_ref FROM rf LEFT JOIN ct ON ct.network = rf.network AND ct.market = rf.market AND ct.segment = rf.segment""")

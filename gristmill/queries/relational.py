@@ -183,7 +183,7 @@ def top_orders(d: Data) -> DataFrame:
     return setops.top_n(d.orders, [F.col("o_totalprice").desc(), "o_orderkey"], 20).select("o_orderkey", "o_totalprice")
 
 
-@query("align_layout", "SELECT o_orderkey AS id, 'main' AS channel, o_totalprice AS amount, CAST(NULL AS STRING) AS note, year(o_orderdate) AS year_seen FROM orders")
+@query("align_layout", "SELECT o_orderkey AS id, 'main' AS channel, o_totalprice AS amount, CAST(NULL AS STRING) AS note, CAST(year(o_orderdate) AS INT) AS year_seen FROM orders")
 def align_layout(d: Data) -> DataFrame:
     out = setops.align(d.orders, {"id": "o_orderkey", "channel": F.lit("main"), "amount": "o_totalprice", "note": None, "year_seen": F.year("o_orderdate")})
     return out.withColumn("note", F.col("note").cast("string"))
@@ -273,7 +273,7 @@ def strip_control_characters(d: Data) -> DataFrame:
 
 # --- dates, numbers, missing values ----------------------------------------------------------------------------
 
-@query("date_parts", """SELECT policy_no, CAST(substr(anniversary_mmdd, 1, 2) AS INT) AS due_month, CAST(substr(anniversary_mmdd, 3, 2) AS INT) AS due_day, year(created) AS year_created, month(created) AS month_created,
+@query("date_parts", """SELECT policy_no, CAST(substr(anniversary_mmdd, 1, 2) AS INT) AS due_month, CAST(substr(anniversary_mmdd, 3, 2) AS INT) AS due_day, CAST(year(created) AS INT) AS year_created, CAST(month(created) AS INT) AS month_created,
   date_diff('day', created, cancelled) + 1 AS days, CAST(CAST(created - INTERVAL 1 MONTH AS DATE) AS STRING) AS month_before FROM @policies p""")
 def date_parts(d: Data) -> DataFrame:
     mmdd = F.col("anniversary_mmdd")

@@ -26,8 +26,3 @@ def write_report(lines: DataFrame, folder: str) -> None:
 def write_quality(summary: DataFrame, detail: DataFrame, folder: str) -> None:
     summary.write.mode("overwrite").option("header", True).csv(f"{folder}/summary")
     detail.write.mode("overwrite").parquet(f"{folder}/detail")
-
-
-def ordered_columns(df: DataFrame, order: list[str]) -> DataFrame:
-    """Columns of ``order`` that exist, in that order; nulls stay nulls."""
-    return df.select(*[c for c in order if c in df.columns])

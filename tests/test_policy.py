@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions.dates import Period
-from gristmill.operators import dedup, joins, rules
+from gristmill.operators import dedup, joins, rules, setops
 from gristmill.plans import capital, consolidate, control, legacy, movements, premiums
 from gristmill.queries.policy import CODES, LEGACY
 
@@ -195,3 +195,12 @@ def test_consolidated_rows_add_up(spark):
     layouts = {"policy_no": "policy_no"}, {"policy_no": "policy"}
     assert consolidate.consolidate_book(main, old, Period.of(202306), *layouts).count() == 3
     assert consolidate.consolidate_book(main, old, Period.of(201210), *layouts).count() == 1
+
+
+def test_layout_helpers(spark):
+    df = spark.createDataFrame([("*12345", "a", 2), ("678", "b", 2), ("9", "c", 5)], "code string, temp string, n int")
+    cleaned = consolidate.clean_codes(df, ["code"])
+    assert [r.code for r in cleaned.collect()] == ["123", "678", "9"]
+    assert setops.add_or_replace(df, {"temp": "code"}).columns == ["code", "n"]
+    assert setops.add_or_replace(df, {"temp": "label"}).columns == ["code", "n", "label"]
+    assert [r.code for r in setops.sort_by_count(df, "n").collect()] == ["9", "*12345", "678"]

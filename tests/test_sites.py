@@ -123,6 +123,8 @@ def test_severity_rules(sites, boxes, regions):
     assert got["postal code in the address"][0] == "P-02, A-02, A-03"
     assert (rows["valid"]._GPS_IN_COUNTRY, rows["valid"]._GPS_MATCH_POSTAL_CODE, rows["valid"]._DEPARTMENT_COUNTRY_OK) == (True, True, True)
     assert (rows["only x"]._GPS_IN_COUNTRY, rows["only x"]._HAS_GPS) == (None, True)
+    flags = site_severity.diagnostics(site_severity.evaluate_sites_v1(sites, boxes, regions))
+    assert flags.columns == ["_SITE_KEY", "_HAS_GPS", "_GPS_IN_COUNTRY", "_GPS_MATCH_POSTAL_CODE", "_ADDRESS_PRESENT", "_STREET_NUMBER_PRESENT", "_DEPARTMENT_CODE", "_DEPARTMENT_COUNTRY_OK"]
     merged = {r.ID_SITE: r for r in site_severity.consolidate(site_severity.evaluate_sites_v1(sites.filter("NOM_SITE = 'swapped'"), boxes, regions)).collect()}["S1"]
     assert merged.CHAMPS_CONCERNES == "COORD_X_SITE, COORD_Y_SITE, PAYS_SITE; NUM_RUE_SITE, RUE_SITE, ADRESSE_SITE, LIEU_DIT_SITE"
 

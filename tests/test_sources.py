@@ -60,6 +60,11 @@ def test_control_by_position(spark):
     assert tables.read_control(sheet, {"line": 0, "premium": 2}).columns == ["line", "premium"]
 
 
+def test_driver_tables_open(spark):
+    opened = tables.load_tables(spark, "/root/testdata/sf0.001", ["region", "nation"])
+    assert {name: df.count() for name, df in opened.items()} == {"region": 5, "nation": 25}
+
+
 def test_blanks_become_null(spark):
     rows = tables.normalise_blanks(spark.createDataFrame([("a  ", "  ", 1), (" b", None, 2)], "k string, v string, n int"))
     assert [tuple(r) for r in rows.collect()] == [("a", None, 1), (" b", None, 2)]
