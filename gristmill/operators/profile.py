@@ -50,32 +50,56 @@ def top_values(df: DataFrame, column: str, n: int | None = 10) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
+def _slice_of(edges: str) -> Column:
+    return F.size(F.filter(edges, lambda e: e <= F.col("v")))
+
+
+def _grid(cuts: int) -> Column:
+    return F.percentile_approx("v", F.array(*[F.lit(i / cuts) for i in range(1, cuts)]), F.lit(10000))
+
+
+def _narrow(rows: DataFrame, keys: list[str], name: str, cuts: int) -> DataFrame:
+    """Cut the rows of each wanted position once more and keep the slices that hold it, with their new start.
+
+    There is one group per wanted position and slice, so ``edges`` and ``hits`` have a few rows and may be broadcast.
+    """
+    edges = rows.groupBy(*keys).agg(_grid(cuts).alias("edges"))
+    cut = rows.join(F.broadcast(edges), keys).withColumn(name, _slice_of("edges")).drop("edges")
+    totals = cut.groupBy(*keys, "at", "start", name).agg(F.sum("n").alias("rows"))
+    before = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    placed = totals.withColumn("start", F.col("start") + F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    hits = placed.filter(_holds_position()).select(*keys, name, "start")
+    return cut.drop("start").join(F.broadcast(hits), [*keys, name])
+
+
+def _holds_position() -> Column:
+    return (F.col("start") <= F.ceil("at")) & (F.floor("at") < F.col("start") + F.col("rows"))
+
+
 def quantiles(df: DataFrame, column: str, probabilities: list[float], cuts: int = 200) -> DataFrame:
     """Exact quantiles with linear interpolation, one row ``(p, value)`` each.
 
-    Value counts are split at approximate percentiles; ranks are then counted only inside the few slices that hold
-    a wanted position, so no task ever sorts the column or holds all of its distinct values.
+    Value counts are cut at approximate percentiles, twice; ranks are counted only inside the slices that hold a wanted
+    position. A task therefore sorts one ``cuts * cuts``-th of the distinct values, never the column.
     """
     values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    grid = F.percentile_approx("v", F.array(*[F.lit(i / cuts) for i in range(1, cuts)]), F.lit(10000))
-    edges = values.agg(grid.alias("edges")).scalar()
-    sliced = values.withColumn("edges", edges).select("v", "n", F.size(F.filter("edges", lambda e: e <= F.col("v"))).alias("slice"))
+    edges = values.agg(_grid(cuts).alias("edges")).scalar()
+    sliced = values.withColumn("edges", edges).select("v", "n", _slice_of("edges").alias("slice"))
     totals = sliced.groupBy("slice").agg(F.sum("n").alias("rows"))
     # At most ``cuts`` rows here: these windows are over slices, not over data.
     everything = Window.partitionBy(F.lit(1))
     before = everything.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     placed = totals.withColumns({"start": F.coalesce(F.sum("rows").over(before), F.lit(0)), "total": F.sum("rows").over(everything)})
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), ((F.col("total") - 1) * F.lit(float(p))).alias("at")) for p in probabilities])
-    low, high = F.floor("at"), F.ceil("at")
-    hit = (F.col("start") <= high) & (low < F.col("start") + F.col("rows"))
-    near = placed.select("slice", "start", "rows", F.inline(wanted)).filter(hit).select("p", "at", "slice", "start")
-    inner = Window.partitionBy("p", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = near.join(sliced, "slice").withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(inner), F.lit(0)))
+    near = placed.select("slice", "start", "rows", F.inline(wanted)).filter(_holds_position()).select("p", "at", "slice", "start")
+    rows = _narrow(sliced.join(F.broadcast(near), "slice"), ["p", "slice"], "fine", cuts)
+    inner = Window.partitionBy("p", "slice", "fine").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(inner), F.lit(0)))
 
     def at_rank(rank: Column) -> Column:
         return F.max(F.when((F.col("first") <= rank) & (rank < F.col("first") + F.col("n")), F.col("v")))
 
-    ends = ranked.groupBy("p", "at").agg(at_rank(low).alias("a"), at_rank(high).alias("b"))
+    ends = ranked.groupBy("p", "at").agg(at_rank(F.floor("at")).alias("a"), at_rank(F.ceil("at")).alias("b"))
     return ends.select("p", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))).alias("value"))
 
 

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.operators.joins import enrich
+
 # Path patterns left out by default. They are searched for anywhere in the relative path.
 DEFAULT_EXCLUDES = [
     r"\.git", r"\.hg", r"\.svn", r"\.mypy_cache", r"\.ruff_cache", r"\.venv", r"\.env", r"__pycache__",
@@ -206,9 +208,11 @@ def tree_order(path: Column, node_type: Column) -> Column:
     return F.array_join(F.concat(folders, F.array(leaf)), "\x01")
 
 
-def tree_lines(nodes: DataFrame, roots: list[str] | None = None) -> DataFrame:
+def tree_lines(nodes: DataFrame, roots: list[str] | None = None, salt: int | None = None) -> DataFrame:
     """``(root, sort_key, line)``; with several ``roots`` each tree hangs below a node named after its root.
 
+    ``salt`` spreads the entries of one huge folder over that many tasks.
+
     The last child of a folder is an aggregate, not a window, so one huge flat folder is not sorted in one task.
     The indent of a folder needs its ancestors only; files pick it up with one join on their parent.
     """
@@ -234,7 +238,7 @@ def tree_lines(nodes: DataFrame, roots: list[str] | None = None) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("depth", "piece"))).alias("p")
     ).select("root", F.col("path").alias("parent"), F.array_join(F.col("p.piece"), "").alias("indent"))
     context = last.join(indents, ["root", "parent"], "left")
-    joined = nodes.join(context, ["root", "parent"])
+    joined = enrich(nodes, context, ["root", "parent"], ["last", "indent"], salt=salt)
     mark = F.when(is_last(""), "└── ").otherwise("├── ")
     shown = F.when(F.col("is_included"), F.col("name")).otherwise(F.concat("name", F.lit(" (excluded)")))
     line = F.concat(F.coalesce("indent", F.lit("")), mark, shown)

@@ -56,6 +56,17 @@ def test_issue_counts_do_not_unfold_rows(spark):
     assert "CHAMPS_CONCERNES" not in text
 
 
+def test_follow_up_joins_on_the_partitioning_of_its_distinct(spark):
+    d = Data(spark, FOLDER)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checks = evaluated(d).select("_SITE_KEY", "_ISSUE_CODES")
+        text = plan(quality.follow_up(checks, checks))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(site_key") == 2
+
+
 def test_premiums_combine_before_the_exchange(spark):
     detail = Data(spark, FOLDER).premium_detail.withColumns({"network": F.lit("1"), "channel": F.lit("main")})
     assert "partial_sum" in plan(premiums.premiums(detail, 1998)).split("Exchange hashpartitioning")[1]

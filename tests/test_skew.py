@@ -60,6 +60,7 @@ def test_one_huge_folder(shuffled):
     assert lines.count() == 5000 + 7 + 1
     assert "Window" not in lines._jdf.queryExecution().executedPlan().toString()
     shown = [r.line for r in lines.orderBy("sort_key").collect()]
+    assert [r.line for r in corpus.tree_lines(nodes, salt=8).orderBy("sort_key").collect()] == shown
     assert shown[0] == "└── a" and shown[1] == "    ├── 0" and shown[-1] == "    └── 04998"
 
 
@@ -67,3 +68,22 @@ def test_broadcast_only_after_counting(shuffled):
     left, ref = hot(shuffled), shuffled.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     plan = lambda limit: joins.enrich(left, joins.bounded(ref, limit), ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan(100) and "BroadcastHashJoin" not in plan(99)
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    from gristmill.operators.profile import describe, quantiles
+
+    rng = np.random.default_rng(5)
+    samples = {
+        "spread": rng.normal(size=20000).round(3).tolist(), "one hot value": [0.0] * 7000 + rng.normal(size=13000).tolist(), "few": [1.0, 2.0, 4.0],
+        "single": [5.0], "constant": [3.0] * 50, "two": [1.0, 2.0],
+    }
+    for name, values in samples.items():
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(8)
+        got = {r.p: r.value for r in quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0], cuts=20).collect()}
+        assert got == pytest.approx({p: float(np.quantile(values, p)) for p in got}), name
+        assert len(got) == 5
+    summary = {r.statistic: r.value for r in describe(df, "x").collect()}
+    assert summary["count"] == 2 and summary["50%"] == 1.5 and summary["max"] == 2.0
