@@ -209,7 +209,7 @@ def tree_order(path: Column, node_type: Column) -> Column:
 
 
 def tree_lines(nodes: DataFrame, roots: list[str] | None = None, salt: int | None = None) -> DataFrame:
-    """``(root, sort_key, line)``; with several ``roots`` each tree hangs below a node named after its root.
+    """``(root, sort_key, line)``; with ``roots`` each tree hangs below a node named after its root, in that order.
 
     ``salt`` spreads the entries of one huge folder over that many tasks.
 
@@ -243,7 +243,7 @@ def tree_lines(nodes: DataFrame, roots: list[str] | None = None, salt: int | Non
     shown = F.when(F.col("is_included"), F.col("name")).otherwise(F.concat("name", F.lit(" (excluded)")))
     line = F.concat(F.coalesce("indent", F.lit("")), mark, shown)
     order = tree_order(F.col("path"), F.col("node_type"))
-    if not roots or len(roots) < 2:
+    if not roots:
         return joined.select("root", order.alias("sort_key"), line.alias("line"))
     last_root = F.col("root") == roots[-1]
     below = joined.select("root", order.alias("sort_key"), F.concat(F.when(last_root, "    ").otherwise("│   "), line).alias("line"))
@@ -255,37 +255,70 @@ def tree_lines(nodes: DataFrame, roots: list[str] | None = None, salt: int | Non
 
 # --- report ----------------------------------------------------------------------------------------------------
 
-def report_lines(texts: DataFrame, nodes: DataFrame, summary: DataFrame, branch: str = "main", seconds: float = 0.0) -> DataFrame:
-    """The report as ordered text blocks ``(root, section, sort_key, text)``; a block has no trailing line end."""
-    thousands = F.format_string("%.1fk", F.col("tokens") / 1000)
-    head = F.concat(
-        F.lit("# Project Summary\nRepository: "), "root", F.lit(f"\nBranch: {branch}\nFiles analyzed: "), F.col("files").cast("string"),
+def _summary_text(where: Column, branch: str, seconds: float) -> Column:
+    thousands = F.format_string("%.1fk", F.coalesce("tokens", F.lit(0)) / 1000)
+    return F.concat(
+        F.lit("# Project Summary\n"), where, F.lit(f"\nBranch: {branch}\nFiles analyzed: "), F.coalesce("files", F.lit(0)).cast("string"),
         F.lit("\nEstimated tokens: "), thousands, F.lit(f"\nAnalysis time: {seconds:.2f} seconds\n\n# Directory Structure\n\n```"),
     )
-    top = summary.select("root", F.lit(0).alias("section"), F.lit("").alias("sort_key"), head.alias("text"))
-    tree = tree_lines(nodes).select("root", F.lit(1).alias("section"), "sort_key", F.col("line").alias("text"))
-    middle = summary.select("root", F.lit(2).alias("section"), F.lit("").alias("sort_key"), F.lit("```\n\n# Files Content\n").alias("text"))
-    block = F.concat(
-        F.lit("## "), "path", F.lit("\n\n```"), fence_language(F.col("path")), F.lit("\n"), "content", F.lit("\n```\n")
+
+
+def _file_block() -> Column:
+    return F.concat(F.lit("## "), "path", F.lit("\n\n```"), fence_language(F.col("path")), F.lit("\n"), "content", F.lit("\n```\n"))
+
+
+_AFTER_TREE = "```\n\n# Files Content\n"
+
+
+def _section(df: DataFrame, root, number: int, key, text: Column) -> DataFrame:
+    return df.select(root.alias("root"), F.lit(number).alias("section"), key.alias("sort_key"), text.alias("text"))
+
+
+def report_lines(texts: DataFrame, nodes: DataFrame, summary: DataFrame, branch: str = "main", seconds: float = 0.0) -> DataFrame:
+    """One report per root as ordered text blocks ``(root, section, sort_key, text)``; a block has no trailing line end."""
+    root, first = F.col("root"), F.lit("")
+    where = F.concat(F.lit("Repository: "), "root")
+    return (
+        _section(summary, root, 0, first, _summary_text(where, branch, seconds))
+        .unionByName(_section(tree_lines(nodes), root, 1, F.col("sort_key"), F.col("line")))
+        .unionByName(_section(summary, root, 2, first, F.lit(_AFTER_TREE)))
+        .unionByName(_section(texts, root, 3, tree_order(F.col("path"), F.lit("file")), _file_block()))
+    )
+
+
+def combined_report_lines(
+    texts: DataFrame, nodes: DataFrame, summary: DataFrame, roots: list[str], branch: str = "main", seconds: float = 0.0
+) -> DataFrame:
+    """One report over all ``roots`` in their order, in the same blocks, under the root name ``all``."""
+    everything, first = F.lit("all"), F.lit("")
+    where = F.lit("## Repositories\n" + "\n".join(f"- {root}" for root in roots))
+    place = F.lpad(F.array_position(F.array(*[F.lit(root) for root in roots]), F.col("root")).cast("string"), 9, "0")
+
+    def key(inner: Column) -> Column:
+        return F.concat(place, F.lit("\x01"), inner)
+
+    total = corpus_total(summary)
+    return (
+        _section(total, everything, 0, first, _summary_text(where, branch, seconds))
+        .unionByName(_section(tree_lines(nodes, roots), everything, 1, key(F.col("sort_key")), F.col("line")))
+        .unionByName(_section(total, everything, 2, first, F.lit(_AFTER_TREE)))
+        .unionByName(_section(texts, everything, 3, key(tree_order(F.col("path"), F.lit("file"))), _file_block()))
     )
-    order = tree_order(F.col("path"), F.lit("file"))
-    body = texts.select("root", F.lit(3).alias("section"), order.alias("sort_key"), block.alias("text"))
-    return top.unionByName(tree).unionByName(middle).unionByName(body)
 
 
-def inventory(files: DataFrame, load=None, max_kb: int = 50, **rules) -> dict[str, DataFrame]:
+def inventory(files: DataFrame, load=None, max_kb: int = 50, roots: list[str] | None = None, **rules) -> dict[str, DataFrame]:
     """Everything about a corpus: ``texts``, ``nodes`` (with ``is_ingested``), ``summary``, ``total`` and ``report``.
 
-    The other results are derived from ``texts``; to use several of them on raw files, write ``texts`` once and pass the
-    table to :func:`corpus_summary`, :func:`tree_nodes` and :func:`report_lines`, so that files are opened only once.
+    ``roots`` asks for the combined report in that order, else there is one per root. The other results are derived from
+    ``texts``; to use several of them on raw files, write ``texts`` once and pass the table to :func:`corpus_summary`,
+    :func:`tree_nodes` and :func:`report_lines`, so that files are opened only once.
     """
     include, exclude = path_rules(**rules)
     texts = read_texts(files, include, exclude, max_kb, load)
     nodes = tree_nodes(files, include, exclude)
-    summary = corpus_summary(texts)
+    # A root whose files were all rejected still has its line, with zeros.
+    summary = files.select("root").distinct().join(corpus_summary(texts), "root", "left").fillna(0, ["files", "tokens"])
     read = texts.select("root", "path", F.lit(True).alias("is_ingested"))
     marked = nodes.join(read, ["root", "path"], "left").withColumn("is_ingested", F.coalesce("is_ingested", F.lit(False)))
-    return {
-        "texts": texts, "nodes": marked, "summary": summary, "total": corpus_total(summary),
-        "report": report_lines(texts, nodes, summary),
-    }
+    report = combined_report_lines(texts, nodes, summary, roots) if roots else report_lines(texts, nodes, summary)
+    return {"texts": texts, "nodes": marked, "summary": summary, "total": corpus_total(summary), "report": report}

@@ -106,10 +106,24 @@ def test_two_roots(spark, tmp_path):
     roots = [str(tmp_path / "one"), str(tmp_path / "two")]
     result = corpus.inventory(trees.scan_tree(spark, roots), load=trees.with_content)
     assert {(r.root, r.content) for r in result["texts"].collect()} == {(roots[0], "one"), (roots[1], "two")}
+    shown = corpus.inventory(trees.scan_tree(spark, roots), load=trees.with_content, roots=roots)["report"].orderBy("section", "sort_key").collect()
+    assert "\n".join(r.text for r in shown) + "\n" == (
+        f"# Project Summary\n## Repositories\n- {roots[0]}\n- {roots[1]}\nBranch: main\nFiles analyzed: 2\nEstimated tokens: 0.0k\n"
+        "Analysis time: 0.00 seconds\n\n# Directory Structure\n\n```\n├── one\n│   └── d\n│       └── same.txt\n└── two\n    └── d\n        └── same.txt\n"
+        "```\n\n# Files Content\n\n## d/same.txt\n\n```txt\none\n```\n\n## d/same.txt\n\n```txt\ntwo\n```\n\n"
+    )
     lines = corpus.tree_lines(result["nodes"], roots).orderBy("root", "sort_key").collect()
     assert [r.line for r in lines] == ["├── one", "│   └── d", "│       └── same.txt", "└── two", "    └── d", "        └── same.txt"]
 
 
+def test_root_without_texts_is_counted(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "x.bin").write_bytes(b"\xff\xff")
+    result = corpus.inventory(trees.scan_tree(spark, [str(tmp_path / "r")]), load=trees.with_content)
+    assert [(r.files, r.tokens) for r in result["summary"].collect()] == [(0, 0)]
+    assert result["report"].filter("section = 0").first().text.count("Files analyzed: 0") == 1
+
+
 def test_text_test_matches_python(spark):
     head = b"a" * 8190
     contents = {
