@@ -163,16 +163,16 @@ def corpus_report(d: Data) -> DataFrame:
     return lines.select("section", "text")
 
 
-_ROOTED = f"""WITH p AS (SELECT source AS root, CAST(doc_id AS STRING) || '.txt' AS f FROM documents WHERE source IN ('src0', 'src1', 'src2')), m AS (SELECT root, max(f) AS last_f FROM p GROUP BY 1)
-SELECT root, CASE root WHEN 'src1' THEN '    ' ELSE '│   ' END || CASE WHEN f = last_f THEN '└── ' ELSE '├── ' END || f AS line FROM p JOIN m USING (root)
-UNION ALL SELECT root, CASE root WHEN 'src1' THEN '└── ' ELSE '├── ' END || root FROM m"""
+_ROOTED = f"""WITH p AS (SELECT source AS root, CAST(doc_id AS STRING) || '.txt' AS f FROM documents), m AS (SELECT root, max(f) AS last_f FROM p GROUP BY 1)
+SELECT root, CASE root WHEN 'src19' THEN '    ' ELSE '│   ' END || CASE WHEN f = last_f THEN '└── ' ELSE '├── ' END || f AS line FROM p JOIN m USING (root)
+UNION ALL SELECT root, CASE root WHEN 'src19' THEN '└── ' ELSE '├── ' END || root FROM m"""
 
 
 @query("corpus_tree_of_roots", _ROOTED)
 def corpus_tree_of_roots(d: Data) -> DataFrame:
-    """Three sources as roots, printed in a given order."""
-    roots = ["src2", "src0", "src1"]
-    texts = corpus_from_table(d.documents, "doc_id", "source", "text").filter(F.col("root").isin(roots))
+    """The twenty sources as roots, printed in a given order."""
+    roots = [f"src{i}" for i in range(20)]
+    texts = corpus_from_table(d.documents, "doc_id", "source", "text")
     files = texts.select("root", F.concat(F.col("path").cast("string"), F.lit(".txt")).alias("path"), "size")
     return corpus.tree_lines(corpus.tree_nodes(files, [], []), roots).select("root", "line")
 

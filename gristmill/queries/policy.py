@@ -163,7 +163,7 @@ def policy_book_totals(d: Data) -> DataFrame:
 
 # --- legacy channel --------------------------------------------------------------------------------------------
 
-_L0 = f"""l0 AS (SELECT l.*, CASE WHEN c_custkey IS NOT NULL THEN 0 ELSE 1 END AS kept FROM @legacy l LEFT JOIN customer ON CAST(c_custkey AS STRING) = policy AND c_custkey % 10 = 0
+_L0 = f"""l0 AS (SELECT l.*, CASE WHEN c_custkey IS NOT NULL THEN 0 ELSE 1 END AS kept FROM @legacy l LEFT JOIN customer ON CAST(c_custkey AS STRING) = policy AND c_mktsegment = 'HOUSEHOLD'
   WHERE intermediary <> '3' AND policy <> '17' AND NOT (duration_code = '00' AND product NOT IN ('L00', 'L01')) AND "end" IS DISTINCT FROM effective AND (coalesce(site_state <> 'MIG', true) OR state = 'R'))"""
 _L1 = f"""{_L0}, l1 AS (SELECT * REPLACE (CASE WHEN coalesce("end" > expiry, "end" IS NOT NULL) AND state IN ('X', 'R') THEN "end" ELSE expiry END AS expiry),
     CAST({_gt('effective', END)} AS INT) AS na, CAST({_gt('"end"', END)} AS INT) AS ca, duration_code = '01' AND final_end IS NULL AND term IS NOT NULL AND term < DATE '1997-06-01' AS lapsed FROM l0),
@@ -180,7 +180,7 @@ _L4 = f"""{_L1}, l4 AS (SELECT *, state = 'R' AND product <> 'L02' AND kept = 1
 
 
 def _migrated(d: Data) -> DataFrame:
-    return d.customer.filter("c_custkey % 10 = 0").select(F.col("c_custkey").cast("string").alias("policy"))
+    return d.customer.filter("c_mktsegment = 'HOUSEHOLD'").select(F.col("c_custkey").cast("string").alias("policy"))
 
 
 def legacy_dated(d: Data) -> DataFrame:
@@ -281,18 +281,18 @@ def book_risk_fill(d: Data) -> DataFrame:
     return out.select("policy_no", "work_text", *[F.col(c).cast("string").alias(c) for c in ("opened", "received")])
 
 
-@query("book_client_details", """SELECT p.policy_no, coalesce(a.v, b.v) AS company_no FROM @policies p LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_mktsegment AS v FROM customer WHERE c_custkey % 2 = 0) a ON a.k = client_no
+@query("book_client_details", """SELECT p.policy_no, coalesce(a.v, b.v) AS company_no FROM @policies p LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_mktsegment AS v FROM customer WHERE c_mktsegment <> 'MACHINERY') a ON a.k = client_no
 LEFT JOIN (SELECT CAST(s_suppkey AS STRING) AS k, s_name AS v FROM supplier) b ON b.k = client_no""")
 def book_client_details(d: Data) -> DataFrame:
-    first = d.customer.filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("client_no"), F.col("c_mktsegment").alias("company_no"))
+    first = d.customer.filter("c_mktsegment <> 'MACHINERY'").select(F.col("c_custkey").cast("string").alias("client_no"), F.col("c_mktsegment").alias("company_no"))
     third = d.supplier.select(F.col("s_suppkey").cast("string").alias("client_no"), F.col("s_name").alias("company_no"))
     return consolidate.client_details(d.policies, first, third, ["company_no"]).select("policy_no", "company_no")
 
 
 @query("book_destination", """SELECT policy_no, CASE WHEN product = '2-HIGH' AND coalesce(known, '') = '' THEN CASE WHEN contains(upper(destination_text), 'HOUSE') OR contains(upper(work_text), 'COTTAGE') OR destination_text IN ('41') THEN 'Home' ELSE 'Other' END ELSE known END AS destination
-FROM @policies p LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_mktsegment AS known FROM customer WHERE c_custkey % 3 = 0) c ON k = policy_no""")
+FROM @policies p LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_mktsegment AS known FROM customer WHERE c_mktsegment = 'FURNITURE') c ON k = policy_no""")
 def book_destination(d: Data) -> DataFrame:
-    known = d.customer.filter("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("policy_no"), F.col("c_mktsegment").alias("destination"))
+    known = d.customer.filter("c_mktsegment = 'FURNITURE'").select(F.col("c_custkey").cast("string").alias("policy_no"), F.col("c_mktsegment").alias("destination"))
     rows = d.policies.withColumn("segment_2", F.col("product"))
     out = consolidate.destination(
         rows, known, "2-HIGH", {"destination_text": ["HOUSE"], "work_text": ["COTTAGE"]}, ("destination_text", ["41"]), "Home", "Other"
@@ -302,7 +302,7 @@ def book_destination(d: Data) -> DataFrame:
 
 DESTINATIONS = [Rule("contains", "HOUSE", "HOUSE"), Rule("contains", "DESK", "OFFICE"), Rule("regex", "DEP+OT", "STORE"), Rule("codes", ("41",), "HOUSE")]
 _GRADED = """(SELECT DISTINCT c_nationkey AS nk, year(o_orderdate) * 100 + 1 AS period FROM {orders} JOIN {customer} ON c_custkey = o_custkey
-  WHERE (year(o_orderdate) + c_nationkey) % 5 <> 0)"""
+  WHERE o_orderstatus <> 'P')"""
 _GRADED_SQL = _GRADED.format(orders="orders", customer="customer")
 
 
@@ -314,10 +314,10 @@ def _grades(d: Data) -> DataFrame:
 
 
 @query("book_activity_codes", f"""WITH g AS {_GRADED_SQL}, c0 AS (SELECT p.*, CASE WHEN market = 'A' THEN coalesce(a.v, b.v) END AS s0, CASE WHEN market = 'A' THEN CASE WHEN a.v IS NOT NULL THEN 'NATIVE' WHEN b.v IS NOT NULL THEN 'CLIENT' END END AS o0
-    FROM @policies p LEFT JOIN (SELECT CAST(n_nationkey AS STRING) AS k, CAST(n_regionkey AS STRING) AS v FROM nation) a ON a.k = p.activity LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, CAST(c_nationkey AS STRING) AS v FROM customer WHERE c_custkey % 3 = 0) b ON b.k = p.client_no),
+    FROM @policies p LEFT JOIN (SELECT CAST(n_nationkey AS STRING) AS k, CAST(n_regionkey AS STRING) AS v FROM nation) a ON a.k = p.activity LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, CAST(c_nationkey AS STRING) AS v FROM customer WHERE c_mktsegment = 'FURNITURE') b ON b.k = p.client_no),
   c1 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N4' THEN CASE WHEN product = '3-MEDIUM' AND s0 IS NOT NULL THEN NULL WHEN product = '1-URGENT' THEN 'SALE' WHEN contains(upper(destination_text), 'HOUSE') THEN 'HOUSE'
       WHEN contains(upper(destination_text), 'DESK') THEN 'OFFICE' WHEN regexp_matches(upper(destination_text), 'DEP+OT') THEN 'STORE' WHEN destination_text = '41' THEN 'HOUSE' WHEN s0 IS NULL THEN 'OTHER' END END AS dc FROM c0),
-  c2 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N1' AND CAST(activity AS INT) % 2 = 0 AND CAST(activity AS INT) < 25 THEN CAST((CAST(activity AS INT) * 3) % 25 AS STRING) END AS rc,
+  c2 AS (SELECT *, CASE WHEN market = 'A' AND nature = 'N1' AND CAST(activity AS INT) < 25 THEN CAST((CAST(activity AS INT) * 3) % 25 AS STRING) END AS rc,
       CASE WHEN market = 'A' AND nature = 'N4' THEN CASE dc WHEN 'HOUSE' THEN '11' WHEN 'OFFICE' THEN '12' WHEN 'STORE' THEN '13' WHEN 'SALE' THEN '14' END END AS sc FROM c1)
 SELECT policy_no, coalesce(rc, sc, s0) AS sector_code, CASE WHEN rc IS NOT NULL THEN 'ACTIVITY' WHEN sc IS NOT NULL THEN 'DESTINATION' ELSE o0 END AS sector_origin, dc AS destination_class,
   CASE WHEN rc IS NOT NULL THEN 'i' || activity WHEN sc IS NOT NULL THEN 'd' || dc ELSE product END AS industry_code, CAST((nk + period) % 7 AS INT) AS hazard_fire, CAST((nk + 6 + period) % 7 AS INT) AS hazard_damage
@@ -325,8 +325,8 @@ FROM c2 LEFT JOIN (SELECT * FROM g WHERE period = (SELECT max(period) FROM g WHE
 def book_activity_codes(d: Data) -> DataFrame:
     key = F.col("n_nationkey")
     native = d.nation.select(key.cast("string").alias("k"), F.col("n_regionkey").cast("string").alias("v"))
-    client = d.customer.filter("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("k"), F.col("c_nationkey").cast("string").alias("v"))
-    running = d.nation.filter("n_nationkey % 2 = 0").select(
+    client = d.customer.filter("c_mktsegment = 'FURNITURE'").select(F.col("c_custkey").cast("string").alias("k"), F.col("c_nationkey").cast("string").alias("v"))
+    running = d.nation.select(
         key.cast("string").alias("activity"), (key * 3 % 25).cast("string").alias("sector_code"), F.concat(F.lit("i"), key.cast("string")).alias("industry_code")
     )
     kinds = F.array(*[F.struct(F.lit(c).alias("destination_class"), F.lit(s).alias("sector_code")) for c, s in (("HOUSE", "11"), ("OFFICE", "12"), ("STORE", "13"), ("SALE", "14"))])
@@ -538,12 +538,13 @@ def control_movement_gaps(d: Data) -> DataFrame:
 
 def _perturbed(d: Data) -> tuple[DataFrame, DataFrame]:
     a = d.orders.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
-    b = a.filter("o_orderkey % 501 <> 500").withColumn("amount", F.when(F.col("o_orderkey") % 100 == 7, F.col("amount") + 1).otherwise(F.col("amount")))
+    changed = (F.col("o_orderstatus") == "P") & (F.col("amount") > 400000)
+    b = a.filter("amount > 5000").withColumn("amount", F.when(changed, F.col("amount") + 1).otherwise(F.col("amount")))
     return a, b
 
 
 _PAIR = """a AS (SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18, 2)) AS amount FROM orders),
-  b AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 100 = 7 THEN amount + 1 ELSE amount END AS amount FROM a WHERE o_orderkey % 501 <> 500)"""
+  b AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' AND amount > 400000 THEN amount + 1 ELSE amount END AS amount FROM a WHERE amount > 5000)"""
 
 
 @query("parity_totals", f"""WITH {_PAIR}, x AS (SELECT o_orderstatus, count(*) AS r, sum(amount) AS s FROM a GROUP BY 1), y AS (SELECT o_orderstatus, count(*) AS r, sum(amount) AS s FROM b GROUP BY 1)
@@ -566,15 +567,14 @@ _PRODUCTS = """SELECT CAST(p_partkey AS STRING) AS product, p_name AS product_la
   p_brand AS segment_label, CAST(p_size % 5 AS STRING) AS sub_segment, p_type AS sub_segment_label FROM {part}"""
 
 
-@query("segmentation_reference", f"""WITH pr AS ({_PRODUCTS.format(part='part')}), st AS (SELECT *, '1' AS network FROM pr WHERE CAST(product AS INT) % 2 = 0 UNION ALL SELECT *, '3' FROM pr WHERE CAST(product AS INT) % 3 = 0)
+@query("segmentation_reference", f"""WITH pr AS ({_PRODUCTS.format(part='part')}), st AS (SELECT *, '1' AS network FROM pr WHERE sub_segment <> '0' UNION ALL SELECT *, '3' FROM pr WHERE segment_code <> '1')
 SELECT st.network, st.product, coalesce(s_name, product_label) AS product_label, market || '_' || market_label AS market_text, segment_code || '_' || segment_label AS segment_text, n_name AS product_type
-FROM st LEFT JOIN nation ON CAST(n_nationkey AS STRING) = product LEFT JOIN supplier ON CAST(s_suppkey AS STRING) = product AND s_suppkey % 2 = 0 WHERE market = 'A'""")
+FROM st LEFT JOIN nation ON CAST(n_nationkey AS STRING) = product LEFT JOIN supplier ON CAST(s_suppkey AS STRING) = product AND s_acctbal > 4000 WHERE market = 'A'""")
 def segmentation_reference(d: Data) -> DataFrame:
     products = d.sql(_PRODUCTS)
-    number = F.col("product").cast("int")
     types = d.nation.select(F.col("n_nationkey").cast("string").alias("product"), F.col("n_name").alias("product_type"), F.lit("s").alias("segment"), F.lit("t").alias("segment_3"))
-    labels = d.supplier.filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("product"), F.col("s_name").alias("product_label"))
-    networks = {"1": (products.filter(number % 2 == 0), ["product_label"]), "3": (products.filter(number % 3 == 0), ["product_label"])}
+    labels = d.supplier.filter("s_acctbal > 4000").select(F.col("s_suppkey").cast("string").alias("product"), F.col("s_name").alias("product_label"))
+    networks = {"1": (products.filter("sub_segment <> '0'"), ["product_label"]), "3": (products.filter("segment_code <> '1'"), ["product_label"])}
     out = segmentation.segmentation(networks, types, labels, ["A"])
     return out.select("network", "product", "product_label", "market_text", "segment_text", "product_type")
 
@@ -608,7 +608,7 @@ TYPES = segmentation.TypeCodes(
     unusable_activities=["GROUP"], defaults={"works": "T1", "damage": "D1"}, fallback="Other", forced_products={"5-LOW": "Firms"}, ten_year_label="ten years",
     ten_year_type="Craft", ten_year_sub_segment="7",
 )
-_LINES = """SELECT CAST(o_orderkey AS STRING) AS policy, o_orderkey AS line_no, o_orderpriority AS product, CASE o_orderkey % 5 WHEN 0 THEN ' ' WHEN 1 THEN 'a1' WHEN 2 THEN 'a4' WHEN 3 THEN 'a7' END AS market_code,
+_LINES = """SELECT CAST(o_orderkey AS STRING) AS policy, o_orderkey AS line_no, o_orderstatus AS order_status, o_orderpriority AS product, CASE o_orderkey % 5 WHEN 0 THEN ' ' WHEN 1 THEN 'a1' WHEN 2 THEN 'a4' WHEN 3 THEN 'a7' END AS market_code,
   CASE o_orderkey % 3 WHEN 0 THEN 'f1' WHEN 1 THEN 'f4' END AS formula, CASE o_orderkey % 4 WHEN 0 THEN 'c1' WHEN 1 THEN 'c2' END AS nature_code FROM {orders}"""
 _ACTIVE = f"""(SELECT policy, CASE WHEN product = '3-MEDIUM' AND nature_code = 'c1' THEN 'GROUP' WHEN product = '3-MEDIUM' AND nature_code = 'c2' THEN 'SINGLE' WHEN product = '1-URGENT' AND m = 'a7' THEN 'DEALER' WHEN product = '2-HIGH' AND m = 'a7' THEN 'DEALER'
   WHEN product IN ('1-URGENT', '2-HIGH') AND m = '' AND formula IN ('f1', 'f2') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m IN ('a2', 'a3', 'a4') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m = 'a1' THEN 'CRAFT' END AS activity,
@@ -645,7 +645,7 @@ def segmentation_product_type(d: Data) -> DataFrame:
 @query("segmentation_legacy", f"""WITH lk AS (SELECT DISTINCT o_orderpriority AS product, 'g' || substr(o_orderpriority, 1, 1) AS segment, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'ten years' WHEN '4' THEN 'works' ELSE 'none' END AS label, substr(o_orderpriority, 3, 1) AS sub FROM orders WHERE o_orderpriority <> '3-MEDIUM'),
   mk AS (SELECT policy, CASE WHEN a + b + c = 1 THEN CASE WHEN a = 1 THEN 'a1 a2' WHEN b = 1 THEN 'a4' ELSE 'a8 a9' END END AS mg FROM (SELECT CAST(l_orderkey AS STRING) AS policy,
     max(CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END) AS a, max(CASE WHEN l_linenumber = 2 THEN 1 ELSE 0 END) AS b, max(CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END) AS c FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linenumber <= 3 GROUP BY 1) t),
-  ln AS (SELECT l.policy, l.product, formula, coalesce(nullif(trim(market_code), ''), mg, '') AS m FROM ({_LINES.format(orders='orders')}) l JOIN lk ON lk.product = l.product LEFT JOIN mk ON mk.policy = l.policy WHERE line_no % 3 <> 2),
+  ln AS (SELECT l.policy, l.product, formula, coalesce(nullif(trim(market_code), ''), mg, '') AS m FROM ({_LINES.format(orders='orders')}) l JOIN lk ON lk.product = l.product LEFT JOIN mk ON mk.policy = l.policy WHERE order_status <> 'P'),
   ac AS (SELECT policy, CASE WHEN product = '1-URGENT' AND m = 'a7' THEN 'DEALER' WHEN product = '2-HIGH' AND m = 'a7' THEN 'DEALER' WHEN product IN ('1-URGENT', '2-HIGH') AND m = '' AND formula IN ('f1', 'f2') THEN 'FIRM'
     WHEN product IN ('1-URGENT', '2-HIGH') AND m IN ('a2', 'a3', 'a4') THEN 'FIRM' WHEN product IN ('1-URGENT', '2-HIGH') AND m = 'a1' THEN 'CRAFT' END AS activity FROM ln),
   ty AS (SELECT CAST(o_orderkey AS STRING) AS policy, o_orderpriority AS product, lk.segment, label, sub, CASE WHEN o_orderpriority = '5-LOW' THEN 'Firms' WHEN activity = 'CRAFT' THEN 'Craft' WHEN activity = 'FIRM' THEN 'Firms' WHEN label = 'works' THEN 'T1' ELSE 'Other' END AS product_type
@@ -659,8 +659,8 @@ def segmentation_legacy(d: Data) -> DataFrame:
         F.when(first == "1", "ten years").when(first == "4", "works").otherwise("none").alias("sub_segment_label"), F.substring(priority, 3, 1).alias("sub_segment"),
     ).distinct()
     lines = d.sql(_LINES)
-    construction = lines.filter("line_no % 3 = 0")
-    technical = lines.filter("line_no % 3 = 1")
+    construction = lines.filter("order_status = 'O'")
+    technical = lines.filter("order_status = 'F'")
     guarantees = d.lineitem.select(F.col("l_orderkey").cast("string").alias("policy"), F.col("l_linenumber").cast("string").alias("guarantee"), F.col("l_returnflag").alias("branch"))
     policies = d.orders.select(F.col("o_orderkey").cast("string").alias("policy"), priority.alias("product"), F.col("o_orderkey").alias("line_no"))
     return segmentation.legacy_segmentation(

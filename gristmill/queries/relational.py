@@ -111,11 +111,11 @@ def join_semi(d: Data) -> DataFrame:
 def _merge_sides(d: Data) -> tuple[DataFrame, DataFrame]:
     left = d.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
     totals = d.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
-    right = totals.filter("k % 3 <> 0").select("k", F.lit("from orders").alias("name"), "n")
+    right = totals.filter("n > 8").select("k", F.lit("from orders").alias("name"), "n")
     return left, right
 
 
-_RIGHT = "(SELECT o_custkey AS k, 'from orders' AS name, count(*) AS n FROM orders WHERE o_custkey % 3 <> 0 GROUP BY o_custkey)"
+_RIGHT = "(SELECT o_custkey AS k, 'from orders' AS name, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 8)"
 
 
 @query("merge_keep_left", f"SELECT c_custkey AS k, CASE WHEN r.k IS NULL THEN c_name ELSE r.name END AS name, c_mktsegment AS segment, n FROM customer LEFT JOIN {_RIGHT} r ON r.k = c_custkey")
@@ -138,10 +138,10 @@ def merge_keep_right(d: Data) -> DataFrame:
     return joins.merge_by(*_merge_sides(d), ["k"], keep="right")
 
 
-@query("join_client_coalesce", """SELECT o_orderkey, coalesce(a.v, b.v) AS client FROM orders LEFT JOIN (SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_custkey % 4 = 0) a ON a.k = o_custkey
+@query("join_client_coalesce", """SELECT o_orderkey, coalesce(a.v, b.v) AS client FROM orders LEFT JOIN (SELECT c_custkey AS k, c_name AS v FROM customer WHERE c_mktsegment = 'BUILDING') a ON a.k = o_custkey
 LEFT JOIN (SELECT s_suppkey AS k, s_name AS v FROM supplier) b ON b.k = o_custkey""")
 def join_client_coalesce(d: Data) -> DataFrame:
-    first = d.customer.filter("c_custkey % 4 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("client"))
+    first = d.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("client"))
     third = d.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("client"))
     return joins.coalesce_sources(d.orders, [first, third], {"o_custkey": "k"}, ["client"]).select("o_orderkey", "client")
 

@@ -358,7 +358,7 @@ def site_enriched_export(d: Data) -> DataFrame:
 
 def _cities(d: Data) -> DataFrame:
     """Two market segment names per postal code stand for its cities."""
-    rows = d.sites.filter("CP_SITE IS NOT NULL AND trim(CP_SITE) <> '' AND row_id % 3 <> 0")
+    rows = d.sites.filter("CP_SITE IS NOT NULL AND trim(CP_SITE) <> '' AND trim(STOCK) = '1'")
     named = rows.select(F.col("CP_SITE").alias("postal_code"), F.lower("NOM_CLI").alias("city"), F.col("row_id").alias("ordinal"))
     return named.groupBy("postal_code", "city").agg(F.min("ordinal").alias("ordinal"))
 
@@ -370,7 +370,7 @@ def exhaustive(d: Data) -> DataFrame:
 _XF, _YF = f"try_cast({_t('COORD_X_SITE')} AS DOUBLE)", f"try_cast({_t('COORD_Y_SITE')} AS DOUBLE)"
 _NO_STREET = " AND ".join(f"coalesce({_t(c)}, '') = ''" for c in ("RUE_SITE", "NUM_RUE_SITE", "ADRESSE_SITE"))
 _TECHNICAL = " OR ".join(f"coalesce({_t(c)}, '') <> ''" for c in site_exhaustive.TECHNICAL_COLUMNS)
-_FULL = f"""WITH cty AS (SELECT DISTINCT CP_SITE AS cp5, lower(NOM_CLI) AS cy FROM @sites s WHERE coalesce(trim(CP_SITE), '') <> '' AND row_id % 3 <> 0),
+_FULL = f"""WITH cty AS (SELECT DISTINCT CP_SITE AS cp5, lower(NOM_CLI) AS cy FROM @sites s WHERE coalesce(trim(CP_SITE), '') <> '' AND trim(STOCK) = '1'),
   e0 AS (SELECT s.*, {_HAS_X} AS hx, {_HAS_Y} AS hy, {_XF} AS x, {_YF} AS y, upper(coalesce({_t('PAYS_SITE')}, '')) AS cn, coalesce({_t('CP_SITE')}, '') AS cp,
     coalesce({_t('VILLE_SITE')}, '') AS vl, ({_NO_STREET}) AS nostreet, NOT ({_TECHNICAL}) AS notech FROM @sites s),
   e1 AS (SELECT e0.*, CASE WHEN cp <> '' THEN {_department('cp')} END AS dp, hx AND hy AND coalesce(x BETWEEN -180 AND 180, false) AND coalesce(y BETWEEN -90 AND 90, false) AS rdy FROM e0),
@@ -417,13 +417,13 @@ def site_technical_gap(d: Data) -> DataFrame:
 # --- follow-up, support, cities --------------------------------------------------------------------------------
 
 def _earlier(d: Data) -> DataFrame:
-    """Last month: a third of the sites had no coordinates yet, and the newest sites did not exist."""
-    missing = F.col("row_id") % 3 == 0
-    older = d.sites.filter(F.col("row_id") % 7 != 0)
+    """Last month: sites of one client had no coordinates yet, and those of another did not exist."""
+    missing = F.col("NOM_CLI") == "HOUSEHOLD"
+    older = d.sites.filter(F.col("NOM_CLI") != "MACHINERY")
     return older.withColumns({c: F.when(~missing, F.col(c)) for c in ("COORD_X_SITE", "COORD_Y_SITE")})
 
 
-_EARLIER = "(SELECT * REPLACE (CASE WHEN row_id % 3 <> 0 THEN COORD_X_SITE END AS COORD_X_SITE, CASE WHEN row_id % 3 <> 0 THEN COORD_Y_SITE END AS COORD_Y_SITE) FROM @sites s WHERE row_id % 7 <> 0)"
+_EARLIER = "(SELECT * REPLACE (CASE WHEN NOM_CLI <> 'HOUSEHOLD' THEN COORD_X_SITE END AS COORD_X_SITE, CASE WHEN NOM_CLI <> 'HOUSEHOLD' THEN COORD_Y_SITE END AS COORD_Y_SITE) FROM @sites s WHERE NOM_CLI <> 'MACHINERY')"
 
 
 @query("site_follow_up", f"""WITH cur AS ({_all()} SELECT DISTINCT site_key, code FROM (SELECT site_key, unnest([c0, c1, c2]) AS code FROM evaluated) t WHERE code IS NOT NULL),
@@ -448,15 +448,15 @@ def country_support_level(d: Data) -> DataFrame:
 def city_name_check(d: Data) -> DataFrame:
     """Part names against the names known for the same brand."""
     names = d.part.select(F.col("p_brand").alias("postal_code"), F.lower("p_name").alias("city"), F.col("p_partkey").alias("ordinal"), "p_size")
-    known = names.filter("p_size % 3 = 0").groupBy("postal_code", "city").agg(F.min("ordinal").alias("ordinal"))
-    asked = names.filter("p_size % 3 <> 0").select("postal_code", F.concat(F.col("city"), F.when(F.col("ordinal") % 2 == 0, "s").otherwise("")).alias("city"))
+    known = names.filter("p_size <= 15").groupBy("postal_code", "city").agg(F.min("ordinal").alias("ordinal"))
+    asked = names.select("postal_code", F.concat(F.col("city"), F.when(F.col("ordinal") % 2 == 0, "s").otherwise("")).alias("city"))
     checks = city_check(asked, known)
     return checks.select("postal_code", "city", "verdict", "best_city", F.round("score", 4).alias("score"))
 
 
-@query("city_name_exact", """SELECT p_brand AS postal_code, city, CASE WHEN p_brand NOT IN (SELECT p_brand FROM part WHERE p_size % 3 = 0) THEN 'unknown_postal'
-  WHEN (p_brand, city) IN (SELECT (p_brand, lower(p_name)) FROM part WHERE p_size % 3 = 0) THEN 'match' ELSE 'differs' END AS verdict
-FROM (SELECT DISTINCT p_brand, lower(p_name) || CASE WHEN p_partkey % 2 = 0 THEN 's' ELSE '' END AS city FROM part WHERE p_size % 3 <> 0) t""")
+@query("city_name_exact", """SELECT p_brand AS postal_code, city, CASE WHEN p_brand NOT IN (SELECT p_brand FROM part WHERE p_size <= 15) THEN 'unknown_postal'
+  WHEN (p_brand, city) IN (SELECT (p_brand, lower(p_name)) FROM part WHERE p_size <= 15) THEN 'match' ELSE 'differs' END AS verdict
+FROM (SELECT DISTINCT p_brand, lower(p_name) || CASE WHEN p_partkey % 2 = 0 THEN 's' ELSE '' END AS city FROM part) t""")
 def city_name_exact(d: Data) -> DataFrame:
     """The part of the city check that SQL can state: known code, exact name."""
     verdict = F.when(F.col("verdict").isin("unknown_postal", "match"), F.col("verdict")).otherwise("differs")

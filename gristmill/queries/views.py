@@ -57,7 +57,7 @@ FROM (SELECT DISTINCT CASE n_regionkey % 2 WHEN 0 THEN 'FRANCE' ELSE 'BELGIQUE'
 REGION_BOXES = """
 SELECT CASE WHEN n % 10 = 9 THEN 'ELBONIA' ELSE 'FRANCE' END AS country, lpad(CAST(n AS STRING), 2, '0') AS region_code, CAST(n % 7 - 3 AS DOUBLE) AS lon_min, CAST(42 AS DOUBLE) AS lat_min,
   CAST(n % 7 + 4 AS DOUBLE) AS lon_max, CAST(44 + n % 9 AS DOUBLE) AS lat_max
-FROM (SELECT DISTINCT c_custkey % 100 AS n FROM {customer}) t WHERE n % 4 <> 1
+FROM (SELECT DISTINCT c_custkey % 100 AS n FROM {customer}) t
 """
 
 POLICIES = """
