@@ -76,7 +76,7 @@ def _holds_position() -> Column:
     return (F.col("start") <= F.ceil("at")) & (F.floor("at") < F.col("start") + F.col("rows"))
 
 
-def quantiles(df: DataFrame, column: str, probabilities: list[float], cuts: int = 200) -> DataFrame:
+def quantiles(df: DataFrame, column: str, probabilities: list[float], cuts: int = 64) -> DataFrame:
     """Exact quantiles with linear interpolation, one row ``(p, value)`` each.
 
     Value counts are cut at approximate percentiles, twice; ranks are counted only inside the slices that hold a wanted

@@ -162,6 +162,8 @@ def test_as_of_floor(spark):
     ref = spark.createDataFrame([(202301, "a"), (202303, "b"), (202306, "c")], "period int, v string")
     assert [r.v for r in joins.as_of(ref, 202305).collect()] == ["b"]
     assert joins.as_of(ref, 202212).count() == 0
+    assert [r.v for r in joins.as_of(ref, 202212, floor=202301).collect()] == ["b"]
+    assert [r.v for r in joins.as_of(ref, 202304, floor=202301).collect()] == ["b"]
 
 
 def test_keep_first_needs_order_and_is_stable(spark):
