@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = f"{compare.TESTDATA}/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {name: entry.queries()[name] for name in entry.REGISTRY}, entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
