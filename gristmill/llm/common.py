@@ -76,3 +76,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             total += size
         if start < len(batch):
             yield batch.slice(start)
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """Breaks the partitioning of an aggregate, so that a join on it shuffles both sides and can split a hot key."""
+    return df.hint("rebalance")

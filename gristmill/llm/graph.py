@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored
-
-
-def _apart(df: DataFrame) -> DataFrame:
-    """Breaks the partitioning of an aggregate, so that a join on it shuffles both sides and can split a hot key."""
-    return df.hint("rebalance")
+from gristmill.llm.common import apart, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -29,10 +24,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while mark[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(_apart(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(apart(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = stored(large.where("a <> b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(_apart(least), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        small = large.join(apart(least), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         small = stored(small.select("e.*").where("a <> b").distinct())
         after = _mark(small)
         edges, mark, before = small, after, mark

@@ -6,13 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import simhash
+from gristmill.llm import decontaminate, packing, repeats, simhash, toxicity
 from gristmill.llm.common import table
 
 
+def op2_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_passages(table(spark, folder, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op6_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_simhash_near_duplicates,)}
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxic_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op2_repeated_passages, op3_benchmark_decontamination, op5_best_fit_packing, op6_simhash_near_duplicates, op9_toxicity,
+)}
 SQL: dict[str, str] = {}
