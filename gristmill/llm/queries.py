@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import decontaminate, packing, repeats, simhash, toxicity
+from gristmill.llm import decontaminate, extract, language, neighbours, packing, quality, repeats, simhash, toxicity, urls
 from gristmill.llm.common import table
 
 
+#: The rules of the URL query: action, host and start of the path.
+URL_RULES = [(urls.ALLOW, "com/"), (urls.BLOCK, "example.com/en/"), (urls.ALLOW, "www.example.com/en/"), (urls.BLOCK, "net/es/"), (urls.BLOCK, "net/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 def op2_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeated_passages(table(spark, folder, "documents"))
 
@@ -18,6 +26,10 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.graded_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -26,11 +38,24 @@ def op6_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages"))
+
+
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxic_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search_every(table(spark, folder, "embeddings"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_repeated_passages, op3_benchmark_decontamination, op5_best_fit_packing, op6_simhash_near_duplicates, op9_toxicity,
+    op1_url_filter, op2_repeated_passages, op3_benchmark_decontamination, op4_quality, op5_best_fit_packing, op6_simhash_near_duplicates,
+    op7_html_extraction, op8_language, op9_toxicity, op10_nearest_neighbours,
 )}
 SQL: dict[str, str] = {}
