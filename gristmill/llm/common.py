@@ -44,6 +44,21 @@ def row_id(docs: DataFrame) -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(1 << 61)))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose :func:`row_id` is not in ``keys`` (one column), all columns unchanged."""
+    name = free_name(docs, "_key")
+    bad = keys.select(keys[keys.columns[0]].alias(name)).distinct()
+    return docs.withColumn(name, row_id(docs)).join(bad, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def real_id(key: Column) -> Column:
     return F.when(key < NO_ID, key)
 

@@ -254,7 +254,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without rows that hold a benchmark window; all columns of the others unchanged."""
-    key = common.row_id(docs)
-    index = common.stored(build_index(docs.select(key.alias("key"), "text")))
-    bad = common.stored(search(index, benchmark).where(F.size("spans") > 0).select(F.col("key").alias("_key")).distinct())
-    return docs.withColumn("_key", key).join(bad, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    index = common.stored(build_index(docs.select(common.row_id(docs).alias("key"), "text")))
+    return common.without(docs, common.stored(search(index, benchmark).where(F.size("spans") > 0).select("key")))

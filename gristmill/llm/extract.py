@@ -193,12 +193,11 @@ def templates(pages: DataFrame) -> DataFrame:
     size = roles.groupBy("host").agg(F.max("pages").alias("of"))
     frequent = roles.join(common.apart(size), "host").where((F.col("pages") >= SUPPORT * F.col("of")) | (F.col("chars") > 0))
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key, pdf):
         rows = list(zip(pdf["role"], pdf["pages"], pdf["most"], pdf["vector"], pdf["chars"], pdf["linked"]))
         template, main = deduce(rows, int(pdf["of"].iloc[0]))
         return pd.DataFrame([{"host": key[0], "template": template, "main": main}])
 
-    one.__annotations__ = {}
     return frequent.groupBy("host").applyInPandas(one, "host string, template array<string>, main array<string>")
 
 

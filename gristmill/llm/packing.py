@@ -7,7 +7,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -154,7 +153,7 @@ def _step(giver, bins, fill, sizes, open_, capacity):
 
 
 def _pack(capacity: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         pdf = pdf.sort_values(["key", "piece", "ids_crc32"], kind="stable", ignore_index=True)
         sizes = pdf["length"].tolist()
         bins = local_search(best_fit(sizes, capacity), sizes, capacity)

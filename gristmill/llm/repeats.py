@@ -284,30 +284,29 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, batches: int = BATC
     return done.select(common.real_id(F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def _cut(length: int):
+def _cut(length: int, text: str, starts: str, left: str):
     def run(batches):
         for batch in batches:
             out = []
-            for text, starts in zip(batch.column("_text").to_pylist(), batch.column("_starts").to_pylist()):
-                spans = runs([(x["low"], x["high"]) for x in starts or ()], length)
+            for value, items in zip(batch.column(text).to_pylist(), batch.column(starts).to_pylist()):
+                spans = runs([(x["low"], x["high"]) for x in items or ()], length)
                 # A cut inside a character leaves broken bytes, which are dropped.
-                out.append(cut_out(text, spans).decode("utf-8", "ignore") if spans else None)
-            rest = [c for c in batch.schema.names if c not in ("_text", "_starts")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, pa.string())], [*rest, "_left"])
+                out.append(cut_out(value, spans).decode("utf-8", "ignore") if spans else None)
+            rest = [c for c in batch.schema.names if c not in (text, starts)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, pa.string())], [*rest, left])
 
     return run
 
 
 def remove_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``, every row and column kept; ``n_chars`` follows the text where there is one."""
-    keyed = docs.select("*", common.row_id(docs).alias("_key"), F.xxhash64("text").alias("_h"))
-    spans = _removed(_keyed(docs), length=length).select(F.col("key").alias("_key"), F.col("h").alias("_h"), F.col("starts").alias("_starts"))
-    met = keyed.join(spans, ["_key", "_h"], "left").drop("_key", "_h")
-    met = met.withColumn("_text", F.when(F.col("_starts").isNotNull(), F.col("text").cast("binary")))
-    schema = met.drop("_text", "_starts").schema
-    done = met.mapInArrow(_cut(length), schema.add("_left", "string"))
-    changed = F.col("_left").isNotNull()
-    out = {"text": F.when(changed, F.col("_left")).otherwise(F.col("text"))}
+    key, h, starts, value, left = (common.free_name(docs, n) for n in ("_key", "_h", "_starts", "_value", "_left"))
+    spans = _removed(_keyed(docs), length=length).select(F.col("key").alias(key), F.col("h").alias(h), F.col("starts").alias(starts))
+    met = docs.withColumns({key: common.row_id(docs), h: F.xxhash64("text")}).join(spans, [key, h], "left").drop(key, h)
+    met = met.withColumn(value, F.when(F.col(starts).isNotNull(), F.col("text").cast("binary")))
+    done = met.mapInArrow(_cut(length, value, starts, left), met.drop(value, starts).schema.add(left, "string"))
+    changed = F.col(left).isNotNull()
+    out = {"text": F.when(changed, F.col(left)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(changed, F.length("_left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        out["n_chars"] = F.when(changed, F.length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return done.select(*[out[c].alias(c) if c in out else F.col(f"`{c}`") for c in docs.columns])

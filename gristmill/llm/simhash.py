@@ -101,11 +101,10 @@ def classes(prints: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without near copies: of each component the row with the smallest id stays, all its columns unchanged.
 
-    Of rows that repeat an id, one stays: the one whose text sorts first.
+    Of rows that repeat an id, one stays: the one whose text has the smallest hash.
     """
-    key = "_key"
-    named = docs.withColumn(key, common.row_id(docs))
+    key, place = common.free_name(docs, "_key"), common.free_name(docs, "_place")
     kept = classes(common.stored(fingerprints(docs))).where("key = component").select(F.col("key").alias(key)).distinct()
-    met = named.join(kept, key)
-    n = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("text")))
-    return met.withColumn("_n", n).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    met = docs.withColumn(key, common.row_id(docs)).join(kept, key)
+    first = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("text")))
+    return met.withColumn(place, first).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

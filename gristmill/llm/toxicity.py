@@ -140,9 +140,9 @@ def _featured(ratios):
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(centre, scale, weights with the intercept last) of a logistic regression by Newton steps; no weight where a class is missing."""
+    """(centre, scale, weights with the intercept last) of a logistic regression by Newton steps; without rows nothing is ever likely."""
     if len(y) == 0:
-        return np.zeros(x.shape[1]), np.ones(x.shape[1]), np.zeros(x.shape[1] + 1)
+        return np.zeros(x.shape[1]), np.ones(x.shape[1]), np.append(np.zeros(x.shape[1]), -50.0)
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.column_stack([(x - centre) / scale, np.ones(len(x))])
     w = np.zeros(z.shape[1])
@@ -161,7 +161,7 @@ def score(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
     """Per row of (doc_id, text): key and score from 0 to 1, higher for toxic.
 
     ``labels`` has (doc_id, toxic); ``learn`` says with a Column over ``key`` which rows may teach. Of several labels of an id the larger
-    holds; null labels and ids teach nothing. Without labels of both kinds every score is that of the share of toxic ones. The models are
+    holds; null labels and ids teach nothing. Without any label every score is about zero. The models are
     counted over all documents; the calibration sees at most ``MOST_LABELLED`` labelled ones, taken by the hash of their ids.
     """
     keyed = docs.select(common.row_id(docs).alias("key"), F.col("text").cast("binary").alias("text"))
@@ -194,5 +194,4 @@ def toxic_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without rows scored as toxic; all columns of the others unchanged."""
-    bad = common.stored(score(docs, labels, teaches).where(F.col("score") >= THRESHOLD).select(F.col("key").alias("_key")).distinct())
-    return docs.withColumn("_key", common.row_id(docs)).join(bad, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return common.without(docs, common.stored(score(docs, labels, teaches).where(F.col("score") >= THRESHOLD).select("key")))
