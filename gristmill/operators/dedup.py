@@ -36,8 +36,13 @@ def first_last(df: DataFrame, by: list[str], order: str) -> DataFrame:
 
 
 def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
-    """Position of a row in file order. Take it straight after the read, before any shuffle."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Position of a row in file order: file, block of the file, row. ``df`` must come straight from a file source.
+
+    A scan sorts blocks by size and packs small files together, so the running number alone is not file order; within a
+    block it is.
+    """
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return df.withColumn(name, place)
 
 
 def site_key(contract: str, site: str, row_id: str) -> Column:

@@ -1,9 +1,10 @@
 """Joins.
 
 The joins themselves carry no broadcast hint: Spark compares the measured size of a side with
-``spark.sql.autoBroadcastJoinThreshold`` (again at run time under AQE) and shuffles beyond it. ``bounded`` is for a
-reference whose size Spark cannot estimate. A reference side that has outgrown the threshold and meets a hot key can be joined with ``salt``: the left rows of a key are spread over
-``salt`` sub-keys and the unique right row is repeated for each.
+``spark.sql.autoBroadcastJoinThreshold`` (again at run time under AQE) and shuffles beyond it. A coarse key (a day, a
+country, a product) must not deal out the large side: ``lookup`` measures the reference in bytes, broadcasts it within
+a bound and salts the join beyond it. With ``salt`` the left rows of a key, null keys too, are spread over that many
+sub-keys and the unique right row is repeated for each.
 """
 
 from __future__ import annotations
@@ -33,13 +34,29 @@ def _match(on: list[str] | dict[str, str], null_safe: bool = False) -> Column:
     return _all([same(left, right) for left, right in _pairs(on).items()])
 
 
-def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast a reference after counting at most ``max_rows + 1`` of its rows; a larger one is left to a shuffle join.
+BROADCAST_BYTES = 8 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows written as text: a job over the reference, whose columns are pruned to those given."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+
+
+def bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """``df`` to be broadcast, after measuring that it holds at most ``max_bytes``; None for a larger one."""
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else None
 
-    Worth a small job where the estimate is unknown and the join key is coarse (country, date): otherwise the large side
-    would be shuffled by that key.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+def lookup(
+    df: DataFrame, ref: DataFrame, on: list[str] | dict[str, str], cols: list[str] | dict[str, str], max_bytes: int = BROADCAST_BYTES, salt: int = 64
+) -> DataFrame:
+    """:func:`enrich` by a coarse key: the large side is not shuffled where the reference is small, and spread over ``salt`` where not."""
+    pairs, added = _pairs(on), _pairs(cols)
+    needed = assert_unique(ref.select(*dict.fromkeys([*pairs.values(), *added.keys()])), list(pairs.values()))
+    small = bounded(needed, max_bytes)
+    if small is not None:
+        return enrich(df, small, on, cols, unique=True)
+    return enrich(df, needed, on, cols, salt=salt, unique=True)
 
 
 def enrich(
@@ -51,9 +68,12 @@ def enrich(
     order: list | None = None,
     salt: int | None = None,
     null_safe: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
-    """Left join that adds ``cols`` of a reference whose key is unique (``order`` makes it so).
+    """Left join that adds ``cols`` of a reference whose key is unique.
 
+    ``order`` makes the key unique; ``unique`` says that it is by construction; else a repeated key fails the job
+    instead of multiplying rows.
     ``condition`` is an extra predicate over the left columns, written with the alias ``l``; rows that fail it
     keep NULL in the added columns.
     """
@@ -61,6 +81,8 @@ def enrich(
     if order:
         ref = keep_first(ref, list(pairs.values()), order)
     ref = ref.select(*dict.fromkeys([*pairs.values(), *added.keys()]))
+    if not order and not unique:
+        ref = assert_unique(ref, list(pairs.values()), null_safe)
     left, rule = df, _match(on, null_safe)
     if salt:
         left = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int"))
@@ -84,9 +106,13 @@ def lookup_keep(df: DataFrame, ref: DataFrame, on: list[str] | dict[str, str], c
     )
 
 
-def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Fail at run time, inside the job, if a key occurs twice; no separate counting pass on the driver."""
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in df.columns if c not in keys])
+def assert_unique(df: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """Fail at run time, inside the job, if a key occurs twice; no separate counting pass on the driver.
+
+    Rows with a null in their key match nothing and are left out, unless ``null_safe``.
+    """
+    whole = df if null_safe else df.dropna(subset=keys)
+    counted = whole.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in df.columns if c not in keys])
     guard = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"duplicate key in reference: {', '.join(keys)}"))).otherwise(F.lit(True))
     return counted.filter(guard).select(*df.columns)
 
@@ -154,7 +180,7 @@ def flag_exists(df: DataFrame, ref: DataFrame, on: list[str] | dict[str, str], n
     """1/0 column telling whether a key exists in ``ref`` (``present`` is the value for a hit)."""
     pairs = _pairs(on)
     marked = ref.select(*pairs.values()).distinct().withColumn("_hit", F.lit(True))
-    joined = enrich(df, marked, on, ["_hit"])
+    joined = enrich(df, marked, on, ["_hit"], unique=True)
     hit = F.when(F.col("_hit"), present).otherwise(1 - present)
     return joined.withColumn(name, hit).drop("_hit")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gristmill.functions.dates import anniversary
 from gristmill.functions.numbers import greatest_m, sum_m, to_full_share
 from gristmill.functions.text import contains_any
+from gristmill.operators.joins import lookup
 from gristmill.operators.setops import align, union_by_name
 
 GROUPS = 14
@@ -107,17 +108,15 @@ def index_amounts(
 
     Natures outside the indexed prefix have ratio 1; so has a policy whose effect date follows the anniversary; a
     ratio that cannot be formed leaves the amount as it is. Without ``observed`` the starting index is the stored
-    coefficient and the anniversary is counted from ``today``. Two joins on a date bring in maps by nature, so the
-    groups are never unfolded and the policies are not regrouped.
+    coefficient and the anniversary is counted from ``today``. Two lookups by day bring in maps by nature, so the groups
+    are never unfolded and the policies neither regrouped nor dealt out by day.
     """
     by_date = index_by_date(index)
     day = anniversary(F.col("anniversary_mmdd"), observed or today)
     base = df.withColumn("_anniversary", day)
-    now = by_date.select(F.col("index_date").alias("_anniversary"), F.col("by_nature").alias("_now"))
-    then = by_date.select(F.col("index_date").alias(effect), F.col("by_nature").alias("_then"))
-    joined = base.join(now, "_anniversary", "left")
+    joined = lookup(base, by_date, {"_anniversary": "index_date"}, {"by_nature": "_now"})
     if observed is not None:
-        joined = joined.join(then, effect, "left")
+        joined = lookup(joined, by_date, {effect: "index_date"}, {"by_nature": "_then"})
     early = F.col("_anniversary").isNull() & F.col(effect).isNotNull() | (F.col("_anniversary") < F.col(effect))
 
     def ratio(g: Column) -> Column:

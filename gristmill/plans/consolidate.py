@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gristmill.functions.dates import Period, anniversary_day, anniversary_month, sas_date
 from gristmill.functions.missing import in_m
 from gristmill.functions.text import blank_to_null, is_empty, strip_star
-from gristmill.operators.joins import as_of, coalesce_sources, enrich, fill_missing, join_valid_at, priority_fill
+from gristmill.operators.joins import as_of, coalesce_sources, enrich, fill_missing, join_valid_at, lookup, priority_fill
 from gristmill.operators.rules import Rule, classify_any, classify_ordered, code_label, flag_in, null_codes, override_codes
 from gristmill.operators.setops import align, union_by_name
 from gristmill.sources.tables import union_existing
@@ -142,7 +142,7 @@ def activity_codes(
         "sector_code": F.coalesce(running_code, site_code, F.col("sector_code")),
     }).drop("_running_code", "_running_industry", "_site_code", "_site_industry")
     current = as_of(grades, period.value, grades_floor)
-    return enrich(final, current, {"sector_code": "sector_code"}, {h: f"hazard_{h}" for h in HAZARDS})
+    return lookup(final, current, {"sector_code": "sector_code"}, {h: f"hazard_{h}" for h in HAZARDS})
 
 
 def global_code(
@@ -150,7 +150,7 @@ def global_code(
 ) -> DataFrame:
     """Global sector code by map, late overrides on top, and two membership flags on the intermediary."""
     cleaned = book.withColumn("industry_code", null_codes(F.col("industry_code"), dummies))
-    mapped = enrich(cleaned, ref, {"sector_code": "local_code"}, {"global_code": "sector_code_global"})
+    mapped = lookup(cleaned, ref, {"sector_code": "local_code"}, {"global_code": "sector_code_global"})
     return mapped.withColumns({
         "sector_code_global": override_codes(F.col("sector_code"), F.col("sector_code_global"), overrides),
         "is_partner": flag_in(F.col("intermediary"), partners),

@@ -6,7 +6,6 @@ Input rows are ``(root, path, size[, content])`` from :mod:`gristmill.sources.tr
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +21,6 @@ DEFAULT_EXCLUDES = [
     r"package-lock\.json", r"yarn\.lock", r"pnpm-lock\.yaml", r"Pipfile\.lock", r"uv\.lock", r"\.sqlite3?",
 ]
 ROOT_FILE = r"^[^/\\]+$"
-HEAD_BYTES = 8192
-HEAD_CHARS = 1024
-
-# An unfinished UTF-8 sequence at the end of the head, as hexadecimal: one, two or three bytes of it.
-_CUT_TAIL = [
-    r"(C[2-9A-F]|D[0-9A-F]|E[0-9A-F]|F[0-4])$",
-    r"(E[0-9A-F]|F[0-4])[89AB][0-9A-F]$",
-    r"F[0-4]([89AB][0-9A-F]){2}$",
-]
-
 
 # --- path rules ------------------------------------------------------------------------------------------------
 
@@ -75,27 +64,16 @@ def flag_included(df: DataFrame, include: list[str], exclude: list[str]) -> Data
     return df.withColumn("is_included", kept & ~matches_any(path, exclude))
 
 
-def limit_size(df: DataFrame, max_kb: int = 50) -> DataFrame:
-    return df.filter(F.col("size") <= max_kb * 1024)
+def limit_size(df: DataFrame, max_kb: int | None = None) -> DataFrame:
+    """Rows of at most ``max_kb`` kilobytes; all rows without a limit."""
+    return df if max_kb is None else df.filter(F.col("size") <= max_kb * 1024)
 
 
 # --- content ---------------------------------------------------------------------------------------------------
 
 def is_text(content: Column) -> Column:
-    """The first 8 KB decode as UTF-8; a character cut by the end of that head does not count as an error."""
-    head = F.substring(content, 1, HEAD_BYTES)
-    size = F.octet_length(head)
-    tail = F.hex(F.substring(head, -3, 3))
-
-    def decodes(bytes_: Column) -> Column:
-        return F.is_valid_utf8(bytes_.cast("string"))
-
-    cut = reduce(
-        lambda a, b: a | b,
-        [tail.rlike(pattern) & decodes(F.substr(head, F.lit(1), size - n)) for n, pattern in enumerate(_CUT_TAIL, 1)],
-    )
-    more_to_come = (F.octet_length(content) > HEAD_BYTES) | (F.char_length(F.make_valid_utf8(head.cast("string"))) > HEAD_CHARS)
-    return decodes(head) | (more_to_come & cut)
+    """All bytes decode as UTF-8, however long the file is."""
+    return F.is_valid_utf8(content.cast("string"))
 
 
 def keep_text(df: DataFrame) -> DataFrame:
@@ -126,8 +104,8 @@ def fence_language(path: Column) -> Column:
     return F.substring(extension(path), 2, 1 << 20)
 
 
-def read_texts(files: DataFrame, include: list[str], exclude: list[str], max_kb: int = 50, load=None) -> DataFrame:
-    """Included, small enough, textual files with decoded content and token estimate.
+def read_texts(files: DataFrame, include: list[str], exclude: list[str], max_kb: int | None = None, load=None) -> DataFrame:
+    """Included textual files, of at most ``max_kb`` where that is given, with decoded content and token estimate.
 
     ``load`` adds the bytes after the path and size filters, so rejected files are never opened.
     """
@@ -168,10 +146,13 @@ def by_extension(texts: DataFrame) -> DataFrame:
     )
 
 
-def approx_file_count(df: DataFrame, cap: int = 100) -> DataFrame:
-    """Exact up to ``cap``, then ``cap+``; the scan stops as soon as the answer is known."""
-    seen = df.limit(cap + 1).agg(F.count("*").alias("n"))
-    return seen.select(F.when(F.col("n") > cap, f"{cap}+").otherwise(F.col("n").cast("string")).alias("file_count"))
+def file_count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count("*").alias("files"))
+
+
+def count_label(n: Column, cap: int = 100) -> Column:
+    """A count for display: exact up to ``cap``, then ``cap+``."""
+    return F.when(n > cap, f"{cap}+").otherwise(n.cast("string"))
 
 
 # --- tree ------------------------------------------------------------------------------------------------------
@@ -208,10 +189,10 @@ def tree_order(path: Column, node_type: Column) -> Column:
     return F.array_join(F.concat(folders, F.array(leaf)), "\x01")
 
 
-def tree_lines(nodes: DataFrame, roots: list[str] | None = None, salt: int | None = None) -> DataFrame:
+def tree_lines(nodes: DataFrame, roots: list[str] | None = None, salt: int = 16) -> DataFrame:
     """``(root, sort_key, line)``; with ``roots`` each tree hangs below a node named after its root, in that order.
 
-    ``salt`` spreads the entries of one huge folder over that many tasks.
+    The entries of one huge folder are spread over ``salt`` tasks, and so are the folders below one huge top folder.
 
     The last child of a folder is an aggregate, not a window, so one huge flat folder is not sorted in one task.
     The indent of a folder needs its ancestors only; files pick it up with one join on their parent.
@@ -234,11 +215,11 @@ def tree_lines(nodes: DataFrame, roots: list[str] | None = None, salt: int | Non
     above = folders.select("root", "path", F.inline(steps))
     pieces = folders.select("root", F.col("path").alias("step"), piece.alias("piece"))
     # One row per ancestor of a folder: a group is as large as the folder is deep.
-    indents = above.join(pieces, ["root", "step"]).groupBy("root", "path").agg(
+    indents = enrich(above, pieces, ["root", "step"], ["piece"], salt=salt, unique=True).groupBy("root", "path").agg(
         F.array_sort(F.collect_list(F.struct("depth", "piece"))).alias("p")
     ).select("root", F.col("path").alias("parent"), F.array_join(F.col("p.piece"), "").alias("indent"))
     context = last.join(indents, ["root", "parent"], "left")
-    joined = enrich(nodes, context, ["root", "parent"], ["last", "indent"], salt=salt)
+    joined = enrich(nodes, context, ["root", "parent"], ["last", "indent"], salt=salt, unique=True)
     mark = F.when(is_last(""), "└── ").otherwise("├── ")
     shown = F.when(F.col("is_included"), F.col("name")).otherwise(F.concat("name", F.lit(" (excluded)")))
     line = F.concat(F.coalesce("indent", F.lit("")), mark, shown)
@@ -306,7 +287,7 @@ def combined_report_lines(
     )
 
 
-def inventory(files: DataFrame, load=None, max_kb: int = 50, roots: list[str] | None = None, **rules) -> dict[str, DataFrame]:
+def inventory(files: DataFrame, load=None, max_kb: int | None = None, roots: list[str] | None = None, **rules) -> dict[str, DataFrame]:
     """Everything about a corpus: ``texts``, ``nodes`` (with ``is_ingested``), ``summary``, ``total`` and ``report``.
 
     ``roots`` asks for the combined report in that order, else there is one per root. The other results are derived from

@@ -67,11 +67,15 @@ def scope_main(df: DataFrame, scope: MainScope) -> DataFrame:
     )
 
 
-def main_book(networks: dict[str, DataFrame], scope: MainScope, period: Period) -> DataFrame:
-    """Networks filtered, tagged and stacked."""
+def tagged_book(df: DataFrame, scope: MainScope, period: Period) -> DataFrame:
+    """One table that already names the network of each row: filtered and stamped in one pass."""
     stamp = {"period": F.lit(period.value), "year_seen": F.lit(period.year), "month_seen": F.lit(period.month), "channel": F.lit("main")}
-    parts = [scope_main(df, scope).withColumns({"network": F.lit(name), **stamp}) for name, df in networks.items()]
-    return union_by_name(*parts)
+    return scope_main(df, scope).withColumns(stamp)
+
+
+def main_book(networks: dict[str, DataFrame], scope: MainScope, period: Period) -> DataFrame:
+    """A table per network: filtered, tagged and stacked."""
+    return union_by_name(*[tagged_book(df.withColumn("network", F.lit(name)), scope, period) for name, df in networks.items()])
 
 
 def coinsurance(df: DataFrame, codes: MovementCodes) -> DataFrame:

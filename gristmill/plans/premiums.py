@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.dates import Period
 from gristmill.functions.missing import in_m, le_m, notin_m
-from gristmill.operators.joins import enrich
+from gristmill.operators.joins import lookup
 
 KEYS = ["network", "product", "policy_no", "intermediary", "main_guarantee", "guarantee", "channel", "category"]
 
@@ -81,6 +81,6 @@ def premium_job(detail: DataFrame, segments: DataFrame, period: Period, scope: P
         "network": network_of(F.col("level"), scope.networks), "channel": F.lit("main"),
     })
     totals = premiums(tagged, period.year).withColumn("period", F.lit(period.value))
-    known = enrich(totals, segments, ["product", "network"], ["market", "segment", "sub_segment"])
+    known = lookup(totals, segments, ["product", "network"], ["market", "segment", "sub_segment"])
     by_guarantee = premiums_by_guarantee(known.filter(F.col("market").isin(scope.markets)))
     return {"by_guarantee": by_guarantee, "by_policy": premiums_by_policy(by_guarantee)}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import split_codes
 from gristmill.plans.site_rules import LABELS, MODES, country_filter, evaluate_sites, join_active
 from gristmill.plans.site_severity import PRIORITIES, STATUSES
+from gristmill.sources import references, sinks, tables
 
 
 def issue_stats(evaluated: DataFrame, catalogue: dict[str, str] = LABELS) -> DataFrame:
@@ -104,3 +105,31 @@ def run_quality(
         "sites": evaluated, "issues": issue_stats(evaluated), "summary": quality_summary(evaluated, sites, active),
         "detail": anomaly_detail(evaluated),
     }
+
+
+def run_quality_files(
+    spark: SparkSession, export: str, contracts: str, countries: str, country_boxes: str, region_boxes: dict[str, str], out: str
+) -> dict[str, DataFrame]:
+    """The whole check from files to files.
+
+    ``export`` and ``contracts`` are delimited files; the sub-folders of ``countries`` that hold a file name the supported
+    countries; ``region_boxes`` has a file per country. The evaluated sites are written once, to ``out/sites``, and the
+    statistics, summary and detail (``out/issues``, ``out/summary``, ``out/detail``) come from the written table.
+    """
+    raw = tables.read_strings(spark, export, tables.SITE_COLUMNS, ordinal="row_id")
+    sites = tables.clean_country(raw)
+    listed = tables.read_strings(spark, contracts, tables.CONTRACT_COLUMNS, ordinal="ordinal")
+    # One row per folder of the reference: a handful of names.
+    supported = sorted(r.country for r in references.discover_countries(spark, countries).collect())
+    boxes = references.load_country_boxes(spark, country_boxes)
+    regions = spark.createDataFrame([], "country string, region_code string, lon_min double, lat_min double, lon_max double, lat_max double")
+    for country, path in region_boxes.items():
+        regions = regions.unionByName(references.load_region_boxes(spark, path, country))
+    active = join_active(sites, listed, ["ordinal"])
+    text_id = F.concat_ws(":", "row_id.file_path", "row_id.file_block_start", "row_id.row")
+    evaluate_sites(country_filter(active, supported).withColumn("row_id", text_id), boxes, regions).write.mode("overwrite").parquet(f"{out}/sites")
+    evaluated = spark.read.parquet(f"{out}/sites")
+    issues, summary, detail = issue_stats(evaluated), quality_summary(evaluated, sites, active), anomaly_detail(evaluated)
+    issues.write.mode("overwrite").option("header", True).csv(f"{out}/issues")
+    sinks.write_quality(summary, detail, out)
+    return {"sites": evaluated, "issues": issues, "summary": summary, "detail": detail}

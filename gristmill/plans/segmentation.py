@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gristmill.functions.missing import in_m, notin_m
 from gristmill.functions.text import blank_to_null
 from gristmill.operators.dedup import keep_first
-from gristmill.operators.joins import enrich, lookup_keep, merge_by
+from gristmill.operators.joins import enrich, lookup, lookup_keep, merge_by
 from gristmill.operators.rules import MatchRule, classify_last
 from gristmill.operators.setops import concat
 
@@ -43,8 +43,8 @@ def segmentation(networks: dict[str, tuple[DataFrame, list[str]]], types: DataFr
 def with_segment(book: DataFrame, segments: DataFrame, points: DataFrame, order: list[str | Column]) -> DataFrame:
     """Segment, product type and upper-middle flag on the book, then one row per policy."""
     renamed = {"segment": "segment_2", "product_type": "product_type_2"}
-    enriched = enrich(book, segments, {"product": "product", "network": "network"}, renamed)
-    pointed = enrich(enriched, points, ["mgmt_point"], ["upper_mid"])
+    enriched = lookup(book, segments, {"product": "product", "network": "network"}, renamed)
+    pointed = lookup(enriched, points, ["mgmt_point"], ["upper_mid"])
     return keep_first(pointed, ["policy_no"], order)
 
 

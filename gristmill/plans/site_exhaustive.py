@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import geo
 from gristmill.functions.text import is_empty, is_filled, normalize_string, number_text, safe_str, to_number, zero_fill
-from gristmill.operators.joins import enrich
+from gristmill.operators.joins import enrich, lookup
 from gristmill.plans.city_check import city_check
 from gristmill.plans.site_rules import _text, technical_gap, with_country_box
 
@@ -43,7 +43,7 @@ def _context(sites: DataFrame, boxes: DataFrame, regions: DataFrame) -> DataFram
     packed = regions.filter(F.col("country") == geo.HOME_COUNTRY).select(
         F.col("region_code").alias("_code"), geo.box_struct(*[F.col(c) for c in ("lon_min", "lat_min", "lon_max", "lat_max")]).alias("region_box")
     )
-    return enrich(located, packed, {"_department": "_code"}, ["region_box"])
+    return lookup(located, packed, {"_department": "_code"}, ["region_box"])
 
 
 def evaluate_sites_full(
@@ -51,15 +51,15 @@ def evaluate_sites_full(
 ) -> DataFrame:
     """Adds ``issues ARRAY<STRUCT<code, description, gravite>>`` and ``outcome``.
 
-    ``cities`` holds ``(postal_code, city, ordinal)``; ``salt`` spreads sites of one very frequent city. ``outcome`` is ``gps_ok``, ``gps_issue``, ``address_ok`` or
-    ``not_locatable``.
+    ``cities`` holds ``(postal_code, city, ordinal)`` and, for the texts, the original spelling as ``name``; ``salt`` spreads
+    sites of one very frequent city. ``outcome`` is ``gps_ok``, ``gps_issue``, ``address_ok`` or ``not_locatable``.
     """
     located = _context(sites, boxes, regions)
     asked = located.filter("_cp <> ''").select(F.col("_postal").alias("postal_code"), F.col("_city").alias("city"))
-    verdicts = city_check(asked, cities.select("postal_code", "city", "ordinal"))
+    verdicts = city_check(asked, cities)
     rows = enrich(
         located, verdicts, {"_postal": "postal_code", "_city": "city"},
-        {"verdict": "_verdict", "best_city": "_best", "score": "_score", "expected": "_expected"}, salt=salt,
+        {"verdict": "_verdict", "best_city": "_best", "score": "_score", "expected": "_expected"}, salt=salt, unique=True,
     )
     raw_x, raw_y, both = F.col("COORD_X_SITE"), F.col("COORD_Y_SITE"), F.col("_has_lon") & F.col("_has_lat")
     x, y = F.col("_x"), F.col("_y")

@@ -1,7 +1,7 @@
 """Site-location checks: country, then coordinates, then address.
 
-Column names are those of the site export. Boxes are joined once on country and once on region; everything after that
-is one projection, so a site never leaves its partition.
+Column names are those of the site export. Boxes are looked up once by country and once by region, from measured and
+broadcast tables; everything after that is one projection, so a site does not leave its partition.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from gristmill.functions.text import (
     number_text, parse_number, safe_str, to_number,
 )
 from gristmill.operators.dedup import keep_first, site_key
-from gristmill.operators.joins import enrich
+from gristmill.operators.joins import enrich, lookup
 
 # Issue codes, labels and texts of the reports, in catalogue order.
 LABELS = {
@@ -48,20 +48,19 @@ def join_active(
 ) -> DataFrame:
     """Sites with an active contract, plus its management point; the first active row of a contract is used.
 
-    An empty contract table means that no filter applies (decided by a one-row probe). ``normalise`` compares keys
+    An empty contract table means that no filter applies; the management point is null then. ``normalise`` compares keys
     without outer spaces and without a ``.0`` left by a float round trip. ``salt`` spreads a contract with very many
     sites over several tasks when the contracts are too many to broadcast.
     """
-    if contracts.isEmpty():
-        return sites
+    listed = contracts.limit(1).agg(F.count("*").alias("n")).scalar()
     usable = active_contracts(contracts).filter(F.col("NOPOL").isNotNull())
     left, on = sites, key
     if normalise:
         usable = usable.withColumn("NOPOL", norm_key(F.col("NOPOL")))
         left, on = sites.withColumn("_key", norm_key(F.col(key))), "_key"
     first = keep_first(usable, ["NOPOL"], order).withColumn("_active", F.lit(True))
-    joined = enrich(left, first, {on: "NOPOL"}, ["PTGST", "_active"], salt=salt)
-    return joined.filter("_active").drop("_active", "_key")
+    joined = enrich(left, first, {on: "NOPOL"}, ["PTGST", "_active"], salt=salt, unique=True)
+    return joined.filter(F.coalesce("_active", F.lit(False)) | (listed == 0)).drop("_active", "_key")
 
 
 def active_sites(sites: DataFrame) -> DataFrame:
@@ -70,8 +69,11 @@ def active_sites(sites: DataFrame) -> DataFrame:
 
 
 def country_filter(sites: DataFrame, supported: list[str] | None = None) -> DataFrame:
-    """Blank country becomes the home country when that one is supported; unsupported countries are dropped."""
-    names = [c.upper() for c in supported or [HOME]]
+    """Blank country becomes the home country when that one is supported; unsupported countries are dropped.
+
+    Without a list only the home country is supported; an empty list supports none.
+    """
+    names = [c.upper() for c in ([HOME] if supported is None else supported)]
     country = normalize_country(F.col("PAYS_SITE"))
     defaulted = F.when(country == "", F.lit(HOME if HOME in names else None)).otherwise(F.col("PAYS_SITE"))
     kept = sites.withColumn("PAYS_SITE", defaulted)
@@ -90,12 +92,12 @@ def filter_country(sites: DataFrame, countries: list[str] | None) -> DataFrame:
 
 def with_country_box(sites: DataFrame, boxes: DataFrame) -> DataFrame:
     packed = boxes.select("country", geo.box_struct(*_sides()).alias("country_box"))
-    return enrich(sites, packed, {"_country": "country"}, ["country_box"])
+    return lookup(sites, packed, {"_country": "country"}, ["country_box"])
 
 
 def with_region_box(sites: DataFrame, regions: DataFrame) -> DataFrame:
     packed = regions.select("country", "region_code", geo.box_struct(*_sides()).alias("region_box"))
-    return enrich(sites, packed, {"_country": "country", "_region": "region_code"}, ["region_box"])
+    return lookup(sites, packed, {"_country": "country", "_region": "region_code"}, ["region_box"])
 
 
 def _sides() -> list[Column]:

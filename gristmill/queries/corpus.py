@@ -23,9 +23,9 @@ def _texts(d: Data) -> DataFrame:
     return corpus.with_tokens(d.corpus)
 
 
-def _ingested(d: Data) -> DataFrame:
+def _ingested(d: Data, max_kb: int | None = None) -> DataFrame:
     flagged = corpus.flag_included(d.corpus, INCLUDE, EXCLUDE).filter("is_included")
-    return corpus.with_tokens(corpus.limit_size(flagged, 8))
+    return corpus.with_tokens(corpus.limit_size(flagged, max_kb))
 
 
 @query("corpus_include_flags", f"SELECT path, size, {_FLAG} AS is_included FROM @corpus c")
@@ -62,10 +62,16 @@ def corpus_size_limit(d: Data) -> DataFrame:
     return corpus.limit_size(d.corpus, 4).select("path", "size", size_label(F.col("size")).alias("label"))
 
 
-@query("corpus_text_only", "SELECT path FROM @corpus c")
+@query("corpus_text_only", "SELECT path, size FROM @corpus c WHERE size % 7 NOT IN (1, 2, 3, 4)")
 def corpus_text_only(d: Data) -> DataFrame:
-    """Every document is valid text, so the binary test must keep all of them."""
-    return corpus.keep_text(d.corpus.withColumn("content", F.encode("content", "UTF-8"))).select("path")
+    """Documents damaged by their size: a stray byte in front, in the middle, at the end, or a cut sequence there; the others stay text."""
+    content, bad = F.encode("content", "UTF-8"), F.unhex(F.lit("FF"))
+    kind, half = F.col("size") % 7, (F.col("size") / 2).cast("int")
+    damaged = (
+        F.when(kind == 1, F.concat(bad, content)).when(kind == 2, F.concat(content, bad)).when(kind == 3, F.concat(content, F.unhex(F.lit("E282"))))
+        .when(kind == 4, F.concat(F.substr(content, F.lit(1), half), bad, F.substr(content, half + 1))).otherwise(content)
+    )
+    return corpus.keep_text(d.corpus.withColumn("content", damaged)).select("path", "size")
 
 
 @query("corpus_decoded", "SELECT path, length(replace(replace(content, chr(13) || chr(10), chr(10)), chr(13), chr(10))) AS chars FROM (SELECT path, replace(content, '. ', '.' || chr(13) || chr(10)) AS content FROM @corpus c) t")
@@ -81,7 +87,7 @@ def corpus_token_estimates(d: Data) -> DataFrame:
 
 @query("corpus_ingested", f"SELECT path, size, CAST(floor(length(content) * 0.25) AS INT) AS tokens FROM @corpus c WHERE {_FLAG} AND size <= 8192")
 def corpus_ingested(d: Data) -> DataFrame:
-    return _ingested(d).select("path", "size", "tokens")
+    return _ingested(d, 8).select("path", "size", "tokens")
 
 
 @query("corpus_summary", "SELECT source AS root, count(*) AS files, CAST(floor(sum(length(text)) * 0.25) AS BIGINT) AS tokens FROM documents GROUP BY 1")
@@ -99,9 +105,9 @@ def corpus_by_extension(d: Data) -> DataFrame:
     return corpus.by_extension(d.corpus)
 
 
-@query("corpus_file_count_label", "SELECT CASE WHEN n > 100 THEN '100+' ELSE CAST(n AS STRING) END AS file_count FROM (SELECT count(*) AS n FROM documents) t")
+@query("corpus_file_count_label", "SELECT n AS files, CASE WHEN n > 100 THEN '100+' ELSE CAST(n AS STRING) END AS file_count FROM (SELECT count(*) AS n FROM documents) t")
 def corpus_file_count_label(d: Data) -> DataFrame:
-    return corpus.approx_file_count(d.documents)
+    return corpus.file_count(d.documents).select("files", corpus.count_label(F.col("files")).alias("file_count"))
 
 
 @query("corpus_preview", """SELECT path, CASE WHEN len(string_split(content, chr(10))) > 10 THEN array_to_string(string_split(content, chr(10))[1:10], chr(10)) || chr(10) || '[...] (content truncated)' ELSE content END AS preview
@@ -149,7 +155,7 @@ def corpus_tree_order(d: Data) -> DataFrame:
     return nodes.select("path", corpus.tree_order(F.col("path"), F.col("node_type")).alias("sort_key"))
 
 
-_TEXTS = f"(SELECT * FROM @corpus c WHERE {_FLAG} AND size <= 8192)"
+_TEXTS = f"(SELECT * FROM @corpus c WHERE {_FLAG})"
 
 
 @query("corpus_report", f"""{_LINES}, t AS {_TEXTS}, s AS (SELECT count(*) AS files, CAST(floor(sum(length(content)) * 0.25) AS BIGINT) AS tokens FROM t)
@@ -177,8 +183,8 @@ def corpus_tree_of_roots(d: Data) -> DataFrame:
     return corpus.tree_lines(corpus.tree_nodes(files, [], []), roots).select("root", "line")
 
 
-@query("corpus_inventory_flags", f"SELECT path, {_FLAG} AS is_included, {_FLAG} AND size <= 8192 AS is_ingested FROM @corpus c")
+@query("corpus_inventory_flags", f"SELECT path, {_FLAG} AS is_included, {_FLAG} AS is_ingested FROM @corpus c")
 def corpus_inventory_flags(d: Data) -> DataFrame:
     files = d.corpus.withColumn("content", F.encode("content", "UTF-8"))
-    nodes = corpus.inventory(files, max_kb=8, include=INCLUDE, exclude=EXCLUDE)["nodes"]
+    nodes = corpus.inventory(files, include=INCLUDE, exclude=EXCLUDE)["nodes"]
     return nodes.filter("node_type = 'file'").select("path", "is_included", "is_ingested")

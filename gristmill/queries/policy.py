@@ -68,8 +68,7 @@ _COUNTS = "CAST(i AS INT) AS n_in_force, CAST(n AND NOT rg AS INT) AS n_new, CAS
 
 
 def book(d: Data) -> DataFrame:
-    parts = {n: d.policies.filter(F.col("network") == n).drop("network") for n in ("1", "3")}
-    return movements.main_book(parts, SCOPE, PERIOD)
+    return movements.tagged_book(d.policies.filter(F.col("network").isin("1", "3")), SCOPE, PERIOD)
 
 
 def main_flags(d: Data) -> DataFrame:
@@ -80,7 +79,8 @@ def main_flags(d: Data) -> DataFrame:
 
 @query("policy_main_book", f"SELECT policy_no, network, product, 199806 AS period, 'main' AS channel FROM {_SCOPED} b")
 def policy_main_book(d: Data) -> DataFrame:
-    return book(d).select("policy_no", "network", "product", "period", "channel")
+    parts = {n: d.policies.filter(F.col("network") == n).drop("network") for n in ("1", "3")}
+    return movements.main_book(parts, SCOPE, PERIOD).select("policy_no", "network", "product", "period", "channel")
 
 
 @query("policy_scope", f"SELECT policy_no, status, nature FROM {_SCOPED} b")
@@ -272,10 +272,10 @@ def _risk(d: Data, lines) -> DataFrame:
 
 
 @query("book_risk_fill", f"""SELECT p.policy_no, CAST(strptime(coalesce(a.opened, b.opened), '%d%b%Y:%H:%M:%S')::DATE AS STRING) AS opened, coalesce(nullif(trim(work_text), ''), nullif(trim(a.nature_text), ''), nullif(trim(b.nature_text), '')) AS work_text,
-  CAST(strptime(coalesce(a.finished, b.finished), '%d%b%Y:%H:%M:%S')::DATE AS STRING) AS received FROM @policies p LEFT JOIN ({_RISK.format('<= 2')}) a ON a.policy_no = p.policy_no LEFT JOIN ({_RISK.format('>= 5')}) b ON b.policy_no = p.policy_no""")
+  CAST(strptime(coalesce(a.finished, b.finished), '%d%b%Y:%H:%M:%S')::DATE AS STRING) AS received FROM @policies p LEFT JOIN ({_RISK.format('<= 2')}) a ON a.policy_no = p.policy_no LEFT JOIN ({_RISK.format('> 2')}) b ON b.policy_no = p.policy_no""")
 def book_risk_fill(d: Data) -> DataFrame:
     gaps = d.policies.select("policy_no", "work_text", *[F.lit(None).cast("date").alias(c) for c in ("opened", "received", "finished")])
-    sources = [_risk(d, "l_linenumber <= 2"), _risk(d, "l_linenumber >= 5")]
+    sources = [_risk(d, "l_linenumber <= 2"), _risk(d, "l_linenumber > 2")]
     columns = {"opened": "opened", "finished": "finished", "work_text": "nature_text"}
     out = consolidate.risk_fill(gaps, [], sources, PERIOD, columns, completed=("received", "finished"))
     return out.select("policy_no", "work_text", *[F.col(c).cast("string").alias(c) for c in ("opened", "received")])

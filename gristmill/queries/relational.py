@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import dates, missing, numbers, text
 from gristmill.operators import dedup, joins, profile, rules, setops
-from gristmill.plans import consolidate
+from gristmill.plans import consolidate, control
 from gristmill.queries.base import Data, query
+from gristmill.sources import tables
 
 PERIOD = dates.Period.of(199806)
 
@@ -357,3 +358,47 @@ def profile_describe(d: Data) -> DataFrame:
 @query("profile_presence", """SELECT cancelled IS NOT NULL AS has_a, turnover_2 IS NOT NULL AS has_b, count(*) AS n_rows FROM @policies p GROUP BY 1, 2""")
 def profile_presence(d: Data) -> DataFrame:
     return profile.presence_matrix(d.policies, F.col("cancelled").isNotNull(), F.col("turnover_2").isNotNull())
+
+
+# --- inputs that may be absent, sheets by position, whole folders ----------------------------------------------
+
+def _loader(d: Data, name: str):
+    return lambda: tables.load_table(d.spark, d.folder, name)
+
+
+@query("union_of_existing_tables", "SELECT r_name AS name, r_regionkey AS code FROM region UNION ALL SELECT n_name, n_regionkey FROM nation")
+def union_of_existing_tables(d: Data) -> DataFrame:
+    """The table in between does not exist and counts as empty."""
+    region = lambda: _loader(d, "region")().select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("code"))
+    nation = lambda: _loader(d, "nation")().select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("code"))
+    return tables.union_existing(d.spark, [region, _loader(d, "no_such_table"), nation], "name string, code int")
+
+
+@query("special_activity", "SELECT CAST(o_orderkey AS STRING) AS policy_no, o_orderpriority AS code FROM orders WHERE o_orderkey % 3 <> 0")
+def special_activity(d: Data) -> DataFrame:
+    key = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey").cast("string"))
+    there = lambda: d.orders.select(key.alias("policy_no"), F.col("o_orderpriority").alias("code"))
+    return consolidate.special_activity(d.spark, [_loader(d, "no_such_table"), there], "policy_no string, code string")
+
+
+@query("control_sheet_by_position", "SELECT c_mktsegment AS segment, c_acctbal AS premium, c_custkey AS line FROM customer")
+def control_sheet_by_position(d: Data) -> DataFrame:
+    at = {name: i for i, name in enumerate(d.customer.columns)}
+    return tables.read_control(d.customer, {"segment": at["c_mktsegment"], "premium": at["c_acctbal"], "line": at["c_custkey"]})
+
+
+_LOADED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+@query("loaded_tables", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in _LOADED))
+def loaded_tables(d: Data) -> DataFrame:
+    counted = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, df in tables.load_tables(d.spark, d.folder, _LOADED).items()]
+    return setops.concat(*counted)
+
+
+@query("parity_structure", """SELECT CASE WHEN n > 0 THEN 'amount' END AS "column", 'double' AS type_a, 'bigint' AS type_b, false AS same FROM (SELECT count(*) AS n FROM orders) t
+UNION ALL SELECT 'only_a', 'string', NULL, false UNION ALL SELECT 'only_b', NULL, 'string', false UNION ALL SELECT 'policy', 'bigint', 'bigint', true""")
+def parity_structure(d: Data) -> DataFrame:
+    a = d.orders.select(F.col("o_orderkey").alias("policy"), F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("only_a"))
+    b = d.orders.select(F.col("o_orderkey").alias("policy"), F.col("o_totalprice").cast("bigint").alias("amount"), F.col("o_orderstatus").alias("only_b"))
+    return control.parity_structure(a, b)

@@ -330,9 +330,13 @@ def site_status_counts(d: Data) -> DataFrame:
     return quality.status_counts(severity(d))
 
 
-@query("site_worst_first", f"""{_V1} SELECT row_id, priority, codes FROM sev ORDER BY rk DESC, len(list_filter([c1, c2, c3, c4, c5], lambda c: c IS NOT NULL)) DESC, NU_CNT, ID_SITE NULLS FIRST, row_id LIMIT 25""")
+@query("site_worst_first", f"""{_V1} SELECT row_id, priority, codes, NU_CNT AS contract, ID_SITE AS site, len(list_filter([c1, c2, c3, c4, c5], lambda c: c IS NOT NULL)) AS issues FROM sev""")
 def site_worst_first(d: Data) -> DataFrame:
-    return site_severity.sort_issues(severity(d)).limit(25).select("row_id", F.col("_PRIORITY").alias("priority"), F.col("_ISSUE_CODES").alias("codes"))
+    """All rows in order, with what they are ordered by."""
+    return site_severity.sort_issues(severity(d)).select(
+        "row_id", F.col("_PRIORITY").alias("priority"), F.col("_ISSUE_CODES").alias("codes"), F.col("NU_CNT").alias("contract"), F.col("ID_SITE").alias("site"),
+        F.col("_ISSUE_COUNT").cast("bigint").alias("issues"),
+    )
 
 
 @query("site_consolidated", f"""{_V1} SELECT NU_CNT, codes, priority, array_to_string(list_sort(list_distinct(list_filter([
@@ -400,7 +404,13 @@ def site_exhaustive_gps(d: Data) -> DataFrame:
     return exhaustive(d).select("row_id", F.array_join(codes, ", ").alias("codes"))
 
 
-@query("site_issues_by_severity")
+_SEVERITY = "CASE WHEN code IN ('G-01', 'A-03') THEN 'LÉGÈRE' WHEN code IN ('G-06', 'G-07') THEN 'INFO' ELSE 'GRAVE' END"
+
+
+# No two segment names are alike enough for a typo or a doubt, so a wrong city is always severe here.
+@query("site_issues_by_severity", f"""{_FULL}, codes AS (SELECT unnest(string_split(concat_ws(', ', CASE WHEN cn = '' THEN 'P-01' END, CASE WHEN notech THEN 'P-07' END, nullif(g, ''), nullif(aa, ''),
+    CASE WHEN NOT (hx OR hy) AND aa <> '' THEN 'L-01' END), ', ')) AS code FROM e5)
+  SELECT code, {_SEVERITY} AS gravite, count(*) AS n_issues FROM codes WHERE code <> '' GROUP BY 1, 2""")
 def site_issues_by_severity(d: Data) -> DataFrame:
     return site_exhaustive.issues_by_severity(site_exhaustive.issue_rows(exhaustive(d)))
 
@@ -444,21 +454,42 @@ def country_support_level(d: Data) -> DataFrame:
     return references.support_level(countries, d.country_boxes, d.region_boxes)
 
 
-@query("city_name_check")
+_BRANDS = "(SELECT p_brand, lower(p_name) AS city, min(p_partkey) AS ordinal FROM part GROUP BY 1, 2)"
+_ASKED = f"""(SELECT p_brand, city AS base, CASE ordinal % 3 WHEN 0 THEN city WHEN 1 THEN city || '§' ELSE '§§§§' || CAST(ordinal % 2 AS VARCHAR) END AS city, ordinal % 3 AS kind FROM {_BRANDS} b
+  UNION ALL SELECT 'none of these', city, city, 3 FROM {_BRANDS} b)"""
+
+
+def _asked_names(d: Data) -> tuple[DataFrame, DataFrame]:
+    """All part names by brand, and questions about them: as they are, with one letter added, like none of them, and for an unknown brand."""
+    known = d.part.groupBy(F.col("p_brand").alias("postal_code"), F.lower("p_name").alias("city")).agg(F.min("p_partkey").alias("ordinal"), F.min("p_name").alias("name"))
+    kind = F.col("ordinal") % 3
+    changed = F.when(kind == 0, F.col("city")).when(kind == 1, F.concat("city", F.lit("§"))).otherwise(F.concat(F.lit("§§§§"), (F.col("ordinal") % 2).cast("string")))
+    asked = known.select("postal_code", changed.alias("city")).union(known.select(F.lit("none of these"), "city"))
+    return asked, known
+
+
+# A name of n letters with one more that no name has: the name itself covers n letters, any other fewer in proportion.
+@query("city_name_check", f"""SELECT DISTINCT p_brand AS postal_code, city, CASE WHEN kind = 3 THEN 'unknown_postal' WHEN kind = 0 THEN 'match' WHEN kind = 2 OR 200.0 * length(base) / (2 * length(base) + 1) < 70 THEN 'mismatch'
+    WHEN 200.0 * length(base) / (2 * length(base) + 1) < 90 THEN 'doubtful' ELSE 'typo' END AS verdict,
+  CASE WHEN kind = 1 AND length(base) > 1 THEN (SELECT min(p_name) FROM part p WHERE lower(p.p_name) = base) END AS best_city,
+  CASE WHEN kind = 1 AND length(base) > 1 THEN round(200.0 * length(base) / (2 * length(base) + 1), 4) END AS score FROM {_ASKED} a""")
 def city_name_check(d: Data) -> DataFrame:
-    """Part names against the names known for the same brand."""
-    names = d.part.select(F.col("p_brand").alias("postal_code"), F.lower("p_name").alias("city"), F.col("p_partkey").alias("ordinal"), "p_size")
-    known = names.filter("p_size <= 15").groupBy("postal_code", "city").agg(F.min("ordinal").alias("ordinal"))
-    asked = names.select("postal_code", F.concat(F.col("city"), F.when(F.col("ordinal") % 2 == 0, "s").otherwise("")).alias("city"))
-    checks = city_check(asked, known)
+    checks = city_check(*_asked_names(d))
     return checks.select("postal_code", "city", "verdict", "best_city", F.round("score", 4).alias("score"))
 
 
-@query("city_name_exact", """SELECT p_brand AS postal_code, city, CASE WHEN p_brand NOT IN (SELECT p_brand FROM part WHERE p_size <= 15) THEN 'unknown_postal'
-  WHEN (p_brand, city) IN (SELECT (p_brand, lower(p_name)) FROM part WHERE p_size <= 15) THEN 'match' ELSE 'differs' END AS verdict
-FROM (SELECT DISTINCT p_brand, lower(p_name) || CASE WHEN p_partkey % 2 = 0 THEN 's' ELSE '' END AS city FROM part) t""")
+@query("city_name_expected", f"""SELECT DISTINCT a.p_brand AS postal_code, a.city, e.expected FROM {_ASKED} a
+JOIN (SELECT p_brand, array_to_string(list(city ORDER BY ordinal), '|') AS expected FROM {_BRANDS} b GROUP BY 1) e ON e.p_brand = a.p_brand WHERE kind = 2""")
+def city_name_expected(d: Data) -> DataFrame:
+    """All known names are listed for a name like none of them."""
+    asked, known = _asked_names(d)
+    wrong = city_check(asked, known.drop("name")).filter("verdict = 'mismatch'")
+    return wrong.select("postal_code", "city", F.array_join("expected", "|").alias("expected"))
+
+
+@query("city_name_exact", f"""SELECT DISTINCT p_brand AS postal_code, city, CASE WHEN kind = 3 THEN 'unknown_postal' WHEN kind = 0 THEN 'match' ELSE 'differs' END AS verdict FROM {_ASKED} a""")
 def city_name_exact(d: Data) -> DataFrame:
-    """The part of the city check that SQL can state: known code, exact name."""
+    """Known code and exact name only."""
     verdict = F.when(F.col("verdict").isin("unknown_postal", "match"), F.col("verdict")).otherwise("differs")
     return city_name_check(d).select("postal_code", "city", verdict.alias("verdict"))
 
@@ -472,10 +503,10 @@ def geojson_boxes(d: Data) -> DataFrame:
     multi = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("["), ring, F.lit("]"))).otherwise(ring)
     kind = F.when(F.col("c_custkey") % 2 == 0, "MultiPolygon").otherwise("Polygon")
     features = d.customer.select(
-        F.to_json(F.struct(F.col("c_mktsegment").alias("code"))).alias("properties"),
+        "c_custkey", F.to_json(F.struct(F.col("c_mktsegment").alias("code"))).alias("properties"),
         F.concat(F.lit('{"type": "'), kind, F.lit('", "coordinates": '), multi, F.lit("}")).alias("geometry"),
     )
-    return references.region_bboxes(features).drop("name")
+    return references.region_bboxes(features, "c_custkey").drop("name")
 
 
 @query("json_boxes", """SELECT n_regionkey AS area, n_name AS country, CAST(n_nationkey AS DOUBLE) AS lon_min, CAST(0 AS DOUBLE) AS lat_min, CAST(n_nationkey + 10 AS DOUBLE) AS lon_max, CAST(5 AS DOUBLE) AS lat_max FROM nation""")
@@ -504,3 +535,15 @@ def postal_cities(d: Data) -> DataFrame:
 @query("postal_city_map", "SELECT CP_SITE AS postal_code, arg_max(NOM_CLI, row_id) AS city FROM @sites s WHERE CP_SITE IS NOT NULL GROUP BY 1")
 def postal_city_map(d: Data) -> DataFrame:
     return references.postal_map(d.sites.filter("CP_SITE IS NOT NULL"), "CP_SITE", "NOM_CLI", "row_id")
+
+
+@query("site_known_cities", f"""WITH pc AS (SELECT *, upper(replace(replace(coalesce({_t('CP_SITE')}, ''), ' ', ''), '-', '')) AS p, upper(coalesce({_t('PAYS_SITE')}, '')) AS cn FROM @sites s),
+  places AS (SELECT cn, p, lower(NOM_CLI) AS city, min(row_id) AS ordinal FROM pc WHERE p <> '' AND cn <> '' AND row_id % 4 <> 1 GROUP BY 1, 2, 3),
+  lists AS (SELECT cn, p, array_to_string(list(city ORDER BY ordinal, city), '|') AS cities FROM places GROUP BY 1, 2)
+SELECT row_id, coalesce(cities, '') AS cities FROM pc LEFT JOIN lists USING (cn, p)""")
+def site_known_cities(d: Data) -> DataFrame:
+    """Segment names of three quarters of the sites stand for the cities of a code; the other sites have to find theirs."""
+    places = d.sites.filter("row_id % 4 <> 1").withColumn("country", text.normalize_country(F.col("PAYS_SITE"))).filter("country <> ''")
+    cities = references.postal_cities(places, "country", "CP_SITE", "NOM_CLI", "row_id")
+    found = references.with_cities(d.sites, cities, "PAYS_SITE", "CP_SITE")
+    return found.select("row_id", F.array_join("known_cities", "|").alias("cities"))

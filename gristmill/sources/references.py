@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.geo import bbox, geo_points
 from gristmill.functions.text import normalize_postal, normalize_string, safe_str
-from gristmill.operators.dedup import with_ordinal
+from gristmill.operators.joins import lookup
 
 _OBJECTS = "map<string,struct<bbox:array<double>>>"
 _ARRAYS = "map<string,array<double>>"
@@ -48,12 +48,12 @@ def _first_property(names: list[str]) -> Column:
     return F.coalesce(*found)
 
 
-def region_bboxes(features: DataFrame) -> DataFrame:
-    """Boxes of GeoJSON features given as ``(properties JSON, geometry JSON)``; the last feature of a code wins."""
-    numbered = with_ordinal(features.select(
+def region_bboxes(features: DataFrame, order: str = "ordinal") -> DataFrame:
+    """Boxes of GeoJSON features given as ``(properties JSON, geometry JSON, order)``; the last feature of a code wins."""
+    numbered = features.select(
         _first_property(CODE_PROPERTIES).alias("region_code"),
-        F.coalesce(_first_property(NAME_PROPERTIES), F.lit("")).alias("name"), "geometry",
-    )).filter("region_code IS NOT NULL")
+        F.coalesce(_first_property(NAME_PROPERTIES), F.lit("")).alias("name"), "geometry", F.col(order).alias("ordinal"),
+    ).filter("region_code IS NOT NULL")
     boxes = bbox(geo_points(numbered, "geometry", ["region_code", "name", "ordinal"]), ["region_code", "name", "ordinal"])
     latest = F.max_by(F.struct("name", "lon_min", "lat_min", "lon_max", "lat_max"), "ordinal")
     return boxes.groupBy("region_code").agg(latest.alias("b")).select("region_code", "b.*")
@@ -62,7 +62,7 @@ def region_bboxes(features: DataFrame) -> DataFrame:
 def load_geojson(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.text(path, wholetext=True)
     features = F.from_json(F.get_json_object("value", "$.features"), "array<struct<properties:string,geometry:string>>")
-    return text.select(F.inline(features))
+    return text.select(F.posexplode(features).alias("ordinal", "f")).select("ordinal", "f.*")
 
 
 def postal_columns(columns: list[str]) -> tuple[str, str]:
@@ -70,6 +70,7 @@ def postal_columns(columns: list[str]) -> tuple[str, str]:
     def clean(c: str) -> str:
         return c.lstrip("#").strip().lower()
 
+    # Spellings under which a postal reference names its two columns.
     code_marks = ("code_postal", "code postal")
     city_marks = ("nom_de_la_commune", "nom de la commune", "nom_commune", "acheminement", "libellé", "libelle")
     code = next((c for c in columns if any(m in clean(c) for m in code_marks)), columns[0])
@@ -98,6 +99,25 @@ def postal_cities(df: DataFrame, country: str, code: str, city: str, ordinal: st
     return cleaned.groupBy("country", "postal_code", "city").agg(F.min("ordinal").alias("ordinal"))
 
 
+def city_lists(cities: DataFrame) -> DataFrame:
+    """``(country, postal_code, cities)``: the names of a code in file order; a code has as many as it has places."""
+    listed = F.array_sort(F.collect_list(F.struct("ordinal", "city")))
+    return cities.groupBy("country", "postal_code").agg(listed.alias("c")).select("country", "postal_code", F.col("c.city").alias("cities"))
+
+
+def with_cities(sites: DataFrame, cities: DataFrame, country: str, postal: str, name: str = "known_cities") -> DataFrame:
+    """Known cities of a site's postal code, an empty list where there are none.
+
+    ``cities`` comes from :func:`postal_cities`; the code of a site is padded to the width of its country first.
+    """
+    lists = city_lists(cities)
+    width = lists.filter(F.col("postal_code").rlike(r"^\d+$")).groupBy("country").agg(F.max(F.length("postal_code")).alias("_width"))
+    wide = lookup(sites.withColumn("_country", F.upper(safe_str(F.col(country)))), width.withColumn("country", F.upper("country")), {"_country": "country"}, ["_width"])
+    keyed = wide.withColumn("_code", normalize_postal(F.col(postal), F.col("_width")))
+    found = lookup(keyed, lists.withColumn("country", F.upper("country")), {"_country": "country", "_code": "postal_code"}, {"cities": name})
+    return found.withColumn(name, F.coalesce(F.col(name), F.array().cast("array<string>"))).drop("_country", "_width", "_code")
+
+
 def postal_map(df: DataFrame, code: str = "code_postal", city: str = "nom_commune", ordinal: str = "ordinal") -> DataFrame:
     """One city per code, the last row of the file winning."""
     return df.groupBy(F.col(code).alias("postal_code")).agg(F.max_by(city, ordinal).alias("city"))

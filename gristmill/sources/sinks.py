@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.dates import Period
@@ -18,11 +18,21 @@ def write_period(df: DataFrame, base: str, table: str, period: Period) -> None:
 
 
 def write_report(lines: DataFrame, folder: str) -> None:
-    """Text parts per root whose name order is the report order; the range exchange keeps every part small."""
+    """Text parts per root whose name order is the report order; the range exchange keeps every part small.
+
+    :func:`read_report` gives the lines of all parts in that order.
+    """
     ordered = lines.repartitionByRange("root", "section", "sort_key").sortWithinPartitions("root", "section", "sort_key")
     ordered.select("root", F.col("text").alias("value")).write.mode("overwrite").partitionBy("root").text(folder)
 
 
+def read_report(spark: SparkSession, folder: str) -> DataFrame:
+    """``(root, place, line)`` of a written report; sorted by root and place the lines are the report of a root, whatever its number of parts."""
+    lines = spark.read.text(folder)
+    place = F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return lines.select(F.col("root").cast("string").alias("root"), place.alias("place"), F.col("value").alias("line"))
+
+
 def write_quality(summary: DataFrame, detail: DataFrame, folder: str) -> None:
     summary.write.mode("overwrite").option("header", True).csv(f"{folder}/summary")
     detail.write.mode("overwrite").parquet(f"{folder}/detail")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from gristmill.functions.dates import Period
 from gristmill.functions.text import normalize_country
+from gristmill.operators.dedup import with_ordinal
 
 # Spellings that the reference's CSV reader turns into a missing value.
 NA_VALUES = [
@@ -48,15 +49,15 @@ def sniff_separator(spark: SparkSession, path: str) -> str:
     return max(SEPARATORS, key=line.count)
 
 
-def sniff_encoding(spark: SparkSession, path: str, lines: int = 1000) -> str:
-    """UTF-8 when the first lines decode, else Latin-1."""
-    head = spark.read.text(path).limit(lines)
-    bad = head.filter(~F.is_valid_utf8("value"))
-    return "UTF-8" if bad.isEmpty() else "ISO-8859-1"
+def sniff_encoding(spark: SparkSession, path: str) -> str:
+    """UTF-8 when every line decodes, else Latin-1. The search for a line that does not is distributed and stops at the first."""
+    return "UTF-8" if spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty() else "ISO-8859-1"
 
 
-def _missing_to_null(df: DataFrame) -> DataFrame:
-    return df.select(*[F.when(~F.col(c).isin(NA_VALUES), F.col(c)).alias(c) for c in df.columns])
+def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Spellings of a missing value become null, in all columns or in ``columns``."""
+    named = df.columns if columns is None else columns
+    return df.select(*[F.when(~F.col(c).isin(NA_VALUES), F.col(c)).alias(c) if c in named else F.col(c) for c in df.columns])
 
 
 def read_strings(
@@ -65,26 +66,36 @@ def read_strings(
     columns: list[str],
     sep: str | None = None,
     encoding: str | None = None,
-    multiline: bool = False,
+    multiline: bool = True,
+    ordinal: str | None = None,
 ) -> DataFrame:
-    """Chosen columns of a delimited file, all as strings; an absent column is an error."""
+    """Chosen columns of a delimited file, all as strings; an absent column is an error. ``ordinal`` adds the place in the file.
+
+    A quoted field may hold line ends, which makes a file unsplittable: one task reads each. ``multiline=False`` splits large files that have
+    no such field; a row with too few or too many fields then fails the read instead of passing as two broken rows.
+    """
     sep = sep or sniff_separator(spark, path)
     encoding = encoding or sniff_encoding(spark, path)
     raw = (
         spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-        .option("escape", '"').option("multiLine", multiline).csv(path)
+        .option("escape", '"').option("multiLine", multiline).option("mode", "PERMISSIVE" if multiline else "FAILFAST").csv(path)
     )
     absent = [c for c in columns if c not in raw.columns]
     if absent:
         raise ValueError(f"columns not found in {path}: {', '.join(absent)}")
-    return _missing_to_null(raw.select(*columns))
+    if ordinal is None:
+        return missing_to_null(raw.select(*columns))
+    return missing_to_null(with_ordinal(raw, ordinal).select(*columns, ordinal), columns)
 
 
-def read_sites(spark: SparkSession, path: str, **options) -> DataFrame:
-    sites = read_strings(spark, path, SITE_COLUMNS, **options)
+def clean_country(sites: DataFrame) -> DataFrame:
     return sites.withColumn("PAYS_SITE", F.nullif(normalize_country(F.col("PAYS_SITE")), F.lit("")))
 
 
+def read_sites(spark: SparkSession, path: str, **options) -> DataFrame:
+    return clean_country(read_strings(spark, path, SITE_COLUMNS, **options))
+
+
 def string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 

@@ -19,7 +19,7 @@ from gristmill.session import cut_lineage
 
 _LISTING = "root string, base string, path string, is_dir boolean, size bigint"
 _ARROW_LISTING = pa.schema([("root", pa.string()), ("base", pa.string()), ("path", pa.string()), ("is_dir", pa.bool_()), ("size", pa.int64())])
-_READ_CHUNK = 64
+_READ_BYTES = 32 << 20
 _LIST_CHUNK = 10000
 
 
@@ -42,16 +42,28 @@ def _list_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pylist(children, schema=_ARROW_LISTING)
 
 
+def _portions(sizes: list[int], most: int = _READ_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, number) of consecutive files of at most ``most`` bytes together."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and total + (size or 0) > most:
+            yield start, i - start
+            start, total = i, 0
+        total += size or 0
+    if start < len(sizes):
+        yield start, len(sizes) - start
+
+
 def _read_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Append the bytes of each file, a few files per batch."""
+    """Append the bytes of each file; a batch holds about ``_READ_BYTES`` of them, or one larger file."""
     def read(base: str, path: str) -> bytes:
         system, top = fs.FileSystem.from_uri(base)
         with system.open_input_stream(f"{top}/{path}", compression=None) as stream:
             return stream.read()
 
     for batch in batches:
-        for start in range(0, batch.num_rows, _READ_CHUNK):
-            part = batch.slice(start, _READ_CHUNK)
+        for start, count in _portions(batch.column("size").to_pylist()):
+            part = batch.slice(start, count)
             names = zip(part.column("base").to_pylist(), part.column("path").to_pylist())
             yield part.append_column("content", pa.array([read(base, path) for base, path in names], pa.binary()))
 

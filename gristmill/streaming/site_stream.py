@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gristmill.functions.text import normalize_country
 from gristmill.plans.site_rules import country_filter, evaluate_sites
-from gristmill.sources.tables import SITE_COLUMNS, string_schema
+from gristmill.sources.tables import SITE_COLUMNS, clean_country, missing_to_null, string_schema
 
 
 def check_sites_stream(
@@ -17,7 +16,7 @@ def check_sites_stream(
 ) -> StreamingQuery:
     """Process what has arrived since the last run, then stop; the file log in ``checkpoint`` avoids repeats."""
     arrivals = spark.readStream.schema(string_schema(columns)).option("header", True).option("sep", sep).csv(in_dir)
-    named = arrivals.withColumn("PAYS_SITE", F.nullif(normalize_country(F.col("PAYS_SITE")), F.lit("")))
+    named = clean_country(missing_to_null(arrivals))
     # The row id only matters for sites without contract or number: it is a digest of the row, stable across retries.
     keyed = named.withColumn("row_id", F.xxhash64(*columns))
     checked = evaluate_sites(country_filter(keyed, supported), boxes, regions)

@@ -99,6 +99,18 @@ def test_report_file(spark, result, tmp_path):
     assert text == head + "# Directory Structure\n\n```\n" + REPORT_TREE + "\n```\n\n# Files Content\n\n" + body
 
 
+def test_report_of_many_parts_reads_in_order(spark, tmp_path):
+    rows = [("r", s, f"{k:05d}", f"line {s} {k}\nmore") for s in range(3) for k in range(400)] + [("q", 0, "", "only")]
+    lines = spark.createDataFrame(rows, "root string, section int, sort_key string, text string").repartition(7)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keeps all eight parts
+    sinks.write_report(lines, str(tmp_path / "report"))
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(list((tmp_path / "report" / "root=r").glob("part-*.txt"))) > 3
+    got = [r.line for r in sinks.read_report(spark, str(tmp_path / "report")).filter("root = 'r'").repartition(4).orderBy("place").collect()]
+    assert got == [x for s in range(3) for k in range(400) for x in (f"line {s} {k}", "more")]
+
+
 def test_two_roots(spark, tmp_path):
     for name in ("one", "two"):
         (tmp_path / name / "d").mkdir(parents=True)
@@ -134,9 +146,8 @@ def test_text_test_matches_python(spark):
     got = {r.name: r.t for r in rows.select("name", corpus.is_text(F.col("content")).alias("t")).collect()}
 
     def model(data):
-        import io
         try:
-            io.TextIOWrapper(io.BytesIO(data), encoding="utf-8").read(1024)
+            data.decode("utf-8")
             return True
         except UnicodeDecodeError:
             return False
@@ -162,4 +173,11 @@ def test_preview_and_count(spark):
     rows = spark.createDataFrame([(f"f{i}", "\n".join(map(str, range(i)))) for i in range(1, 13)], "path string, content string")
     shown = {r.path: r.preview for r in corpus.preview(rows, [F.length("path").desc(), F.col("path").desc()], files=2).collect()}
     assert shown["f12"].endswith("8\n9\n[...] (content truncated)") and shown["f11"].count("\n") == 10
-    assert corpus.approx_file_count(rows, 11).first()[0] == "11+" and corpus.approx_file_count(rows, 12).first()[0] == "12"
+    assert corpus.file_count(rows).first().files == 12
+    assert tuple(rows.select(corpus.count_label(F.lit(12), 11), corpus.count_label(F.lit(12), 12)).first()) == ("11+", "12")
+
+
+def test_nothing_is_dropped_by_default(spark, tmp_path):
+    (tmp_path / "large.txt").write_text("z" * 70000)
+    files = trees.scan_tree(spark, [str(tmp_path)])
+    assert corpus.limit_size(files).count() == corpus.read_texts(files, [], [], load=trees.with_content).count() == 1

@@ -12,14 +12,14 @@ from gristmill.queries.policy import CODES, SCOPE
 from gristmill.queries.sites import evaluated
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON = {"city_name_check", "city_name_exact", "site_exhaustive_evaluation", "site_exhaustive_gps", "site_issues_by_severity"}
+PYTHON = {"city_name_check", "city_name_exact", "city_name_expected", "site_exhaustive_evaluation", "site_exhaustive_gps", "site_issues_by_severity"}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.REGISTRY))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text

@@ -152,7 +152,7 @@ def test_merge_and_fill(spark):
     b = spark.createDataFrame([(1, None), (None, "n"), (4, "d")], "k int, v string")
     assert sorted(map(tuple, joins.merge_by(a, b, ["k"], "all").collect()), key=str) == sorted([(1, None, 1), (None, "n", 2), (3, "c", 3), (4, "d", None)], key=str)
     assert [tuple(r) for r in joins.merge_by(a, b, ["k"], "left_only").collect()] == [(3, "c", 3)]
-    unique = joins.assert_unique(b, ["k"])
+    unique = joins.assert_unique(b, ["k"], null_safe=True)
     assert unique.count() == 3
     with pytest.raises(Exception, match="duplicate key"):
         joins.assert_unique(b.union(b), ["k"]).collect()
@@ -206,3 +206,34 @@ def test_layout_helpers(spark):
     assert setops.add_or_replace(df, {"temp": "code"}).columns == ["code", "n"]
     assert setops.add_or_replace(df, {"temp": "label"}).columns == ["code", "n", "label"]
     assert [r.code for r in setops.sort_by_count(df, "n").collect()] == ["9", "*12345", "678"]
+
+
+def test_monthly_run_equals_its_parts(spark, tmp_path):
+    from datetime import date
+
+    from gristmill.plans import monthly
+    from gristmill.queries import policy
+    from gristmill.queries.base import Data
+
+    d, asked = Data(spark, "/root/testdata/sf0.001"), []
+
+    def load(name, source):
+        asked.append((name, source))
+        if name in ("1", "3"):
+            return d.policies.filter(F.col("network") == name).drop("network")
+        return d.legacy if name == "legacy" else policy._migrated(d)
+
+    codes = monthly.MonthlyCodes(["1", "3"], policy.SCOPE, policy.CODES, policy.LEGACY, policy.MIGRATED_SINCE, policy._REASONS, "X")
+    early, late = Period.of(199806), Period.of(201806)
+    assert monthly.monthly_run(load, [early, late, late], date(2018, 7, 9), codes, str(tmp_path)) == [199806, 201806, 201806]
+    assert asked[:2] == [("1", ("archive", 8 + (1998 - 2012) * 12 + 6)), ("3", ("archive", 8 + (1998 - 2012) * 12 + 6))]
+    assert asked[2:6] == [(n, ("current", 201806)) for n in ("1", "3", "legacy", "migrated")] and len(asked) == 10
+    written = spark.read.parquet(f"{tmp_path}/book")
+    for period, n in ((early, None), (late, "legacy")):
+        part = written.filter((F.col("year") == period.year) & (F.col("month") == period.month)).drop("year", "month")
+        want = monthly.build_month(load, period, date(2018, 7, 9), codes)
+        if n is None:
+            assert part.filter("channel <> 'main'").isEmpty() and part.count() == want.count() > 0
+        else:
+            got = part.select(want.columns)
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and not got.filter("channel = 'legacy'").isEmpty()

@@ -24,7 +24,8 @@ def hot(spark, n=30000):
 
 
 def largest_share(df):
-    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    # All columns are used, else a join that adds none of them is left out of the plan.
+    sizes = [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.hash(*df.columns))).collect()]
     return max(sizes) / sum(sizes)
 
 
@@ -64,10 +65,30 @@ def test_one_huge_folder(shuffled):
     assert shown[0] == "└── a" and shown[1] == "    ├── 0" and shown[-1] == "    └── 04998"
 
 
-def test_broadcast_only_after_counting(shuffled):
+def test_broadcast_only_after_measuring(shuffled):
     left, ref = hot(shuffled), shuffled.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    plan = lambda limit: joins.enrich(left, joins.bounded(ref, limit), ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan(100) and "BroadcastHashJoin" not in plan(99)
+    size = joins.measured_bytes(ref)
+    assert 1000 < size < 3000
+    plan = lambda limit: joins.lookup(left, ref, ["k"], ["v"], limit)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(size) and "BroadcastHashJoin" not in plan(size - 1)
+    got = joins.lookup(left, ref, ["k"], ["v"], 0)
+    assert got.count() == 30000 and got.filter("v = 1").count() == 10000 + sum(1 for i in range(100) if i % 3)
+    assert largest_share(got) < 0.25
+
+
+def test_repeated_reference_key_fails(spark):
+    left, ref = spark.createDataFrame([(1,), (None,)], "k int"), spark.createDataFrame([(1, 2), (1, 3), (None, 4), (None, 5)], "k int, v int")
+    with pytest.raises(Exception, match="duplicate key"):
+        joins.enrich(left, ref, ["k"], ["v"]).collect()
+    assert joins.enrich(left, ref.filter("v <> 3"), ["k"], ["v"]).orderBy("k").collect() == [(None, None), (1, 2)]
+
+
+def test_many_folders_below_one(shuffled):
+    """A third of all folders lie below one top folder; the report's tree deals them out."""
+    paths = F.concat(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("f"), (F.col("id") % 50).cast("string"))), F.lit("/d"), F.col("id").cast("string"), F.lit("/x"))
+    nodes = corpus.tree_nodes(shuffled.range(0, 3000, 1, 8).select(F.lit("r").alias("root"), paths.alias("path"), F.lit(1).alias("size")), [], [])
+    lines = corpus.tree_lines(nodes)
+    assert lines.count() == 2 * 3000 + 51 - 0 and largest_share(lines) < 0.25
 
 
 def test_exact_quantiles(spark):

@@ -26,6 +26,7 @@ def test_separator_and_encoding(spark, tmp_path):
     assert tables.sniff_separator(spark, str(tmp_path / "missing.csv")) == ";"
     assert tables.sniff_encoding(spark, write(tmp_path / "u.csv", "é\n")) == "UTF-8"
     assert tables.sniff_encoding(spark, write(tmp_path / "l.csv", "é\n", "latin-1")) == "ISO-8859-1"
+    assert tables.sniff_encoding(spark, write(tmp_path / "late.csv", "a\n" * 5000 + "é\n", "latin-1")) == "ISO-8859-1"
 
 
 def test_strings_only(spark, tmp_path):
@@ -133,7 +134,7 @@ def test_stream_equals_batch(spark, tmp_path):
     columns = tables.SITE_COLUMNS
     boxes = spark.createDataFrame([("FRANCE", -5.0, 42.0, 9.0, 51.0)], "country string, lon_min double, lat_min double, lon_max double, lat_max double")
     regions = spark.createDataFrame([("FRANCE", "59", 2.0, 50.0, 4.0, 51.0)], "country string, region_code string, lon_min double, lat_min double, lon_max double, lat_max double")
-    rows = [{"ID_SITE": str(i), "NU_CNT": f"C{i}", "PAYS_SITE": ["france", "", "Elbonia"][i % 3], "COORD_X_SITE": str(i % 12), "COORD_Y_SITE": "45", "CP_SITE": "59000"} for i in range(60)]
+    rows = [{"ID_SITE": str(i), "NU_CNT": f"C{i}", "PAYS_SITE": ["france", "", "Elbonia"][i % 3], "COORD_X_SITE": ["NaN", "NA", "n/a", ""][i % 12 - 8] if i % 12 > 7 else str(i % 12), "COORD_Y_SITE": "45", "CP_SITE": "59000"} for i in range(60)]
 
     def export(name, part):
         lines = [";".join(columns)] + [";".join(r.get(c, "") for c in columns) for r in part]
@@ -153,6 +154,52 @@ def test_stream_equals_batch(spark, tmp_path):
     assert pick(spark.read.parquet(out)) == pick(expected) and len(pick(expected)) == 40
 
 
+def test_file_order_over_several_files(spark, tmp_path):
+    for i, n in enumerate((400, 3, 90)):
+        write(tmp_path / "in" / f"{i}.csv", "a;b\n" + "".join(f"{i};{k}\n" for k in range(n)))
+    rows = tables.read_strings(spark, str(tmp_path / "in"), ["a", "b"], sep=";", encoding="UTF-8", ordinal="place").repartition(5).orderBy("place").collect()
+    assert [(r.a, r.b) for r in rows] == [(str(i), str(k)) for i, n in enumerate((400, 3, 90)) for k in range(n)]
+
+
+def test_quoted_line_ends_and_broken_rows(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'a;b\n1;"two\nlines"\n2;x\n')
+    assert [tuple(r) for r in tables.read_strings(spark, path, ["a", "b"]).orderBy("a").collect()] == [("1", "two\nlines"), ("2", "x")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_strings(spark, path, ["a", "b"], multiline=False).collect()
+
+
+def test_empty_contracts_and_empty_support(spark):
+    sites = spark.createDataFrame([("C1", "France"), ("C2", None)], "NU_CNT string, PAYS_SITE string")
+    contracts = spark.createDataFrame([("C1", "G", "1", 0)], "NOPOL string, PTGST string, CDSITP string, ordinal int")
+    assert [tuple(r) for r in site_rules.join_active(sites, contracts, ["ordinal"]).collect()] == [("C1", "France", "G")]
+    assert sorted(tuple(r)[::2] for r in site_rules.join_active(sites, contracts.limit(0), ["ordinal"]).collect()) == [("C1", None), ("C2", None)]
+    assert site_rules.country_filter(sites, []).isEmpty() and site_rules.country_filter(sites).count() == 2
+
+
+def test_read_portions_are_bounded():
+    from gristmill.sources.trees import _portions
+    assert list(_portions([3, 3, 9, 1, 1, 1], 6)) == [(0, 2), (2, 1), (3, 3)] and list(_portions([])) == [] and list(_portions([None, 70], 6)) == [(0, 1), (1, 1)]
+
+
+def test_quality_run_from_files(spark, tmp_path):
+    def sites_row(**values):
+        return ";".join(values.get(c, "") for c in tables.SITE_COLUMNS)
+
+    export = write(tmp_path / "sites.csv", "\n".join([
+        ";".join(tables.SITE_COLUMNS), sites_row(NU_CNT="C1", ID_SITE="1", COORD_X_SITE="2", COORD_Y_SITE="45", CP_SITE="59000"), sites_row(NU_CNT="C1", ID_SITE="2"),
+        sites_row(NU_CNT="C2", ID_SITE="3"), sites_row(NU_CNT="C1", ID_SITE="4", PAYS_SITE="Elbonia"),
+    ]) + "\n")
+    contracts = write(tmp_path / "contracts.csv", "NOPOL;PTGST;CDSITP\nC1;G1;1\nC1;G2;1\nC2;G;3\n")
+    write(tmp_path / "refs" / "FRANCE" / "regions.json", "{}")
+    boxes = write(tmp_path / "boxes.json", json.dumps({"FRANCE": [-5, 42, 9, 51]}))
+    regions = write(tmp_path / "regions.json", json.dumps({"59": [1, 44, 3, 46]}))
+    result = quality.run_quality_files(spark, export, contracts, str(tmp_path / "refs"), boxes, {"FRANCE": regions}, str(tmp_path / "out"))
+    assert sorted((r.ID_SITE, r.PTGST, r._CONTROL_MODE, r._ISSUE_CODES) for r in result["sites"].collect()) == [("1", "G1", "GPS_OK", ""), ("2", "G1", "INCOMPLET", "A-01")]
+    assert spark.read.parquet(str(tmp_path / "out" / "detail")).count() == 1
+    s = spark.read.option("header", True).csv(str(tmp_path / "out" / "summary")).first()
+    assert (s.n_total, s.n_inactive, s.n_analysed) == ("4", "1", "2")
+
+
 def test_quality_run_writes(spark, tmp_path):
     path = write(tmp_path / "sites.csv", ";".join(tables.SITE_COLUMNS) + "\n" + ";".join("C1" if c == "NU_CNT" else "1" if c == "ID_SITE" else "" for c in tables.SITE_COLUMNS) + "\n")
     sites = tables.read_sites(spark, path).withColumn("row_id", F.monotonically_increasing_id())
