@@ -67,32 +67,33 @@ def _sampled(batches):
         yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(found, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))], ["lang", "bucket", "count"])
 
 
-def train(buckets: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, classes: int, epochs: int = 8, rate: float = 20.0, batch: int = 64, seed: int = 7) -> np.ndarray:
-    """Logits that one occurrence of a bucket adds, (BUCKETS, classes): embeddings times softmax weights, both trained by stochastic gradient descent."""
+def train(buckets: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, classes: int, steps: int = 500, rate: float = 20.0, batch: int = 64, seed: int = 7) -> np.ndarray:
+    """Logits that one occurrence of a bucket adds, (BUCKETS, classes): embeddings times softmax weights, both trained by stochastic gradient descent.
+
+    The number of steps is fixed, so that few documents are passed through more often.
+    """
     random = np.random.default_rng(seed)
     embedding = random.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     weights = np.zeros((DIMENSIONS, classes))
-    for epoch in range(epochs):
-        step = rate * (1 - epoch / epochs)
-        order = random.permutation(len(y))
-        for start in range(0, len(y), batch):
-            rows = [i for i in order[start : start + batch] if len(buckets[i])]
-            if not rows:
-                continue
-            at = np.concatenate([buckets[i] for i in rows])
-            share = np.concatenate([counts[i] / counts[i].sum() for i in rows])
-            ends = np.cumsum([0, *(len(buckets[i]) for i in rows)])[:-1]
-            mean = np.add.reduceat(embedding[at] * share[:, None], ends)
-            logits = mean @ weights
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(rows)), y[rows]] -= 1
-            p /= len(rows)
-            back = np.repeat(p @ weights.T, np.diff([*ends, len(at)]), axis=0) * share[:, None]
-            weights -= step * 0.1 * mean.T @ p
-            # One row of a bucket after another, as plain stochastic descent does.
-            for k in range(DIMENSIONS):
-                embedding[:, k] -= step * np.bincount(at, weights=back[:, k], minlength=BUCKETS)
+    filled = np.array([i for i in range(len(y)) if len(buckets[i])], np.int64)
+    order = np.zeros(0, np.int64)
+    for done in range(steps if len(filled) else 0):
+        if len(order) < min(batch, len(filled)):
+            order = random.permutation(filled)
+        rows, order = order[:batch], order[batch:]
+        step = rate * (1 - done / steps)
+        at = np.concatenate([buckets[i] for i in rows])
+        share = np.concatenate([counts[i] / counts[i].sum() for i in rows])
+        ends = np.cumsum([0, *(len(buckets[i]) for i in rows)])[:-1]
+        mean = np.add.reduceat(embedding[at] * share[:, None], ends)
+        p = softmax(mean @ weights)
+        p[np.arange(len(rows)), y[rows]] -= 1
+        p /= len(rows)
+        back = np.repeat(p @ weights.T, np.diff([*ends, len(at)]), axis=0) * share[:, None]
+        weights -= step * 0.1 * mean.T @ p
+        used, of = np.unique(at, return_inverse=True)
+        for k in range(DIMENSIONS):
+            embedding[used, k] -= step * np.bincount(of, weights=back[:, k])
     return (embedding @ weights).astype(np.float32)
 
 

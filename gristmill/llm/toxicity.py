@@ -1,9 +1,9 @@
-"""Toxicity by class-conditional Kneser-Ney models over letters."""
+"""Toxicity by class-conditional Kneser-Ney models over the letters of words."""
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -12,77 +12,122 @@ from pyspark.sql import functions as F
 
 from gristmill.llm import common
 
-#: Symbols: 0 for all that is no letter or digit, 1 to 26 for a to z with accents folded, 27 for digits, 28 to 31 for other letters.
-SYMBOLS = 32
-ORDER = 4
-GRAMS = SYMBOLS**ORDER
-#: Symbols in the window whose mean log ratio is compared; about one word with its ends.
-SPAN = 12
-#: Labelled documents whose two features fit the calibration.
+#: Symbols: 0 for all that is no letter or digit, 1 to 26 for a to z, 27 for digits, 28 to 63 for other letters, accented ones too.
+SYMBOLS = 64
+#: Letters before a letter that predict it, never beyond the start of its word: at the full order, and at the next lower one.
+LONG, SHORT = 4, 3
+#: Cells of a table of n-grams. They are found by hash, so a model's size does not depend on the corpus.
+CELLS = 1 << 20
+#: Log ratio from which a word counts as a hit.
+HIT = 3.0
+#: Labelled documents whose features fit the calibration. Those of each quarter come from a model that has not seen it.
 MOST_LABELLED = 50_000
+QUARTERS = 4
 THRESHOLD = 0.3
+FEATURES = ("most", "whole", "rate", "hits")
 
 
 def symbol_of() -> np.ndarray:
     table = np.zeros(0x110000, np.uint8)
     for code in range(0x3000):
-        base = unicodedata.normalize("NFD", chr(code))[0].lower()
-        if "a" <= base <= "z":
-            table[code] = ord(base) - 96
-        elif base.isdigit():
+        c = chr(code).lower()[0]
+        if "a" <= c <= "z":
+            table[code] = ord(c) - 96
+        elif c.isdigit():
             table[code] = 27
-        elif base.isalpha():
-            table[code] = 28 + code % 4
-    table[0x3000:] = 28 + np.arange(0x3000, 0x110000) % 4
-    table[0xDF] = 19  # sharp s
+        elif c.isalpha():
+            table[code] = 28 + ord(c) % 36
+    table[0x3000:] = 28 + np.arange(0x3000, 0x110000) % 36
     return table
 
 
 def symbols(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all texts, each between stretches of ``SPAN`` ends, and where each text's part starts (one more at the end)."""
-    end = " " * SPAN
-    joined = [end + t.decode("utf-8", "replace") for t in texts] + [end]
+    """Symbols of all texts with two ends before each and one behind the last, and where each text's part starts (one more at the end)."""
+    joined = ["  " + t.decode("utf-8", "replace") for t in texts] + ["  "]
     starts = np.cumsum([0, *map(len, joined)])
     codes = np.frombuffer("".join(joined).encode("utf-32-le", "replace"), np.uint32)
     return table[codes], starts[:-1]
 
 
-def grams(s: np.ndarray) -> np.ndarray:
-    """The number of the ``ORDER`` symbols that end at each place, from the place ``ORDER - 1`` on."""
-    out = s[: len(s) - ORDER + 1].astype(np.int32)
-    for k in range(1, ORDER):
-        out = out * SYMBOLS + s[k : len(s) - ORDER + 1 + k]
-    return out
+def _cell(h: np.ndarray) -> np.ndarray:
+    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int32)
+
+
+@dataclass
+class Grams:
+    """Every letter and word end of a text: its place, and the cells of its n-gram and context at both orders; ``last`` are three symbols."""
+
+    place: np.ndarray
+    long: np.ndarray
+    long_context: np.ndarray
+    short: np.ndarray
+    short_context: np.ndarray
+    last: np.ndarray
+
+
+def grams(s: np.ndarray) -> Grams:
+    place = np.flatnonzero((s[2:] > 0) | (s[1:-1] > 0)) + 2
+    now = s[place].astype(np.uint64)
+    h = np.full(len(place), 0x51, np.uint64)
+    inside = np.ones(len(place), bool)  # the context has not reached the end before the word
+    cells = {}
+    for k in range(1, LONG + 1):
+        before = s[np.maximum(place - k, 0)]
+        h = np.where(inside, (h ^ (before.astype(np.uint64) + np.uint64(1))) * np.uint64(0x100000001B3) + np.uint64(k), h)
+        inside &= before > 0
+        if k in (SHORT, LONG):
+            salt = np.uint64(k)
+            cells[k] = (_cell((h ^ (now << np.uint64(40))) + salt), _cell(h + salt))
+    last = (s[place - 2].astype(np.int32) * SYMBOLS + s[place - 1]) * SYMBOLS + s[place]
+    return Grams(place, *cells[LONG], *cells[SHORT], last)
+
+
+COUNTS = "part int, long int, long_context int, short int, short_context int, last int, ordinary long, toxic long, every long"
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((3, GRAMS), np.int64)  # ordinary, toxic, all
+    counts = np.zeros((QUARTERS, 3, CELLS), np.int32)  # by part and kind: ordinary, toxic, every
+    of = np.zeros((4, CELLS), np.int32)  # what else is known of a cell's n-gram
     table = symbol_of()
     for batch in common.slices(batches, "text"):
         label = np.array([2 if v is None else v for v in batch.column("label").to_pylist()])
+        part = np.array(batch.column("part").to_pylist())
         texts = common.texts(batch.column("text"))
-        for k in range(3):
-            part = [t for t, v in zip(texts, label) if v == k]
-            if part:
-                n = np.bincount(grams(symbols(part, table)[0]), minlength=GRAMS)
-                total[2] += n
-                if k < 2:
-                    total[k] += n
-    gram = np.flatnonzero(total[2])
-    for start in range(0, len(gram), 1 << 16):
-        g = gram[start : start + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(g.astype(np.int32)), *(pa.array(total[k, g]) for k in range(3))], ["gram", "ordinary", "toxic", "every"])
-
-
-def count_grams(labelled: DataFrame) -> np.ndarray:
-    """(3, GRAMS) counts over all rows of (text, label): label 0, label 1, and every row. Of fixed size, whatever the corpus."""
-    rows = labelled.select(F.col("text").cast("binary").alias("text"), F.col("label").cast("int").alias("label"))
-    found = rows.mapInArrow(_counts, "gram int, ordinary long, toxic long, every long")
-    summed = found.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("ordinary", "toxic", "every"))).toArrow()
-    out = np.zeros((3, GRAMS), np.int64)
-    for k, c in enumerate(("ordinary", "toxic", "every")):
-        out[k, summed["gram"].to_numpy()] = summed[c].to_numpy()
-    return out
+        for p in range(QUARTERS):
+            for k in range(3):
+                mine = [t for t, v, q in zip(texts, label, part) if v == k and q == p]
+                if mine:
+                    g = grams(symbols(mine, table)[0])
+                    n = np.bincount(g.long, minlength=CELLS).astype(np.int32)
+                    counts[p, 2] += n
+                    if k < 2:
+                        counts[p, k] += n
+                    for row, values in zip(of, (g.long_context, g.short, g.short_context, g.last)):
+                        row[g.long] = values
+    for p in range(QUARTERS):
+        cell = np.flatnonzero(counts[p, 2])
+        for start in range(0, len(cell), 1 << 16):
+            c = cell[start : start + (1 << 16)].astype(np.int32)
+            arrays = [np.full(len(c), p, np.int32), c, *(row[c] for row in of), *(counts[p, k, c].astype(np.int64) for k in range(3))]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in arrays], [c.split()[0] for c in COUNTS.split(", ")])
+
+
+def count_grams(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (part, kind, cell) and the attributes of cells (attribute, cell) over all rows of (text, label, part).
+
+    Kinds are label 0, label 1, and every row. Both arrays are of fixed size, whatever the corpus.
+    """
+    rows = labelled.select(F.col("text").cast("binary").alias("text"), F.col("label").cast("int").alias("label"), F.col("part").cast("int").alias("part"))
+    found = rows.mapInArrow(_counts, COUNTS)
+    kinds, attributes = ("ordinary", "toxic", "every"), ("long_context", "short", "short_context", "last")
+    summed = found.groupBy("part", "long").agg(*(F.sum(c).alias(c) for c in kinds), *(F.max(c).alias(c) for c in attributes)).toArrow()
+    counts, of = np.zeros((QUARTERS, 3, CELLS), np.int64), np.zeros((4, CELLS), np.int64)
+    part, cell = summed["part"].to_numpy(), summed["long"].to_numpy()
+    for k, c in enumerate(kinds):
+        counts[part, k, cell] = summed[c].to_numpy()
+    for k, c in enumerate(attributes):
+        of[k, cell] = summed[c].to_numpy()
+    return counts, of
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -99,42 +144,78 @@ def _interpolated(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
     return np.where(total > 0, seen, lower)
 
 
-def log_ratios(counts: np.ndarray) -> np.ndarray:
-    """log P(symbol | three before, toxic) - log P(same, ordinary) for each gram.
+def _smoothed(counts: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """The same for counts in cells whose contexts are cells too."""
+    d = _discount(counts)
+    total = np.bincount(context, weights=counts, minlength=CELLS)[context]
+    kinds = np.bincount(context, weights=counts > 0, minlength=CELLS)[context]
+    seen = (np.maximum(counts - d, 0) + d * kinds * lower) / np.maximum(total, 1)
+    return np.where(total > 0, seen, lower)
+
+
+def log_ratios(counts: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log P(letter | context, toxic) - log P(same, ordinary) for the cells of the full order (nan where none was seen) and of the lower one.
 
-    Kneser-Ney: raw counts at the full order, numbers of distinct continuations below. The third order belongs to the class; the second and
-    first are shared by both classes and come from every document, so what neither class has seen cancels out.
+    Kneser-Ney: raw counts at the full order, numbers of distinct continuations below it. These two orders belong to the class; those of two
+    letters and fewer are shared by both classes and come from every document, so what neither class has seen cancels out.
     """
-    cube = (SYMBOLS,) * ORDER
-    every = (counts[2].reshape(cube) > 0).sum(axis=0)
-    pairs = (every > 0).sum(axis=0)
-    first = (pairs > 0).sum(axis=0)
-    flat = np.full(SYMBOLS, 1 / SYMBOLS)
-    shared = _interpolated(pairs, _interpolated(first, flat))
+    long_context, short, short_context, last = of
+    known = np.flatnonzero(counts[2] > 0)
+    context, final = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
+    context[short[known]], final[short[known]] = short_context[known], last[known]
+    kinds = np.bincount(short[known], minlength=CELLS)  # of n-grams of the full order behind each of the lower one
+    third = np.bincount(final[kinds > 0], minlength=SYMBOLS**3).reshape((SYMBOLS,) * 3)
+    second = (third > 0).sum(axis=0)
+    shared = _interpolated(third, _interpolated(second, _interpolated((second > 0).sum(axis=0), np.full(SYMBOLS, 1 / SYMBOLS)))).reshape(-1)[final]
     logs = []
     for k in (1, 0):
-        own = counts[k].reshape(cube)
-        logs.append(np.log(_interpolated(own, _interpolated((own > 0).sum(axis=0), shared))))
-    return (logs[0] - logs[1]).reshape(-1).astype(np.float32)
-
-
-def features(texts: list[bytes], ratios: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Per text: the largest mean log ratio over a window, and the mean over the whole text."""
+        continued = np.bincount(short[known], weights=counts[k, known] > 0, minlength=CELLS)
+        lower = _smoothed(continued, context, shared)
+        p = np.full(CELLS, np.nan)
+        full = np.zeros(CELLS)
+        full[known] = lower[short[known]]
+        p[known] = _smoothed(counts[k].astype(float), long_context, full)[known]
+        logs.append((np.log(p), np.log(np.maximum(lower, 1e-12))))
+    return (logs[0][0] - logs[1][0]).astype(np.float32), (logs[0][1] - logs[1][1]).astype(np.float32)
+
+
+def features(texts: list[bytes], ratios: tuple[np.ndarray, np.ndarray], table: np.ndarray) -> np.ndarray:
+    """Per text, over its words' log ratios: the largest, the mean per letter, the hits among a hundred words, and the log of their number."""
+    out = np.zeros((len(texts), len(FEATURES)))
     s, starts = symbols(texts, table)
-    sums = np.concatenate([[0.0], np.cumsum(ratios[grams(s)], dtype=np.float64)])
-    windows = (sums[SPAN:] - sums[:-SPAN]) / SPAN
-    # A text's windows start in the ends before it; the last ones reach into the ends behind it.
-    most = np.maximum.reduceat(windows, np.minimum(starts[:-1], len(windows) - 1))
-    whole = (sums[np.minimum(starts[1:] + SPAN - ORDER + 1, len(sums) - 1)] - sums[starts[:-1]]) / np.diff(starts)
-    return np.stack([most, whole], axis=1)
+    g = grams(s)
+    if not len(g.place):
+        return out
+    value = ratios[0][g.long]
+    value = np.where(np.isnan(value), ratios[1][g.short], value).astype(np.float64)
+    first = np.flatnonzero(s[g.place - 1] == 0)  # first letters of words
+    word = np.add.reduceat(value, first)
+    text = np.searchsorted(starts, g.place[first], "right") - 1
+    letters = np.diff(np.append(first, len(value)))
+    n = np.bincount(text, minlength=len(texts))
+    hits = np.bincount(text, weights=word > HIT, minlength=len(texts))
+    some = np.flatnonzero(n)
+    out[some, 0] = np.maximum.reduceat(word, np.searchsorted(text, some))
+    out[:, 1] = np.bincount(text, weights=word, minlength=len(texts)) / np.maximum(np.bincount(text, weights=letters, minlength=len(texts)), 1)
+    out[:, 2] = 100 * hits / np.maximum(n, 1)
+    out[:, 3] = np.log1p(hits)
+    return out
+
 
+def _featured(full, parts):
+    """Features of all rows by the full model, and by the model that has not seen their quarter."""
 
-def _featured(ratios):
     def run(batches):
-        values, table = ratios.value, symbol_of()
+        table = symbol_of()
+        names = ["key", *FEATURES, *(f"own_{f}" for f in FEATURES)]
         for batch in common.slices(batches, "text"):
-            x = features(common.texts(batch.column("text")), values, table)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(x[:, 0]), pa.array(x[:, 1])], ["key", "most", "whole"])
+            texts = common.texts(batch.column("text"))
+            x = features(texts, full.value, table)
+            own = np.zeros_like(x)
+            quarter = np.array(batch.column("part").to_pylist())
+            for q in np.unique(quarter).tolist():
+                own[quarter == q] = features([t for t, p in zip(texts, quarter) if p == q], parts.value[q], table)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(v[:, k].copy()) for v in (x, own) for k in range(len(FEATURES)))], names)
 
     return run
 
@@ -162,22 +243,28 @@ def score(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
 
     ``labels`` has (doc_id, toxic); ``learn`` says with a Column over ``key`` which rows may teach. Of several labels of an id the larger
     holds; null labels and ids teach nothing. Without any label every score is about zero. The models are
-    counted over all documents; the calibration sees at most ``MOST_LABELLED`` labelled ones, taken by the hash of their ids.
+    counted over all documents; the calibration sees at most ``MOST_LABELLED`` labelled ones, taken by the hash of their ids, with
+    features from a model of the three quarters that they are not in.
     """
     keyed = docs.select(common.row_id(docs).alias("key"), F.col("text").cast("binary").alias("text"))
+    keyed = keyed.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(QUARTERS)).cast("int"))
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.max("toxic").cast("int").alias("label"))
     known = common.stored(known.where(learn(F.col("key"))))
     spark = docs.sparkSession
-    ratios = log_ratios(count_grams(keyed.join(known, "key", "left")))
-    sent = spark.sparkContext.broadcast(ratios)
-    rows = common.stored(keyed.mapInArrow(_featured(sent), "key long, most double, whole double"))
-    sample = rows.join(known, "key").orderBy(F.xxhash64("key")).limit(MOST_LABELLED).select("most", "whole", "label").toArrow()
-    x = np.column_stack([sample["most"].to_numpy(), sample["whole"].to_numpy()])
+    counts, of = count_grams(keyed.join(known, "key", "left"))
+    every = counts.sum(axis=0)
+    full = spark.sparkContext.broadcast(log_ratios(every, of))
+    parts = spark.sparkContext.broadcast([log_ratios(every - c, of) for c in counts])
+    doubles = ", ".join(f"{p}{f} double" for p in ("", "own_") for f in FEATURES)
+    rows = common.stored(keyed.mapInArrow(_featured(full, parts), f"key long, {doubles}"))
+    own = [f"own_{f}" for f in FEATURES]
+    sample = rows.join(known, "key").orderBy(F.xxhash64("key", F.lit(1))).limit(MOST_LABELLED).select(*own, "label").toArrow()
+    x = np.column_stack([sample[c].to_numpy() for c in own])
     centre, scale, w = logistic(x, sample["label"].to_numpy().astype(float))
-    margin = F.lit(float(w[2]))
-    for k, c in enumerate(("most", "whole")):
+    margin = F.lit(float(w[-1]))
+    for k, c in enumerate(FEATURES):
         margin = margin + F.lit(float(w[k])) * (F.col(c) - F.lit(float(centre[k]))) / F.lit(float(scale[k]))
-    return rows.select("key", "most", "whole", (1 / (1 + F.exp(-margin))).alias("score"))
+    return rows.select("key", *FEATURES, (1 / (1 + F.exp(-margin))).alias("score"))
 
 
 def teaches(key):
