@@ -211,18 +211,42 @@ def site_evaluation(d: Data) -> DataFrame:
     )
 
 
-@query("site_evaluation_details", f"""{_all()} SELECT row_id, c1 AS code,
-  CASE c1 WHEN 'G-04' THEN 'GPS (' || CAST(x AS VARCHAR) || ', ' || CAST(y AS VARCHAR) || ') situé hors de ' || cn || '.'
-    WHEN 'G-06' THEN 'GPS (' || CAST(x AS VARCHAR) || ', ' || CAST(y AS VARCHAR) || ') hors ' || cn || ', mais (' || CAST(y AS VARCHAR) || ', ' || CAST(x AS VARCHAR) || ') y est — coordonnées probablement inversées.'
-    ELSE 'GPS (' || CAST(x AS VARCHAR) || ', ' || CAST(y AS VARCHAR) || ') incohérent avec le code postal ' || po || ' (département ' || rg || ').' END AS description,
-  CASE c1 WHEN 'G-04' THEN 'X=' || CAST(x AS VARCHAR) || ', Y=' || CAST(y AS VARCHAR) || ', Pays=' || cn WHEN 'G-06' THEN 'X=' || CAST(x AS VARCHAR) || ', Y=' || CAST(y AS VARCHAR)
-    ELSE 'X=' || CAST(x AS VARCHAR) || ', Y=' || CAST(y AS VARCHAR) || ', CP=' || po END AS found
-FROM evaluated WHERE c1 IN ('G-04', 'G-05', 'G-06')""")
+def _case(on: str, texts: dict[str, tuple], i: int) -> str:
+    return f"CASE {on} " + " ".join(f"WHEN '{code}' THEN {values[i]}" for code, values in texts.items()) + " END"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_LON, _LAT = "CAST(x AS VARCHAR)", "CAST(y AS VARCHAR)"
+_XY_FIELDS = "COORD_X_SITE, COORD_Y_SITE"
+_POINT = f"'X=' || {_LON} || ', Y=' || {_LAT}"
+_RAW_POINT = "'X=' || coalesce(COORD_X_SITE, 'nan') || ', Y=' || coalesce(COORD_Y_SITE, 'nan')"
+# Category, description, fields, value and suggestion of each code, as SQL.
+_TEXTS = {
+    code: (_quoted(category), description, _quoted(fields), value, _quoted(suggestion)) for code, category, description, fields, value, suggestion in [
+        ("P-01", "pays", _quoted("Le pays n'est pas renseigné."), "PAYS_SITE", "''", "Renseigner le pays."),
+        ("R-01", "pays", "'Le pays ''' || cn || ''' n''est pas présent dans le référentiel.'", "PAYS_SITE", "'Pays=' || cn", ""),
+        ("G-02", "gps", _quoted("Une seule coordonnée GPS renseignée (X ou Y manquant)."), _XY_FIELDS, _RAW_POINT, "Compléter la coordonnée manquante."),
+        ("G-03", "gps", _quoted("Les coordonnées GPS ne sont pas valides (non numériques ou hors limites)."), _XY_FIELDS, _RAW_POINT, "Vérifier et corriger les coordonnées GPS."),
+        ("G-06", "gps", f"'GPS (' || {_LON} || ', ' || {_LAT} || ') hors ' || cn || ', mais (' || {_LAT} || ', ' || {_LON} || ') y est — coordonnées probablement inversées.'", _XY_FIELDS, _POINT, "Inverser X et Y."),
+        ("G-04", "gps", f"'GPS (' || {_LON} || ', ' || {_LAT} || ') situé hors de ' || cn || '.'", f"{_XY_FIELDS}, PAYS_SITE", f"{_POINT} || ', Pays=' || cn", "Vérifier les coordonnées GPS."),
+        ("P-02", "adresse", _quoted("Le GPS est dans le pays mais le code postal est absent."), "CP_SITE", "''", "Renseigner le code postal."),
+        ("G-05", "gps", f"'GPS (' || {_LON} || ', ' || {_LAT} || ') incohérent avec le code postal ' || po || ' (département ' || rg || ').'", f"{_XY_FIELDS}, CP_SITE", f"{_POINT} || ', CP=' || po",
+            "Vérifier la cohérence entre GPS et code postal."),
+        ("A-01", "adresse", _quoted("Aucune information d'adresse renseignée."), ", ".join(site_rules.ADDRESS_FIELDS), "''", "Renseigner l'adresse du site."),
+        ("A-02", "adresse", _quoted("L'adresse est renseignée mais le numéro de rue est absent."), "NUM_VOIE_SITE, ADRESSE_SITE", "''", "Ajouter le numéro de rue."),
+    ]
+}
+_DETAIL_COLUMNS = {"category": "CATEGORIE", "description": "DESCRIPTION", "fields": "CHAMPS_CONCERNES", "found": "VALEUR_ACTUELLE", "suggestion": "SUGGESTION"}
+
+
+@query("site_evaluation_details", f"""{_all()} SELECT row_id, code, {_labels_sql('code')} AS label, {', '.join(f"{_case('code', _TEXTS, i)} AS {n}" for i, n in enumerate(_DETAIL_COLUMNS))}
+FROM (SELECT *, unnest([c0, c1, c2]) AS code FROM evaluated) t WHERE code IS NOT NULL""")
 def site_evaluation_details(d: Data) -> DataFrame:
-    first = F.get("_ISSUE_DETAILS", F.lit(0))
-    return evaluated(d).withColumn("i", first).filter(F.col("i.CODE_ANOMALIE").isin("G-04", "G-05", "G-06")).select(
-        "row_id", F.col("i.CODE_ANOMALIE").alias("code"), F.col("i.DESCRIPTION").alias("description"), F.col("i.VALEUR_ACTUELLE").alias("found")
-    )
+    found = evaluated(d).select("row_id", F.inline("_ISSUE_DETAILS"))
+    return found.select("row_id", F.col("CODE_ANOMALIE").alias("code"), F.col("LIBELLE").alias("label"), *[F.col(c).alias(n) for n, c in _DETAIL_COLUMNS.items()])
 
 
 @query("site_evaluation_single", f"{_all()} SELECT row_id, coalesce(c0, c1, c2, '') AS codes FROM evaluated")
@@ -261,9 +285,10 @@ def site_stats_by_country(d: Data) -> DataFrame:
     return quality.stats_by_country(evaluated(d))
 
 
-@query("site_anomaly_detail", f"{_all()} SELECT ID_SITE, NU_CNT, concat_ws(' | ', {_labels_sql('c0')}, {_labels_sql('c1')}, {_labels_sql('c2')}) AS labels FROM evaluated WHERE codes <> ''")
+@query("site_anomaly_detail", f"""{_all()} SELECT ID_SITE, NU_CNT, concat_ws(' | ', {_labels_sql('c0')}, {_labels_sql('c1')}, {_labels_sql('c2')}) AS labels,
+  {_case('coalesce(c0, c1, c2)', _TEXTS, 1)} AS description FROM evaluated WHERE codes <> ''""")
 def site_anomaly_detail(d: Data) -> DataFrame:
-    return quality.anomaly_detail(evaluated(d)).select("ID_SITE", "NU_CNT", F.col("LIBELLE").alias("labels"))
+    return quality.anomaly_detail(evaluated(d)).select("ID_SITE", "NU_CNT", F.col("LIBELLE").alias("labels"), F.col("DESCRIPTION").alias("description"))
 
 
 @query("site_run", f"{_RUN} SELECT row_id, site_key, mode, codes, PTGST FROM evaluated")
@@ -339,23 +364,52 @@ def site_worst_first(d: Data) -> DataFrame:
     )
 
 
-@query("site_consolidated", f"""{_V1} SELECT NU_CNT, codes, priority, array_to_string(list_sort(list_distinct(list_filter([
-  CASE WHEN c1 IN ('G-02', 'G-03') THEN 'COORD_X_SITE, COORD_Y_SITE' WHEN c1 = 'G-04' THEN 'COORD_X_SITE, COORD_Y_SITE, PAYS_SITE' WHEN c1 = 'G-05' THEN 'COORD_X_SITE, COORD_Y_SITE, CP_SITE'
-    WHEN c1 = 'P-02' THEN 'CP_SITE' WHEN c1 IN ('P-01', 'R-01') THEN 'PAYS_SITE' END,
-  CASE WHEN c2 IS NOT NULL THEN 'NUM_RUE_SITE, RUE_SITE, ADRESSE_SITE, LIEU_DIT_SITE' END, CASE WHEN c3 IS NOT NULL THEN 'NUM_VOIE_SITE' END,
-  CASE WHEN c4 IS NOT NULL THEN 'RUE_SITE, NUM_RUE_SITE, CP_SITE' END, CASE WHEN c5 IS NOT NULL THEN 'CP_SITE' END], lambda t: t IS NOT NULL))), '; ') AS fields
-FROM sev WHERE codes <> ''""")
+_V1_RAW = "'Lon=' || coalesce(COORD_X_SITE, 'nan') || ', Lat=' || coalesce(COORD_Y_SITE, 'nan')"
+_V1_POINT = f"'Lon=' || {_LON} || ', Lat=' || {_LAT}"
+_V1_RUE = "coalesce(RUE_SITE, 'nan')"
+_V1_TEXTS = {
+    code: (_quoted(category), description, _quoted(fields), value, _quoted(suggestion)) for code, category, description, fields, value, suggestion in [
+        ("P-01", "pays", _quoted("Le pays n'est pas renseigné. Validation bloquée."), "PAYS_SITE", "''", "Renseigner le pays."),
+        ("G-02", "adresse", _quoted("Une seule coordonnée GPS renseignée (X ou Y manquant)."), _XY_FIELDS, _V1_RAW, "Compléter la coordonnée manquante."),
+        ("G-03", "gps", _quoted("Coordonnée GPS non numérique ou hors limites."), _XY_FIELDS, _V1_RAW, "Vérifier les coordonnées GPS."),
+        ("R-01", "pays", "'Pays ''' || cn || ''' non couvert par le référentiel.'", "PAYS_SITE", "'Pays=' || cn", ""),
+        ("G-04", "gps", f"'GPS (' || {_LON} || ', ' || {_LAT} || ') situé hors de ' || cn || '.'", f"{_XY_FIELDS}, PAYS_SITE", f"{_V1_POINT} || ', Pays=' || cn", "Vérifier les coordonnées GPS."),
+        ("P-02", "adresse", _quoted("Le code postal n'est pas renseigné."), "CP_SITE", "''", "Renseigner le code postal."),
+        ("G-05", "gps", f"'GPS (' || {_LON} || ', ' || {_LAT} || ') ne correspond pas au code postal ' || po || '.'", f"{_XY_FIELDS}, CP_SITE", f"{_V1_POINT} || ', CP=' || po || ', Dept=' || rg",
+            "Vérifier la cohérence GPS / code postal."),
+        ("A-01", "adresse", _quoted("Aucune information d'adresse renseignée."), ", ".join([*site_severity.STREET_FIELDS, "LIEU_DIT_SITE"]), "''", "Rencher l'adresse."),
+        ("A-02", "adresse", _quoted("L'adresse est renseignée mais le numéro de voie est absent."), "NUM_VOIE_SITE", f"'Numéro=, Rue=' || {_V1_RUE}", "Compléter le numéro de rue si l'information existe."),
+        ("A-03", "adresse", _quoted("Le numéro de rue manque : la cohérence du nom de rue avec le département doit être vérifiée manuellement."), "RUE_SITE, NUM_RUE_SITE, CP_SITE",
+            f"'Rue=' || {_V1_RUE} || ', CP=' || po", "Contrôler le nom de rue avec la source métier du département."),
+        ("D-01", "pays", "'Le département ''' || rg || ''' n''existe pas dans le référentiel.'", "CP_SITE", "'CP=' || po || ', Dept=' || rg", "Vérifier le code département."),
+    ]
+}
+
+
+def _v1_joined(i: int) -> str:
+    each = ", ".join(_case(f"c{k}", _V1_TEXTS, i) for k in range(1, 6))
+    return f"array_to_string(list_sort(list_distinct(list_filter([{each}], lambda t: t IS NOT NULL AND t <> ''))), '; ')"
+
+
+_V1_LABELS = ", ".join(f"CASE c{k} " + " ".join(f"WHEN '{c}' THEN {_quoted(label)}" for c, (label, _) in site_severity.CATALOGUE.items()) + " END" for k in range(1, 6))
+
+
+@query("site_consolidated", f"""{_V1} SELECT ID_SITE, NU_CNT, codes, priority, concat_ws(' | ', {_V1_LABELS}) AS labels, {_case('coalesce(c1, c2, c3, c4, c5)', _V1_TEXTS, 0)} AS category,
+  {_v1_joined(1)} AS description, {_v1_joined(2)} AS fields, {_v1_joined(3)} AS found, {_v1_joined(4)} AS suggestion, '' AS similarity FROM sev WHERE codes <> ''""")
 def site_consolidated(d: Data) -> DataFrame:
-    return site_severity.consolidate(severity(d)).select(
-        "NU_CNT", F.col("CODE_ANOMALIE").alias("codes"), F.col("GRAVITE").alias("priority"), F.col("CHAMPS_CONCERNES").alias("fields")
-    )
+    names = {"codes": "CODE_ANOMALIE", "labels": "LIBELLE", "priority": "GRAVITE", **_DETAIL_COLUMNS, "similarity": "SCORE_SIMILARITE"}
+    return site_severity.consolidate(severity(d)).select("ID_SITE", "NU_CNT", *[F.col(c).alias(n) for n, c in names.items()])
+
 
+_EXPORTED = [c for c in site_severity.EXPORT_ORDER if not c.startswith("_")]
 
-@query("site_enriched_export", f"{_V1} SELECT NU_CNT, PAYS_SITE, mode AS control_mode, codes AS issue_codes, rg AS department FROM sev")
+
+@query("site_enriched_export", f"""{_V1} SELECT {', '.join(_EXPORTED)}, mode AS control_mode, status AS control_status, priority, CAST(len(list_filter([c1, c2, c3, c4, c5], lambda c: c IS NOT NULL)) AS INT) AS issue_count,
+  codes AS issue_codes, concat_ws(' | ', {_V1_LABELS}) AS issue_summary, {_KEY} AS site_key, hx OR hy AS has_gps, inside AS gps_in_country, fits AS gps_match_postal_code, adr AS address_present,
+  num AS street_number_present, rg AS department_code, home AS department_country_ok FROM sev""")
 def site_enriched_export(d: Data) -> DataFrame:
-    return site_severity.enriched_export(severity(d)).select(
-        "NU_CNT", "PAYS_SITE", F.col("_CONTROL_MODE").alias("control_mode"), F.col("_ISSUE_CODES").alias("issue_codes"), F.col("_DEPARTMENT_CODE").alias("department")
-    )
+    """All columns of the export."""
+    return site_severity.enriched_export(severity(d)).select(*[F.col(c).alias(c.lower().removeprefix("_") if c.startswith("_") else c) for c in site_severity.EXPORT_ORDER])
 
 
 # --- exhaustive variant ----------------------------------------------------------------------------------------
@@ -390,6 +444,7 @@ _FULL = f"""WITH cty AS (SELECT DISTINCT CP_SITE AS cp5, lower(NOM_CLI) AS cy FR
     concat_ws(', ', CASE WHEN cp = '' THEN 'A-01' END, CASE WHEN vl = '' THEN 'A-02' END, CASE WHEN nostreet THEN 'A-03' END,
     CASE WHEN cp <> '' AND NOT knowncp THEN 'A-04' END, CASE WHEN cp <> '' AND knowncp AND vl <> '' AND NOT fits THEN 'A-05' END) AS a FROM e3),
   e5 AS (SELECT *, CASE WHEN NOT (hx OR hy) OR g <> '' THEN a ELSE '' END AS aa FROM e4)"""
+_SEVERITY = "CASE WHEN code IN ('G-01', 'A-03') THEN 'LÉGÈRE' WHEN code IN ('G-06', 'G-07') THEN 'INFO' ELSE 'GRAVE' END"
 
 
 @query("site_exhaustive_evaluation", f"""{_FULL} SELECT row_id, CASE WHEN (hx OR hy) AND g = '' THEN 'gps_ok' WHEN hx OR hy THEN 'gps_issue' WHEN aa <> '' THEN 'not_locatable' ELSE 'address_ok' END AS outcome,
@@ -398,15 +453,36 @@ def site_exhaustive_evaluation(d: Data) -> DataFrame:
     return exhaustive(d).select("row_id", "outcome", F.array_join(F.col("issues.code"), ", ").alias("codes"))
 
 
+_FULL_TEXTS = {
+    "P-01": ("'Pays manquant'",), "P-07": ("'Données techniques manquantes'",), "G-01": ("'GPS incomplet (une seule coordonnée)'",),
+    "G-02": (f"CASE WHEN x IS NULL THEN 'Longitude ''' || COORD_X_SITE || ''' non numérique' ELSE 'Longitude ' || {_LON} || ' hors limites' END",),
+    "G-03": (f"CASE WHEN y IS NULL THEN 'Latitude ''' || COORD_Y_SITE || ''' non numérique' ELSE 'Latitude ' || {_LAT} || ' hors limites' END",),
+    "G-06": ("'X/Y probablement inversés'",), "G-07": ("'Signe probablement erroné'",), "G-05": (f"'GPS (' || {_LON} || ',' || {_LAT} || ') hors de ' || cn",),
+    "G-04": ("'GPS hors département ' || dp",), "A-01": ("'Code postal manquant'",), "A-02": ("'Ville manquante'",), "A-03": ("'Rue manquante'",),
+    "A-04": ("'CP ''' || CP_SITE || ''' non trouvé dans la référence'",), "A-05": ("'''' || VILLE_SITE || ''' ≠ CP ' || CP_SITE || ' (attendu: [' || expected || '])'",),
+    "L-01": ("'Site non localisable'",),
+}
+
+
+@query("site_exhaustive_issues", f"""{_FULL}, known AS (SELECT cp5, array_to_string(list('''' || name || '''' ORDER BY o), ', ') AS expected
+    FROM (SELECT CP_SITE AS cp5, min(NOM_CLI) AS name, lower(NOM_CLI) AS cy, min(row_id) AS o FROM @sites s WHERE coalesce(trim(CP_SITE), '') <> '' AND trim(STOCK) = '1' GROUP BY 1, 3) t GROUP BY 1),
+  issues AS (SELECT e5.*, expected, unnest(string_split(concat_ws(', ', CASE WHEN cn = '' THEN 'P-01' END, CASE WHEN notech THEN 'P-07' END, nullif(g, ''), nullif(aa, ''),
+    CASE WHEN NOT (hx OR hy) AND aa <> '' THEN 'L-01' END), ', ')) AS code FROM e5 LEFT JOIN known ON cp5 = cp)
+  SELECT row_id, code, {_SEVERITY} AS severity, {_case('code', _FULL_TEXTS, 0)} AS description FROM issues WHERE code <> ''""")
+def site_exhaustive_issues(d: Data) -> DataFrame:
+    """Every issue with its text and severity; wrong cities list all known ones in their original spelling."""
+    rows = d.sites.filter("CP_SITE IS NOT NULL AND trim(CP_SITE) <> '' AND trim(STOCK) = '1'")
+    named = rows.groupBy(F.col("CP_SITE").alias("postal_code"), F.lower("NOM_CLI").alias("city")).agg(F.min("row_id").alias("ordinal"), F.min("NOM_CLI").alias("name"))
+    found = site_exhaustive.evaluate_sites_full(d.sites, d.country_boxes, d.region_boxes, named)
+    return found.select("row_id", F.inline("issues")).select("row_id", "code", F.col("gravite").alias("severity"), "description")
+
+
 @query("site_exhaustive_gps", f"{_FULL} SELECT row_id, g AS codes FROM e5")
 def site_exhaustive_gps(d: Data) -> DataFrame:
     codes = F.filter(F.col("issues.code"), lambda c: c.startswith("G-"))
     return exhaustive(d).select("row_id", F.array_join(codes, ", ").alias("codes"))
 
 
-_SEVERITY = "CASE WHEN code IN ('G-01', 'A-03') THEN 'LÉGÈRE' WHEN code IN ('G-06', 'G-07') THEN 'INFO' ELSE 'GRAVE' END"
-
-
 # No two segment names are alike enough for a typo or a doubt, so a wrong city is always severe here.
 @query("site_issues_by_severity", f"""{_FULL}, codes AS (SELECT unnest(string_split(concat_ws(', ', CASE WHEN cn = '' THEN 'P-01' END, CASE WHEN notech THEN 'P-07' END, nullif(g, ''), nullif(aa, ''),
     CASE WHEN NOT (hx OR hy) AND aa <> '' THEN 'L-01' END), ', ')) AS code FROM e5)

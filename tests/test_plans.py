@@ -12,7 +12,7 @@ from gristmill.queries.policy import CODES, SCOPE
 from gristmill.queries.sites import evaluated
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON = {"city_name_check", "city_name_exact", "city_name_expected", "site_exhaustive_evaluation", "site_exhaustive_gps", "site_issues_by_severity"}
+PYTHON = {"city_name_check", "city_name_exact", "city_name_expected", "site_exhaustive_evaluation", "site_exhaustive_gps", "site_exhaustive_issues", "site_issues_by_severity"}
 
 
 def plan(df):
