@@ -19,17 +19,19 @@ def keep_first(df: DataFrame, key: list[str], order: list[str | Column]) -> Data
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def first_last(df: DataFrame, by: list[str], order: str) -> DataFrame:
+def first_last(df: DataFrame, by: list[str], order: str, salt: int = 16) -> DataFrame:
     """Flags ``is_first`` / ``is_last`` inside each group; ``order`` must be unique within a group.
 
-    The two ends are aggregated (partial aggregation absorbs a hot group) and joined back, so that no group is
-    ever sorted in one task.
+    The two ends are aggregated (partial aggregation absorbs a hot group) and joined back with the rows of a group
+    spread over ``salt`` sub-keys, so that no group is ever sorted or joined in one task.
     """
     ends = df.groupBy(*by).agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
-    keys = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
-    joined = df.alias("a").join(ends.alias("b"), keys, "left")
+    spread = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int"))
+    ends = ends.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    keys = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*by, "_salt"]]
+    joined = spread.alias("a").join(ends.alias("b"), keys, "left")
     return joined.select(
-        "a.*",
+        *[F.col(f"a.`{c}`") for c in df.columns],
         (F.col(f"a.{order}") == F.col("b._low")).alias("is_first"),
         (F.col(f"a.{order}") == F.col("b._high")).alias("is_last"),
     )

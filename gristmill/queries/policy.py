@@ -36,8 +36,8 @@ _SCOPED = """(SELECT * FROM @policies p WHERE coalesce(risk_class <> 'X', true)
 
 
 def cents(c: Column) -> Column:
-    """Whole cents for comparison; the cut is moved off the values that computed amounts fall on."""
-    return F.floor(c * 100 + F.lit(0.3).cast("double")).cast("bigint")
+    """Hundredths of a cent for comparison; the cut is moved off the values that computed amounts fall on."""
+    return F.floor(c * 10000 + F.lit(0.37).cast("double")).cast("bigint")
 
 
 def _le(c: str, d: str) -> str:
@@ -401,7 +401,7 @@ _INDEXED = """ix AS (SELECT g.policy_no, g.pos, g.label, g.amount, g.share_pct,
   LEFT JOIN @index_values n ON n.index_date = ann AND n.nature = g.nature LEFT JOIN @index_values t ON t.index_date = created AND t.nature = g.nature)"""
 
 
-@query("capital_indexed_groups", f"WITH {_INDEXED} SELECT policy_no, pos, CAST(floor(indexed * 100 + 0.3) AS BIGINT) AS indexed FROM ix WHERE indexed IS NOT NULL")
+@query("capital_indexed_groups", f"WITH {_INDEXED} SELECT policy_no, pos, CAST(floor(indexed * 10000 + 0.37) AS BIGINT) AS indexed FROM ix WHERE indexed IS NOT NULL")
 def capital_indexed_groups(d: Data) -> DataFrame:
     out = capital.index_amounts(with_groups(d), d.index_values, PERIOD.last_day)
     rows = out.select("policy_no", F.inline("groups")).filter("indexed IS NOT NULL")
@@ -411,7 +411,7 @@ def capital_indexed_groups(d: Data) -> DataFrame:
 @query("capital_largest_group", f"""WITH {_INDEXED}, m AS (SELECT policy_no, any_value(CASE WHEN share_pct IS NULL OR share_pct = 0 THEN 100 ELSE share_pct END) AS sh,
     max(indexed) FILTER (contains(label, 'GLOBAL LIMIT')) AS a, max(indexed) FILTER (label = 'MAX LOSS KEPT') AS b, max(indexed) FILTER (label = 'DIRECT RISK') AS c,
     greatest(0, max(amount) FILTER (label = 'LOSS OF INCOME')) AS e, greatest(0, max(amount) FILTER (label = 'MAX LOSS KEPT')) AS f FROM ix GROUP BY 1)
-SELECT policy_no, CAST(floor(a * 100 / sh * 100 + 0.3) AS BIGINT) AS limit_all, CAST(floor(b * 100 / sh * 100 + 0.3) AS BIGINT) AS loss_kept, CAST(floor(c * 100 / sh * 100 + 0.3) AS BIGINT) AS direct_risk, CAST(floor(e * 100 / sh * 100 + 0.3) AS BIGINT) AS income_loss, CAST(floor(greatest(a * 100 / sh, b * 100 / sh) * 100 + 0.3) AS BIGINT) AS top_limit FROM m""")
+SELECT policy_no, CAST(floor(a * 100 / sh * 10000 + 0.37) AS BIGINT) AS limit_all, CAST(floor(b * 100 / sh * 10000 + 0.37) AS BIGINT) AS loss_kept, CAST(floor(c * 100 / sh * 10000 + 0.37) AS BIGINT) AS direct_risk, CAST(floor(e * 100 / sh * 10000 + 0.37) AS BIGINT) AS income_loss, CAST(floor(greatest(a * 100 / sh, b * 100 / sh) * 10000 + 0.37) AS BIGINT) AS top_limit FROM m""")
 def capital_largest_group(d: Data) -> DataFrame:
     indexed = capital.index_amounts(with_groups(d), d.index_values, PERIOD.last_day)
     out = capital.capital_max(indexed, MEASURES, {"loss_all": ("loss_all", ["loss_direct", "loss_income"])}, {"top_limit": ["limit_all", "loss_kept"]})
@@ -437,8 +437,8 @@ def capital_fire_lines(d: Data) -> DataFrame:
     return out.select("policy", "product", *[F.col(c).cast("double").alias(c) for c in ("loss_full", "direct_full", "insured_full")])
 
 
-@query("capital_consolidated", f"""WITH {_INDEXED} SELECT 'main' AS channel, policy_no, '1' AS network, CAST(floor(max(indexed) FILTER (contains(label, 'GLOBAL LIMIT')) * 100 + 0.3) AS BIGINT) AS limit_amount FROM ix GROUP BY 1, 2, 3
-UNION ALL SELECT 'legacy', policy, '3', CAST(floor(limit_full * 100 + 0.3) AS BIGINT) FROM ({_LEGACY_SUMS}) l""")
+@query("capital_consolidated", f"""WITH {_INDEXED} SELECT 'main' AS channel, policy_no, '1' AS network, CAST(floor(max(indexed) FILTER (contains(label, 'GLOBAL LIMIT')) * 10000 + 0.37) AS BIGINT) AS limit_amount FROM ix GROUP BY 1, 2, 3
+UNION ALL SELECT 'legacy', policy, '3', CAST(floor(limit_full * 10000 + 0.37) AS BIGINT) FROM ({_LEGACY_SUMS}) l""")
 def capital_consolidated(d: Data) -> DataFrame:
     main = capital.capital(capital.index_amounts(with_groups(d), d.index_values, PERIOD.last_day), MEASURES[:1])
     out = capital.consolidate_capital(

@@ -49,6 +49,7 @@ def test_first_and_last_of_a_hot_key(shuffled):
     ends = flagged.filter("k = 0 AND (is_first OR is_last)").orderBy("id").collect()
     assert [(r.id, r.is_first, r.is_last) for r in ends] == [(0, True, False), (29997, False, True)]
     assert "Window" not in flagged._jdf.queryExecution().executedPlan().toString()
+    assert largest_share(flagged) < 0.25
 
 
 def test_one_huge_folder(shuffled):
