@@ -60,7 +60,9 @@ def links(values: DataFrame, column: str = "fp") -> DataFrame:
     A key's members are known from the flipped positions alone, which a bit mask collects without any list.
     """
     flip = F.explode(F.sequence(F.lit(0), F.lit(2 * SEGMENT)))  # the last one stands for the fingerprint itself
-    balls = values.select(column).distinct().select(column, flip.alias("i"))
+    # A row becomes 65, so the small table is dealt to as many tasks as shuffles have, not to the few that its size asks for.
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    balls = values.select(column).repartition(parts, column).distinct().select(column, flip.alias("i"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("i"))
     own = F.col("i") == 2 * SEGMENT
     keyed = balls.select(F.when(own, F.col(column)).otherwise(F.col(column).bitwiseXOR(bit)).alias("k"), F.when(own, F.lit(0).cast("long")).otherwise(bit).alias("bit"), own.cast("int").alias("own"))
