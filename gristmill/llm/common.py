@@ -6,8 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,9 +82,9 @@ def texts(column: pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that ``column`` holds about ``most`` bytes in each; a single longer value stays alone."""
     for batch in batches:
-        sizes = np.diff(np.frombuffer(batch.column(column).buffers()[1], np.int32, len(batch) + 1 + batch.column(column).offset)[batch.column(column).offset:]) if len(batch) else np.zeros(0)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         start, total = 0, 0
-        for i, size in enumerate(sizes.tolist()):
+        for i, size in enumerate(sizes.to_pylist()):
             if i > start and total + size > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0

@@ -179,43 +179,43 @@ def log_ratios(counts: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (logs[0][0] - logs[1][0]).astype(np.float32), (logs[0][1] - logs[1][1]).astype(np.float32)
 
 
-def features(texts: list[bytes], ratios: tuple[np.ndarray, np.ndarray], table: np.ndarray) -> np.ndarray:
-    """Per text, over its words' log ratios: the largest, the mean per letter, the hits among a hundred words, and the log of their number."""
-    out = np.zeros((len(texts), len(FEATURES)))
+def features(texts: list[bytes], ratios: tuple[np.ndarray, np.ndarray], table: np.ndarray, parts: tuple | None = None) -> np.ndarray:
+    """Per text, over its words' log ratios: the largest, the mean per letter, the hits among a hundred words, and the log of their number.
+
+    ``parts`` holds stacked ratios of several models and the number of the one for each text; its features follow in further columns.
+    """
     s, starts = symbols(texts, table)
     g = grams(s)
     if not len(g.place):
-        return out
-    value = ratios[0][g.long]
-    value = np.where(np.isnan(value), ratios[1][g.short], value).astype(np.float64)
+        return np.zeros((len(texts), (1 + (parts is not None)) * len(FEATURES)))
+    values = [(ratios[0][g.long], ratios[1][g.short])]
+    if parts is not None:
+        model = np.repeat(np.asarray(parts[2]), np.diff(starts))[g.place - 1]  # a word end may be the first place of the next text
+        values.append((parts[0][model, g.long], parts[1][model, g.short]))
     first = np.flatnonzero(s[g.place - 1] == 0)  # first letters of words
-    word = np.add.reduceat(value, first)
     text = np.searchsorted(starts, g.place[first], "right") - 1
-    letters = np.diff(np.append(first, len(value)))
+    letters = np.bincount(text, weights=np.diff(np.append(first, len(g.place))), minlength=len(texts))
     n = np.bincount(text, minlength=len(texts))
-    hits = np.bincount(text, weights=word > HIT, minlength=len(texts))
     some = np.flatnonzero(n)
-    out[some, 0] = np.maximum.reduceat(word, np.searchsorted(text, some))
-    out[:, 1] = np.bincount(text, weights=word, minlength=len(texts)) / np.maximum(np.bincount(text, weights=letters, minlength=len(texts)), 1)
-    out[:, 2] = 100 * hits / np.maximum(n, 1)
-    out[:, 3] = np.log1p(hits)
-    return out
+    columns = []
+    for long, short in values:
+        word = np.add.reduceat(np.where(np.isnan(long), short, long).astype(np.float64), first)
+        hits = np.bincount(text, weights=word > HIT, minlength=len(texts))
+        most = np.zeros(len(texts))
+        most[some] = np.maximum.reduceat(word, np.searchsorted(text, some))
+        columns += [most, np.bincount(text, weights=word, minlength=len(texts)) / np.maximum(letters, 1), 100 * hits / np.maximum(n, 1), np.log1p(hits)]
+    return np.stack(columns, axis=1)
 
 
 def _featured(full, parts):
     """Features of all rows by the full model, and by the model that has not seen their quarter."""
 
     def run(batches):
-        table = symbol_of()
+        table, (long, short) = symbol_of(), parts.value
         names = ["key", *FEATURES, *(f"own_{f}" for f in FEATURES)]
         for batch in common.slices(batches, "text"):
-            texts = common.texts(batch.column("text"))
-            x = features(texts, full.value, table)
-            own = np.zeros_like(x)
-            quarter = np.array(batch.column("part").to_pylist())
-            for q in np.unique(quarter).tolist():
-                own[quarter == q] = features([t for t, p in zip(texts, quarter) if p == q], parts.value[q], table)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(v[:, k].copy()) for v in (x, own) for k in range(len(FEATURES)))], names)
+            x = features(common.texts(batch.column("text")), full.value, table, (long, short, batch.column("part").to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(x[:, k].copy()) for k in range(x.shape[1]))], names)
 
     return run
 
@@ -254,7 +254,7 @@ def score(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
     counts, of = count_grams(keyed.join(known, "key", "left"))
     every = counts.sum(axis=0)
     full = spark.sparkContext.broadcast(log_ratios(every, of))
-    parts = spark.sparkContext.broadcast([log_ratios(every - c, of) for c in counts])
+    parts = spark.sparkContext.broadcast(tuple(map(np.stack, zip(*(log_ratios(every - c, of) for c in counts)))))
     doubles = ", ".join(f"{p}{f} double" for p in ("", "own_") for f in FEATURES)
     rows = common.stored(keyed.mapInArrow(_featured(full, parts), f"key long, {doubles}"))
     own = [f"own_{f}" for f in FEATURES]

@@ -323,6 +323,12 @@ def test_toxicity_features_do_not_depend_on_the_batch():
         want = [max(sums), sum(sums) / sum(map(len, words)), 100 * hits / len(sums), np.log1p(hits)] if sums else [0, 0, 0, 0]
         assert row == pytest.approx(want, abs=1e-4)
     assert toxicity.features([b"", b" "], ratios, table).tolist() == [[0.0] * 4] * 2
+    # Several models at once: each text has the features that its own model gives it alone.
+    models = [tuple(random.normal(size=toxicity.CELLS).astype(np.float32) * 3 for _ in range(2)) for _ in range(3)]
+    which, encoded = [2, 0, 1, 2, 0, 1], [t.strip().encode() for t in texts]
+    both = toxicity.features(encoded, ratios, table, (np.stack([m[0] for m in models]), np.stack([m[1] for m in models]), which))
+    for row, text, m in zip(both, encoded, which):
+        assert row[4:] == pytest.approx(toxicity.features([text], models[m], table)[0], abs=1e-5)
 
 
 def test_classifiers_on_odd_rows_and_without_labels(spark, docs, empty):
