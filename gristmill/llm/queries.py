@@ -58,4 +58,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_url_filter, op2_repeated_passages, op3_benchmark_decontamination, op4_quality, op5_best_fit_packing, op6_simhash_near_duplicates,
     op7_html_extraction, op8_language, op9_toxicity, op10_nearest_neighbours,
 )}
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents), i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS ws FROM benchmark),
+  wins AS (SELECT DISTINCT item, ws[k:k + 9] AS g FROM (SELECT item, ws, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS k FROM i WHERE len(ws) > 0) t),
+  lens AS (SELECT DISTINCT len(g) AS n FROM wins),
+  places AS (SELECT doc_id, n, k, ws[k:k + n - 1] AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM d, lens WHERE len(ws) >= n) t),
+  met AS (SELECT doc_id, n, k, item FROM places JOIN wins USING (g)),
+  hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM met) t GROUP BY 1),
+  who AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM met) t GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN who USING (doc_id)""",
+}
