@@ -169,8 +169,10 @@ def _strings(length: int):
         for batch in common.slices(batches, "context", 1 << 19):
             rows, parts = [], []
             for row in batch.to_pylist():
-                high, text = row["high"], row["context"]
+                low, high, text = row["low"], row["high"], row["context"]
                 for block in row["blocks"]:
+                    if block["low"] < low or block["high"] > high:  # of the same anchor's other range, where a chunk border divides it
+                        continue
                     for d in range(block["low"], block["high"] + 1):
                         parts.append(text[high - d : high - d + length])
                         rows.append((row["key"], row["h"], row["a"] - d, row["weight"]))
