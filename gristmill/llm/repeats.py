@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 
@@ -286,27 +287,55 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, batches: int = BATC
     return done.select(common.real_id(F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def _cut(length: int, text: str, starts: str, left: str):
+def _worded(batches):
+    """Texts as four bytes for each word, so that strings of words are strings of bytes."""
+    for batch in common.slices(batches, "text"):
+        out = [np.fromiter(map(xxhash.xxh32_intdigest, t.split()), np.uint32).tobytes() for t in common.texts(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("h"), pa.array(out, pa.binary())], ["key", "h", "text"])
+
+
+def word_spans(text: bytes, starts: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
+    """Bytes of the strings of ``words`` words that start at these first and last bytes of the text's words at four bytes each."""
+    whole = [(-(-low // 4), high // 4) for low, high in starts]
+    found = runs([(low, high) for low, high in whole if low <= high], words)
+    if not found:
+        return []
+    places = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", text)]
+    return [(places[a][0], places[b - 1][1]) for a, b in found]
+
+
+def _cut(length: int, words: int, text: str, starts: str, worded: str, left: str):
     def run(batches):
         for batch in batches:
             out = []
-            for value, items in zip(batch.column(text).to_pylist(), batch.column(starts).to_pylist()):
+            for value, items, more in zip(*(batch.column(c).to_pylist() for c in (text, starts, worded))):
                 spans = runs([(x["low"], x["high"]) for x in items or ()], length)
+                if more:
+                    spans = runs(spans + word_spans(value, [(x["low"], x["high"]) for x in more], words), 0)
                 # A cut inside a character leaves broken bytes, which are dropped.
                 out.append(cut_out(value, spans).decode("utf-8", "ignore") if spans else None)
-            rest = [c for c in batch.schema.names if c not in (text, starts)]
+            rest = [c for c in batch.schema.names if c not in (text, starts, worded)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, pa.string())], [*rest, left])
 
     return run
 
 
-def remove_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text``, every row and column kept; ``n_chars`` follows the text where there is one."""
-    key, h, starts, value, left = (common.free_name(docs, n) for n in ("_key", "_h", "_starts", "_value", "_left"))
-    spans = _removed(_keyed(docs), length=length).select(F.col("key").alias(key), F.col("h").alias(h), F.col("starts").alias(starts))
+def remove_passages(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``, every row and column kept; ``n_chars`` follows the text where there is one.
+
+    A passage is a string of ``length`` bytes or, if ``words`` is given, also one of that many words, whatever the white space between them.
+    """
+    key, h, starts, worded, value, left = (common.free_name(docs, n) for n in ("_key", "_h", "_starts", "_worded", "_value", "_left"))
+    keyed = _keyed(docs)
+    spans = _removed(keyed, length=length).withColumn("worded", F.lit(None).cast("array<struct<low:int,high:int>>"))
+    if words:
+        more = _removed(keyed.mapInArrow(_worded, "key long, h long, text binary"), length=4 * words)
+        spans = spans.drop("worded").join(more.withColumnRenamed("starts", "worded"), ["key", "h"], "full")
+    spans = spans.select(F.col("key").alias(key), F.col("h").alias(h), F.col("starts").alias(starts), F.col("worded").alias(worded))
     met = docs.withColumns({key: common.row_id(docs), h: F.xxhash64("text")}).join(spans, [key, h], "left").drop(key, h)
-    met = met.withColumn(value, F.when(F.col(starts).isNotNull(), F.col("text").cast("binary")))
-    done = met.mapInArrow(_cut(length, value, starts, left), met.drop(value, starts).schema.add(left, "string"))
+    found = F.col(starts).isNotNull() | F.col(worded).isNotNull()
+    met = met.withColumn(value, F.when(found, F.col("text").cast("binary")))
+    done = met.mapInArrow(_cut(length, words, value, starts, worded, left), met.drop(value, starts, worded).schema.add(left, "string"))
     changed = F.col(left).isNotNull()
     out = {"text": F.when(changed, F.col(left)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
