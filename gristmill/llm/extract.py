@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gristmill.llm import common
 from gristmill.llm.urls import host_and_path
 
-#: Share of a host's pages on which a class must occur to be part of the template, and share of the free text that makes a slot a main one.
+#: Share of a host's pages on which a class must occur to be part of the template, and share of the free text in a slot that makes its container a main one.
 SUPPORT, SHARE = 0.5, 0.1
 
 _TOKEN = re.compile(
@@ -30,6 +30,7 @@ _CLOSES_P = _BLOCK - frozenset("br option select title tbody td tfoot th thead t
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table div section article main body html nav aside header footer form blockquote select".split())
 _MAIN = frozenset(["article", "main"])
+_HOLDS = frozenset("html body div section center".split())
 _OUTSIDE = frozenset("head title nav header footer aside form menu dialog button select option label input script style noscript".split())
 # Words in class, id or role that name a part beside the article.
 _BESIDE = re.compile(
@@ -99,6 +100,17 @@ def slots(path: tuple[str, ...], template: set[str]) -> str:
     return ""
 
 
+def ancestors(role: str) -> list[str]:
+    """A role and the roles around it, up to the empty one."""
+    path = role.split("/")
+    return ["/".join(path[:n]) for n in range(len(path), -1, -1)]
+
+
+def container(role: str) -> str:
+    """The nearest element of a role that holds parts of a page, not a part such as a heading, a paragraph or a table itself."""
+    return next((r for r in ancestors(role) if r.rpartition("/")[2].partition(".")[0] in _HOLDS), "")
+
+
 def profile(page: str) -> dict[str, list[int]]:
     """Role (path): [times it opens, characters of text directly in it, of these in links]."""
     found: dict[str, list[int]] = {}
@@ -118,8 +130,8 @@ def deduce(roles: list[tuple[str, int, int, int, int, int]], pages: int) -> tupl
 
     Tokens with equal occurrence vectors form a class. A class is valid if its tokens occur at most once on a page and on enough pages;
     paths say how valid classes nest. The text of other roles falls into the slot of its nearest template token. Slots beside the article
-    drop out; of the rest those within an article or main element hold the text, or where the host has none, those with enough of it and
-    mostly outside links.
+    drop out; of the rest those within an article or main element hold the text. Where the host has none, the containers of slots with
+    enough of the text do: however small, every slot in them and every part directly beside them counts if it is not mostly links.
     """
     classes: dict[tuple[int, int], list[str]] = {}
     once = {r: most == 1 for r, _, most, _, _, _ in roles}
@@ -140,7 +152,10 @@ def deduce(roles: list[tuple[str, int, int, int, int, int]], pages: int) -> tupl
     within = [s for s in text if any(p.partition(".")[0] in _MAIN for p in s.split("/"))]
     if not within:
         total = sum(text.values())
-        within = [s for s in text if text[s] >= SHARE * total and 2 * links[s] <= text[s]]
+        free = [s for s in text if 2 * links[s] <= text[s]]
+        held = {container(s) for s in free if text[s] >= SHARE * total}
+        around = {c.rpartition("/")[0] for c in held if c}
+        within = [s for s in free if container(s) in around or any(c in held for c in ancestors(container(s)))]
     return sorted(template), sorted(within)
 
 
