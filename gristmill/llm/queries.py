@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import decontaminate, extract, language, neighbours, packing, quality, repeats, simhash, toxicity, urls
+from gristmill.llm import decontaminate, extract, language, neighbours, packing, quality, repeats, simhash, toxicity, trie, urls
 from gristmill.llm.common import table
 
 
@@ -54,10 +54,18 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search_every(table(spark, folder, "embeddings"), 20)
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_repeated_passages, op3_benchmark_decontamination, op4_quality, op5_best_fit_packing, op6_simhash_near_duplicates,
     op7_html_extraction, op8_language, op9_toxicity, op10_nearest_neighbours,
+    op11_conversation_prefix_trie,
 )}
+#: crc32 of an ASCII text, which ``format`` puts in.
+_CRC = """xor(list_reduce(list_transform(range(0, CAST(octet_length(encode({0})) AS BIGINT)), lambda i: CAST(ascii(substr({0}, CAST(i + 1 AS BIGINT), 1)) AS BIGINT)), lambda acc, b:
+    list_reduce(range(8), lambda a, k: xor(a >> 1, 3988292384 * (a & 1)), xor(acc, b)), 4294967295), 4294967295)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -71,4 +79,17 @@ SQL: dict[str, str] = {
   who AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM met) t GROUP BY 1)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN who USING (doc_id)""",
+    "op11_conversation_prefix_trie": f"""WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+  k AS (SELECT c, count(*) AS n, {_CRC.format("CAST(c AS VARCHAR)")} % 6 AS h, c - c % 100 AS b FROM t GROUP BY c),
+  g AS (SELECT k.c, k.h, k.b, least(k.h, coalesce(f.n, 0)) AS taken FROM k LEFT JOIN k AS f ON f.c = k.b),
+  s AS (SELECT g.c, t.pos AS d, r, x FROM g JOIN t ON t.c = g.b AND t.pos <= g.taken
+        UNION ALL SELECT g.c, taken + pos - h, r, x FROM g JOIN t USING (c) WHERE pos > h),
+  p AS (SELECT c, d, list({{'r': r, 'x': x}}) OVER (PARTITION BY c ORDER BY d) AS path, x, max(d) OVER (PARTITION BY c) AS total FROM s
+        UNION ALL SELECT g.c, 0, [], '', coalesce(m, 0) FROM g LEFT JOIN (SELECT c, max(d) AS m FROM s GROUP BY c) AS l USING (c)),
+  v AS (SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, max(length(x)) AS chars, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = total) AS ends FROM p GROUP BY path, d),
+  kids AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM v WHERE d > 0 GROUP BY 1),
+  w AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN kids USING (path)),
+  sums AS (SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM w) AS e GROUP BY 1)
+SELECT w.conv_id, w.d AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN sums USING (path) LEFT JOIN w AS u ON w.d > 0 AND u.path = w.path[1:w.d - 1]""",
 }
