@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import decontaminate, extract, language, neighbours, packing, quality, repeats, simhash, toxicity, trie, urls
+from gristmill.llm import decontaminate, extract, language, neighbours, packing, quality, repair, repeats, simhash, toxicity, trie, urls
 from gristmill.llm.common import table
 
 
@@ -58,14 +58,33 @@ def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame
     return trie.prefix_trie(table(spark, folder, "conversations"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.damaged_report(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_repeated_passages, op3_benchmark_decontamination, op4_quality, op5_best_fit_packing, op6_simhash_near_duplicates,
     op7_html_extraction, op8_language, op9_toxicity, op10_nearest_neighbours,
-    op11_conversation_prefix_trie,
+    op11_conversation_prefix_trie, op13_conversation_repair,
 )}
 #: crc32 of an ASCII text, which ``format`` puts in.
 _CRC = """xor(list_reduce(list_transform(range(0, CAST(octet_length(encode({0})) AS BIGINT)), lambda i: CAST(ascii(substr({0}, CAST(i + 1 AS BIGINT), 1)) AS BIGINT)), lambda acc, b:
     list_reduce(range(8), lambda a, k: xor(a >> 1, 3988292384 * (a & 1)), xor(acc, b)), 4294967295), 4294967295)"""
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _edit(costs: str, more: str, letter: str) -> str:
+    """A cost of twelve digits and an audit, with an edit in front."""
+    return f"(lpad(CAST(CAST({costs}[1:12] AS BIGINT) + {more} AS VARCHAR), 12, '0') || '{letter}' || {costs}[13:])"
+
+
+def _before(state: int) -> str:
+    """The least edits in a state before a row, from those behind it (v0 to v3), without insertions."""
+    made = (2, 2, 3, 2)[state]
+    keeps = " ".join(f"WHEN x = '{x}' THEN {_edit(f'v{t}', 'more', 'K')}" for x, t in (({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})[state]).items())
+    return f"least({_edit(f'v{state}', '4', 'D')}, CASE WHEN NOT held THEN {_edit(f'v{made}', '3 + more', 'R')} END, CASE WHEN held THEN NULL {keeps} END) AS b{state}"
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -92,4 +111,25 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN who USING (doc_id)""",
   sums AS (SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM w) AS e GROUP BY 1)
 SELECT w.conv_id, w.d AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
 FROM w JOIN sums USING (path) LEFT JOIN w AS u ON w.d > 0 AND u.path = w.path[1:w.d - 1]""",
+    "op13_conversation_repair": f"""WITH RECURSIVE k AS (SELECT conv_id AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, CAST(conv_id AS VARCHAR) || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS id FROM conversations WHERE conv_id IS NOT NULL),
+  f AS (SELECT c, turn, role, text, {_CRC.format("id")} % 20 AS fault FROM k),
+  d AS (SELECT c, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy, rtrim(CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END, {_WHITE}) AS bare FROM f WHERE fault <> 0),
+  n AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST) AS i FROM d),
+  o AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS seen, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM n),
+  r AS (SELECT *, left(role, 1) AS x, bare = '' OR seen AS held, CASE WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS more FROM o),
+  v AS (SELECT c, count(*) AS i, '000000000000' AS v0, '000000000006II' AS v1, '000000000003I' AS v2, '000000000000' AS v3 FROM r GROUP BY c
+        UNION ALL SELECT c, i - 1, least(b0, {_edit("w2", "3", "I")}), least(b1, {_edit("w2", "3", "I")}), w2, w3 FROM (
+          SELECT *, least(b2, {_edit("b3", "3", "I")}) AS w2, least(b3, {_edit("b2", "3", "I")}) AS w3 FROM (
+            SELECT v.c, v.i, {", ".join(map(_before, range(4)))} FROM v JOIN r ON r.c = v.c AND r.i = v.i) AS y) AS z),
+  a AS (SELECT c, CAST(v0[1:12] AS BIGINT) AS cost, v0[13:] AS audit FROM v WHERE i = 0),
+  e AS (SELECT c, j, audit[j] AS l, sum(CAST(audit[j] <> 'I' AS INT)) OVER w AS i, sum(CAST(audit[j] <> 'D' AS INT)) OVER w AS p
+        FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS j FROM a) AS q WINDOW w AS (PARTITION BY c ORDER BY j)),
+  g AS (SELECT e.c, e.p, l, r.role, r.text, max(CAST(p = 1 AND l = 'K' AND x = 's' AS INT)) OVER (PARTITION BY e.c) AS s FROM e LEFT JOIN r ON r.c = e.c AND r.i = e.i AND l <> 'I' WHERE l <> 'D'),
+  h AS (SELECT c, string_agg(CASE WHEN l = 'K' THEN role WHEN (p - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS made FROM g GROUP BY c),
+  t AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (bare = '') AS blank, count(*) FILTER (bare <> '' AND seen) AS duplicate,
+        count(*) FILTER (NOT held AND more > 0) AS truncated, count(*) FILTER (illegal) AS illegal FROM r GROUP BY c)
+SELECT c AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(made, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c FROM k) AS every LEFT JOIN t USING (c) LEFT JOIN a USING (c) LEFT JOIN h USING (c)""",
 }
