@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import decontaminate, extract, language, neighbours, packing, quality, repair, repeats, simhash, toxicity, trie, urls
+from gristmill.llm import decontaminate, extract, language, neighbours, packing, pii, quality, repair, repeats, simhash, toxicity, trie, urls
 from gristmill.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame
     return trie.prefix_trie(table(spark, folder, "conversations"))
 
 
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.damaged_report(table(spark, folder, "conversations"))
 
@@ -65,7 +69,7 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_url_filter, op2_repeated_passages, op3_benchmark_decontamination, op4_quality, op5_best_fit_packing, op6_simhash_near_duplicates,
     op7_html_extraction, op8_language, op9_toxicity, op10_nearest_neighbours,
-    op11_conversation_prefix_trie, op13_conversation_repair,
+    op11_conversation_prefix_trie, op12_personal_data, op13_conversation_repair,
 )}
 #: crc32 of an ASCII text, which ``format`` puts in.
 _CRC = """xor(list_reduce(list_transform(range(0, CAST(octet_length(encode({0})) AS BIGINT)), lambda i: CAST(ascii(substr({0}, CAST(i + 1 AS BIGINT), 1)) AS BIGINT)), lambda acc, b:
