@@ -11,7 +11,8 @@ from gristmill.functions import dates, missing, numbers, text
 from gristmill.operators import dedup, joins, profile, rules, setops
 from gristmill.plans import consolidate, control
 from gristmill.queries.base import Data, query
-from gristmill.sources import tables
+from gristmill.session import scratch_path
+from gristmill.sources import delimited, tables
 
 PERIOD = dates.Period.of(199806)
 
@@ -402,3 +403,30 @@ def parity_structure(d: Data) -> DataFrame:
     a = d.orders.select(F.col("o_orderkey").alias("policy"), F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("only_a"))
     b = d.orders.select(F.col("o_orderkey").alias("policy"), F.col("o_totalprice").cast("bigint").alias("amount"), F.col("o_orderstatus").alias("only_b"))
     return control.parity_structure(a, b)
+
+
+_NOTES = """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'said "' || o_clerk || '"' || chr(10) || ';' || chr(10) || o_orderpriority WHEN o_orderkey % 4 = 1 THEN o_clerk || ';' END AS note,
+  o_orderkey % 3 AS kind FROM orders"""
+
+
+def _exports(d: Data) -> list[str]:
+    """Orders as three exports: with notes that hold line ends, with the columns in another order, and without one of the columns."""
+    note = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit('said "'), "o_clerk", F.lit('"\n;\n'), "o_orderpriority")).when(F.col("o_orderkey") % 4 == 1, F.concat("o_clerk", F.lit(";")))
+    rows = d.orders.select(F.col("o_orderkey").cast("string").alias("id"), note.alias("note"), (F.col("o_orderkey") % 3).alias("kind"))
+    paths = []
+    for kind, columns in enumerate((["id", "note"], ["note", "kind", "id"], ["id"])):
+        paths.append(scratch_path(d.spark, "export"))
+        rows.where(F.col("kind") == kind).select(*columns).write.option("header", True).option("sep", ";").option("escape", '"').csv(paths[-1])
+    return paths
+
+
+@query("export_with_quoted_line_ends", f"SELECT id, note FROM ({_NOTES}) t WHERE kind < 2")
+def export_with_quoted_line_ends(d: Data) -> DataFrame:
+    return tables.read_strings(d.spark, _exports(d)[:2], ["id", "note"], sep=";", encoding="UTF-8")
+
+
+@query("export_rejected_rows", f"SELECT CASE WHEN kind < 2 THEN id END AS id, CASE WHEN kind < 2 THEN note END AS note, CASE WHEN kind = 2 THEN id END AS rejected FROM ({_NOTES}) t")
+def export_rejected_rows(d: Data) -> DataFrame:
+    rows = delimited.read_delimited(d.spark, _exports(d), ["id", "note"], ";", incomplete="reject")
+    good, rejected = delimited.good_and_rejected(rows)
+    return good.withColumn("rejected", F.lit(None).cast("string")).unionByName(rejected.withColumnRenamed(delimited.CORRUPT, "rejected"))

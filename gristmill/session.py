@@ -29,15 +29,16 @@ def build(app: str = "gristmill", master: str | None = None, **extra: str) -> Sp
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder in ``spark.checkpoint.dir``, which all executors share, and read again.
-
-    A lost executor never restarts the loop that made it. The session is not changed.
-    """
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, prefix: str) -> str:
+    """A new path in the folder named by ``spark.checkpoint.dir``, which all executors share. The session is not changed."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again: a lost executor never restarts the loop that made it."""
+    path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

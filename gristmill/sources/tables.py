@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from gristmill.functions.dates import Period
 from gristmill.functions.text import normalize_country
 from gristmill.operators.dedup import with_ordinal
+from gristmill.sources import delimited
 
 # Spellings that the reference's CSV reader turns into a missing value.
 NA_VALUES = [
@@ -71,15 +72,16 @@ def read_strings(
 ) -> DataFrame:
     """Chosen columns of a delimited file, all as strings; an absent column is an error. ``ordinal`` adds the place in the file.
 
-    A quoted field may hold line ends, which makes a file unsplittable: one task reads each. ``multiline=False`` splits large files that have
-    no such field; a row with too few or too many fields then fails the read instead of passing as two broken rows.
+    A quoted field may hold line ends, and large files are read by many tasks all the same (:mod:`gristmill.sources.delimited`). A row with
+    too few fields is filled with nulls and one with too many is cut. ``multiline=False`` spares the measuring pass for files that have no such
+    field; a row with too few or too many fields then fails the read.
     """
     sep = sep or sniff_separator(spark, path)
     encoding = encoding or sniff_encoding(spark, path)
-    raw = (
-        spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-        .option("escape", '"').option("multiLine", multiline).option("mode", "PERMISSIVE" if multiline else "FAILFAST").csv(path)
-    )
+    if multiline:
+        read = delimited.read_delimited(spark, path, columns, sep, encoding, ordinal)
+        return missing_to_null(read.drop(delimited.CORRUPT), columns)
+    raw = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("escape", '"').option("mode", "FAILFAST").csv(path)
     absent = [c for c in columns if c not in raw.columns]
     if absent:
         raise ValueError(f"columns not found in {path}: {', '.join(absent)}")
@@ -110,13 +112,18 @@ def read_optional(spark: SparkSession, load: Callable[[], DataFrame], schema: T.
         return spark.createDataFrame([], schema)
 
 
+def read_period_rows(spark: SparkSession, base: str, period: Period, pattern: str = "*.csv*") -> DataFrame:
+    """Monthly pipe-separated Latin-9 extracts, plain or gzipped, chosen by file name, with the text of broken rows in ``_corrupt``.
+
+    Fields may hold line ends; files may have their columns in different orders; :func:`delimited.good_and_rejected` divides the rows.
+    """
+    raw = delimited.read_delimited(spark, f"{base}/{period.year}/{period.month:02d}", None, "|", "ISO-8859-1", pattern=pattern)
+    return raw.select(*[F.translate(F.col(f"`{c}`"), _LATIN_1, _LATIN_9).alias(c) for c in raw.columns])
+
+
 def read_period(spark: SparkSession, base: str, period: Period, pattern: str = "*.csv*") -> DataFrame:
-    """Monthly pipe-separated Latin-9 extracts, plain or gzipped, chosen by file name."""
-    raw = (
-        spark.read.option("header", True).option("sep", "|").option("encoding", "ISO-8859-1").option("escape", '"')
-        .option("pathGlobFilter", pattern).csv(f"{base}/{period.year}/{period.month:02d}")
-    )
-    return raw.select(*[F.translate(c, _LATIN_1, _LATIN_9).alias(c) for c in raw.columns])
+    """Rows of :func:`read_period_rows`; a broken one fails the read instead of passing as another or two."""
+    return delimited.or_fail(read_period_rows(spark, base, period, pattern))
 
 
 def union_existing(spark: SparkSession, loaders: list[Callable[[], DataFrame]], schema: T.StructType | str) -> DataFrame:

@@ -7,20 +7,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gristmill.plans.site_rules import country_filter, evaluate_sites
-from gristmill.sources.tables import SITE_COLUMNS, clean_country, missing_to_null, string_schema
+from gristmill.sources import delimited
+from gristmill.sources.tables import SITE_COLUMNS, clean_country, missing_to_null
+
+ARRIVALS = "path string, modificationTime timestamp, length long, content binary"
+
+
+def read_arrivals(
+    spark: SparkSession, arrived: DataFrame, columns: list[str], sep: str = ";", encoding: str = "UTF-8"
+) -> tuple[DataFrame, DataFrame] | None:
+    """Good and rejected rows of the files that a batch of :func:`arrivals` names, by the same reader as in batch; None for a batch without files.
+
+    Columns are taken by the names in each file's own header. Rows with too few or too many fields, and all rows of a file
+    that lacks a column, are rejected.
+    """
+    paths = sorted(r.path for r in arrived.select("path").distinct().collect())  # as many as a trigger takes
+    if not paths:
+        return None
+    return delimited.good_and_rejected(delimited.read_delimited(spark, paths, columns, sep, encoding, incomplete="reject"))
+
+
+def arrivals(spark: SparkSession, in_dir: str, per_trigger: int = 1000) -> DataFrame:
+    """A stream of the names of arriving files; their contents are left to the reader."""
+    return spark.readStream.format("binaryFile").schema(ARRIVALS).option("maxFilesPerTrigger", per_trigger).load(in_dir).select("path")
 
 
 def check_sites_stream(
     spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, boxes: DataFrame, regions: DataFrame,
-    supported: list[str] | None = None, sep: str = ";", columns: list[str] = SITE_COLUMNS,
+    supported: list[str] | None = None, sep: str = ";", columns: list[str] = SITE_COLUMNS, encoding: str = "UTF-8", rejected_dir: str | None = None,
 ) -> StreamingQuery:
-    """Process what has arrived since the last run, then stop; the file log in ``checkpoint`` avoids repeats."""
-    arrivals = spark.readStream.schema(string_schema(columns)).option("header", True).option("sep", sep).csv(in_dir)
-    named = clean_country(missing_to_null(arrivals))
-    # The row id only matters for sites without contract or number: it is a digest of the row, stable across retries.
-    keyed = named.withColumn("row_id", F.xxhash64(*columns))
-    checked = evaluate_sites(country_filter(keyed, supported), boxes, regions)
-    return (
-        checked.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    """Process what has arrived since the last run, then stop; the file log in ``checkpoint`` avoids repeats.
+
+    Each batch replaces ``out_dir/batch=<number>`` and, with the text of broken rows, ``rejected_dir/batch=<number>`` (by default
+    ``out_dir`` with ``_rejected`` behind it), so a batch that is run again after a failure leaves its rows once.
+    """
+
+    def write(arrived: DataFrame, batch: int) -> None:
+        read = read_arrivals(arrived.sparkSession, arrived, columns, sep, encoding)
+        if read is None:
+            return
+        good, rejected = read
+        named = clean_country(missing_to_null(good))
+        # The row id only matters for sites without contract or number: it is a digest of the row, stable across retries.
+        keyed = named.withColumn("row_id", F.xxhash64(*columns))
+        evaluate_sites(country_filter(keyed, supported), boxes, regions).write.mode("overwrite").parquet(f"{out_dir}/batch={batch}")
+        rejected.select(F.col(delimited.CORRUPT).alias("row")).write.mode("overwrite").parquet(f"{rejected_dir or out_dir + '_rejected'}/batch={batch}")
+
+    query = arrivals(spark, in_dir).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return query.trigger(availableNow=True).start()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.dates import Period
 from gristmill.plans import consolidate, quality, schedule, site_rules
-from gristmill.sources import references, sinks, tables
+from gristmill.sources import delimited, references, sinks, tables
 from gristmill.streaming.site_stream import check_sites_stream
 
 
@@ -154,6 +154,46 @@ def test_stream_equals_batch(spark, tmp_path):
     assert pick(spark.read.parquet(out)) == pick(expected) and len(pick(expected)) == 40
 
 
+def test_stream_reads_by_name_rejects_and_repeats(spark, tmp_path):
+    """Another column order, quoted line ends, broken rows, a file without a column, and a batch that runs twice."""
+    columns = ["NU_CNT", "ID_SITE", *(c for c in tables.SITE_COLUMNS if c not in ("NU_CNT", "ID_SITE"))]
+    boxes = spark.createDataFrame([("FRANCE", -5.0, 42.0, 9.0, 51.0)], "country string, lon_min double, lat_min double, lon_max double, lat_max double")
+    regions = spark.createDataFrame([], "country string, region_code string, lon_min double, lat_min double, lon_max double, lat_max double")
+
+    def line(i, order, **more):
+        row = {"ID_SITE": str(i), "NU_CNT": f"C{i}", "PAYS_SITE": "France", "COORD_X_SITE": "2", "COORD_Y_SITE": "45", "NOM_SITE": f'"site\n""{i}"""', **more}
+        return ";".join(row.get(c, "") for c in order)
+
+    write(tmp_path / "in" / "a.csv", "\n".join([";".join(columns), *(line(i, columns) for i in range(5)), "too;few"]) + "\n")
+    out, mark = tmp_path / "out", tmp_path / "mark"
+    run = lambda: check_sites_stream(spark, str(tmp_path / "in"), str(out), str(mark), boxes, regions).awaitTermination(120)
+    run()
+    write(tmp_path / "in" / "b.csv", "\r\n".join([";".join(tables.SITE_COLUMNS), *(line(i, tables.SITE_COLUMNS) for i in range(5, 9))]) + "\r\n")
+    write(tmp_path / "in" / "c.csv", "ID_SITE;NU_CNT\n9;C9\n")
+    run()
+    rows = lambda path: sorted(tuple(r) for r in spark.read.parquet(str(path)).select(*(["ID_SITE", "NU_CNT", "NOM_SITE", "_ISSUE_CODES"] if path == out else ["row"])).collect())
+    first = rows(out)
+    assert [r[:3] for r in first] == [(str(i), f"C{i}", f'site\n"{i}"') for i in range(9)]
+    assert rows(tmp_path / "out_rejected") == [("9;C9",), ("too;few",)]
+    commits = sorted((mark / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for p in (commits[-1], mark / "commits" / f".{commits[-1].name}.crc"):  # the last batch was written, but its end was not noted
+        p.unlink(missing_ok=True)
+    run()
+    assert rows(out) == first and rows(tmp_path / "out_rejected") == [("9;C9",), ("too;few",)]
+
+
+def test_monthly_extracts_with_line_ends_and_broken_rows(spark, tmp_path):
+    folder = tmp_path / "2025" / "09"
+    write(folder / "book_1.csv", 'policy|label\n1|"two\nlines €"\n2\n3|x|y\n4|z\n', "iso8859-15")
+    write(folder / "book_2.csv", 'label|policy\n"Š"|5\n', "iso8859-15")
+    period = Period.of(202509)
+    good, bad = delimited.good_and_rejected(tables.read_period_rows(spark, str(tmp_path), period))
+    assert sorted(tuple(r) for r in good.collect()) == [("1", "two\nlines €"), ("4", "z"), ("5", "Š")]
+    assert sorted(r._corrupt for r in bad.collect()) == ["2", "3|x|y"]
+    with pytest.raises(Exception, match="too few or too many fields"):
+        tables.read_period(spark, str(tmp_path), period).collect()
+
+
 def test_file_order_over_several_files(spark, tmp_path):
     for i, n in enumerate((400, 3, 90)):
         write(tmp_path / "in" / f"{i}.csv", "a;b\n" + "".join(f"{i};{k}\n" for k in range(n)))
