@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import blank_to_null
@@ -97,9 +97,9 @@ def enrich(
 
 
 def lookup_keep(df: DataFrame, ref: DataFrame, on: list[str] | dict[str, str], cols: list[str] | dict[str, str]) -> DataFrame:
-    """Inner variant of :func:`enrich`: the lookup also filters."""
+    """Inner variant of :func:`enrich`: the lookup also filters; a repeated key fails the job here too."""
     pairs, added = _pairs(on), _pairs(cols)
-    ref = ref.select(*dict.fromkeys([*pairs.values(), *added.keys()]))
+    ref = assert_unique(ref.select(*dict.fromkeys([*pairs.values(), *added.keys()])), list(pairs.values()))
     kept = [F.col(f"l.{c}") for c in df.columns if c not in added.values()]
     return df.alias("l").join(ref.alias("r"), _match(on), "inner").select(
         *kept, *[F.col(f"r.{source}").alias(name) for source, name in added.items()]
@@ -142,8 +142,7 @@ def priority_fill(
 
 def fill_missing(df: DataFrame, source: DataFrame, on: list[str] | dict[str, str], cols: dict[str, str]) -> DataFrame:
     """Complete ``{target: source column}`` only where the target is missing (null, or blank text)."""
-    temp = {src: f"_src_{target}" for target, src in cols.items()}
-    joined = enrich(df, source, on, temp)
+    joined = enrich(df, source.select("*", *(F.col(src).alias(f"_src_{target}") for target, src in cols.items())), on, [f"_src_{target}" for target in cols])
     types = dict(df.dtypes)
 
     def completed(target: str) -> Column:
@@ -162,6 +161,77 @@ def join_valid_at(df: DataFrame, history: DataFrame, on: list[str] | dict[str, s
     return enrich(df, current, on, cols)
 
 
+def _apart(history: DataFrame, keys: list[str]) -> DataFrame:
+    """``history`` as it is; two intervals of a key that overlap fail the job."""
+    before = F.max("valid_to").over(Window.partitionBy(*keys).orderBy("valid_from", "valid_to").rowsBetween(Window.unboundedPreceding, -1))
+    guard = F.when(F.col("_before") > F.col("valid_from"), F.raise_error(F.lit(f"overlapping intervals in history: {', '.join(keys)}"))).otherwise(F.lit(True))
+    return history.withColumn("_before", before).where(guard).drop("_before")
+
+
+def join_valid_on(df: DataFrame, history: DataFrame, on: list[str] | dict[str, str], day: str, cols: list[str] | dict[str, str], bucket_days: int = 366) -> DataFrame:
+    """History row valid on each row's own day (``valid_from <= day < valid_to``), by a left join; a null ``valid_to`` has no end.
+
+    Both sides are cut into buckets of ``bucket_days``: a day lies in one, an interval is repeated for those that it meets, within the range of
+    days that ``df`` has, so thirty years give thirty rows. Keys and buckets are joined by equality and only the rows of one key
+    and bucket are compared. A key that is hot over a long time is thus divided; empty intervals and rows without key or day match nothing;
+    overlapping intervals of a key fail the job.
+    """
+    pairs, added = _pairs(on), _pairs(cols)
+    number = lambda c: F.floor(F.unix_date(F.col(c).cast("date")) / bucket_days)
+    ends = df.agg(F.min(F.col(day).cast("date")).alias("low"), F.max(F.col(day).cast("date")).alias("high"))
+    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    known = history.select(*dict.fromkeys([*pairs.values(), *added]), F.col("valid_from").cast("date").alias("valid_from"), F.coalesce(F.col("valid_to").cast("date"), F.lit("9999-12-31").cast("date")).alias("valid_to"))
+    known = _apart(known.dropna(subset=[*pairs.values(), "valid_from"]).where("valid_from < valid_to"), list(pairs.values()))
+    known = known.where((F.col("valid_from") <= high) & (F.col("valid_to") > low))
+    known = known.withColumns({"_first": F.greatest("valid_from", low), "_last": F.least(F.date_sub("valid_to", 1), high)})
+    known = known.withColumn("_bucket", F.explode(F.sequence(number("_first"), number("_last")))).drop("_first", "_last")
+    rule = _match(on) & (F.col("l._bucket") == F.col("r._bucket")) & (F.col("l._day") >= F.col("r.valid_from")) & (F.col("l._day") < F.col("r.valid_to"))
+    left = df.withColumns({"_day": F.col(day).cast("date"), "_bucket": number(day)})
+    kept = [F.col(f"l.{c}") for c in df.columns if c not in added.values()]
+    return left.alias("l").join(known.alias("r"), rule, "left").select(*kept, *[F.col(f"r.{source}").alias(name) for source, name in added.items()])
+
+
+def join_as_of(
+    df: DataFrame, ref: DataFrame, on: list[str] | dict[str, str], at: str, ref_at: str, cols: list[str] | dict[str, str], order: list[str],
+    width: int = 30 * 86_400, strict: bool = False,
+) -> DataFrame:
+    """Each row of ``df`` with the newest row of ``ref`` of its key that is not later (or, ``strict``, that is earlier); null where there is none.
+
+    Of reference rows of one time the last by ``order`` counts. ``at`` and ``ref_at`` are timestamps or dates. Both sides are sorted
+    together once and the last reference row is carried along, so no pairs are made. Each key is cut into slices of ``width`` seconds that
+    are sorted apart; what a slice ends with is one row, carried over to the next slices. A hot key is as many tasks' work as it has slices.
+    """
+    pairs, added = _pairs(on), _pairs(cols)
+    keys = [f"_k{i}" for i in range(len(pairs))]
+    time = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    row, value = F.struct(*(F.col(c) for c in df.columns)), F.struct(*(F.col(c).alias(f"v{i}") for i, c in enumerate(added)))
+    left = df.select(*(F.col(c).alias(k) for c, k in zip(pairs, keys)), time(at).alias("_t"), row.alias("_row"))
+    kind = left.schema["_row"].dataType
+    right = ref.dropna(subset=[*pairs.values(), ref_at]).select(
+        *(F.col(c).alias(k) for c, k in zip(pairs.values(), keys)), time(ref_at).alias("_t"), F.struct(*order).alias("_order"), value.alias("_value")
+    )
+    whole = F.col("_t").isNotNull()
+    for k in keys:
+        whole &= F.col(k).isNotNull()
+    nothing = left.where(~whole).select("_row", F.lit(None).cast(right.schema["_value"].dataType).alias("_value"))
+    both = right.select(*keys, "_t", "_order", "_value", F.lit(None).cast(kind).alias("_row")).unionByName(
+        left.where(whole).select(*keys, "_t", F.lit(None).cast(right.schema["_order"].dataType).alias("_order"), F.lit(None).cast(right.schema["_value"].dataType).alias("_value"), "_row")
+    )
+    both = both.withColumn("_slice", F.floor(F.col("_t") / (width * 1_000_000)))
+    # Reference rows of one time come before the rows that may see them, and after those that may not.
+    side = F.col("_row").isNotNull() != F.lit(strict)
+    by = Window.partitionBy(*keys, "_slice").orderBy("_t", side, "_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = both.withColumn("_last", F.last("_value", ignorenulls=True).over(by)).where("_row IS NOT NULL")
+    ends = right.withColumn("_slice", F.floor(F.col("_t") / (width * 1_000_000))).groupBy(*keys, "_slice").agg(F.max_by("_value", F.struct("_t", "_order")).alias("_end"))
+    slices = ends.unionByName(left.where(whole).select(*keys, F.floor(F.col("_t") / (width * 1_000_000)).alias("_slice")).distinct(), allowMissingColumns=True)
+    slices = slices.groupBy(*keys, "_slice").agg(F.max("_end").alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select(*keys, "_slice", F.last("_end", ignorenulls=True).over(earlier).alias("_before"))
+    met = carried.join(slices, [*keys, "_slice"]).select("_row", F.coalesce("_last", "_before").alias("_value")).unionByName(nothing)
+    kept = [F.col(f"_row.{c}").alias(c) for c in df.columns if c not in added.values()]
+    return met.select(*kept, *(F.col(f"_value.v{i}").alias(name) for i, name in enumerate(added.values())))
+
+
 def as_of(ref: DataFrame, period: int, floor: int | None = None, column: str = "period") -> DataFrame:
     """Newest snapshot not after ``period``; periods at or before ``floor`` use the snapshot after the floor.
 

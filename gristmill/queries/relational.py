@@ -94,6 +94,28 @@ def join_as_of(d: Data) -> DataFrame:
     return joins.as_of(monthly, PERIOD.value).select("l_suppkey", "n_lines")
 
 
+@query("join_valid_per_row", f"""SELECT l_orderkey, l_linenumber, l_partkey, score FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN ({_HISTORY.format(orders='orders')}) h ON cust = o_custkey AND CAST(l_shipdate AS DATE) >= valid_from AND CAST(l_shipdate AS DATE) < valid_to""")
+def join_valid_per_row(d: Data) -> DataFrame:
+    lines = joins.enrich(d.lineitem, d.orders, {"l_orderkey": "o_orderkey"}, ["o_custkey"], unique=True)
+    return joins.join_valid_on(lines, d.sql(_HISTORY), {"o_custkey": "cust"}, "l_shipdate", ["score"]).select("l_orderkey", "l_linenumber", "l_partkey", "score")
+
+
+@query("join_as_of_per_row", """WITH v AS (SELECT user_id, ts, max(event_id) AS seen FROM events WHERE event_type = 'view' GROUP BY ALL)
+SELECT event_id, seen FROM (SELECT * FROM events WHERE event_type = 'purchase') e ASOF LEFT JOIN v ON v.user_id = e.user_id AND v.ts <= e.ts""")
+def join_as_of_per_row(d: Data) -> DataFrame:
+    views = d.events.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("seen"))
+    bought = d.events.where("event_type = 'purchase'")
+    return joins.join_as_of(bought, views, ["user_id"], "ts", "ts", ["seen"], order=["seen"]).select("event_id", "seen")
+
+
+@query("join_as_of_strictly_before", """WITH v AS (SELECT user_id, ts, max(event_id) AS seen FROM events GROUP BY ALL)
+SELECT event_id, seen FROM events e ASOF LEFT JOIN v ON v.user_id = e.user_id AND v.ts < e.ts""")
+def join_as_of_strictly_before(d: Data) -> DataFrame:
+    ref = d.events.select("user_id", "ts", F.col("event_id").alias("seen"))
+    return joins.join_as_of(d.events, ref, ["user_id"], "ts", "ts", ["seen"], order=["seen"], width=86_400, strict=True).select("event_id", "seen")
+
+
 @query("join_flag_exists", "SELECT o_orderkey, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') THEN 0 ELSE 1 END AS kept FROM orders")
 def join_flag_exists(d: Data) -> DataFrame:
     returned = d.lineitem.filter("l_returnflag = 'R'")
@@ -405,13 +427,13 @@ def parity_structure(d: Data) -> DataFrame:
     return control.parity_structure(a, b)
 
 
-_NOTES = """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'said "' || o_clerk || '"' || chr(10) || ';' || chr(10) || o_orderpriority WHEN o_orderkey % 4 = 1 THEN o_clerk || ';' END AS note,
+_NOTES = """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'said "' || o_orderstatus || '"' || chr(10) || ';' || chr(10) || o_orderpriority WHEN o_orderkey % 4 = 1 THEN o_orderstatus || ';' END AS note,
   o_orderkey % 3 AS kind FROM orders"""
 
 
 def _exports(d: Data) -> list[str]:
     """Orders as three exports: with notes that hold line ends, with the columns in another order, and without one of the columns."""
-    note = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit('said "'), "o_clerk", F.lit('"\n;\n'), "o_orderpriority")).when(F.col("o_orderkey") % 4 == 1, F.concat("o_clerk", F.lit(";")))
+    note = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit('said "'), "o_orderstatus", F.lit('"\n;\n'), "o_orderpriority")).when(F.col("o_orderkey") % 4 == 1, F.concat("o_orderstatus", F.lit(";")))
     rows = d.orders.select(F.col("o_orderkey").cast("string").alias("id"), note.alias("note"), (F.col("o_orderkey") % 3).alias("kind"))
     paths = []
     for kind, columns in enumerate((["id", "note"], ["note", "kind", "id"], ["id"])):
