@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gristmill.functions.numbers import round_half_up
 from gristmill.functions.text import is_filled
 from gristmill.operators.dedup import first_last
-from gristmill.operators.joins import merge_by
+from gristmill.operators.joins import assert_unique, merge_by
 from gristmill.operators.setops import union_distinct
 from gristmill.plans.movements import book_totals
 
@@ -124,3 +124,40 @@ def parity_fields(a: DataFrame, b: DataFrame, keys: list[str], fraction: float =
     )
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"_d_{c}").alias("differences"), F.col("_compared").alias("compared"), F.col("_alone").alias("one_sided")) for c in fields]
     return counted.select(F.inline(F.array(*rows)))
+
+
+def _digested(df: DataFrame, keys: list[str], fields: dict[str, str], bits: list[int]) -> DataFrame:
+    """Rows with their key ranges (``_r0`` the coarsest) and digest. A null differs from every value, and from a null beside another one."""
+    whole = [F.col(f"`{k}`") for k in keys] + [F.col(f"`{c}`").cast(kind) for c, kind in fields.items()]
+    gaps = F.concat(*(F.when(c.isNull(), "1").otherwise("0") for c in whole))
+    place = F.xxhash64(*(F.col(f"`{k}`").cast("string") for k in keys))
+    ranges = {f"_r{i}": F.shiftrightunsigned(place, 64 - b) for i, b in enumerate(bits)}
+    return df.select(*(F.col(f"`{k}`") for k in keys), *(F.col(f"`{c}`").cast(kind).alias(c) for c, kind in fields.items()), *(c.alias(n) for n, c in ranges.items()), F.xxhash64(gaps, *whole).alias("_d1"), F.xxhash64(F.lit(1), gaps, *whole).alias("_d2"))
+
+
+def _sums(rows: DataFrame, column: str, side: str) -> DataFrame:
+    """Digest of each range that does not depend on the order of its rows."""
+    total = [F.sum(F.col(f"_d{k}").cast("decimal(38,0)")).alias(f"s{k}{side}") for k in (1, 2)]
+    return rows.groupBy(column).agg(F.count("*").alias(f"n{side}"), *total)
+
+
+def parity_rows(a: DataFrame, b: DataFrame, keys: list[str], bits: tuple[int, ...] = (10, 20)) -> DataFrame:
+    """Every row that differs between two tables with unique keys: the keys, ``state`` (``changed``, ``only_a`` or ``only_b``) and the ``fields`` that changed.
+
+    Ranges of hashed keys are compared by digests first, coarse ones and then those inside of the ones that differ; sums are formed before
+    the exchange, so a table that is equal moves ``2 ** bits[0]`` rows a task. Only rows of the finest ranges that differ are shuffled and joined by key.
+    Columns of both tables are compared, with the types of ``a``. A repeated key among the rows that are joined fails the job.
+    """
+    fields = {c: kind for c, kind in a.dtypes if c in b.columns and c not in keys}
+    left, right = (_digested(df, keys, fields, list(bits)) for df in (a, b))
+    for i in range(len(bits)):
+        column = f"_r{i}"
+        both = _sums(left, column, "a").join(_sums(right, column, "b"), column, "full")
+        differs = both.where(~(F.col("na").eqNullSafe(F.col("nb")) & F.col("s1a").eqNullSafe(F.col("s1b")) & F.col("s2a").eqNullSafe(F.col("s2b")))).select(column)
+        left, right = (df.join(differs, column, "left_semi") for df in (left, right))
+    left, right = (assert_unique(df.drop(*(f"_r{i}" for i in range(len(bits)))), keys, null_safe=True) for df in (left, right))
+    rule = reduce(lambda x, y: x & y, [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys])
+    joined = left.alias("l").join(right.alias("r"), rule, "full").where(~(F.col("l._d1").eqNullSafe(F.col("r._d1")) & F.col("l._d2").eqNullSafe(F.col("r._d2"))))
+    changed = F.array_compact(F.array(*(F.when(~F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")), c) for c in fields)) if fields else F.array().cast("array<string>"))
+    state = F.when(F.col("l._d1").isNull(), "only_b").when(F.col("r._d1").isNull(), "only_a").otherwise("changed")
+    return joined.select(*(F.coalesce(f"l.{k}", f"r.{k}").alias(k) for k in keys), state.alias("state"), F.when(state == "changed", F.concat_ws(",", changed)).alias("fields"))

@@ -88,8 +88,12 @@ def follow_up(previous: DataFrame, current: DataFrame) -> DataFrame:
 
     Both months are reduced to distinct pairs on the join keys first; the join then reuses that partitioning.
     """
-    before = open_issues(previous).withColumn("_before", F.lit(True))
-    after = open_issues(current).withColumn("_after", F.lit(True))
+    return issue_changes(open_issues(previous), open_issues(current))
+
+
+def issue_changes(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """:func:`follow_up` of the distinct ``(site_key, code)`` of both months."""
+    before, after = previous.withColumn("_before", F.lit(True)), current.withColumn("_after", F.lit(True))
     state = F.when(F.col("_before").isNull(), "new").when(F.col("_after").isNull(), "resolved").otherwise("open")
     return before.join(after, ["site_key", "code"], "full").select("site_key", "code", state.alias("state"))
 

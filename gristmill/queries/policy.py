@@ -561,6 +561,14 @@ def parity_by_field(d: Data) -> DataFrame:
     return control.parity_fields(*_perturbed(d), ["o_orderkey"])
 
 
+@query("parity_changed_rows", f"""WITH {_PAIR} SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'only_b' WHEN b.o_orderkey IS NULL THEN 'only_a' ELSE 'changed' END AS state,
+  CASE WHEN a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL THEN concat_ws(',', CASE WHEN a.o_orderstatus IS DISTINCT FROM b.o_orderstatus THEN 'o_orderstatus' END, CASE WHEN a.amount IS DISTINCT FROM b.amount THEN 'amount' END) END AS fields
+FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.amount IS DISTINCT FROM b.amount OR a.o_orderstatus IS DISTINCT FROM b.o_orderstatus""")
+def parity_changed_rows(d: Data) -> DataFrame:
+    a, b = _perturbed(d)
+    return control.parity_rows(a.select("o_orderkey", "o_orderstatus", "amount"), b, ["o_orderkey"])
+
+
 # --- segmentation ----------------------------------------------------------------------------------------------
 
 _PRODUCTS = """SELECT CAST(p_partkey AS STRING) AS product, p_name AS product_label, CASE p_size % 3 WHEN 0 THEN 'B' ELSE 'A' END AS market, p_type AS market_label, CAST(p_size % 4 AS STRING) AS segment_code,

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 from datetime import date
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from gristmill.functions.dates import Period
 from gristmill.plans import consolidate, quality, schedule, site_rules
 from gristmill.sources import delimited, references, sinks, tables
-from gristmill.streaming.site_stream import check_sites_stream
+from gristmill.streaming.site_stream import check_sites_stream, follow_up_stream
 
 
 def write(path, text, encoding="utf-8"):
@@ -182,6 +183,41 @@ def test_stream_reads_by_name_rejects_and_repeats(spark, tmp_path):
     assert rows(out) == first and rows(tmp_path / "out_rejected") == [("9;C9",), ("too;few",)]
 
 
+def test_follow_up_stream_equals_batch(spark, tmp_path):
+    """Three months with a restart in between, then the last batch once more."""
+    columns = tables.SITE_COLUMNS
+    boxes = spark.createDataFrame([("FRANCE", -5.0, 42.0, 9.0, 51.0)], "country string, lon_min double, lat_min double, lon_max double, lat_max double")
+    regions = spark.createDataFrame([], "country string, region_code string, lon_min double, lat_min double, lon_max double, lat_max double")
+    paths = []
+
+    def export(month):
+        sites = [i for i in range(40) if (i + month) % 7]  # some are gone, some are back
+        rows = [{"ID_SITE": str(i), "NU_CNT": f"C{i}", "PAYS_SITE": ["France", "", "Elbonia"][(i * month) % 3], "COORD_X_SITE": ["2", "50", ""][(i + month) % 3], "COORD_Y_SITE": "45"} for i in sites]
+        paths.append(write(tmp_path / "in" / f"{month}.csv", "\n".join([";".join(columns), *(";".join(r.get(c, "") for c in columns) for r in rows)]) + "\n"))
+        os.utime(paths[-1], (1_600_000_000 + month, 1_600_000_000 + month))
+
+    out, state, mark = (str(tmp_path / n) for n in ("out", "state", "mark"))
+    run = lambda: follow_up_stream(spark, str(tmp_path / "in"), out, state, mark, boxes, regions).awaitTermination(120)
+    rows = lambda: sorted((r.batch, r.site_key, r.code, r.state) for r in spark.read.parquet(out).collect())
+    export(1)
+    export(2)
+    run()
+    export(3)
+    run()
+
+    def evaluated(path):
+        sites = tables.read_sites(spark, path, sep=";", encoding="UTF-8").withColumn("row_id", F.lit(0))
+        return site_rules.evaluate_sites(site_rules.country_filter(sites), boxes, regions)
+
+    months = [evaluated(p) for p in paths]
+    want = [(i, r.site_key, r.code, r.state) for i in range(3) for r in quality.follow_up(months[i - 1] if i else months[0].limit(0), months[i]).collect()]
+    assert rows() == sorted(want) and {s for *_, s in want} == {"new", "open", "resolved"}
+    (tmp_path / "mark" / "commits" / "2").unlink()
+    (tmp_path / "mark" / "commits" / ".2.crc").unlink(missing_ok=True)
+    run()
+    assert rows() == sorted(want)
+
+
 def test_monthly_extracts_with_line_ends_and_broken_rows(spark, tmp_path):
     folder = tmp_path / "2025" / "09"
     write(folder / "book_1.csv", 'policy|label\n1|"two\nlines €"\n2\n3|x|y\n4|z\n', "iso8859-15")
