@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions import dates, missing, numbers, text
-from gristmill.operators import dedup, joins, profile, rules, setops
+from gristmill.operators import dedup, joins, profile, rules, setops, sketches
 from gristmill.plans import consolidate, control
 from gristmill.queries.base import Data, query
 from gristmill.session import scratch_path
@@ -366,6 +366,14 @@ def profile_keys(d: Data) -> DataFrame:
     return profile.key_profile(d.orders, "o_custkey", ["o_custkey", "o_orderstatus"])
 
 
+@query("profile_sketches", """WITH r AS (SELECT * FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1998) SELECT 'o_custkey' AS name, CAST(NULL AS DOUBLE) AS p, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS exact, true AS within FROM r
+UNION ALL SELECT 'o_orderpriority', NULL, count(DISTINCT o_orderpriority), true FROM r UNION ALL SELECT 'o_totalprice', p, NULL, true FROM (SELECT unnest([0.1, 0.5, 0.9]) AS p) t WHERE (SELECT count(*) FROM r) > 0""")
+def profile_sketches(d: Data) -> DataFrame:
+    year = F.year("o_orderdate")
+    kept = sketches.period_sketches(d.orders, year, ["o_custkey", "o_orderpriority"], ["o_totalprice"])
+    return sketches.beside_exact(d.orders.where(year.between(1995, 1998)), sketches.merged(kept, 1995, 1998), ["o_custkey", "o_orderpriority"], ["o_totalprice"], [0.1, 0.5, 0.9])
+
+
 @query("profile_top_values", "SELECT user_id AS value, count(*) AS n_rows FROM events GROUP BY 1 ORDER BY n_rows DESC, value LIMIT 10")
 def profile_top_values(d: Data) -> DataFrame:
     return profile.top_values(d.events, "user_id")
