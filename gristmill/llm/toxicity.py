@@ -24,6 +24,8 @@ HIT = 3.0
 MOST_LABELLED = 50_000
 QUARTERS = 4
 THRESHOLD = 0.3
+#: Bytes of text that are worked at a time: some hundred bytes of arrays stand for each.
+SLICE = 1 << 19
 FEATURES = ("most", "whole", "rate", "hits")
 
 
@@ -89,7 +91,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((QUARTERS, 3, CELLS), np.int32)  # by part and kind: ordinary, toxic, every
     of = np.zeros((4, CELLS), np.int32)  # what else is known of a cell's n-gram
     table = symbol_of()
-    for batch in common.slices(batches, "text"):
+    for batch in common.slices(batches, "text", SLICE):
         label = np.array([2 if v is None else v for v in batch.column("label").to_pylist()])
         part = np.array(batch.column("part").to_pylist())
         texts = common.texts(batch.column("text"))
@@ -213,7 +215,7 @@ def _featured(full, parts):
     def run(batches):
         table, (long, short) = symbol_of(), parts.value
         names = ["key", *FEATURES, *(f"own_{f}" for f in FEATURES)]
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(batches, "text", SLICE):
             x = features(common.texts(batch.column("text")), full.value, table, (long, short, batch.column("part").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(x[:, k].copy()) for k in range(x.shape[1]))], names)
 
