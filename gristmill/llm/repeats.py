@@ -15,12 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm import common
-from gristmill.llm.common import apart, stored
+from gristmill.llm.common import apart, forget, stored
 
 #: Length of a repeated string in bytes, of the bytes that choose an anchor, and of a block of starts in the refinement.
 LENGTH = 400
 GRAM = 32
 BLOCK = 16
+#: The same for strings of words, which are four bytes each while they are compared.
+WORDS = 51
+WORD_GRAM = 8
+WORD_BYTES = 4
 BATCHES = 4
 CHUNK = 1 << 20
 
@@ -30,15 +34,18 @@ _FACTOR = 0x9E3779B97F4A7C15
 ENTRIES = "key long, h long, s int, e int, a int, gram long, u1 long, u2 long"
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM, unit: int = 1) -> tuple[np.ndarray, ...]:
     """(first start, last start, anchor, hash of the anchor's gram) for each anchor of ``text``; the starts follow each other without gap.
 
-    Every string of ``length`` bytes is given to the leftmost of its grams with the smallest hash. The choice sees nothing but the string,
-    so equal strings have anchors at equal distances. ``gram`` is a power of two.
+    Every string of ``length`` units (single bytes, or words of four) is given to the leftmost of its grams with the smallest hash. The choice
+    sees nothing but the string, so equal strings have anchors at equal distances. ``gram`` is a power of two; places count units.
     """
-    n = len(text) - length + 1
-    b = np.frombuffer(text, np.uint8)
-    h = _BYTES[b]
+    if unit == 1:
+        h = _BYTES[np.frombuffer(text, np.uint8)]
+    else:
+        h = (np.frombuffer(text, np.uint32).astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    n = len(h) - length + 1
     m = 1
     while m < gram:
         h = h[:-m] * np.uint64(pow(_FACTOR, m, 1 << 64)) + h[m:]
@@ -61,15 +68,15 @@ def _digests(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), np.int64).reshape(-1, 2)
 
 
-def _entries(length: int, gram: int):
+def _entries(length: int, gram: int, unit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             columns: list[list] = [[] for _ in range(7)]
             for key, h, text in zip(batch.column("key").to_pylist(), batch.column("h").to_pylist(), common.texts(batch.column("text"))):
-                for c in range(0, len(text) - length + 1, CHUNK):
-                    part = text[c : c + CHUNK + length - 1]
-                    s, e, a, g = anchors(part, length, gram)
-                    u = _digests([part[i:j] for i, j in zip(s.tolist(), (e + length).tolist())])
+                for c in range(0, len(text) // unit - length + 1, CHUNK):
+                    part = text[unit * c : unit * (c + CHUNK + length - 1)]
+                    s, e, a, g = anchors(part, length, gram, unit)
+                    u = _digests([part[i:j] for i, j in zip((unit * s).tolist(), (unit * (e + length)).tolist())])
                     n = len(s)
                     for column, v in zip(columns, (np.full(n, key), np.full(n, h), s + c, e + c, a + c, g, u)):
                         column.append(v)
@@ -89,11 +96,13 @@ class Family:
 
     def add(self, batch: DataFrame) -> None:
         """Takes in the entries of a batch as a new level; equal levels merge, so an entry is rewritten a logarithmic number of times."""
-        level, rank = batch.groupBy("gram").agg(F.count("*").alias("n")), 0
+        level, rank, merged = batch.groupBy("gram").agg(F.count("*").alias("n")), 0, []
         while self.levels and self.levels[-1][0] == rank:
-            level = level.unionByName(self.levels.pop()[1]).groupBy("gram").agg(F.sum("n").alias("n"))
+            merged.append(self.levels.pop()[1])
+            level = level.unionByName(merged[-1]).groupBy("gram").agg(F.sum("n").alias("n"))
             rank += 1
         self.levels.append((rank, stored(level.sortWithinPartitions("gram"))))
+        forget(*merged)
 
     def repeated(self) -> DataFrame:
         """(gram, n) of anchors that occur more than once in all levels together."""
@@ -116,7 +125,7 @@ def _open(z: bytes) -> bytes:
 CONTEXTS = "key long, h long, a int, low int, high int, weight int, context binary"
 
 
-def _contexts(length: int):
+def _contexts(length: int, unit: int):
     """The bytes around each anchor that is still open: from its first start to the end of its last string."""
 
     def run(batches):
@@ -130,7 +139,7 @@ def _contexts(length: int):
                         [
                             pa.array([row["key"]] * len(part), pa.int64()), pa.array([row["h"]] * len(part), pa.int64()), pa.array([x["a"] for x in part], pa.int32()),
                             pa.array([x["a"] - x["e"] for x in part], pa.int32()), pa.array([x["a"] - x["s"] for x in part], pa.int32()), pa.array([x["weight"] for x in part], pa.int32()),
-                            pa.array([text[x["s"] : x["e"] + length] for x in part], pa.binary()),
+                            pa.array([text[unit * x["s"] : unit * (x["e"] + length)] for x in part], pa.binary()),
                         ],
                         [c.split()[0] for c in CONTEXTS.split(", ")],
                     )
@@ -141,7 +150,7 @@ def _contexts(length: int):
 NODES = "key long, h long, a int, low int, high int, weight int, x1 long, x2 long, y1 long, y2 long"
 
 
-def _nodes(length: int, block: int):
+def _nodes(length: int, block: int, unit: int):
     """Starts are numbered by their distance to the anchor and cut into blocks. x: what all strings of a block share; y: all their bytes."""
 
     def run(batches):
@@ -151,8 +160,8 @@ def _nodes(length: int, block: int):
                 low, high, text = row["low"], row["high"], row["context"]
                 for b in range(low // block, high // block + 1):
                     lo, hi = max(b * block, low), min(b * block + block - 1, high)
-                    shared.append(text[high - b * block : high - (b * block + block - 1) + length] + struct.pack("<i", b))
-                    whole.append(text[high - hi : high - lo + length] + struct.pack("<iii", b, lo, hi))
+                    shared.append(text[unit * (high - b * block) : unit * (high - (b * block + block - 1) + length)] + struct.pack("<i", b))
+                    whole.append(text[unit * (high - hi) : unit * (high - lo + length)] + struct.pack("<iii", b, lo, hi))
                     rows.append((row["key"], row["h"], row["a"], lo, hi, row["weight"]))
             if rows:
                 x, y = _digests(shared), _digests(whole)
@@ -165,7 +174,7 @@ def _nodes(length: int, block: int):
 STRINGS = "key long, h long, at int, weight int, y1 long, y2 long"
 
 
-def _strings(length: int):
+def _strings(length: int, unit: int):
     def run(batches):
         for batch in common.slices(batches, "context", 1 << 19):
             rows, parts = [], []
@@ -175,7 +184,7 @@ def _strings(length: int):
                     if block["low"] < low or block["high"] > high:  # of the same anchor's other range, where a chunk border divides it
                         continue
                     for d in range(block["low"], block["high"] + 1):
-                        parts.append(text[high - d : high - d + length])
+                        parts.append(text[unit * (high - d) : unit * (high - d + length)])
                         rows.append((row["key"], row["h"], row["a"] - d, row["weight"]))
             if rows:
                 y = _digests(parts)
@@ -185,48 +194,55 @@ def _strings(length: int):
     return run
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
-    """(key, h, low, high): starts of strings of ``length`` bytes that also start elsewhere; ``docs`` has (key, h, text) with UTF-8 bytes.
+def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES, unit: int = 1) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, h, low, high): starts of strings of ``length`` units that also start elsewhere, and the written tables that it reads.
+
+    ``docs`` has (key, h, text) with UTF-8 bytes, or words of ``unit`` bytes each.
 
     1. Each document gives its anchors (about one in 180 bytes); batches of them enter the family, and those met once are dropped: none
        of their strings repeats. 2. Anchors whose whole range of bytes repeats are settled. 3. The others that share an anchor with other
        surroundings are the ends of passages: their range is cut into blocks, blocks are settled the same way, and only starts of blocks
        that are still open are compared one by one. All comparisons count 128-bit digests, so a passage in any number of documents is
-       counted by partial aggregation and never gathered.
+       counted by partial aggregation and never gathered. Each table goes as soon as what is made from it is written.
     """
-    entries = stored(docs.mapInArrow(_entries(length, gram), ENTRIES))
+    entries = stored(docs.mapInArrow(_entries(length, gram, unit), ENTRIES))
     family = Family()
     for b in range(batches):
         family.add(entries.where(F.pmod(F.xxhash64("key", "h"), F.lit(batches)) == b))
     found = stored(family.repeated())
     met = stored(entries.join(found.select("gram"), "gram"))
+    forget(entries, found, *(level for _, level in family.levels))
     same = ["gram", "u1", "u2"]
     kinds = stored(met.groupBy(*same).agg(F.count("*").alias("copies")))
     several = stored(kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1").select("gram"))
     copied = stored(kinds.where("copies > 1").select(*same))
-    settled = met.join(copied, same, "left_semi").select("key", "h", F.col("s").alias("low"), F.col("e").alias("high"))
+    settled = stored(met.join(copied, same, "left_semi").select("key", "h", F.col("s").alias("low"), F.col("e").alias("high")))
 
     row = F.min(F.struct("key", "h", "s", "e", "a")).alias("r")
     open_ = met.join(several, "gram", "left_semi").groupBy(*same).agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("weight"), row)
     items = open_.select("r.key", "r.h", F.struct("r.s", "r.e", "r.a", "weight").alias("i")).groupBy("key", "h").agg(F.collect_list("i").alias("items"))
     items = stored(items)
+    forget(met, kinds, several, copied)
     packed = docs.mapInArrow(_squeeze, "key long, h long, z binary")
     once = packed.join(items, ["key", "h"])
-    contexts = stored(once.mapInArrow(_contexts(length), CONTEXTS))  # a repeated row gives its contexts again, which have weight 2 then
+    contexts = stored(once.mapInArrow(_contexts(length, unit), CONTEXTS))  # a repeated row gives its contexts again, which have weight 2 then
+    forget(items)
 
-    nodes = stored(contexts.mapInArrow(_nodes(length, BLOCK), NODES))
+    nodes = stored(contexts.mapInArrow(_nodes(length, BLOCK, unit), NODES))
     alike = stored(nodes.groupBy("x1", "x2", "y1", "y2").agg(F.sum("weight").alias("wy")))
     shared = alike.groupBy("x1", "x2").agg(F.sum("wy").alias("wx")).where("wx > 1")
     judged = stored(alike.join(apart(shared), ["x1", "x2"]).where("wy > 1 OR wx > wy").select("x1", "x2", "y1", "y2", (F.col("wy") > 1).alias("all"), (F.col("wx") > F.col("wy")).alias("part")))
     known = stored(nodes.join(judged, ["x1", "x2", "y1", "y2"]).select("key", "h", "a", "low", "high", "weight", "all", "part"))
+    forget(nodes, alike, judged)
     by_block = known.where("all AND weight = 1").select("key", "h", (F.col("a") - F.col("high")).alias("low"), (F.col("a") - F.col("low")).alias("high"))
 
     parts = known.where("part").select("key", "h", "a", "low", "high").distinct()
     blocks = stored(parts.groupBy("key", "h", "a").agg(F.collect_list(F.struct("low", "high")).alias("blocks")))
-    strings = stored(contexts.join(blocks, ["key", "h", "a"]).mapInArrow(_strings(length), STRINGS))
+    strings = stored(contexts.join(blocks, ["key", "h", "a"]).mapInArrow(_strings(length, unit), STRINGS))
+    forget(contexts, blocks)
     twice = stored(strings.groupBy("y1", "y2").agg(F.sum("weight").alias("n")).where("n > 1").select("y1", "y2"))
     single = strings.where("weight = 1").join(twice, ["y1", "y2"], "left_semi").select("key", "h", F.col("at").alias("low"), F.col("at").alias("high"))
-    return settled.unionByName(by_block).unionByName(single)
+    return settled.unionByName(by_block).unionByName(single), [settled, known, strings, twice]
 
 
 def runs(starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -252,52 +268,65 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(common.row_id(docs).alias("key"), F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text"))
 
 
-def _removed(keyed: DataFrame, **options) -> DataFrame:
-    """(key, h, spans): starts to remove, gathered per text; their number is bounded by its length."""
-    starts = repeated_starts(keyed, **options).distinct()
-    return stored(starts.groupBy("key", "h").agg(F.collect_list(F.struct("low", "high")).alias("starts")))
+def _removed(keyed: DataFrame, length: int, batches: int = BATCHES, words: int = 0) -> DataFrame:
+    """(key, h, starts, worded): first and last starts of strings of ``length`` bytes and of ``words`` words, gathered per text, whose length bounds their number."""
+    starts, read = repeated_starts(keyed, length, batches=batches)
+    gathered = F.collect_list(F.struct("low", "high"))
+    spans = stored(starts.distinct().groupBy("key", "h").agg(gathered.alias("starts")))
+    forget(*read)
+    if not words:
+        return spans.withColumn("worded", F.lit(None).cast("array<struct<low:int,high:int>>"))
+    starts, read = repeated_starts(keyed.mapInArrow(_worded, "key long, h long, text binary"), words, WORD_GRAM, batches, WORD_BYTES)
+    worded = stored(starts.distinct().groupBy("key", "h").agg(gathered.alias("worded")))
+    forget(*read)
+    return spans.join(worded, ["key", "h"], "full")
 
 
-def _report(length: int):
+def _report(length: int, words: int):
     def run(batches):
         for batch in batches:
             rows = []
-            for key, z, starts in zip(*(batch.column(c).to_pylist() for c in ("key", "z", "starts"))):
+            for key, z, starts, worded in zip(*(batch.column(c).to_pylist() for c in ("key", "z", "starts", "worded"))):
                 text = _open(z)
                 spans = runs([(x["low"], x["high"]) for x in starts or ()], length)
-                rows.append((key, len(text), sum(b - a for a, b in spans), len(spans), hashlib.sha256(cut_out(text, spans)).hexdigest()))
+                more = word_spans(text, [(x["low"], x["high"]) for x in worded or ()], words)
+                kept = hashlib.sha256(cut_out(text, spans)).hexdigest()
+                rows.append((key, len(text), sum(b - a for a, b in spans), len(spans), kept, sum(b - a for a, b in more), len(more)))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [c.split()[0] for c in REPORT.split(", ")])
 
     return run
 
 
-def repeated_passages(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
-    """Per row of (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+REPORT = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_bytes long, n_passages long"
+
+
+def repeated_passages(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, words: int = WORDS) -> DataFrame:
+    """Per row of (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes, n_passages.
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else, in this document or another, as the input stands.
     Matches never cross documents. Null texts are empty; shorter texts lose nothing; rows without an id keep a null doc_id; repeated
-    rows count as occurrences of each other.
+    rows count as occurrences of each other. The last two columns tell how many bytes, in how many runs, lie in strings of ``words`` words that occur
+    more than once, however short these are; they are reported only.
     """
     keyed = _keyed(docs)
-    spans = _removed(keyed, length=length, batches=batches)
-    packed = keyed.mapInArrow(_squeeze, "key long, h long, z binary").join(spans, ["key", "h"], "left").select("key", "z", "starts")
-    done = packed.mapInArrow(_report(length), "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return done.select(common.real_id(F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    spans = _removed(keyed, length, batches, words)
+    packed = keyed.mapInArrow(_squeeze, "key long, h long, z binary").join(spans, ["key", "h"], "left").select("key", "z", "starts", "worded")
+    done = packed.mapInArrow(_report(length, words), REPORT)
+    return done.select(common.real_id(F.col("key")).alias("doc_id"), *(c.split()[0] for c in REPORT.split(", ")[1:]))
 
 
 def _worded(batches):
-    """Texts as four bytes for each word, so that strings of words are strings of bytes."""
+    """Texts as four bytes for each word, so that strings of words are compared as bytes."""
     for batch in common.slices(batches, "text"):
         out = [np.fromiter(map(xxhash.xxh32_intdigest, t.split()), np.uint32).tobytes() for t in common.texts(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("h"), pa.array(out, pa.binary())], ["key", "h", "text"])
 
 
 def word_spans(text: bytes, starts: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
-    """Bytes of the strings of ``words`` words that start at these first and last bytes of the text's words at four bytes each."""
-    whole = [(-(-low // 4), high // 4) for low, high in starts]
-    found = runs([(low, high) for low, high in whole if low <= high], words)
+    """Bytes of the strings of ``words`` words that start at these first and last words of the text."""
+    found = runs(starts, words)
     if not found:
         return []
     places = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", text)]
@@ -326,11 +355,7 @@ def remove_passages(docs: DataFrame, length: int = LENGTH, words: int = 0) -> Da
     A passage is a string of ``length`` bytes or, if ``words`` is given, also one of that many words, whatever the white space between them.
     """
     key, h, starts, worded, value, left = (common.free_name(docs, n) for n in ("_key", "_h", "_starts", "_worded", "_value", "_left"))
-    keyed = _keyed(docs)
-    spans = _removed(keyed, length=length).withColumn("worded", F.lit(None).cast("array<struct<low:int,high:int>>"))
-    if words:
-        more = _removed(keyed.mapInArrow(_worded, "key long, h long, text binary"), length=4 * words)
-        spans = spans.drop("worded").join(more.withColumnRenamed("starts", "worded"), ["key", "h"], "full")
+    spans = _removed(_keyed(docs), length, words=words)
     spans = spans.select(F.col("key").alias(key), F.col("h").alias(h), F.col("starts").alias(starts), F.col("worded").alias(worded))
     met = docs.withColumns({key: common.row_id(docs), h: F.xxhash64("text")}).join(spans, [key, h], "left").drop(key, h)
     found = F.col(starts).isNotNull() | F.col(worded).isNotNull()

@@ -118,17 +118,43 @@ def test_simhash_keeps_one_row_of_each_component(docs, empty):
     assert simhash.keep_one(empty).count() == simhash.near_duplicates(empty).count() == 0
 
 
+def repeated_marks(units, length):
+    """For each sequence, a byte per unit: whether a string of ``length`` units that occurs more than once covers it."""
+    seen = Counter(u[p : p + length] for u in units for p in range(len(u) - length + 1))
+    marks = []
+    for u in units:
+        mark = bytearray(len(u))
+        for p in range(len(u) - length + 1):
+            if seen[u[p : p + length]] > 1:
+                mark[p : p + length] = b"\1" * length
+        marks.append(mark)
+    return marks
+
+
+def repeated_words(texts, words=51):
+    """Bytes (first, last + 1) of the maximal runs of words in strings of ``words`` words that occur more than once."""
+    places = [[m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", t)] for t in texts]
+    marks = repeated_marks([tuple(t[a:b] for a, b in p) for t, p in zip(texts, places)], words)
+    return [[(p[m.start()][0], p[m.end() - 1][1]) for m in re.finditer(b"\1+", bytes(mark))] for p, mark in zip(places, marks)]
+
+
 def expected_repeats(rows, length):
     texts = [(t or "").encode() for _, t in rows]
-    seen = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
     out = Counter()
-    for (i, _), t in zip(rows, texts):
-        mark = bytearray(len(t))
-        for p in range(len(t) - length + 1):
-            if seen[t[p : p + length]] > 1:
-                mark[p : p + length] = b"\1" * length
+    for (i, _), t, mark, spans in zip(rows, texts, repeated_marks(texts, length), repeated_words(texts)):
         kept = bytes(c for c, m in zip(t, mark) if not m)
-        out[(i, len(t), sum(mark), len(re.findall(b"\1+", bytes(mark))), hashlib.sha256(kept).hexdigest())] += 1
+        out[(i, len(t), sum(mark), len(re.findall(b"\1+", bytes(mark))), hashlib.sha256(kept).hexdigest(), sum(b - a for a, b in spans), len(spans))] += 1
+    return out
+
+
+def without_passages(texts):
+    """Texts without repeats of 400 bytes or of 51 words."""
+    texts = [t.encode() for t in texts]
+    out = []
+    for t, mark, spans in zip(texts, repeated_marks(texts, 400), repeated_words(texts)):
+        for a, b in spans:
+            mark[a:b] = b"\1" * (b - a)
+        out.append(bytes(c for c, m in zip(t, mark) if not m).decode("utf-8", "ignore"))
     return out
 
 
@@ -389,15 +415,7 @@ def test_pipeline_equals_its_stages_by_hand(spark):
     toxic = {r.doc_id for r in toxicity.toxic_documents(docs, labels).where("predicted = 1").collect()}
     rows = {i: t for i, t in rows.items() if i not in toxic}
     rows = {i: rows[i] for i in {c for _, _, c in expected_components(list(rows.items()))}}
-    cut = {}
-    seen = Counter(t.encode()[p : p + 400] for t in rows.values() for p in range(len(t.encode()) - 399))
-    for i, t in rows.items():
-        b = t.encode()
-        mark = bytearray(len(b))
-        for p in range(len(b) - 399):
-            if seen[b[p : p + 400]] > 1:
-                mark[p : p + 400] = b"\1" * 400
-        cut[i] = bytes(c for c, m in zip(b, mark) if not m).decode("utf-8", "ignore")
+    cut = dict(zip(rows, without_passages(rows.values())))
     leaks = {k[0] for k in expected_leaks(list(cut.items()), [(r.item_id, r.text) for r in bench.collect()]) if k[5]}
     encode = packing.tokenizer("byte_bpe_50k")
     want = Counter()
@@ -408,3 +426,25 @@ def test_pipeline_equals_its_stages_by_hand(spark):
                 want[(i, k, start, length, zlib.crc32(ids[start : start + length].tobytes()))] += 1
     out = corpus_pipeline.run(spark, FOLDER)
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out.collect()) == want
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, empty):
+    """Nulls, repeated ids and rows, clashing columns and empty tables go through every stage; all but the last keep the columns."""
+    for d in (docs, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, d, FOLDER)
+            assert name == "packing" or out.columns == d.columns
+            rows = out.count()
+            assert rows >= d.count() if name == "packing" else rows <= d.count()
+            if name == "suffix_dedup":
+                assert rows == d.count() and {r.doc_id for r in out.collect()} == {r.doc_id for r in d.collect()}
+    one = corpus_pipeline.without_near_copies(spark, docs, FOLDER)
+    assert Counter(r.doc_id for r in one.collect())[9] <= 1
+
+
+def test_pipeline_leaves_no_tables_of_its_passage_stage(spark, docs):
+    fs = spark._jvm.org.apache.hadoop.fs.Path(common.shared_folder(spark))
+    count = lambda: len(fs.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(fs))
+    before = count()
+    repeats.remove_passages(docs, words=51).count()
+    assert count() - before == 2  # where passages of either kind start
