@@ -1,4 +1,8 @@
-"""Cleans and packs a corpus: toxicity, near copies, repeated passages, benchmark leaks, packing."""
+"""Cleans and packs a corpus: toxicity, near copies, repeated passages, benchmark leaks, packing.
+
+A stage takes rows with null ids or texts, repeated rows, further columns of any name, and none at all, as its operator's docstring says: rows
+without an id are told apart by their texts; of rows that repeat an id one stays in the near-copy stage; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import decontaminate, minhash, packing, repeats, toxicity
+from gristmill.llm import decontaminate, packing, repeats, simhash, toxicity
 from gristmill.llm.common import shared_folder, table
 
 
@@ -16,13 +20,13 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents whose five-word shingles are similar by 0.8 or more the one with the smallest id stays."""
-    return minhash.keep_one(docs)
+    """Of each group of documents linked by fingerprints of three-word shingles within two bits the one with the smallest id stays."""
+    return simhash.keep_one(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of more than 50 words, or of 400 bytes or more, that start more than once are cut out of the texts; every document stays."""
-    return repeats.remove_passages(docs, words=51)
+    return repeats.remove_passages(docs, words=repeats.WORDS)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
