@@ -111,6 +111,39 @@ def test_report_of_many_parts_reads_in_order(spark, tmp_path):
     assert got == [x for s in range(3) for k in range(400) for x in (f"line {s} {k}", "more")]
 
 
+def test_published_report_is_whole_or_not_there(spark, tmp_path):
+    """Many parts are the printed report byte for byte; a version with a task that fails is never seen."""
+    rows = [(r, s, f"{k:05d}", f"{r} liné {s} {k}\nmore") for r in ("r", "s t") for s in range(3) for k in range(300)] + [("q", 0, "", "only")]
+    lines = spark.createDataFrame(rows, "root string, section int, sort_key string, text string").repartition(7)
+    folder = str(tmp_path / "reports")
+    broken = lines.withColumn("text", F.when(F.col("sort_key") == "00123", F.raise_error(F.lit("task fails"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="task fails"):
+        sinks.publish_report(broken, folder)
+    assert sinks.published(spark, folder) is None
+    with pytest.raises(ValueError, match="no report"):
+        sinks.report_manifest(spark, folder)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keeps all eight parts
+    first = sinks.publish_report(lines, folder)
+    spark.conf.set("spark.sql.adaptive.enabled", before)
+
+    def texts():
+        out = {}
+        for m in sorted(sinks.report_manifest(spark, folder).collect(), key=lambda m: (m.root, m.offset)):
+            content = spark.read.format("binaryFile").load(m.path).first().content
+            assert len(content) == m.bytes and m.offset == len(out.get(m.root, b""))
+            out[m.root] = out.get(m.root, b"") + content
+        return out
+
+    want = {r: "".join(x + "\n" for root, *_, x in rows if root == r).encode() for r in ("r", "s t", "q")}
+    assert texts() == want and sum(m.root == "r" for m in sinks.report_manifest(spark, folder).collect()) > 2
+    with pytest.raises(Exception, match="task fails"):
+        sinks.publish_report(broken, folder)
+    assert sinks.published(spark, folder) == first and texts() == want
+    second = sinks.publish_report(lines.where("section = 0"), folder)
+    assert sinks.published(spark, folder) == second != first and texts()["r"] == "".join(f"r liné 0 {k}\nmore\n" for k in range(300)).encode()
+
+
 def test_two_roots(spark, tmp_path):
     for name in ("one", "two"):
         (tmp_path / name / "d").mkdir(parents=True)
