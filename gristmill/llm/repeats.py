@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import struct
 from collections.abc import Iterator
 
@@ -276,9 +275,10 @@ def _removed(keyed: DataFrame, length: int, batches: int = BATCHES, words: int =
     forget(*read)
     if not words:
         return spans.withColumn("worded", F.lit(None).cast("array<struct<low:int,high:int>>"))
-    starts, read = repeated_starts(keyed.mapInArrow(_worded, "key long, h long, text binary"), words, WORD_GRAM, batches, WORD_BYTES)
+    hashed = stored(keyed.mapInArrow(_worded, "key long, h long, text binary"))
+    starts, read = repeated_starts(hashed, words, WORD_GRAM, batches, WORD_BYTES)
     worded = stored(starts.distinct().groupBy("key", "h").agg(gathered.alias("worded")))
-    forget(*read)
+    forget(hashed, *read)
     return spans.join(worded, ["key", "h"], "full")
 
 
@@ -324,13 +324,18 @@ def _worded(batches):
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("h"), pa.array(out, pa.binary())], ["key", "h", "text"])
 
 
+_NO_SPACE = np.ones(256, np.int8)
+_NO_SPACE[list(b" \t\n\r\x0b\x0c")] = 0
+
+
 def word_spans(text: bytes, starts: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
     """Bytes of the strings of ``words`` words that start at these first and last words of the text."""
     found = runs(starts, words)
     if not found:
         return []
-    places = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", text)]
-    return [(places[a][0], places[b - 1][1]) for a, b in found]
+    inside = _NO_SPACE[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(np.diff(inside, prepend=0, append=0))  # where words begin and end, in turn
+    return [(int(edges[2 * a]), int(edges[2 * b - 1])) for a, b in found]
 
 
 def _cut(length: int, words: int, text: str, starts: str, worded: str, left: str):
