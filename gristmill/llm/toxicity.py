@@ -7,17 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm import common
 
 #: Symbols: 0 for all that is no letter or digit, 1 to 26 for a to z, 27 for digits, 28 to 63 for other letters, accented ones too.
 SYMBOLS = 64
-#: Letters before a letter that predict it, never beyond the start of its word: at the full order, and at the next lower one.
-LONG, SHORT = 4, 3
-#: Cells of a table of n-grams. They are found by hash, so a model's size does not depend on the corpus.
-CELLS = 1 << 20
+BITS = 6
+#: Letters before a letter that predict it, never beyond the start of its word: at the full order; one less at the next lower one.
+LONG = 4
+#: Distinct n-grams, by kind, that a task holds before it passes them on.
+MOST_HELD = 1 << 21
 #: Log ratio from which a word counts as a hit.
 HIT = 3.0
 #: Labelled documents whose features fit the calibration. Those of each quarter come from a model that has not seen it.
@@ -51,157 +52,168 @@ def symbols(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return table[codes], starts[:-1]
 
 
-def _cell(h: np.ndarray) -> np.ndarray:
-    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int32)
-
-
 @dataclass
 class Grams:
-    """Every letter and word end of a text: its place, and the cells of its n-gram and context at both orders; ``last`` are three symbols."""
+    """Every letter and word end of a text: its place, and the number of its n-gram, six bits a symbol, its own last."""
 
     place: np.ndarray
-    long: np.ndarray
-    long_context: np.ndarray
-    short: np.ndarray
-    short_context: np.ndarray
-    last: np.ndarray
+    key: np.ndarray
 
 
 def grams(s: np.ndarray) -> Grams:
+    """N-grams of the full order; symbols before the end in front of the word count as ends."""
     place = np.flatnonzero((s[2:] > 0) | (s[1:-1] > 0)) + 2
-    now = s[place].astype(np.uint64)
-    h = np.full(len(place), 0x51, np.uint64)
+    key = s[place].astype(np.int32)
     inside = np.ones(len(place), bool)  # the context has not reached the end before the word
-    cells = {}
     for k in range(1, LONG + 1):
-        before = s[np.maximum(place - k, 0)]
-        h = np.where(inside, (h ^ (before.astype(np.uint64) + np.uint64(1))) * np.uint64(0x100000001B3) + np.uint64(k), h)
+        before = s[np.maximum(place - k, 0)] * inside
+        key |= before.astype(np.int32) << (BITS * k)
         inside &= before > 0
-        if k in (SHORT, LONG):
-            salt = np.uint64(k)
-            cells[k] = (_cell((h ^ (now << np.uint64(40))) + salt), _cell(h + salt))
-    last = (s[place - 2].astype(np.int32) * SYMBOLS + s[place - 1]) * SYMBOLS + s[place]
-    return Grams(place, *cells[LONG], *cells[SHORT], last)
+    return Grams(place, key)
 
 
-COUNTS = "part int, long int, long_context int, short int, short_context int, last int, ordinary long, toxic long, every long"
+def _merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, and the sums of their counts."""
+    code, n = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.diff(code, prepend=-1))
+    return code[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((QUARTERS, 3, CELLS), np.int32)  # by part and kind: ordinary, toxic, every
-    of = np.zeros((4, CELLS), np.int32)  # what else is known of a cell's n-gram
+    """(kind, key, n): kind is twice the part and the label, or the last one for rows without a label."""
     table = symbol_of()
+    codes, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+    def rows(code, n):
+        for start in range(0, len(code), 1 << 16):
+            c = code[start : start + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array((c >> 32).astype(np.int32)), pa.array((c & 0xFFFFFFFF).astype(np.int32)), pa.array(n[start : start + (1 << 16)])], ["kind", "key", "n"])
+
     for batch in common.slices(batches, "text", SLICE):
-        label = np.array([2 if v is None else v for v in batch.column("label").to_pylist()])
-        part = np.array(batch.column("part").to_pylist())
+        kind = np.array([2 * QUARTERS if v is None else 2 * q + v for v, q in zip(batch.column("label").to_pylist(), batch.column("part").to_pylist())], np.int64)
         texts = common.texts(batch.column("text"))
-        for p in range(QUARTERS):
-            for k in range(3):
-                mine = [t for t, v, q in zip(texts, label, part) if v == k and q == p]
-                if mine:
-                    g = grams(symbols(mine, table)[0])
-                    n = np.bincount(g.long, minlength=CELLS).astype(np.int32)
-                    counts[p, 2] += n
-                    if k < 2:
-                        counts[p, k] += n
-                    for row, values in zip(of, (g.long_context, g.short, g.short_context, g.last)):
-                        row[g.long] = values
-    for p in range(QUARTERS):
-        cell = np.flatnonzero(counts[p, 2])
-        for start in range(0, len(cell), 1 << 16):
-            c = cell[start : start + (1 << 16)].astype(np.int32)
-            arrays = [np.full(len(c), p, np.int32), c, *(row[c] for row in of), *(counts[p, k, c].astype(np.int64) for k in range(3))]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in arrays], [c.split()[0] for c in COUNTS.split(", ")])
-
-
-def count_grams(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts (part, kind, cell) and the attributes of cells (attribute, cell) over all rows of (text, label, part).
-
-    Kinds are label 0, label 1, and every row. Both arrays are of fixed size, whatever the corpus.
+        for k in np.unique(kind):
+            key = np.sort(grams(symbols([texts[i] for i in np.flatnonzero(kind == k)], table)[0]).key)
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            codes.append((k << 32) + key[first])
+            counts.append(np.diff(np.append(first, len(key))))
+            held += len(first)
+        if held > MOST_HELD:
+            code, n = _merged(codes, counts)
+            if len(code) > MOST_HELD // 2:
+                yield from rows(code, n)
+                code, n = code[:0], n[:0]
+            codes, counts, held = [code], [n], len(code)
+    yield from rows(*_merged(codes, counts))
+
+
+def count_grams(labelled: DataFrame) -> DataFrame:
+    """(gram, o0, t0, o1, t1 …): how often each n-gram occurs in what a model learns from, ordinary and toxic, over rows of (text, label, part).
+
+    There is a model for each part, of the labelled rows in the other parts, and a last one of all labelled rows. Every n-gram of the corpus
+    has a row of its own, whether labelled texts hold it or not; n-grams are numbers without collisions.
     """
     rows = labelled.select(F.col("text").cast("binary").alias("text"), F.col("label").cast("int").alias("label"), F.col("part").cast("int").alias("part"))
-    found = rows.mapInArrow(_counts, COUNTS)
-    kinds, attributes = ("ordinary", "toxic", "every"), ("long_context", "short", "short_context", "last")
-    summed = found.groupBy("part", "long").agg(*(F.sum(c).alias(c) for c in kinds), *(F.max(c).alias(c) for c in attributes)).toArrow()
-    counts, of = np.zeros((QUARTERS, 3, CELLS), np.int64), np.zeros((4, CELLS), np.int64)
-    part, cell = summed["part"].to_numpy(), summed["long"].to_numpy()
-    for k, c in enumerate(kinds):
-        counts[part, k, cell] = summed[c].to_numpy()
-    for k, c in enumerate(attributes):
-        of[k, cell] = summed[c].to_numpy()
-    return counts, of
+    sums = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"k{k}") for k in range(2 * QUARTERS)]
+    found = rows.mapInArrow(_counts, "kind int, key int, n long").groupBy(F.col("key").alias("gram")).agg(*sums)
+    models = []
+    for m in range(QUARTERS + 1):
+        for k, c in enumerate("ot"):
+            learnt = [F.col(f"k{2 * q + k}") for q in range(QUARTERS) if q != m]
+            models.append(sum(learnt[1:], learnt[0]).alias(f"{c}{m}"))
+    return found.select("gram", *models)
 
 
-def _discount(counts: np.ndarray) -> float:
-    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-    return once / (once + 2 * twice) if once and twice else 0.75
+def _suffix(symbols_left: int) -> Column:
+    return F.col("gram").bitwiseAND(F.lit((1 << BITS * symbols_left) - 1))
 
 
-def _interpolated(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """P(last symbol | the ones before), shape of ``counts``: discounted counts, the rest shared out as ``lower`` says."""
-    d = _discount(counts)
-    total = counts.sum(axis=-1, keepdims=True)
-    kinds = (counts > 0).sum(axis=-1, keepdims=True)
-    seen = (np.maximum(counts - d, 0) + d * kinds * lower) / np.maximum(total, 1)
-    return np.where(total > 0, seen, lower)
+def smoothed(counts: DataFrame, width: int, lower: DataFrame | None = None) -> DataFrame:
+    """(gram, a probability of the last symbol after the ones before for each further column) from counts of n-grams of ``width`` symbols.
 
+    Discounted counts; the rest is shared out as ``lower`` says, the same for n-grams without their first symbol, or evenly. ``lower`` has a
+    column of the same name or one for all, ``every``. A context has at most ``SYMBOLS`` n-grams, so no window is larger.
+    """
+    columns = [c for c in counts.columns if c != "gram"]
+    seen = counts.agg(*(F.count(F.when(F.col(c) == n, 1)).alias(f"{c}_{n}") for c in columns for n in (1, 2))).first()
+    context = Window.partitionBy(F.shiftright("gram", BITS))
+    totals = [F.sum(c).over(context).alias(f"{c}_all") for c in columns]
+    kinds = [F.count(F.when(F.col(c) > 0, 1)).over(context).alias(f"{c}_kinds") for c in columns]
+    rows = counts.select("gram", _suffix(width - 1).alias("suffix"), *columns, *totals, *kinds)
+    if lower is not None:
+        rest = [c for c in lower.columns if c != "gram"]
+        rows = rows.join(lower.select(F.col("gram").alias("suffix"), *(F.col(c).alias(f"{c}_lower") for c in rest)), "suffix")
+    out = []
+    for c in columns:
+        once, twice = seen[f"{c}_1"], seen[f"{c}_2"]
+        d = once / (once + 2 * twice) if once and twice else 0.75
+        below = F.lit(1 / SYMBOLS) if lower is None else F.col(f"{c}_lower" if c in rest else "every_lower")
+        p = (F.greatest(F.col(c) - d, F.lit(0.0)) + d * F.col(f"{c}_kinds") * below) / F.col(f"{c}_all")
+        out.append(F.when(F.col(f"{c}_all") > 0, p).otherwise(below).alias(c))
+    return rows.select("gram", *out)
+
+
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """(gram, r0, r1 …): log P(letter | context, toxic) - log P(same, ordinary) of each model for each n-gram of :func:`count_grams`.
+
+    Kneser-Ney: raw counts at the full order, numbers of distinct continuations below it. These two orders belong to the class; those of three
+    letters and fewer are shared by both classes and come from every document, so what neither class has seen cancels out.
+    """
+    classes = [c for c in counts.columns if c != "gram"]
+    short = common.stored(counts.groupBy(_suffix(LONG).alias("gram")).agg(*(F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in classes)))
+    shared, width = [short], LONG
+    while width > 1:
+        width -= 1
+        shared.append(shared[-1].groupBy(_suffix(width).alias("gram")).agg(F.count("*").alias("every")))
+    lower = None
+    for width, level in enumerate(reversed(shared[1:]), 1):
+        lower = smoothed(level, width, lower)
+    full = smoothed(counts, LONG + 1, common.stored(smoothed(short, LONG, lower)))
+    return full.select("gram", *((F.log(f"t{m}") - F.log(f"o{m}")).alias(f"r{m}") for m in range(len(classes) // 2)))
 
-def _smoothed(counts: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """The same for counts in cells whose contexts are cells too."""
-    d = _discount(counts)
-    total = np.bincount(context, weights=counts, minlength=CELLS)[context]
-    kinds = np.bincount(context, weights=counts > 0, minlength=CELLS)[context]
-    seen = (np.maximum(counts - d, 0) + d * kinds * lower) / np.maximum(total, 1)
-    return np.where(total > 0, seen, lower)
 
+@dataclass
+class Model:
+    """N-grams in ascending order and the log ratios of each model, those of the parts and of the whole, in the rows of ``ratios``."""
 
-def log_ratios(counts: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log P(letter | context, toxic) - log P(same, ordinary) for the cells of the full order (nan where none was seen) and of the lower one.
+    gram: np.ndarray
+    ratios: np.ndarray
 
-    Kneser-Ney: raw counts at the full order, numbers of distinct continuations below it. These two orders belong to the class; those of two
-    letters and fewer are shared by both classes and come from every document, so what neither class has seen cancels out.
-    """
-    long_context, short, short_context, last = of
-    known = np.flatnonzero(counts[2] > 0)
-    context, final = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
-    context[short[known]], final[short[known]] = short_context[known], last[known]
-    kinds = np.bincount(short[known], minlength=CELLS)  # of n-grams of the full order behind each of the lower one
-    third = np.bincount(final[kinds > 0], minlength=SYMBOLS**3).reshape((SYMBOLS,) * 3)
-    second = (third > 0).sum(axis=0)
-    shared = _interpolated(third, _interpolated(second, _interpolated((second > 0).sum(axis=0), np.full(SYMBOLS, 1 / SYMBOLS)))).reshape(-1)[final]
-    logs = []
-    for k in (1, 0):
-        continued = np.bincount(short[known], weights=counts[k, known] > 0, minlength=CELLS)
-        lower = _smoothed(continued, context, shared)
-        p = np.full(CELLS, np.nan)
-        full = np.zeros(CELLS)
-        full[known] = lower[short[known]]
-        p[known] = _smoothed(counts[k].astype(float), long_context, full)[known]
-        logs.append((np.log(p), np.log(np.maximum(lower, 1e-12))))
-    return (logs[0][0] - logs[1][0]).astype(np.float32), (logs[0][1] - logs[1][1]).astype(np.float32)
-
-
-def features(texts: list[bytes], ratios: tuple[np.ndarray, np.ndarray], table: np.ndarray, parts: tuple | None = None) -> np.ndarray:
+    @classmethod
+    def of(cls, ratios: DataFrame) -> Model:
+        """The table as two arrays. It has a row for each distinct n-gram within words: what letters of a language allow, not what texts there are."""
+        found = ratios.select("gram", *(F.col(c).cast("float").alias(c) for c in ratios.columns[1:])).toArrow()
+        order = np.argsort(found["gram"].to_numpy(), kind="stable")
+        return cls(found["gram"].to_numpy()[order].astype(np.int32), np.stack([found[c].to_numpy()[order] for c in found.column_names[1:]]))
+
+    def place(self, key: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.gram, key)
+
+
+def features(texts: list[bytes], model: Model, table: np.ndarray, parts: list[int] | None = None) -> np.ndarray:
     """Per text, over its words' log ratios: the largest, the mean per letter, the hits among a hundred words, and the log of their number.
 
-    ``parts`` holds stacked ratios of several models and the number of the one for each text; its features follow in further columns.
+    The last row of the model's ratios decides. ``parts`` holds the number of a further row for each text; its features follow in further columns.
     """
     s, starts = symbols(texts, table)
     g = grams(s)
     if not len(g.place):
         return np.zeros((len(texts), (1 + (parts is not None)) * len(FEATURES)))
-    values = [(ratios[0][g.long], ratios[1][g.short])]
+    at = model.place(g.key)
+    values = [model.ratios[-1][at]]
     if parts is not None:
-        model = np.repeat(np.asarray(parts[2]), np.diff(starts))[g.place - 1]  # a word end may be the first place of the next text
-        values.append((parts[0][model, g.long], parts[1][model, g.short]))
+        row = np.repeat(np.asarray(parts), np.diff(starts))[g.place - 1]  # a word end may be the first place of the next text
+        values.append(model.ratios[row, at])
     first = np.flatnonzero(s[g.place - 1] == 0)  # first letters of words
     text = np.searchsorted(starts, g.place[first], "right") - 1
     letters = np.bincount(text, weights=np.diff(np.append(first, len(g.place))), minlength=len(texts))
     n = np.bincount(text, minlength=len(texts))
     some = np.flatnonzero(n)
     columns = []
-    for long, short in values:
-        word = np.add.reduceat(np.where(np.isnan(long), short, long).astype(np.float64), first)
+    for ratio in values:
+        word = np.add.reduceat(ratio.astype(np.float64), first)
         hits = np.bincount(text, weights=word > HIT, minlength=len(texts))
         most = np.zeros(len(texts))
         most[some] = np.maximum.reduceat(word, np.searchsorted(text, some))
@@ -209,14 +221,14 @@ def features(texts: list[bytes], ratios: tuple[np.ndarray, np.ndarray], table: n
     return np.stack(columns, axis=1)
 
 
-def _featured(full, parts):
+def _featured(model):
     """Features of all rows by the full model, and by the model that has not seen their quarter."""
 
     def run(batches):
-        table, (long, short) = symbol_of(), parts.value
+        table = symbol_of()
         names = ["key", *FEATURES, *(f"own_{f}" for f in FEATURES)]
         for batch in common.slices(batches, "text", SLICE):
-            x = features(common.texts(batch.column("text")), full.value, table, (long, short, batch.column("part").to_pylist()))
+            x = features(common.texts(batch.column("text")), model.value, table, batch.column("part").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(x[:, k].copy()) for k in range(x.shape[1]))], names)
 
     return run
@@ -253,12 +265,10 @@ def score(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.max("toxic").cast("int").alias("label"))
     known = common.stored(known.where(learn(F.col("key"))))
     spark = docs.sparkSession
-    counts, of = count_grams(keyed.join(known, "key", "left"))
-    every = counts.sum(axis=0)
-    full = spark.sparkContext.broadcast(log_ratios(every, of))
-    parts = spark.sparkContext.broadcast(tuple(map(np.stack, zip(*(log_ratios(every - c, of) for c in counts)))))
+    counts = common.stored(count_grams(keyed.join(known, "key", "left")))
+    model = spark.sparkContext.broadcast(Model.of(log_ratios(counts)))
     doubles = ", ".join(f"{p}{f} double" for p in ("", "own_") for f in FEATURES)
-    rows = common.stored(keyed.mapInArrow(_featured(full, parts), f"key long, {doubles}"))
+    rows = common.stored(keyed.mapInArrow(_featured(model), f"key long, {doubles}"))
     own = [f"own_{f}" for f in FEATURES]
     sample = rows.join(known, "key").orderBy(F.xxhash64("key", F.lit(1))).limit(MOST_LABELLED).select(*own, "label").toArrow()
     x = np.column_stack([sample[c].to_numpy() for c in own])
