@@ -293,68 +293,117 @@ def test_toxicity_on_held_out_documents(spark):
 
 
 def plain_grams(text, table):
-    """(context and letter at both orders, three last symbols) of every letter and word end, from strings."""
+    """Symbols of the n-gram that ends in every letter and word end, from strings; what stands before the word's start is 0."""
     s = [0, 0] + [int(table[ord(c)]) for c in text] + [0, 0]
     out = []
     for i in range(2, len(s)):
         if s[i] or s[i - 1]:
             word = []
             for k in range(i - 1, -1, -1):
-                word.append(s[k])
                 if not s[k]:
                     break
-            out.append(tuple((tuple(word[:n]), s[i]) for n in (toxicity.LONG, toxicity.SHORT)) + (tuple(s[i - 2 : i + 1]),))
+                word.insert(0, s[k])
+            out.append(tuple(([0] * toxicity.LONG + word)[-toxicity.LONG :] + [s[i]]))
     return out
 
 
+def number(gram):
+    n = 0
+    for symbol in gram:
+        n = n * toxicity.SYMBOLS + symbol
+    return n
+
+
 def test_grams_stay_within_words():
     table = toxicity.symbol_of()
     text = "Ein längerer Text, in dem in Wörtern 42 Wörter in sind; réeuxê.  "
-    want = plain_grams(text, table)
-    g = toxicity.grams(toxicity.symbols([text.encode()], table)[0])
-    assert len(g.place) == len(want)
-    for got, k in ((g.long, 0), (g.short, 1), (g.last, 2)):
-        assert len(set(zip(got.tolist(), (w[k] for w in want)))) == len(set(got.tolist())) == len({w[k] for w in want})
-    for got, k in ((g.long_context, 0), (g.short_context, 1)):
-        assert len(set(got.tolist())) == len({w[k][0] for w in want})
-
-
-def test_kneser_ney_probabilities_sum_to_one():
-    random = np.random.default_rng(2)
-    cube = random.poisson(0.3, (toxicity.SYMBOLS,) * 2)
-    p = toxicity._interpolated(cube, np.full(toxicity.SYMBOLS, 1 / toxicity.SYMBOLS))
-    assert np.allclose(p.sum(axis=-1), 1) and (p > 0).all()
-    context = np.arange(toxicity.CELLS) // toxicity.SYMBOLS
-    counts = random.poisson(0.05, toxicity.CELLS)
-    q = toxicity._smoothed(counts, context, np.full(toxicity.CELLS, 1 / toxicity.SYMBOLS))
-    assert np.allclose(np.bincount(context, weights=q)[: toxicity.CELLS // toxicity.SYMBOLS], 1)
+    assert toxicity.grams(toxicity.symbols([text.encode()], table)[0]).key.tolist() == [number(g) for g in plain_grams(text, table)]
+    assert not len(toxicity.grams(toxicity.symbols([b"", b" .. "], table)[0]).key)
+
+
+def plain_model(rows, table, part):
+    """n-gram: log ratio, of the model of all labelled rows but those of ``part``; Kneser-Ney from dictionaries, order by order."""
+    known, counts = set(), ({}, {})
+    for text, label, p in rows:
+        for g in plain_grams(text or "", table):
+            known.add(g)
+            if label is not None and p != part:
+                counts[label][g] = counts[label].get(g, 0) + 1
+
+    def level(counts, grams, lower):
+        once, twice = (sum(v == n for v in counts.values()) for n in (1, 2))
+        d = once / (once + 2 * twice) if once and twice else 0.75
+        total, kinds = Counter(), Counter()
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            kinds[g[:-1]] += 1
+        return {g: (max(counts.get(g, 0) - d, 0) + d * kinds[g[:-1]] * lower(g[1:])) / total[g[:-1]] if total[g[:-1]] else lower(g[1:]) for g in grams}
+
+    shorts = {g[1:] for g in known}
+    lower, kept = (lambda g: 1 / toxicity.SYMBOLS), {}
+    for width in (1, 2, 3):
+        behind = Counter(g[-width:] for g in {g[-width - 1 :] for g in shorts})
+        kept[width] = level(behind, behind, lower)
+        lower = kept[width].__getitem__
+    logs = []
+    for k in (1, 0):
+        short = level(Counter(g[1:] for g in counts[k]), shorts, kept[3].__getitem__)
+        logs.append(level(counts[k], known, short.__getitem__))
+    return {number(g): np.log(logs[0][g]) - np.log(logs[1][g]) for g in known}
+
+
+def test_models_equal_plain_kneser_ney(spark, monkeypatch):
+    """Each model's log ratios against dictionaries, to 1e-9, also where tasks hold few n-grams at a time."""
+    random = np.random.default_rng(9)
+    words = ["".join(random.choice(list("abcdeé1"), random.integers(1, 9))) for _ in range(60)]
+    rows = [(" ".join(random.choice(words, 12)), [None, 0, 0, 1][i % 4], int(random.integers(0, toxicity.QUARTERS))) for i in range(40)] + [("", 1, 0), (None, 0, 1)]
+    table = toxicity.symbol_of()
+    for held in (toxicity.MOST_HELD, 50):
+        monkeypatch.setattr(toxicity, "MOST_HELD", held)
+        got = toxicity.log_ratios(common.stored(toxicity.count_grams(spark.createDataFrame(rows, "text string, label int, part int").repartition(3)))).collect()
+        for m in range(toxicity.QUARTERS + 1):
+            want = plain_model(rows, table, m)
+            assert {r.gram for r in got} == set(want)
+            assert max(abs(r[f"r{m}"] - want[r.gram]) for r in got) < 1e-9
+
+
+def test_probabilities_sum_to_one(spark):
+    random = np.random.default_rng(5)
+    rows = [(int(g), int(n), int(m)) for g, n, m in zip(range(0, 64 * 64), random.poisson(0.4, 4096), random.poisson(0.1, 4096))]
+    counts = spark.createDataFrame(rows, "gram int, a long, b long")
+    every = toxicity.smoothed(counts.groupBy(F.col("gram").bitwiseAND(F.lit(63)).alias("gram")).agg(F.count("*").alias("every")), 1)
+    for r in toxicity.smoothed(counts, 2, every).groupBy(F.shiftright("gram", 6)).agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():
+        assert r.a == pytest.approx(1) and r.b == pytest.approx(1)
+
+
+def random_model(random, texts, table, models):
+    key = np.unique(np.concatenate([toxicity.grams(toxicity.symbols([t.encode()], table)[0]).key for t in texts]))
+    return toxicity.Model(key, (random.normal(size=(models, len(key))) * 3).astype(np.float32))
 
 
 def test_toxicity_features_do_not_depend_on_the_batch():
-    random = np.random.default_rng(3)
-    ratios = tuple(random.normal(size=toxicity.CELLS).astype(np.float32) * 3 for _ in range(2))
-    ratios[0][::3] = np.nan
-    table = toxicity.symbol_of()
+    random, table = np.random.default_rng(3), toxicity.symbol_of()
     texts = ["", "idiot", "Ein längerer Text, mit Zeichen.", "x" * 200, " ,. ", "réeuxê 42 a"]
-    got = toxicity.features([t.encode() for t in texts], ratios, table)
+    model = random_model(random, texts, table, 4)
+    ratio = dict(zip(model.gram.tolist(), model.ratios[-1]))
+    got = toxicity.features([t.encode() for t in texts], model, table)
     for row, text in zip(got, texts):
-        g = toxicity.grams(toxicity.symbols([text.encode()], table)[0])
         words = [[]]
-        for (context, _), cell, low in zip([w[0] for w in plain_grams(text, table)], g.long, g.short):
-            if context == (0,):
+        for g in plain_grams(text, table):
+            if not any(g[:-1]):
                 words.append([])
-            words[-1].append(float(ratios[1][low] if np.isnan(ratios[0][cell]) else ratios[0][cell]))
+            words[-1].append(float(ratio[number(g)]))
         sums = [sum(w) for w in words[1:]]
         hits = sum(v > toxicity.HIT for v in sums)
         want = [max(sums), sum(sums) / sum(map(len, words)), 100 * hits / len(sums), np.log1p(hits)] if sums else [0, 0, 0, 0]
         assert row == pytest.approx(want, abs=1e-4)
-    assert toxicity.features([b"", b" "], ratios, table).tolist() == [[0.0] * 4] * 2
+    assert toxicity.features([b"", b" "], model, table).tolist() == [[0.0] * 4] * 2
     # Several models at once: each text has the features that its own model gives it alone.
-    models = [tuple(random.normal(size=toxicity.CELLS).astype(np.float32) * 3 for _ in range(2)) for _ in range(3)]
     which, encoded = [2, 0, 1, 2, 0, 1], [t.strip().encode() for t in texts]
-    both = toxicity.features(encoded, ratios, table, (np.stack([m[0] for m in models]), np.stack([m[1] for m in models]), which))
+    both = toxicity.features(encoded, model, table, which)
     for row, text, m in zip(both, encoded, which):
-        assert row[4:] == pytest.approx(toxicity.features([text], models[m], table)[0], abs=1e-5)
+        assert row[4:] == pytest.approx(toxicity.features([text], toxicity.Model(model.gram, model.ratios[m : m + 1]), table)[0], abs=1e-5)
+
 
 
 def test_classifiers_on_odd_rows_and_without_labels(spark, docs, empty):
