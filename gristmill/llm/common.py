@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 #: Stands for a missing id inside an operator; real ids are smaller, so a smallest id is a real one where there is one.
 NO_ID = 1 << 62
 
+#: Bytes after which Spark ends a batch for Python, where :func:`small_batches` holds.
+BATCH_BYTES = 2 << 20
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -49,6 +53,24 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """Within, batches that go to Python end after ``most`` bytes; else Spark counts 10 000 rows, and so many whole texts are of any size.
+
+    This holds for what runs within, as :func:`stored` does, and not for a plan that is returned.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, was)
+
+
 def row_id(docs: DataFrame) -> Column:
     """``doc_id``, or a number made of the text where it is null."""
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(1 << 61)))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm import common
-from gristmill.llm.common import apart, forget, stored
+from gristmill.llm.common import apart, forget, small_batches, stored
 
 #: Length of a repeated string in bytes, of the bytes that choose an anchor, and of a block of starts in the refinement.
 LENGTH = 400
@@ -26,6 +26,11 @@ WORD_GRAM = 8
 WORD_BYTES = 4
 BATCHES = 4
 CHUNK = 1 << 20
+#: Bytes worked at a time: of texts, of packed texts with their starts, of contexts cut into blocks (some 20 times as many) and into strings (some 120 times).
+SLICE = 1 << 20
+PACKED_SLICE = 1 << 18
+BLOCK_SLICE = 1 << 18
+STRING_SLICE = 1 << 17
 
 _BYTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -69,7 +74,7 @@ def _digests(parts: list[bytes]) -> np.ndarray:
 
 def _entries(length: int, gram: int, unit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(batches, "text", SLICE):
             columns: list[list] = [[] for _ in range(7)]
             for key, h, text in zip(batch.column("key").to_pylist(), batch.column("h").to_pylist(), common.texts(batch.column("text"))):
                 for c in range(0, len(text) // unit - length + 1, CHUNK):
@@ -113,7 +118,7 @@ class Family:
 
 def _squeeze(batches):
     packer = zstandard.ZstdCompressor(level=3)
-    for batch in common.slices(batches, "text"):
+    for batch in common.slices(batches, "text", SLICE):
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array([packer.compress(t) for t in common.texts(batch.column("text"))], pa.binary())], [*(c for c in batch.schema.names if c != "text"), "z"])
 
 
@@ -121,6 +126,11 @@ def _open(z: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(z)
 
 
+def _lists(column: pa.ListArray, fields: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where each row's list begins and ends (null: empty), and fields of the elements of all rows."""
+    return column.offsets.to_numpy(), [column.values.field(f).to_numpy() for f in fields]
+
+
 CONTEXTS = "key long, h long, a int, low int, high int, weight int, context binary"
 
 
@@ -128,20 +138,26 @@ def _contexts(length: int, unit: int):
     """The bytes around each anchor that is still open: from its first start to the end of its last string."""
 
     def run(batches):
-        for batch in batches:
-            for r in range(len(batch)):
-                row = batch.slice(r, 1).to_pylist()[0]
-                text, items = _open(row["z"]), row["items"]
-                for start in range(0, len(items), 4096):
-                    part = items[start : start + 4096]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([row["key"]] * len(part), pa.int64()), pa.array([row["h"]] * len(part), pa.int64()), pa.array([x["a"] for x in part], pa.int32()),
-                            pa.array([x["a"] - x["e"] for x in part], pa.int32()), pa.array([x["a"] - x["s"] for x in part], pa.int32()), pa.array([x["weight"] for x in part], pa.int32()),
-                            pa.array([text[unit * x["s"] : unit * (x["e"] + length)] for x in part], pa.binary()),
-                        ],
-                        [c.split()[0] for c in CONTEXTS.split(", ")],
-                    )
+        for batch in common.slices(batches, "z", PACKED_SLICE):
+            ends, (first, last, anchor, weight) = _lists(batch.column("items"), ("s", "e", "a", "weight"))
+            key, h = (np.repeat(batch.column(c).to_numpy(), np.diff(ends)) for c in ("key", "h"))
+            parts, size, done, base = [], 0, int(ends[0]), int(ends[0])
+
+            def made(i: int, j: int) -> pa.RecordBatch:
+                near, far = anchor[i:j] - last[i:j], anchor[i:j] - first[i:j]
+                columns = (key[i - base : j - base], h[i - base : j - base], anchor[i:j], near, far, weight[i:j])
+                return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(parts, pa.binary())], [c.split()[0] for c in CONTEXTS.split(", ")])
+
+            for r, z in enumerate(batch.column("z").to_pylist()):
+                text, i, j = _open(z), int(ends[r]), int(ends[r + 1])
+                for k, (low, high) in enumerate(zip(first[i:j].tolist(), last[i:j].tolist()), i + 1):
+                    parts.append(text[unit * low : unit * (high + length)])
+                    size += len(parts[-1])
+                    if size >= SLICE:
+                        yield made(done, k)
+                        parts, size, done = [], 0, k
+            if parts:
+                yield made(done, int(ends[-1]))
 
     return run
 
@@ -153,7 +169,7 @@ def _nodes(length: int, block: int, unit: int):
     """Starts are numbered by their distance to the anchor and cut into blocks. x: what all strings of a block share; y: all their bytes."""
 
     def run(batches):
-        for batch in common.slices(batches, "context", 1 << 20):
+        for batch in common.slices(batches, "context", BLOCK_SLICE):
             rows, shared, whole = [], [], []
             for row in batch.to_pylist():
                 low, high, text = row["low"], row["high"], row["context"]
@@ -175,7 +191,7 @@ STRINGS = "key long, h long, at int, weight int, y1 long, y2 long"
 
 def _strings(length: int, unit: int):
     def run(batches):
-        for batch in common.slices(batches, "context", 1 << 19):
+        for batch in common.slices(batches, "context", STRING_SLICE):
             rows, parts = [], []
             for row in batch.to_pylist():
                 low, high, text = row["low"], row["high"], row["context"]
@@ -244,15 +260,22 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bat
     return settled.unionByName(by_block).unionByName(single), [settled, known, strings, twice]
 
 
-def runs(starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
+def runs(starts: list[tuple[int, int]] | np.ndarray, length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes covered by strings with these first and last starts."""
-    out: list[list[int]] = []
-    for low, high in sorted(starts):
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high + length)
-        else:
-            out.append([low, high + length])
-    return [(a, b) for a, b in out]
+    if not len(starts):
+        return []
+    low, high = np.asarray(starts, np.int64).T
+    order = np.argsort(low, kind="stable")
+    low, end = low[order], np.maximum.accumulate(high[order]) + length
+    new = np.flatnonzero(low[1:] > end[:-1]) + 1
+    return list(zip(low[[0, *new]].tolist(), end[[*(new - 1), -1]].tolist()))
+
+
+def _starts(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """For each row the pairs of first and last starts."""
+    ends, fields = _lists(column, ("low", "high"))
+    pairs = np.stack(fields, 1)
+    return (pairs[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()))
 
 
 def cut_out(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -284,12 +307,12 @@ def _removed(keyed: DataFrame, length: int, batches: int = BATCHES, words: int =
 
 def _report(length: int, words: int):
     def run(batches):
-        for batch in batches:
+        for batch in common.slices(batches, "z", PACKED_SLICE):
             rows = []
-            for key, z, starts, worded in zip(*(batch.column(c).to_pylist() for c in ("key", "z", "starts", "worded"))):
+            for key, z, starts, worded in zip(*(batch.column(c).to_pylist() for c in ("key", "z")), *(_starts(batch.column(c)) for c in ("starts", "worded"))):
                 text = _open(z)
-                spans = runs([(x["low"], x["high"]) for x in starts or ()], length)
-                more = word_spans(text, [(x["low"], x["high"]) for x in worded or ()], words)
+                spans = runs(starts, length)
+                more = word_spans(text, worded, words)
                 kept = hashlib.sha256(cut_out(text, spans)).hexdigest()
                 rows.append((key, len(text), sum(b - a for a, b in spans), len(spans), kept, sum(b - a for a, b in more), len(more)))
             if rows:
@@ -311,15 +334,16 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, batches: int = BATC
     more than once, however short these are; they are reported only.
     """
     keyed = _keyed(docs)
-    spans = _removed(keyed, length, batches, words)
-    packed = keyed.mapInArrow(_squeeze, "key long, h long, z binary").join(spans, ["key", "h"], "left").select("key", "z", "starts", "worded")
-    done = packed.mapInArrow(_report(length, words), REPORT)
+    with small_batches(docs.sparkSession):
+        spans = _removed(keyed, length, batches, words)
+        packed = keyed.mapInArrow(_squeeze, "key long, h long, z binary").join(spans, ["key", "h"], "left").select("key", "z", "starts", "worded")
+        done = stored(packed.mapInArrow(_report(length, words), REPORT))
     return done.select(common.real_id(F.col("key")).alias("doc_id"), *(c.split()[0] for c in REPORT.split(", ")[1:]))
 
 
 def _worded(batches):
     """Texts as four bytes for each word, so that strings of words are compared as bytes."""
-    for batch in common.slices(batches, "text"):
+    for batch in common.slices(batches, "text", SLICE):
         out = [np.fromiter(map(xxhash.xxh32_intdigest, t.split()), np.uint32).tobytes() for t in common.texts(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("h"), pa.array(out, pa.binary())], ["key", "h", "text"])
 
@@ -328,7 +352,7 @@ _NO_SPACE = np.ones(256, np.int8)
 _NO_SPACE[list(b" \t\n\r\x0b\x0c")] = 0
 
 
-def word_spans(text: bytes, starts: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
+def word_spans(text: bytes, starts: list[tuple[int, int]] | np.ndarray, words: int) -> list[tuple[int, int]]:
     """Bytes of the strings of ``words`` words that start at these first and last words of the text."""
     found = runs(starts, words)
     if not found:
@@ -340,12 +364,12 @@ def word_spans(text: bytes, starts: list[tuple[int, int]], words: int) -> list[t
 
 def _cut(length: int, words: int, text: str, starts: str, worded: str, left: str):
     def run(batches):
-        for batch in batches:
+        for batch in common.slices(batches, text, SLICE):
             out = []
-            for value, items, more in zip(*(batch.column(c).to_pylist() for c in (text, starts, worded))):
-                spans = runs([(x["low"], x["high"]) for x in items or ()], length)
-                if more:
-                    spans = runs(spans + word_spans(value, [(x["low"], x["high"]) for x in more], words), 0)
+            for value, items, more in zip(batch.column(text).to_pylist(), *(_starts(batch.column(c)) for c in (starts, worded))):
+                spans = runs(items, length)
+                if len(more):
+                    spans = runs(spans + word_spans(value, more, words), 0)
                 # A cut inside a character leaves broken bytes, which are dropped.
                 out.append(cut_out(value, spans).decode("utf-8", "ignore") if spans else None)
             rest = [c for c in batch.schema.names if c not in (text, starts, worded)]
@@ -360,7 +384,8 @@ def remove_passages(docs: DataFrame, length: int = LENGTH, words: int = 0) -> Da
     A passage is a string of ``length`` bytes or, if ``words`` is given, also one of that many words, whatever the white space between them.
     """
     key, h, starts, worded, value, left = (common.free_name(docs, n) for n in ("_key", "_h", "_starts", "_worded", "_value", "_left"))
-    spans = _removed(_keyed(docs), length, words=words)
+    with small_batches(docs.sparkSession):
+        spans = _removed(_keyed(docs), length, words=words)
     spans = spans.select(F.col("key").alias(key), F.col("h").alias(h), F.col("starts").alias(starts), F.col("worded").alias(worded))
     met = docs.withColumns({key: common.row_id(docs), h: F.xxhash64("text")}).join(spans, [key, h], "left").drop(key, h)
     found = F.col(starts).isNotNull() | F.col(worded).isNotNull()
