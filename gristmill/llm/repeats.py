@@ -72,6 +72,15 @@ def _digests(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), np.int64).reshape(-1, 2)
 
 
+def _halves(parts: list[bytes]) -> list[pa.Array]:
+    return [pa.array(half.copy()) for half in _digests(parts).T]
+
+
+def _repeated(batch: pa.RecordBatch, names: tuple[str, ...], times: list[int]) -> list[pa.Array]:
+    """These columns of numbers, each row so many times."""
+    return [pa.array(np.repeat(batch.column(c).to_numpy(), times)) for c in names]
+
+
 def _entries(length: int, gram: int, unit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", SLICE):
@@ -170,18 +179,20 @@ def _nodes(length: int, block: int, unit: int):
 
     def run(batches):
         for batch in common.slices(batches, "context", BLOCK_SLICE):
-            rows, shared, whole = [], [], []
-            for row in batch.to_pylist():
-                low, high, text = row["low"], row["high"], row["context"]
-                for b in range(low // block, high // block + 1):
+            lows, highs, shared, whole, times = [], [], [], [], []
+            for low, high, text in zip(*(batch.column(c).to_pylist() for c in ("low", "high", "context"))):
+                first, end = low // block, high // block + 1
+                times.append(end - first)
+                for b in range(first, end):
                     lo, hi = max(b * block, low), min(b * block + block - 1, high)
                     shared.append(text[unit * (high - b * block) : unit * (high - (b * block + block - 1) + length)] + struct.pack("<i", b))
                     whole.append(text[unit * (high - hi) : unit * (high - lo + length)] + struct.pack("<iii", b, lo, hi))
-                    rows.append((row["key"], row["h"], row["a"], lo, hi, row["weight"]))
-            if rows:
-                x, y = _digests(shared), _digests(whole)
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows), kinds)), *(pa.array(v[:, k].copy()) for v in (x, y) for k in (0, 1))], [c.split()[0] for c in NODES.split(", ")])
+                    lows.append(lo)
+                    highs.append(hi)
+            if lows:
+                key, h, a, weight = _repeated(batch, ("key", "h", "a", "weight"), times)
+                columns = [key, h, a, pa.array(lows, pa.int32()), pa.array(highs, pa.int32()), weight, *_halves(shared), *_halves(whole)]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in NODES.split(", ")])
 
     return run
 
@@ -192,19 +203,20 @@ STRINGS = "key long, h long, at int, weight int, y1 long, y2 long"
 def _strings(length: int, unit: int):
     def run(batches):
         for batch in common.slices(batches, "context", STRING_SLICE):
-            rows, parts = [], []
-            for row in batch.to_pylist():
-                low, high, text = row["low"], row["high"], row["context"]
-                for block in row["blocks"]:
+            away, parts, times = [], [], []
+            for low, high, text, blocks in zip(*(batch.column(c).to_pylist() for c in ("low", "high", "context", "blocks"))):
+                before = len(away)
+                for block in blocks:
                     if block["low"] < low or block["high"] > high:  # of the same anchor's other range, where a chunk border divides it
                         continue
                     for d in range(block["low"], block["high"] + 1):
                         parts.append(text[unit * (high - d) : unit * (high - d + length)])
-                        rows.append((row["key"], row["h"], row["a"] - d, row["weight"]))
-            if rows:
-                y = _digests(parts)
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows), kinds)), pa.array(y[:, 0].copy()), pa.array(y[:, 1].copy())], [c.split()[0] for c in STRINGS.split(", ")])
+                        away.append(d)
+                times.append(len(away) - before)
+            if away:
+                key, h, a, weight = _repeated(batch, ("key", "h", "a", "weight"), times)
+                at = pa.array(a.to_numpy() - np.array(away, np.int32))
+                yield pa.RecordBatch.from_arrays([key, h, at, weight, *_halves(parts)], [c.split()[0] for c in STRINGS.split(", ")])
 
     return run
 
@@ -228,27 +240,29 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bat
     met = stored(entries.join(found.select("gram"), "gram"))
     forget(entries, found, *(level for _, level in family.levels))
     same = ["gram", "u1", "u2"]
-    kinds = stored(met.groupBy(*same).agg(F.count("*").alias("copies")))
+    row = [F.first(c).alias(c) for c in ("key", "h", "s", "e", "a")]  # all of one row, whichever it is
+    kinds = stored(met.groupBy(*same).agg(F.count("*").alias("copies"), *row))
     several = stored(kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1").select("gram"))
-    copied = stored(kinds.where("copies > 1").select(*same))
+    copied = kinds.where("copies > 1").select(*same)
     settled = stored(met.join(copied, same, "left_semi").select("key", "h", F.col("s").alias("low"), F.col("e").alias("high")))
 
-    row = F.min(F.struct("key", "h", "s", "e", "a")).alias("r")
-    open_ = met.join(several, "gram", "left_semi").groupBy(*same).agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("weight"), row)
-    items = open_.select("r.key", "r.h", F.struct("r.s", "r.e", "r.a", "weight").alias("i")).groupBy("key", "h").agg(F.collect_list("i").alias("items"))
+    open_ = kinds.join(several, "gram", "left_semi").withColumn("weight", F.least("copies", F.lit(2)).cast("int"))
+    items = open_.groupBy("key", "h").agg(F.collect_list(F.struct("s", "e", "a", "weight")).alias("items"))
     items = stored(items)
-    forget(met, kinds, several, copied)
+    forget(met, kinds, several)
     packed = docs.mapInArrow(_squeeze, "key long, h long, z binary")
     once = packed.join(items, ["key", "h"])
     contexts = stored(once.mapInArrow(_contexts(length, unit), CONTEXTS))  # a repeated row gives its contexts again, which have weight 2 then
     forget(items)
 
     nodes = stored(contexts.mapInArrow(_nodes(length, BLOCK, unit), NODES))
-    alike = stored(nodes.groupBy("x1", "x2", "y1", "y2").agg(F.sum("weight").alias("wy")))
-    shared = alike.groupBy("x1", "x2").agg(F.sum("wy").alias("wx")).where("wx > 1")
-    judged = stored(alike.join(apart(shared), ["x1", "x2"]).where("wy > 1 OR wx > wy").select("x1", "x2", "y1", "y2", (F.col("wy") > 1).alias("all"), (F.col("wx") > F.col("wy")).alias("part")))
-    known = stored(nodes.join(judged, ["x1", "x2", "y1", "y2"]).select("key", "h", "a", "low", "high", "weight", "all", "part"))
-    forget(nodes, alike, judged)
+    shared = nodes.groupBy("x1", "x2").agg(F.sum("weight").alias("wx")).where("wx > 1")
+    near = stored(nodes.join(apart(shared), ["x1", "x2"]))
+    forget(nodes)
+    alike = near.groupBy("x1", "x2", "y1", "y2").agg(F.sum("weight").alias("wy"), F.first("wx").alias("wx"))
+    judged = stored(alike.where("wy > 1 OR wx > wy").select("x1", "x2", "y1", "y2", (F.col("wy") > 1).alias("all"), (F.col("wx") > F.col("wy")).alias("part")))
+    known = stored(near.join(judged, ["x1", "x2", "y1", "y2"]).select("key", "h", "a", "low", "high", "weight", "all", "part"))
+    forget(near, judged)
     by_block = known.where("all AND weight = 1").select("key", "h", (F.col("a") - F.col("high")).alias("low"), (F.col("a") - F.col("low")).alias("high"))
 
     parts = known.where("part").select("key", "h", "a", "low", "high").distinct()
@@ -293,14 +307,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _removed(keyed: DataFrame, length: int, batches: int = BATCHES, words: int = 0) -> DataFrame:
     """(key, h, starts, worded): first and last starts of strings of ``length`` bytes and of ``words`` words, gathered per text, whose length bounds their number."""
     starts, read = repeated_starts(keyed, length, batches=batches)
-    gathered = F.collect_list(F.struct("low", "high"))
-    spans = stored(starts.distinct().groupBy("key", "h").agg(gathered.alias("starts")))
+    gathered = F.collect_set(F.struct("low", "high"))  # repeated rows give theirs again
+    spans = stored(starts.groupBy("key", "h").agg(gathered.alias("starts")))
     forget(*read)
     if not words:
         return spans.withColumn("worded", F.lit(None).cast("array<struct<low:int,high:int>>"))
     hashed = stored(keyed.mapInArrow(_worded, "key long, h long, text binary"))
     starts, read = repeated_starts(hashed, words, WORD_GRAM, batches, WORD_BYTES)
-    worded = stored(starts.distinct().groupBy("key", "h").agg(gathered.alias("worded")))
+    worded = stored(starts.groupBy("key", "h").agg(gathered.alias("worded")))
     forget(hashed, *read)
     return spans.join(worded, ["key", "h"], "full")
 
